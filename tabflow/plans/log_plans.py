@@ -142,3 +142,10 @@ def budget_status(spark, sf_dir):
 def budget_admission(spark, sf_dir):
     r = L.admission(_costed(spark, sf_dir), L.DEFAULT_DAILY_LIMIT)
     return r.select("call_seq", "day", F.round("spent_before_usd", 8).alias("spent_before_usd"), "admitted")
+
+
+@register("daily_usage_stream", "ST1 A13", _ledger_sql(DAILY_SQL))
+def daily_usage_stream(spark, sf_dir):
+    from ..streaming.ledger_stream import run_ledger_stream
+    d = run_ledger_stream(spark, sf_dir, "events.parquet")
+    return d.withColumn("spent_usd", F.round("spent_usd", 8))

@@ -74,7 +74,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    return usage_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"]))
+
+
+def usage_from_events(e: DataFrame) -> DataFrame:
+    """The ``usage`` projection; works on a batch or a streaming ``events`` frame."""
     m = F.col("user_id") % 4
     model = (F.when(m == 0, "deepseek/deepseek-r1").when(m == 1, "deepseek/deepseek-v3.2")
              .when(m == 2, "qwen/qwen3-32b").otherwise("other/unknown"))
