@@ -13,6 +13,8 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ class _FreqParams(HasInputCols, HasOutputCols):
                         typeConverter=TypeConverters.toString)
 
 
-class FrequencyEncoder(Estimator, _FreqParams):
+class FrequencyEncoder(Estimator, _FreqParams, DefaultParamsReadable, DefaultParamsWritable):
     """M4: replace a category by its relative frequency among training rows; unseen and null -> 0.0."""
 
     @keyword_only
@@ -80,11 +82,42 @@ class FrequencyEncoder(Estimator, _FreqParams):
         return m
 
 
-class FrequencyEncoderModel(Model, _FreqParams):
+class _FreqModelWriter(MLWriter):
+    def __init__(self, instance: "FrequencyEncoderModel"):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+
+
+class _FreqModelReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> "FrequencyEncoderModel":
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        m = self.cls(self.sparkSession.read.parquet(f"{path}/vocab"))
+        DefaultParamsReader.getAndSetParams(m, meta)
+        return m
+
+
+class FrequencyEncoderModel(Model, _FreqParams, MLWritable, MLReadable):
+    """Saved with the chain (params as metadata, vocabulary as parquet)."""
+
     def __init__(self, vocab: DataFrame | None = None):
         super().__init__()
         self.vocab = vocab
 
+    def write(self) -> MLWriter:
+        return _FreqModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _FreqModelReader(cls)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
         sizes = {r["column"]: r["n"] for r in self.vocab.groupBy("column").count().withColumnRenamed("count", "n").collect()}

@@ -39,11 +39,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ship_code() -> None:
+    """Pickle this package's functions by value, so Python workers need no install of it."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULTS where unset and make sure a checkpoint folder exists."""
+    """Apply DEFAULTS where unset, ship the package code and make sure a checkpoint folder exists."""
+    ship_code()
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
+    # days are calendar days in UTC (ledger, run ids, streaming windows): pinned, not defaulted
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     return spark
 
