@@ -23,13 +23,22 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 HASH_HEX = 5
 
 
-def split_hash(key: list[str], seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+def _key_text(df: DataFrame, k: str) -> Column:
+    # floating keys get a fixed decimal text so every engine hashes the same characters
+    if isinstance(df.schema[k].dataType, (T.FloatType, T.DoubleType)):
+        return F.col(k).cast("decimal(38,10)").cast("string")
+    return F.col(k).cast("string")
+
+
+def split_hash(df: DataFrame, key: list[str], seed: int) -> Column:
+    """``md5("<seed>:<k1>:<k2>...")`` over the key columns."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[_key_text(df, k) for k in key]))
 
 
 def quotas(class_counts: dict, test_size: float) -> dict:
@@ -66,7 +75,7 @@ def stratified_split(
     key = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
     cls = F.col(target) if target else F.lit(0)
-    h = split_hash(key, seed)
+    h = split_hash(df, key, seed)
     staged = df.withColumn("__cls", cls).withColumn("__h", h).withColumn(
         "__b", F.conv(F.substring("__h", 1, HASH_HEX), 16, 10).cast("long"))
 

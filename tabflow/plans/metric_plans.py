@@ -113,3 +113,16 @@ def rank_transform(spark, sf_dir):
     df = fx.labelled(spark, sf_dir).select("key", "total_price")
     r = R.average_rank(df, "total_price", "total_price_rank")
     return r.select("key", F.round("total_price_rank", 12).alias("total_price_rank"))
+
+
+@register("roc_auc_big", "A18", fx.with_views(
+    "SELECT model_id, round((rpos - np * (np + 1) / 2) / (np * nn), 10) AS auc FROM ("
+    "SELECT model_id, sum(CASE WHEN target = 1 THEN ar ELSE 0 END) AS rpos, "
+    "CAST(count_if(target = 1) AS DOUBLE) AS np, CAST(count_if(target = 0) AS DOUBLE) AS nn FROM ("
+    "SELECT 'l_discount' AS model_id, target, rank() OVER (ORDER BY l_discount) "
+    "+ (count(*) OVER (PARTITION BY l_discount) - 1) / 2.0 AS ar FROM labelled_big) r GROUP BY model_id) s",
+    "labelled_big"))
+def roc_auc_big(spark, sf_dir):
+    big = fx.labelled_big(spark, sf_dir).select(F.lit("l_discount").alias("model_id"),
+                                                F.col("l_discount").alias("p1"), "target")
+    return M.auc_by_group(big).select("model_id", F.round("auc", 10).alias("auc"))

@@ -126,3 +126,19 @@ def column_medians(spark, sf_dir):
     df = fx.labelled(spark, sf_dir)
     m = stats.exact_medians(df, ["total_price", "acct_bal", "nation_key"])
     return m.select("column", F.round("median", 6).alias("median"))
+
+
+# ---------------------------------------------------------------- bench-size variant (lineitem)
+
+LABELLED_BIG_SPEC = [
+    ("l_orderkey", "numeric", "bigint"), ("l_linenumber", "numeric", "int"), ("l_partkey", "numeric", "bigint"),
+    ("l_suppkey", "numeric", "bigint"), ("l_extendedprice", "numeric", "double"), ("l_quantity", "numeric", "double"),
+    ("l_discount", "numeric", "double"), ("l_tax", "numeric", "double"), ("l_linestatus", "string", "string"),
+]
+
+
+@register("column_profile_big", "A1 A2 A3 A4 A23 A24", fx.with_views("", "labelled_big").rstrip() + ",\n"
+          + _profile_sql(LABELLED_BIG_SPEC, "labelled_big")
+          + '\nSELECT "column", position, role, dtype, n_unique, mean, std, min, max, null_pct, zeros_pct FROM prof')
+def column_profile_big(spark, sf_dir):
+    return P.profile_table(P.profile(fx.labelled_big(spark, sf_dir)))

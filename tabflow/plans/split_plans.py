@@ -73,3 +73,21 @@ def positive_rate_by_split(spark, sf_dir):
     return labelled_split(spark, sf_dir).groupBy("split").agg(
         F.avg(F.col("target").cast("double")).alias("positive_rate"),
         F.count_distinct("target").alias("n_classes"))
+
+
+# ---------------------------------------------------------------- bench-size variant (lineitem, composite key)
+
+_BIG_KEY = fx.LABELLED_BIG_KEY
+_BIG_HASH = ("md5(concat_ws(':', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+             "CAST(CAST(l_extendedprice AS DECIMAL(38,10)) AS VARCHAR)))")
+SPLIT_BIG_CTES = (SPLIT_CTES.replace("FROM labelled GROUP BY target", "FROM labelled_big GROUP BY target")
+                  .replace("ORDER BY md5(concat('42', ':', CAST(l.key AS VARCHAR))), l.key",
+                           "ORDER BY " + _BIG_HASH.replace("l_", "l.l_") + ", " + ", ".join("l." + k for k in _BIG_KEY))
+                  .replace("FROM labelled l", "FROM labelled_big l"))
+
+
+@register("stratified_split_big", "M1 S6", fx.with_views("", "labelled_big").rstrip() + "," + SPLIT_BIG_CTES
+          + "SELECT " + ", ".join(_BIG_KEY) + ", target, split FROM assigned")
+def stratified_split_big(spark, sf_dir):
+    sp = S.stratified_split(fx.labelled_big(spark, sf_dir), _BIG_KEY, "target", TEST_SIZE, SEED)
+    return sp.select(*_BIG_KEY, "target", "split")
