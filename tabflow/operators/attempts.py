@@ -23,11 +23,13 @@ FAILED_MARGIN = 0.01
 FAILED_DEFAULT_BEST = 0.5
 
 
-def status(error: Column = F.col("error"), metric: Column = F.col("roc_auc")) -> Column:
+def status(error: Column | None = None, metric: Column | None = None) -> Column:
     """P10: ``error`` if there is error text, ``success`` if there is a metric, else ``no_metric``.
 
     Empty error text counts as no error; a 0.0 metric is a metric (null is the only missing value).
     """
+    error = F.col("error") if error is None else error
+    metric = F.col("roc_auc") if metric is None else metric
     return (F.when(F.coalesce(error, F.lit("")) != "", "error")
              .when(metric.isNotNull(), "success")
              .otherwise("no_metric"))

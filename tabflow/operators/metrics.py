@@ -36,8 +36,8 @@ def auc_by_group(scored: DataFrame, group: str = "model_id", score: str = "p1",
     g = _score_groups(scored, group, score, target)
     r = running(g, score, "neg", "sum", (group,), True, "neg_below", n_buckets)
     return r.groupBy(group).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5)))
-         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
+        F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5))),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
 
 
 def evaluate(preds: DataFrame, labels: DataFrame, key: str = "key", target: str = "target",
@@ -79,7 +79,7 @@ def ensemble_mean(preds: DataFrame, key: str = "key", group: str = "model_id", s
                 .where(F.col("__m") == k).drop("__m"))
     # weights: (model_id, weight), one row per model: bounded broadcast
     w = preds.join(F.broadcast(weights), group)
-    return (w.groupBy(key).agg((F.sum(F.col(score) * F.col("weight")) / F.sum("weight")).alias(score),
+    return (w.groupBy(key).agg(F.try_divide(F.sum(F.col(score) * F.col("weight")), F.sum("weight")).alias(score),
                                F.count_distinct(group).alias("__m"))
             .where(F.col("__m") == k).drop("__m"))
 

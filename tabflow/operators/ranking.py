@@ -39,7 +39,7 @@ def quantile_splits(df: DataFrame, cols: list[str], n_buckets: int) -> list[list
     out = []
     for q in qs:
         inner = sorted({float(x) for x in (q or []) if x == x and abs(x) != float("inf")})
-        out.append([float("-inf")] + inner + [float("inf")])
+        out.append([float("-inf")] + (inner or [0.0]) + [float("inf")])  # Bucketizer needs 3+ points
     return out
 
 

@@ -41,7 +41,7 @@ def _norm_val(v, digits=9):
 
 def compare(spark_df, con, sql: str, digits: int = 9) -> dict:
     s_tab = spark_df.toArrow()
-    d_tab = con.execute(sql).to_arrow_table()
+    d_tab = con.sql(sql).to_arrow_table()
     out = {"rows_spark": s_tab.num_rows, "rows_oracle": d_tab.num_rows}
     s_cols, d_cols = sorted(s_tab.column_names), sorted(d_tab.column_names)
     out["columns_match"] = s_cols == d_cols
