@@ -30,33 +30,46 @@ def _score_groups(joined: DataFrame, group: str, score: str, target: str) -> Dat
         F.sum((1 - F.col(target)).cast("long")).alias("neg"))
 
 
-def auc_by_group(scored: DataFrame, group: str = "model_id", score: str = "p1", target: str = "target",
-                 n_buckets: int | None = None) -> DataFrame:
-    """``(group, auc)`` for rows that already carry a finite score and a 0/1 label."""
-    g = _score_groups(scored, group, score, target)
+def auc_from_groups(g: DataFrame, group: str = "model_id", score: str = "p1", n_buckets: int | None = None) -> DataFrame:
+    """``(group, auc)`` from a table of (group, score, pos, neg) with distinct finite scores."""
     r = running(g, score, "neg", "sum", (group,), True, "neg_below", n_buckets)
     return r.groupBy(group).agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5))),
                      F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
 
 
-def evaluate(preds: DataFrame, labels: DataFrame, key: str = "key", target: str = "target",
+def auc_by_group(scored: DataFrame, group: str = "model_id", score: str = "p1", target: str = "target",
+                 n_buckets: int | None = None) -> DataFrame:
+    """``(group, auc)`` for rows that already carry a finite score and a 0/1 label."""
+    return auc_from_groups(_score_groups(scored, group, score, target), group, score, n_buckets)
+
+
+def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key", target: str = "target",
              group: str = "model_id", score: str = "p1", n_buckets: int | None = None) -> DataFrame:
-    """Per model: counts, guard verdict and AUC (null unless valid)."""
+    """Per model: counts, guard verdict and AUC (null unless valid).
+
+    The big join (predictions x labels) runs once: it is reduced to score
+    groups (one row per model and distinct finite score, plus one for the
+    non-finite rows) and that small table is checkpointed for the AUC steps.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     p = F.col(score)
+    bad = p.isNull() | F.isnan(p) | (F.abs(p) == F.lit(float("inf")))
     pstats = preds.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_preds"),
         F.count_if(p.isNull() | F.isnan(p)).alias("n_nan"),
         F.count_if(F.abs(p) == F.lit(float("inf"))).alias("n_inf"))
-    lab = labels.select(key, target)
+    lab = labels.select(*keys, target)
     n_labels = lab.select(F.count(F.lit(1))).scalar()
-    joined = preds.select(group, key, score).join(lab, key, "inner")
-    jstats = joined.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n_matched"),
-        F.count_if(F.col(target) == 1).alias("n_pos"),
-        F.count_if(F.col(target) == 0).alias("n_neg"))
-    finite = joined.where(p.isNotNull() & ~F.isnan(p) & (F.abs(p) != F.lit(float("inf"))))
-    aucs = auc_by_group(finite, group, score, target, n_buckets)
+    joined = preds.select(group, *keys, score).join(lab, keys, "inner")
+    groups = (joined.withColumn(score, F.when(bad, F.lit(None).cast("double")).otherwise(p))
+              .groupBy(group, score).agg(F.sum(F.col(target).cast("long")).alias("pos"),
+                                         F.sum((1 - F.col(target)).cast("long")).alias("neg"))
+              .checkpoint())
+    jstats = groups.groupBy(group).agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n_matched"),
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    aucs = auc_from_groups(groups.where(F.col(score).isNotNull()), group, score, n_buckets)
 
     res = (pstats.join(jstats, group, "left").join(aucs, group, "left")
            .withColumn("n_labels", n_labels)

@@ -89,6 +89,9 @@ def running(
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0))
     inner = staged.withColumn("__in", agg("__v").over(frame))
 
+    # bucket totals: a second, column-pruned read with a map-side partial
+    # aggregate (its shuffle is groups x buckets rows, not the input); the
+    # big side is shuffled once, by (group, bucket), for the window and the join
     totals = staged.groupBy(*part, b).agg(agg("__v").alias("__bt"))
     before = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, b, agg("__bt").over(before).alias("__off"))
