@@ -156,3 +156,82 @@ def class_count(df: DataFrame, target: str = "target") -> DataFrame:
 def positive_rate(df: DataFrame, by: str = "split", target: str = "target") -> DataFrame:
     """Mean of the label per group."""
     return df.groupBy(by).agg(F.avg(F.col(target).cast("double")).alias("positive_rate"))
+
+
+def key_sample(df: DataFrame, key: list[str], fraction: float) -> DataFrame:
+    """A stable sample by key hash (never ``limit``: that depends on scan order)."""
+    scale = 1_000_000
+    h = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(scale))
+    return df.where(h < F.lit(int(fraction * scale)))
+
+
+def write_profile(prof: DataFrame, path: str) -> None:
+    """Profile sink (JSON lines, one column per line)."""
+    profile_table(prof).write.mode("overwrite").json(path)
+
+
+def read_profile(spark, path: str) -> DataFrame:
+    """Re-read a saved profile with its declared schema (no inference)."""
+    return spark.read.schema(PROFILE_SCHEMA).json(path)
+
+
+def _num_text(c: Column) -> Column:
+    return F.coalesce(c.cast("string"), F.lit("None"))
+
+
+def _names(prof: DataFrame, role: str, limit: int | None = None) -> Column:
+    ordered = F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("position", "column"))))
+    names = F.transform(ordered, lambda s: s["column"])
+    return F.slice(names, 1, limit) if limit else names
+
+
+def report(prof: DataFrame, df: DataFrame, target: str = "target") -> DataFrame:
+    """The profile as report text, ``(line_no, line)``; first 20 numeric names, first 15 numeric stats (O3)."""
+    counts = target_distribution(df, target)
+    balance = counts.agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("target", "n"))),
+                                 lambda s: F.concat(s["target"].cast("string"), F.lit(": "), s["n"].cast("string"))),
+                     ", ").alias("dist"),
+        F.when(F.count(F.lit(1)) == 2, F.round(F.max("n") / F.min("n"), 2)).alias("ratio"),
+        F.sum("n").alias("n_rows"))
+    summary = prof.agg(
+        F.count(F.lit(1)).alias("n_features"),
+        *[F.count_if(F.col("role") == r).alias(f"k_{r}") for r in ("numeric", "categorical", "high_cardinality", "id_like")],
+        _names(prof, "numeric", 20).alias("numeric"), _names(prof, "categorical").alias("categorical"),
+        _names(prof, "high_cardinality").alias("high_cardinality"), _names(prof, "id_like").alias("id_like"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("null_count") > 0, F.struct(
+            "position", F.concat(F.col("column"), F.lit(": "), F.col("null_pct").cast("string")).alias("t"))))),
+            lambda s: s["t"]), ", ").alias("missing"))
+    # the balance figures enter as scalar subqueries (one value each, no join)
+    both = summary.withColumns({c: balance.select(c).scalar() for c in ("dist", "ratio", "n_rows")})
+
+    def role_line(no: int, label: str, role: str, more: bool = False) -> Column:
+        text = F.concat(F.lit(f"{label} ("), F.col(f"k_{role}").cast("string"), F.lit("): "),
+                        F.array_join(F.col(role), ", "),
+                        F.when(F.lit(more) & (F.col(f"k_{role}") > 20), F.lit("...")).otherwise(F.lit("")))
+        return F.struct(F.lit(no).alias("line_no"), F.when((F.col(f"k_{role}") > 0) | F.lit(role == "numeric"), text).alias("line"))
+
+    head = both.select(F.inline(F.array(
+        F.struct(F.lit(0).alias("line_no"), F.concat(F.lit("Size: ~"), F.format_number("n_rows", 0), F.lit(" rows x "),
+                                                   F.col("n_features").cast("string"), F.lit(" features")).alias("line")),
+        F.struct(F.lit(1).alias("line_no"), F.lit("Task: binary classification, target = 0/1").alias("line")),
+        F.struct(F.lit(2).alias("line_no"), F.concat(F.lit("Class balance: {"), F.col("dist"), F.lit("} (imbalance: "),
+                                                   _num_text(F.col("ratio")), F.lit(")")).alias("line")),
+        F.struct(F.lit(3).alias("line_no"), F.lit("").alias("line")),
+        F.struct(F.lit(4).alias("line_no"), F.lit("=== COLUMN TYPES ===").alias("line")),
+        role_line(5, "Numeric", "numeric", True),
+        role_line(6, "Categorical", "categorical"),
+        role_line(7, "High cardinality", "high_cardinality"),
+        role_line(8, "ID columns (dropped)", "id_like"),
+        F.struct(F.lit(9).alias("line_no"), F.concat(F.lit("Missing: "), F.when(F.col("missing") == "", F.lit("none"))
+                                                   .otherwise(F.concat(F.lit("{"), F.col("missing"), F.lit("}")))).alias("line")),
+        F.struct(F.lit(10).alias("line_no"), F.lit("=== STATISTICS (first 15 numeric) ===").alias("line")),
+    ))).where(F.col("line").isNotNull())
+    nums = prof.where(F.col("role") == "numeric")
+    w = Window.orderBy("position")  # over the numeric columns of one table: a handful of rows
+    stats = (nums.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= 15).select(
+        (F.lit(10) + F.col("__r")).alias("line_no"),
+        F.concat(F.lit("  "), F.col("column"), F.lit(": mean="), _num_text(F.col("mean")), F.lit(", std="),
+                 _num_text(F.col("std")), F.lit(", ["), _num_text(F.col("min")), F.lit(", "), _num_text(F.col("max")),
+                 F.lit("]")).alias("line")))
+    return head.unionByName(stats)

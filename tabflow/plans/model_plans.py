@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
@@ -22,7 +23,9 @@ KEY = ["key"]
 
 
 def _prepared(spark, sf_dir):
-    sp = labelled_split(spark, sf_dir)
+    # the split table feeds every stage fit, the model and scoring: persist it
+    # once (spills to executor disk; a lost block is recomputed from lineage)
+    sp = labelled_split(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     roles = P.roles(P.profile(sp.where(F.col("split") == "train").drop("split")))
     return sp, roles
 

@@ -142,3 +142,56 @@ LABELLED_BIG_SPEC = [
           + '\nSELECT "column", position, role, dtype, n_unique, mean, std, min, max, null_pct, zeros_pct FROM prof')
 def column_profile_big(spark, sf_dir):
     return P.profile_table(P.profile(fx.labelled_big(spark, sf_dir)))
+
+
+_REPORT_SQL = """,
+bal AS (SELECT string_agg(CAST(target AS VARCHAR) || ': ' || CAST(n AS VARCHAR), ', ' ORDER BY target) AS dist,
+               CASE WHEN count(*) = 2 THEN round(max(n) / min(n), 2) END AS ratio, sum(n) AS n_rows
+        FROM (SELECT target, count(*) AS n FROM labelled GROUP BY target) d),
+pr AS (SELECT *, row_number() OVER (PARTITION BY role ORDER BY position) AS rn FROM prof),
+sm AS (SELECT count(*) AS n_features,
+              count_if(role = 'numeric') AS k_numeric, count_if(role = 'categorical') AS k_categorical,
+              count_if(role = 'high_cardinality') AS k_high, count_if(role = 'id_like') AS k_id,
+              coalesce(string_agg("column", ', ' ORDER BY position) FILTER (WHERE role = 'numeric' AND rn <= 20), '') AS numeric,
+              string_agg("column", ', ' ORDER BY position) FILTER (WHERE role = 'categorical') AS categorical,
+              string_agg("column", ', ' ORDER BY position) FILTER (WHERE role = 'high_cardinality') AS high,
+              string_agg("column", ', ' ORDER BY position) FILTER (WHERE role = 'id_like') AS idl,
+              string_agg("column" || ': ' || CAST(null_pct AS VARCHAR), ', ' ORDER BY position) FILTER (WHERE null_count > 0) AS missing
+       FROM pr),
+lines AS (
+  SELECT 0 AS line_no, 'Size: ~' || format('{:,}', n_rows) || ' rows x ' || CAST(n_features AS VARCHAR) || ' features' AS line FROM sm, bal
+  UNION ALL SELECT 1, 'Task: binary classification, target = 0/1'
+  UNION ALL SELECT 2, 'Class balance: {' || dist || '} (imbalance: ' || coalesce(CAST(ratio AS VARCHAR), 'None') || ')' FROM bal
+  UNION ALL SELECT 3, ''
+  UNION ALL SELECT 4, '=== COLUMN TYPES ==='
+  UNION ALL SELECT 5, 'Numeric (' || CAST(k_numeric AS VARCHAR) || '): ' || numeric || CASE WHEN k_numeric > 20 THEN '...' ELSE '' END FROM sm
+  UNION ALL SELECT 6, 'Categorical (' || CAST(k_categorical AS VARCHAR) || '): ' || categorical FROM sm WHERE k_categorical > 0
+  UNION ALL SELECT 7, 'High cardinality (' || CAST(k_high AS VARCHAR) || '): ' || high FROM sm WHERE k_high > 0
+  UNION ALL SELECT 8, 'ID columns (dropped) (' || CAST(k_id AS VARCHAR) || '): ' || idl FROM sm WHERE k_id > 0
+  UNION ALL SELECT 9, 'Missing: ' || CASE WHEN missing IS NULL THEN 'none' ELSE '{' || missing || '}' END FROM sm
+  UNION ALL SELECT 10, '=== STATISTICS (first 15 numeric) ==='
+  UNION ALL SELECT CAST(10 + rn AS INTEGER), '  ' || "column" || ': mean=' || coalesce(CAST(mean AS VARCHAR), 'None')
+         || ', std=' || coalesce(CAST(std AS VARCHAR), 'None') || ', [' || coalesce(CAST(min AS VARCHAR), 'None')
+         || ', ' || coalesce(CAST(max AS VARCHAR), 'None') || ']' FROM pr WHERE role = 'numeric' AND rn <= 15
+)
+SELECT line_no, line FROM lines"""
+
+
+@register("profile_report", "S14 O3 F8", fx.with_views("", "labelled").rstrip() + ",\n" + _PROFILE_CTE + _REPORT_SQL)
+def profile_report(spark, sf_dir):
+    df = fx.labelled(spark, sf_dir)
+    return P.report(P.profile(df), df)
+
+
+@register("freq_encode_all_rows", "A9 M4", fx.with_views("", "labelled").rstrip() + ","
+          + __import__("tabflow.plans.split_plans", fromlist=["SPLIT_CTES"]).SPLIT_CTES
+          + ", fr AS (SELECT stock_code AS v, count(*) / (SELECT count(*) FROM assigned WHERE split = 'train') AS freq "
+            "FROM assigned WHERE split = 'train' AND stock_code IS NOT NULL GROUP BY stock_code)\n"
+            "SELECT a.key, a.split, coalesce(f.freq, 0.0) AS stock_code_freq FROM assigned a LEFT JOIN fr f ON a.stock_code = f.v")
+def freq_encode_all_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..operators.encode import FrequencyEncoder
+    from .split_plans import labelled_split
+    sp = labelled_split(spark, sf_dir)
+    enc = FrequencyEncoder(inputCols=["stock_code"], outputCols=["stock_code_freq"], denominator="all")
+    return enc.fit(sp.where(F.col("split") == "train")).transform(sp).select("key", "split", "stock_code_freq")
