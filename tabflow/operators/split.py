@@ -24,6 +24,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+
+from ..sources.tables import literal_table
 from pyspark.sql.window import Window
 
 HASH_HEX = 5
@@ -86,9 +88,9 @@ def stratified_split(
     if None in counts:
         raise ValueError("target has null labels")
     q = quotas(counts, test_size)
-    qdf = spark.createDataFrame([(c, int(v)) for c, v in q.items()], ["__cls", "__q"]) if q else \
-        spark.createDataFrame([], "__cls int, __q long")
-    qdf = qdf.withColumn("__cls", F.col("__cls").cast(staged.schema["__cls"].dataType))
+    cls_type = staged.schema["__cls"].dataType
+    qdf = literal_table(spark, [(c, int(v)) for c, v in q.items()], ["__cls", "__q"]).select(
+        F.col("__cls").cast(cls_type).alias("__cls"), F.col("__q").cast("long").alias("__q"))
 
     wb = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bound = (bt.withColumn("__start", F.coalesce(F.sum("__bc").over(wb), F.lit(0)))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import strip
+from ..sources.tables import literal_table
 
 # Fenced-block patterns (python-tagged first, then any fence).
 PY_FENCE = r"(?s)```python\n?(.*?)```"
@@ -24,13 +25,11 @@ PIP_NAMES = [
     ("shap", "shap"), ("optuna", "optuna"), ("boruta", "boruta"), ("phik", "phik"), ("prince", "prince"),
 ]
 
-# Static code-check rules (name, regex that flags the code).
-CODE_RULES = [
-    ("verbose_eval", r"verbose_eval="),
-    ("early_stopping_rounds", r"early_stopping_rounds="),
-    ("lambda_with_pickle", r"(?s)^(?=.*\blambda\b)(?=.*pickle).*$"),
-    ("missing_build_model", r"(?s)^(?!.*def build_model).*$"),
-]
+# Static code-check rules.
+DEPRECATED_CALL_PATTERNS = [("verbose_eval", r"verbose_eval="), ("early_stopping_rounds", r"early_stopping_rounds=")]
+LAMBDA_WORD = r"\blambda\b"
+PICKLE_WORD = "pickle"
+MODEL_HOOK = "def build_model"
 
 
 def code_blocks(text: Column) -> Column:
@@ -58,7 +57,7 @@ def description(text: Column, width: int = DESCRIPTION_CHARS) -> Column:
 
 
 def pip_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PIP_NAMES, "module string, package string")
+    return literal_table(spark, PIP_NAMES, ["module", "package"])
 
 
 def missing_packages(logs: DataFrame, text: str = "error") -> DataFrame:
@@ -74,5 +73,7 @@ def missing_packages(logs: DataFrame, text: str = "error") -> DataFrame:
 
 def code_issues(code: Column) -> Column:
     """Names of the rules a code text breaks, as an array."""
-    flags = [F.when(code.rlike(rx), F.lit(name)) for name, rx in CODE_RULES]
+    flags = [F.when(code.rlike(rx), F.lit(name)) for name, rx in DEPRECATED_CALL_PATTERNS]
+    flags.append(F.when(code.rlike(LAMBDA_WORD) & code.contains(PICKLE_WORD), F.lit("lambda_with_pickle")))
+    flags.append(F.when(~code.contains(MODEL_HOOK), F.lit("missing_build_model")))
     return F.filter(F.array(*flags), lambda x: x.isNotNull())

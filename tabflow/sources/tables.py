@@ -34,6 +34,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols) if changed else df
 
 
+def literal_table(spark, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small constant table as literals (a local scan in the plan, no Python-side RDD)."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).alias(n) for n in names])
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Scan one parquet table of a scale-factor folder; prune to ``columns`` at the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
