@@ -158,11 +158,14 @@ def positive_rate(df: DataFrame, by: str = "split", target: str = "target") -> D
     return df.groupBy(by).agg(F.avg(F.col(target).cast("double")).alias("positive_rate"))
 
 
-def key_sample(df: DataFrame, key: list[str], fraction: float) -> DataFrame:
-    """A stable sample by key hash (never ``limit``: that depends on scan order)."""
-    scale = 1_000_000
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(scale))
-    return df.where(h < F.lit(int(fraction * scale)))
+def key_sample(df: DataFrame, key: list[str], fraction: float, seed: str = "sample") -> DataFrame:
+    """A stable sample by key hash (never ``limit``: that depends on scan order).
+
+    A row is kept when the first 32 bits of ``md5("<seed>:<key>")`` fall under
+    ``fraction * 2^32``: the same rows on any layout, and in any engine with md5.
+    """
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *[F.col(k).cast("string") for k in key])), 1, 8), 16, 10)
+    return df.where(h.cast("long") < F.lit(int(fraction * 2 ** 32)))
 
 
 def write_profile(prof: DataFrame, path: str) -> None:

@@ -33,7 +33,7 @@ def label_encode(spark, sf_dir):
     return E.apply_label_codes(model, sp, cols).select("key", "split", "priority_code", "segment_code")
 
 
-@register("freq_encode", "M4 J1 A8", _sql(
+@register("freq_encode", "M4 J1 A8 H4", _sql(
     "SELECT a.key, a.split, coalesce(f.freq, 0.0) AS stock_code_freq FROM assigned a LEFT JOIN fr f ON a.stock_code = f.v",
     ", fr AS (SELECT stock_code AS v, count(*) / (SELECT count(stock_code) FROM assigned WHERE split = 'train') AS freq "
     "FROM assigned WHERE split = 'train' AND stock_code IS NOT NULL GROUP BY stock_code)\n"))

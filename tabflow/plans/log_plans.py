@@ -149,3 +149,36 @@ def daily_usage_stream(spark, sf_dir):
     from ..streaming.ledger_stream import run_ledger_stream
     d = run_ledger_stream(spark, sf_dir, "events.parquet")
     return d.withColumn("spent_usd", F.round("spent_usd", 8))
+
+
+
+@register("attempts_log_roundtrip", "S11 P10", fx.with_views(
+    f"SELECT {_STATUS_SQL} AS status, count(*) AS n, round(sum(duration_seconds), 6) AS duration_seconds "
+    "FROM attempts GROUP BY 1", "attempts"))
+def attempts_log_roundtrip(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    from ..sources import tables as TB
+    path = scratch_path(spark, f"logs/attempts/{uuid.uuid4().hex}")
+    a = A.with_run_id(_attempts(spark, sf_dir)).withColumn("status", A.status())
+    log = a.select(
+        "attempt_seq", "run_id", F.col("agent_id").cast("int").alias("agent_id"), F.col("round").cast("int").alias("round"),
+        "campaign", F.col("ts").cast("timestamp").alias("timestamp"), "roc_auc", "approach_description",
+        F.lit(None).cast("string").alias("agent_analysis"), "error", F.lit(0.0).alias("cost_usd"),
+        "duration_seconds", "status")
+    TB.append_log(log, path)
+    back = TB.read_log(spark, path, TB.ATTEMPT_SCHEMA)
+    return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"),
+                                      F.round(F.sum("duration_seconds"), 6).alias("duration_seconds"))
+
+
+@register("usage_log_roundtrip", "S12 A13", _ledger_sql(DAILY_SQL))
+def usage_log_roundtrip(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    from ..sources import tables as TB
+    path = scratch_path(spark, f"logs/usage/{uuid.uuid4().hex}")
+    u = fx.usage(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    TB.append_log(u, path)
+    back = TB.read_log(spark, path, TB.USAGE_SCHEMA)
+    return L.daily_usage(L.with_cost(back)).withColumn("spent_usd", F.round("spent_usd", 8))

@@ -94,3 +94,20 @@ def rowwise_features(spark, sf_dir):
     df = fx.labelled(spark, sf_dir)
     out = FE.rowwise_hook(df, _log1p, ["total_price"], "total_price_log1p double", keep=["key"])
     return out.select("key", F.round("total_price_log1p", 9).alias("total_price_log1p"))
+
+
+
+@register("hook_model", "H3 H4 M10")
+def hook_model(spark, sf_dir):
+    from pyspark.ml.classification import LogisticRegression
+
+    sp, roles = _prepared(spark, sf_dir)
+
+    def build_model():  # a user hook: returns any Spark ML estimator
+        return LogisticRegression(featuresCol="features", labelCol="target", regParam=0.01, elasticNetParam=0.5)
+
+    model = MD.user_model(build_model, roles, KEY).fit(sp.where(F.col("split") == "train"))
+    val = sp.where(F.col("split") == "val")
+    from ..operators.metrics import evaluate
+    ev = evaluate(MD.score(model, val, KEY, "hook_lr"), val.select("key", "target"))
+    return ev.select("model_id", F.round("auc", 6).alias("auc"), "valid")

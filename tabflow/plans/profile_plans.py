@@ -195,3 +195,26 @@ def freq_encode_all_rows(spark, sf_dir):
     sp = labelled_split(spark, sf_dir)
     enc = FrequencyEncoder(inputCols=["stock_code"], outputCols=["stock_code_freq"], denominator="all")
     return enc.fit(sp.where(F.col("split") == "train")).transform(sp).select("key", "split", "stock_code_freq")
+
+
+_SAMPLE_FRACTION = 0.5
+_SAMPLE_SQL = ("SELECT * FROM labelled WHERE ('0x' || substr(md5(concat_ws(':', 'sample', CAST(key AS VARCHAR))), 1, 8))::UBIGINT "
+               f"< {int(_SAMPLE_FRACTION * 2 ** 32)}")
+
+
+@register("sampled_profile", "S2 A24", fx.with_views("", "labelled", extra={"sampled": _SAMPLE_SQL}).rstrip() + ",\n"
+          + _profile_sql(LABELLED_SPEC, "sampled")
+          + '\nSELECT "column", role, n_unique, mean, null_pct FROM prof')
+def sampled_profile(spark, sf_dir):
+    df = P.key_sample(fx.labelled(spark, sf_dir), ["key"], _SAMPLE_FRACTION)
+    return P.profile(df).select("column", "role", "n_unique", "mean", "null_pct")
+
+
+@register("profile_roundtrip", "S7 A24", _with_profile(
+    'SELECT "column", position, role, dtype, n_unique, mean, std, min, max, null_pct, zeros_pct FROM prof'))
+def profile_roundtrip(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"profiles/{uuid.uuid4().hex}")
+    P.write_profile(P.profile(fx.labelled(spark, sf_dir)), path)
+    return P.read_profile(spark, path)

@@ -91,3 +91,34 @@ SPLIT_BIG_CTES = (SPLIT_CTES.replace("FROM labelled GROUP BY target", "FROM labe
 def stratified_split_big(spark, sf_dir):
     sp = S.stratified_split(fx.labelled_big(spark, sf_dir), _BIG_KEY, "target", TEST_SIZE, SEED)
     return sp.select(*_BIG_KEY, "target", "split")
+
+
+
+@register("split_files_roundtrip", "S6 S4 S1", _split_sql(
+    "SELECT split, count(*) AS rows, CAST(sum(target) AS BIGINT) AS positives FROM assigned GROUP BY split"))
+def split_files_roundtrip(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    from ..sources import tables as TB
+    base = scratch_path(spark, f"splits/{uuid.uuid4().hex}")
+    TB.write_splits(labelled_split(spark, sf_dir), base)
+    ds = TB.load_dataset(spark, f"{base}/split=train", f"{base}/split=val")
+    return ds.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("target").cast("bigint").alias("positives"))
+
+
+@register("feature_frame", "P1 P2 P3 P4 F2", fx.with_views(
+    "SELECT key, CAST(total_price AS FLOAT) AS total_price, CAST(acct_bal AS FLOAT) AS acct_bal, "
+    "CAST(nation_key AS FLOAT) AS nation_key, CAST(TRY_CAST(substr(stock_code, 2) AS DOUBLE) AS FLOAT) AS stock_num, "
+    "'bogus_feature' AS missing FROM labelled", "labelled"))
+def feature_frame(spark, sf_dir):
+    from ..functions.scalar import to_double
+    from ..operators import features as FE
+    from ..operators import profile as P
+    df = fx.labelled(spark, sf_dir)
+    roles = P.roles(P.profile(df))
+    df = FE.drop_columns(df, roles["id_like"] + ["target"])  # P3, P1
+    df = df.withColumn("stock_num", to_double(F.substring("stock_code", 2, 10)))  # F2
+    wanted = ["key", "total_price", "acct_bal", "nation_key", "stock_num", "bogus_feature"]
+    sel, missing = FE.select_features(df, wanted)  # P2: the missing list is returned
+    out = FE.as_float(sel, ["total_price", "acct_bal", "nation_key", "stock_num"])  # P4
+    return out.withColumn("missing", F.lit(",".join(missing)))
