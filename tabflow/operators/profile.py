@@ -39,64 +39,95 @@ def feature_columns(df: DataFrame, target: str | None = "target", exclude: tuple
     return [c for c in df.columns if c != target and c not in exclude]
 
 
-def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ...] = (), round_stats: bool = True) -> DataFrame:
-    """One row per feature column with role and statistics.
+# Distinct counts: HLL estimate first (merged map-side, no shuffle of values);
+# exact counts only where the estimate is small enough to matter for a role
+# (thresholds 50 and 1000) and cheap to dedupe. Above the bound the estimate is
+# reported and flagged, and the role (id_like / high_cardinality) is the same.
+EXACT_DISTINCT_MAX = 1_000_000
+HLL_RSD = 0.05  # 512 registers: a small aggregation buffer (0.01 means 16k buffer slots per column)
 
-    ``n_unique`` (exact, nulls excluded) is computed for non-numeric columns,
-    the ones whose role depends on it; numeric columns carry mean, sample std,
-    min, max and zero share instead.
-    """
-    cols = feature_columns(df, target, exclude)
-    fields = {f.name: f.dataType for f in df.schema.fields}
+_RAW_SCHEMA = ("column string, position int, kind string, dtype string, n bigint, nn bigint, mean double, std double, "
+               "min double, max double, zeros bigint, nd bigint, nd_exact boolean")
+
+
+def _raw_stats(df: DataFrame, cols: list[str], fields: dict, exact_max: int) -> list[tuple]:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
-        kind = _kind(fields[c])
         x = F.col(c)
         aggs.append(F.count(x).alias(f"__nn{i}"))
-        if kind == "numeric":
+        if _kind(fields[c]) == "numeric":
             v = x.cast("double")
             aggs += [F.avg(v).alias(f"__mean{i}"), F.stddev_samp(v).alias(f"__std{i}"),
                      F.min(v).alias(f"__min{i}"), F.max(v).alias(f"__max{i}"),
                      F.count_if(v == 0).alias(f"__z{i}")]
         else:
-            aggs.append(F.count_distinct(x).alias(f"__nd{i}"))
-    one = df.agg(*aggs)
-
-    null_d = F.lit(None).cast("double")
-    null_l = F.lit(None).cast("bigint")
-    n = F.col("__n")
-    rows = []
+            aggs.append(F.approx_count_distinct(x, HLL_RSD).alias(f"__hll{i}"))
+    row = df.agg(*aggs).first()  # one row of per-column summaries
+    bound = exact_max * (1 + 10 * HLL_RSD)
+    exact_idx = [i for i, c in enumerate(cols) if _kind(fields[c]) != "numeric" and row[f"__hll{i}"] <= bound]
+    exact = {}
+    if exact_idx:
+        r2 = df.agg(*[F.count_distinct(F.col(cols[i])).alias(f"__nd{i}") for i in exact_idx]).first()
+        exact = {i: r2[f"__nd{i}"] for i in exact_idx}
+    out = []
     for i, c in enumerate(cols):
         kind = _kind(fields[c])
-        nd = F.col(f"__nd{i}") if kind != "numeric" else null_l
-        if kind == "numeric":
-            role = F.lit("numeric")
-        elif kind == "string":
-            role = (F.when(F.lit(looks_like_id(c)) & (nd > ID_LIKE_MIN_DISTINCT), "id_like")
-                    .when(nd <= CATEGORICAL_MAX_DISTINCT, "categorical")
-                    .otherwise("high_cardinality"))
-        else:
-            role = F.lit("high_cardinality")
-
-        def stat(name: str) -> Column:
-            if kind != "numeric":
-                return null_d
-            s = finite(F.col(f"__{name}{i}"))
-            return F.round(s, 4) if round_stats else s
-
-        nulls = n - F.col(f"__nn{i}")
-        null_pct = F.when(n > 0, nulls / n * 100)
-        zeros_pct = F.when(n > 0, F.col(f"__z{i}") / n * 100) if kind == "numeric" else null_d
-        if round_stats:
-            null_pct, zeros_pct = F.round(null_pct, 2), F.round(zeros_pct, 2)
-        rows.append(F.struct(
-            F.lit(c).alias("column"), F.lit(i).alias("position"), role.alias("role"),
-            F.lit(fields[c].simpleString()).alias("dtype"), nd.alias("n_unique"),
-            stat("mean").alias("mean"), stat("std").alias("std"), stat("min").alias("min"),
-            stat("max").alias("max"), null_pct.alias("null_pct"), zeros_pct.alias("zeros_pct"),
-            nulls.alias("null_count"),
-        ))
-    return one.select(F.inline(F.array(*rows)))
+        num = kind == "numeric"
+        nd = None if num else exact.get(i, row[f"__hll{i}"])
+        out.append((c, i, kind, fields[c].simpleString(), row["__n"], row[f"__nn{i}"],
+                    row[f"__mean{i}"] if num else None, row[f"__std{i}"] if num else None,
+                    row[f"__min{i}"] if num else None, row[f"__max{i}"] if num else None,
+                    row[f"__z{i}"] if num else None, nd, None if num else i in exact))
+    return out
+
+
+def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ...] = (), round_stats: bool = True,
+            exact_distinct_max: int = EXACT_DISTINCT_MAX) -> DataFrame:
+    """One row per feature column with role and statistics.
+
+    Two scans at most: one aggregation for every statistic of every column
+    (with HLL sketches for string columns), and one exact distinct count over
+    the string columns whose estimate is at most ``exact_distinct_max``.
+    ``n_unique`` (nulls excluded) is reported for non-numeric columns, the
+    ones whose role depends on it; numeric columns carry mean, sample std,
+    min, max and zero share instead.
+    """
+    spark = df.sparkSession
+    cols = feature_columns(df, target, exclude)
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    raw = _raw_stats(df, cols, fields, exact_distinct_max) if cols else []
+    t = (spark.range(1).select(F.inline(F.array(*[F.struct(*[
+             F.lit(v).cast(typ).alias(name) for v, (name, typ) in zip(r, _raw_fields())]) for r in raw])))
+         if raw else spark.range(0).select(*[F.lit(None).cast(typ).alias(name) for name, typ in _raw_fields()]))
+
+    n, nd = F.col("n"), F.col("nd")
+    role = (F.when(F.col("kind") == "numeric", "numeric")
+             .when((F.col("kind") == "string") & F.col("id_word") & (nd > ID_LIKE_MIN_DISTINCT), "id_like")
+             .when((F.col("kind") == "string") & (nd <= CATEGORICAL_MAX_DISTINCT), "categorical")
+             .otherwise("high_cardinality"))
+    id_word = F.lit(False)
+    for c in cols:
+        if looks_like_id(c):
+            id_word = id_word | (F.col("column") == c)
+
+    def stat(name: str) -> Column:
+        x = finite(F.col(name))
+        return F.round(x, 4) if round_stats else x
+
+    nulls = n - F.col("nn")
+    null_pct = F.when(n > 0, nulls / n * 100)
+    zeros_pct = F.when((n > 0) & (F.col("kind") == "numeric"), F.col("zeros") / n * 100)
+    if round_stats:
+        null_pct, zeros_pct = F.round(null_pct, 2), F.round(zeros_pct, 2)
+    return t.withColumn("id_word", id_word).select(
+        "column", "position", role.alias("role"), "dtype", nd.alias("n_unique"),
+        stat("mean").alias("mean"), stat("std").alias("std"), stat("min").alias("min"), stat("max").alias("max"),
+        null_pct.alias("null_pct"), zeros_pct.alias("zeros_pct"), nulls.alias("null_count"),
+        F.col("nd_exact").alias("n_unique_exact"))
+
+
+def _raw_fields() -> list[tuple[str, str]]:
+    return [tuple(p.strip().split(" ")) for p in _RAW_SCHEMA.split(",")]
 
 
 def roles(prof: DataFrame) -> dict[str, list[str]]:
