@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -116,12 +117,28 @@ def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str
     return rows.withColumn("is_best", F.col("model_id") == best.select("b").scalar())
 
 
+def featurized(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
+               folds: int | None = None) -> DataFrame:
+    """Fit the feature chain once on train and assemble ``features`` for every row (persisted).
+
+    The chain is target-free (codes, frequencies, medians), so fitting it once
+    on all training rows leaks no label into out-of-fold scores; the learners
+    that follow are refitted per fold.
+    """
+    stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
+    prep = Pipeline(stages=stages).fit(split_df.where(F.col("split") == "train"))
+    out = prep.transform(split_df).select(*key, "split", target, "features")
+    if folds:
+        out = out.withColumn("__fold", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(folds)))
+    return out.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str], key: list[str],
             target: str = "target", folds: int = 3) -> DataFrame:
     """Out-of-fold base scores on train (hash folds), a logistic meta-model, scored on val."""
-    train = split_df.where(F.col("split") == "train").withColumn(
-        "__fold", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(folds))).persist()
-    val = split_df.where(F.col("split") == "val")
+    feats = featurized(split_df, roles, key, target, folds)
+    train = feats.where(F.col("split") == "train")
+    val = feats.where(F.col("split") == "val")
     oof, val_scores = None, None
     for b in bases:
         parts = None
@@ -129,16 +146,17 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
             fit_part = train.where(F.col("__fold") != f)
             if b == "gbt":
                 fit_part = _early_stop_flag(fit_part, key)
-            m = build(roles, b, key, target).fit(fit_part)
+            m = classifier(b, target).fit(fit_part)
             p = with_p1(m.transform(train.where(F.col("__fold") == f))).select(*key, F.col("p1").alias(b))
             parts = p if parts is None else parts.unionByName(p)
-        full = fit(split_df, roles, b, key, target)
+        full_train = _early_stop_flag(train, key) if b == "gbt" else train
+        full = classifier(b, target).fit(full_train)
         v = with_p1(full.transform(val)).select(*key, F.col("p1").alias(b))
         oof = parts if oof is None else oof.join(parts, key)
         val_scores = v if val_scores is None else val_scores.join(v, key)
     meta_train = oof.join(train.select(*key, target), key)
-    meta = Pipeline(stages=[VectorAssembler(inputCols=bases, outputCol="features"),
-                            LogisticRegression(featuresCol="features", labelCol=target)]).fit(meta_train)
+    meta = Pipeline(stages=[VectorAssembler(inputCols=bases, outputCol="meta_x"),
+                            LogisticRegression(featuresCol="meta_x", labelCol=target)]).fit(meta_train)
     preds = with_p1(meta.transform(val_scores)).select(*key, F.lit("stacked").alias("model_id"), "p1")
     return evaluate(preds, val.select(*key, target), key=key[0], target=target)
 
@@ -146,17 +164,17 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
 def cross_validated(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
                     reg_params: tuple[float, ...] = (0.0, 0.01, 0.1), folds: int = 3, parallelism: int = 2):
     """Grid search with k-fold CV on train (exact AUC: ``numBins=0``), best model scored on val."""
-    stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
+    feats = featurized(split_df, roles, key, target)
     lr = classifier("lr", target)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     ev = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                        numBins=0)
-    cv = CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid, evaluator=ev,
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=SEED)
-    model = cv.fit(split_df.where(F.col("split") == "train"))
+    model = cv.fit(feats.where(F.col("split") == "train"))
     best_i = max(range(len(grid)), key=lambda i: (model.avgMetrics[i], -i))
-    val = split_df.where(F.col("split") == "val")
-    preds = score(model.bestModel, val, key, "cv_lr")
+    val = feats.where(F.col("split") == "val")
+    preds = with_p1(model.bestModel.transform(val)).select(*key, F.lit("cv_lr").alias("model_id"), "p1")
     res = evaluate(preds, val.select(*key, target), key=key[0], target=target)
     return res.withColumn("best_reg_param", F.lit(float(reg_params[best_i])))
 
