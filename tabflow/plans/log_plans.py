@@ -182,3 +182,28 @@ def usage_log_roundtrip(spark, sf_dir):
     TB.append_log(u, path)
     back = TB.read_log(spark, path, TB.USAGE_SCHEMA)
     return L.daily_usage(L.with_cost(back)).withColumn("spent_usd", F.round("spent_usd", 8))
+
+
+
+@register("run_meta_scan", "S13 U1", fx.with_views(
+    "SELECT campaign || '_a' || CAST(agent_id AS VARCHAR) || '_r' || CAST(round AS VARCHAR) AS run_id, "
+    "CAST(agent_id AS INTEGER) AS agent_id, max(roc_auc) AS roc_auc, round(sum(duration_seconds), 6) AS duration_seconds "
+    "FROM attempts GROUP BY campaign, agent_id, round", "attempts"))
+def run_meta_scan(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    from ..sources import tables as TB
+    base = scratch_path(spark, f"runs/{uuid.uuid4().hex}")
+    runs = (_attempts(spark, sf_dir)
+            .groupBy("campaign", "agent_id", "round")
+            .agg(F.max("roc_auc").alias("roc_auc"), F.sum("duration_seconds").alias("d"))
+            .select(F.concat("campaign", F.lit("_a"), F.col("agent_id").cast("string"), F.lit("_r"),
+                             F.col("round").cast("string")).alias("run_id"),
+                    F.col("agent_id").cast("int").alias("agent_id"), "roc_auc",
+                    F.lit(None).cast("string").alias("error"),
+                    # both spellings occur in metadata files: even rounds write one, odd rounds the other
+                    F.when(F.col("round") % 2 == 0, F.col("d")).alias("duration_seconds"),
+                    F.when(F.col("round") % 2 == 1, F.col("d")).alias("duration_sec")))
+    runs.write.mode("overwrite").json(base)
+    meta = TB.read_run_meta(spark, base, "*.json", multiline=False)
+    return meta.select("run_id", "agent_id", "roc_auc", F.round("duration_seconds", 6).alias("duration_seconds"))

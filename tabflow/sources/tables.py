@@ -148,8 +148,9 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_run_meta(spark: SparkSession, runs_dir: str) -> DataFrame:
-    """One JSON per run; the two duration spellings are merged."""
-    df = spark.read.schema(RUN_META_SCHEMA).option("multiLine", True).json(f"{runs_dir.rstrip('/')}/*/meta.json")
+def read_run_meta(spark: SparkSession, runs_dir: str, pattern: str = "*/meta.json", multiline: bool = True) -> DataFrame:
+    """Run metadata JSON (one document per run); the two duration spellings are merged."""
+    df = (spark.read.schema(RUN_META_SCHEMA).option("multiLine", multiline)
+          .json(f"{runs_dir.rstrip('/')}/{pattern}"))
     return (df.withColumn("duration_seconds", F.coalesce("duration_seconds", "duration_sec"))
               .drop("duration_sec"))
