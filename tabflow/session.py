@@ -63,16 +63,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only when unset (tests)."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="tabflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
