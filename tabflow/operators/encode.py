@@ -123,9 +123,18 @@ class FrequencyEncoderModel(Model, _FreqParams, MLWritable, MLReadable):
         sizes = {r["column"]: r["n"] for r in self.vocab.groupBy("column").count().withColumnRenamed("count", "n").collect()}
         for c, o in zip(self.getInputCols(), self.getOutputCols()):
             v = self.vocab.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("freq").alias(o))
-            v = _maybe_broadcast(v, sizes.get(c, 0))
-            out = (out.join(v, out[c].cast("string") == F.col(f"__v_{c}"), "left")
-                      .withColumn(o, F.coalesce(F.col(o), F.lit(0.0))).drop(f"__v_{c}"))
+            if sizes.get(c, 0) <= BROADCAST_MAX_ROWS:
+                out = out.join(F.broadcast(v), out[c].cast("string") == F.col(f"__v_{c}"), "left")
+            else:
+                # shuffle join: null values get a unique never-matching key (flag true), so a
+                # column that is mostly null does not pile into one partition; AQE splits hot values
+                k, nk = f"__k_{c}", f"__n_{c}"
+                out = out.withColumns({
+                    nk: out[c].isNull(),
+                    k: F.coalesce(out[c].cast("string"), F.monotonically_increasing_id().cast("string"))})
+                v = v.select(F.lit(False).alias(nk), F.col(f"__v_{c}").alias(k), o)
+                out = out.join(v, [nk, k], "left").drop(nk, k)
+            out = out.withColumn(o, F.coalesce(F.col(o), F.lit(0.0))).drop(f"__v_{c}")
         return out
 
     def save_vocab(self, path: str) -> None:

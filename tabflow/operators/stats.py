@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.tables import literal_table
 from .ranking import default_buckets, with_buckets
 
 
@@ -26,25 +27,28 @@ def exact_medians(df: DataFrame, cols: list[str], n_buckets: int | None = None)
     longf = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("bucket"))
         for c, b in zip(cols, bcols)]))).where(F.col("value").isNotNull())
-    # distinct values with counts (map-side combine: a hot value is one row per task)
-    vc = longf.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
-    # bucket table: small (columns x buckets)
-    bt = vc.groupBy("column", "bucket").agg(F.sum("cnt").alias("bcnt"))
+    # bucket table: counts per (column, bucket), map-side combined (columns x buckets rows)
+    bt = longf.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("bcnt"))
     wb = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     wn = Window.partitionBy("column")
     bt = (bt.withColumn("bstart", F.coalesce(F.sum("bcnt").over(wb), F.lit(0)))
             .withColumn("n", F.sum("bcnt").over(wn))
             .withColumn("lo", F.floor((F.col("n") - 1) / 2))
             .withColumn("hi", F.ceil((F.col("n") - 1) / 2)))
-    # buckets that hold rank lo or rank hi (0-based)
+    # the one or two buckets per column that hold rank lo or rank hi (0-based)
     hit = bt.where(((F.col("lo") >= F.col("bstart")) & (F.col("lo") < F.col("bstart") + F.col("bcnt"))) |
                    ((F.col("hi") >= F.col("bstart")) & (F.col("hi") < F.col("bstart") + F.col("bcnt"))))
-    cand = vc.join(F.broadcast(hit.select("column", "bucket", "bstart", "lo", "hi")), ["column", "bucket"])
+    # only rows of those buckets are grouped by value: about n / buckets rows per column
+    cand = (longf.join(F.broadcast(hit.select("column", "bucket", "bstart", "lo", "hi")), ["column", "bucket"])
+            .groupBy("column", "bucket", "bstart", "lo", "hi", "value").agg(F.count(F.lit(1)).alias("cnt")))
     wv = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     cand = cand.withColumn("vstart", F.col("bstart") + F.coalesce(F.sum("cnt").over(wv), F.lit(0)))
     covers = lambda r: (F.col(r) >= F.col("vstart")) & (F.col(r) < F.col("vstart") + F.col("cnt"))
     picked = cand.groupBy("column").agg(
         F.max(F.when(covers("lo"), F.col("value"))).alias("a"),
         F.max(F.when(covers("hi"), F.col("value"))).alias("b"))
-    return picked.select("column", (F.col("a") + (F.col("b") - F.col("a")) * F.lit(0.5)).alias("median"))
+    med = picked.select("column", (F.col("a") + (F.col("b") - F.col("a")) * F.lit(0.5)).alias("median"))
+    # every requested column gets a row (null median for an all-null column)
+    names = literal_table(df.sparkSession, [(c,) for c in cols], ["column"])
+    return names.join(F.broadcast(med), "column", "left")

@@ -48,3 +48,23 @@ def test_split_with_dominant_class(spark):
     sp = S.stratified_split(df, "key")
     got = {(r["target"], r["split"]): r["count"] for r in sp.groupBy("target", "split").count().collect()}
     assert got == {(0, "train"): 4704, (0, "val"): 1176, (1, "train"): 96, (1, "val"): 24}
+
+
+def test_frequency_encoder_shuffle_path_with_null_heavy_column(spark, monkeypatch):
+    from tabflow.operators import encode as E
+    rows = [(i, None if i % 3 else f"v{i % 7}") for i in range(900)]
+    df = spark.createDataFrame(rows, "key long, c string")
+    monkeypatch.setattr(E, "BROADCAST_MAX_ROWS", 0)  # force the shuffle join
+    got = {r["key"]: r["f"] for r in E.FrequencyEncoder(inputCols=["c"], outputCols=["f"]).fit(df).transform(df).collect()}
+    monkeypatch.setattr(E, "BROADCAST_MAX_ROWS", 2_000_000)
+    want = {r["key"]: r["f"] for r in E.FrequencyEncoder(inputCols=["c"], outputCols=["f"]).fit(df).transform(df).collect()}
+    non_null = [v for _, v in rows if v is not None]
+    assert got == want and got[1] == 0.0
+    assert abs(got[0] - non_null.count("v0") / len(non_null)) < 1e-12
+
+
+def test_median_of_all_null_column(spark):
+    from tabflow.operators import stats
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None)], "a double, b double")
+    got = {r["column"]: r["median"] for r in stats.exact_medians(df, ["a", "b"], n_buckets=4).collect()}
+    assert got == {"a": 2.0, "b": None}
