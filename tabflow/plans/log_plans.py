@@ -207,3 +207,14 @@ def run_meta_scan(spark, sf_dir):
     runs.write.mode("overwrite").json(base)
     meta = TB.read_run_meta(spark, base, "*.json", multiline=False)
     return meta.select("run_id", "agent_id", "roc_auc", F.round("duration_seconds", 6).alias("duration_seconds"))
+
+
+@register("budget_admission_stream", "W3 ST1 P12", _ledger_sql(
+    "SELECT call_seq, day, round(CAST(sb AS DOUBLE) / 1e6, 8) AS spent_before_usd, "
+    f"sb < CAST({int(L.DEFAULT_DAILY_LIMIT * 1e6)} AS DECIMAL(38,0)) AS admitted FROM (SELECT call_seq, day, "
+    "coalesce(sum(cost_micro) OVER (PARTITION BY day ORDER BY call_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+    "AS sb FROM costed) t"))
+def budget_admission_stream(spark, sf_dir):
+    from ..streaming.admission_stream import run_admission_stream
+    r = run_admission_stream(spark, sf_dir, "events.parquet")
+    return r.select("call_seq", "day", F.round("spent_before_usd", 8).alias("spent_before_usd"), "admitted")

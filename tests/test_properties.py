@@ -107,3 +107,20 @@ def test_median_matches_sql(spark):
     got = stats.exact_medians(df, ["x"], n_buckets=5).first()["median"]
     want = df.agg(F.median("x")).first()[0]
     assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_admission_stream_equals_batch(spark):
+    import time
+    from tabflow.streaming.admission_stream import run_admission_stream
+    src = tempfile.mkdtemp(prefix="tabflow-calls-")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for k in range(3):
+        chunk = ev.where((F.dayofmonth("ts") - 1) / 10 >= k).where((F.dayofmonth("ts") - 1) / 10 < k + 1)
+        chunk.coalesce(1).write.mode("append").parquet(os.path.join(src, "events.parquet"))
+        time.sleep(1.1)
+    limit = 0.05
+    stream = run_admission_stream(spark, os.path.join(src, "events.parquet"), glob="*.parquet", limit=limit)
+    batch = L.admission(L.with_cost(fx.usage(spark, SF_SMALL)), limit)
+    a = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in stream.collect()}
+    b = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in batch.collect()}
+    assert a == b and any(not v[0] for v in a.values()) and any(v[0] for v in a.values())
