@@ -31,7 +31,7 @@ def _norm_val(v, digits=9):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, digits)
+        return v if digits >= 17 else round(v, digits)
     if isinstance(v, list):
         return tuple(_norm_val(x, digits) for x in v)
     if isinstance(v, dict):
