@@ -71,7 +71,13 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     aucs = auc_from_groups(groups.where(F.col(score).isNotNull()), group, score, n_buckets)
 
-    res = (pstats.join(jstats, group, "left").join(aucs, group, "left")
+    # the three per-model tables are stacked and merged by one group-by (no joins:
+    # a constant model id would otherwise turn a join into a nested loop)
+    stacked = (pstats.unionByName(jstats, allowMissingColumns=True)
+               .unionByName(aucs, allowMissingColumns=True))
+    merged = stacked.groupBy(group).agg(*[F.max(c).alias(c) for c in
+                                          ("n_preds", "n_nan", "n_inf", "n_matched", "n_pos", "n_neg", "auc")])
+    res = (merged.where(F.col("n_preds").isNotNull())
            .withColumn("n_labels", n_labels)
            .fillna(0, ["n_matched", "n_pos", "n_neg"]))
     reason = (F.when((F.col("n_preds") != F.col("n_labels")) | (F.col("n_matched") != F.col("n_labels")), "size_mismatch")
