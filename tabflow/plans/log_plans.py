@@ -218,3 +218,14 @@ def budget_admission_stream(spark, sf_dir):
     from ..streaming.admission_stream import run_admission_stream
     r = run_admission_stream(spark, sf_dir, "events.parquet")
     return r.select("call_seq", "day", F.round("spent_before_usd", 8).alias("spent_before_usd"), "admitted")
+
+
+@register("tried_approaches", "P13 W5 F7", fx.with_views(
+    "SELECT attempt_seq, row_number() OVER (ORDER BY attempt_seq) AS position, "
+    "substr(approach_description, 1, 100) AS approach FROM attempts", "attempts"))
+def tried_approaches(spark, sf_dir):
+    from ..operators.ranking import row_index
+    a = _attempts(spark, sf_dir).select("attempt_seq", "approach_description")
+    r = row_index(a, "attempt_seq", "idx")
+    return r.select("attempt_seq", (F.col("idx") + 1).alias("position"),
+                    F.substring("approach_description", 1, 100).alias("approach"))

@@ -126,3 +126,14 @@ def roc_auc_big(spark, sf_dir):
     big = fx.labelled_big(spark, sf_dir).select(F.lit("l_discount").alias("model_id"),
                                                 F.col("l_discount").alias("p1"), "target")
     return M.auc_by_group(big).select("model_id", F.round("auc", 10).alias("auc"))
+
+
+@register("submission_without_id", "S9 W5 J5", fx.with_views(
+    "SELECT row_number() OVER (ORDER BY l.key) - 1 AS id, round(e.p1, 12) AS target "
+    "FROM labelled l LEFT JOIN ens e ON l.key = e.key",
+    "labelled", "predictions", extra={"ens": _ENSEMBLE_SQL}))
+def submission_without_id(spark, sf_dir):
+    # the test table has no id column: ids are 0..n-1 in key order (never monotonically_increasing_id)
+    test = R.row_index(fx.labelled(spark, sf_dir).select("key"), "key", "id")
+    e = M.ensemble_mean(fx.predictions(spark, sf_dir))
+    return test.join(e, "key", "left").select("id", F.round("p1", 12).alias("target"))
