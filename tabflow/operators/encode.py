@@ -129,9 +129,9 @@ class FrequencyEncoderModel(Model, _FreqParams, MLWritable, MLReadable):
                 # shuffle join: null values get a unique never-matching key (flag true), so a
                 # column that is mostly null does not pile into one partition; AQE splits hot values
                 k, nk = f"__k_{c}", f"__n_{c}"
-                out = out.withColumns({
-                    nk: out[c].isNull(),
-                    k: F.coalesce(out[c].cast("string"), F.monotonically_increasing_id().cast("string"))})
+                # the salt is a hash of the row itself: deterministic, so a retried stage routes rows the same way
+                salt = F.xxhash64(*[F.col(x) for x in out.columns]).cast("string")
+                out = out.withColumns({nk: out[c].isNull(), k: F.coalesce(out[c].cast("string"), salt)})
                 v = v.select(F.lit(False).alias(nk), F.col(f"__v_{c}").alias(k), o)
                 out = out.join(v, [nk, k], "left").drop(nk, k)
             out = out.withColumn(o, F.coalesce(F.col(o), F.lit(0.0))).drop(f"__v_{c}")
