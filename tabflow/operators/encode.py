@@ -24,12 +24,6 @@ NAN_TOKEN = "__nan__"
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _maybe_broadcast(small: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast only behind a row-count check; otherwise leave the join to the planner and AQE."""
-    n = small.count() if rows is None else rows
-    return F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small
-
-
 # ---------------------------------------------------------------- label codes
 
 def label_encoder(cols: list[str], suffix: str = "_code") -> Pipeline:
