@@ -100,12 +100,14 @@ def metric_delta(df: DataFrame, by: str = "campaign", metric: str = "roc_auc", s
 
 
 def history_lines(df: DataFrame, n: int = 15, metric: str = "roc_auc", seq: str = "attempt_seq") -> DataFrame:
-    """The last n attempts as fixed-width text fields (200 / 150 characters)."""
+    """The last n attempts as fixed-width text fields (approach 200, analysis 300, error 150 characters)."""
     tail = last_n(df, n, seq)
     m = F.col(metric)
     head = F.concat(F.lit("["), F.col("run_id"), F.lit("] ROC-AUC: "),
                     F.when(m.isNotNull(), F.format_string("%.6f", m)).otherwise(F.lit("N/A (error)")))
-    return tail.select(
-        seq, "position", head.alias("header"),
-        F.substring(F.coalesce(F.col("approach_description"), F.lit("")), 1, 200).alias("approach"),
-        F.substring(F.col("error"), 1, 150).alias("error"))
+    fields = [seq, "position", head.alias("header"),
+              F.substring(F.coalesce(F.col("approach_description"), F.lit("")), 1, 200).alias("approach")]
+    if "agent_analysis" in df.columns:
+        fields.append(F.substring(F.coalesce(F.col("agent_analysis"), F.lit("")), 1, 300).alias("analysis"))
+    fields.append(F.substring(F.col("error"), 1, 150).alias("error"))
+    return tail.select(*fields)

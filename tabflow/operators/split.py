@@ -111,14 +111,15 @@ def stratified_split(
 
 
 def split_counts(split_df: DataFrame, target: str = "target", by: str = "split") -> DataFrame:
-    """Rows, positives, negatives and positive rate per split."""
+    """Rows, feature columns, positives, negatives and positive rate per split."""
     t = F.col(target)
+    n_columns = len([c for c in split_df.columns if c not in (target, by)])
     return split_df.groupBy(by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(t == 1).alias("positives"),
         F.count_if(t == 0).alias("negatives"),
         F.avg(t.cast("double")).alias("positive_rate"),
-    )
+    ).withColumn("n_columns", F.lit(n_columns))
 
 
 def partition_check(full: DataFrame, split_df: DataFrame, key: str | list[str], by: str = "split") -> DataFrame:
