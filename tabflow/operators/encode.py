@@ -162,6 +162,36 @@ def fit_medians(train: DataFrame, cols: list[str]) -> dict[str, float | None]:
     return {c: got.get(c) for c in cols}
 
 
+class _MedianParams(HasInputCols, HasOutputCols):
+    medians = Param(Params._dummy(), "medians", "fitted train medians (NaN: the column had no value)",
+                    typeConverter=TypeConverters.toListFloat)
+
+
+class MedianImputer(Estimator, _MedianParams, DefaultParamsReadable, DefaultParamsWritable):
+    """M2 as a chain stage: exact interpolated train medians (not the approximate ``Imputer``)."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "MedianImputerModel":
+        vals = fit_medians(dataset, self.getInputCols())
+        m = MedianImputerModel()
+        m._set(inputCols=self.getInputCols(), outputCols=self.getOutputCols(),
+               medians=[float("nan") if vals[c] is None else float(vals[c]) for c in self.getInputCols()])
+        return m
+
+
+class MedianImputerModel(Model, _MedianParams, DefaultParamsReadable, DefaultParamsWritable):
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        meds = self.getOrDefault("medians")
+        fill = {c: (None if v != v else v) for c, v in zip(self.getInputCols(), meds)}
+        out = impute(dataset.withColumns({o: F.col(c) for c, o in zip(self.getInputCols(), self.getOutputCols())}),
+                     {o: fill[c] for c, o in zip(self.getInputCols(), self.getOutputCols())})
+        return out
+
+
 def impute(df: DataFrame, values: dict[str, float | None], suffix: str = "") -> DataFrame:
     """Fill nulls with the fitted constants (M2 apply step; F5)."""
     return df.withColumns({f"{c}{suffix}": F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double"))

@@ -16,20 +16,24 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import PCA, Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import NAN_TOKEN, FrequencyEncoder
+from .encode import NAN_TOKEN, FrequencyEncoder, MedianImputer
 from .metrics import evaluate
 
 SEED = 42
 
 
 def feature_stages(roles: dict[str, list[str]], exclude: tuple[str, ...] = ()) -> tuple[list, list[str]]:
-    """M7: the fitted feature chain for the profile roles; id-like columns are dropped."""
+    """M7: the fitted feature chain for the profile roles; id-like columns are dropped.
+
+    Numeric columns: exact train medians fill nulls (M2); categorical: alphabetical codes with a
+    reserved code for unseen values (M3); high-cardinality: train frequencies (M4).
+    """
     num = [c for c in roles.get("numeric", []) if c not in exclude]
     cat = [c for c in roles.get("categorical", []) if c not in exclude]
     hc = [c for c in roles.get("high_cardinality", []) if c not in exclude]
@@ -38,7 +42,7 @@ def feature_stages(roles: dict[str, list[str]], exclude: tuple[str, ...] = ()) -
     stages: list = [SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")]
     feats: list[str] = []
     if num:
-        stages.append(Imputer(strategy="median", inputCols=[f"{c}__d" for c in num], outputCols=[f"{c}__m" for c in num]))
+        stages.append(MedianImputer(inputCols=[f"{c}__d" for c in num], outputCols=[f"{c}__m" for c in num]))
         feats += [f"{c}__m" for c in num]
     if cat:
         stages.append(StringIndexer(inputCols=[f"{c}__s" for c in cat], outputCols=[f"{c}__i" for c in cat],

@@ -160,3 +160,12 @@ def test_constant_score_auc_half(spark):
     labels = spark.createDataFrame([(i, i % 3 == 0 and 1 or 0) for i in range(30)], "key long, target int")
     r = M.evaluate(M.constant_baseline(labels), labels).first()
     assert r["auc"] == 0.5 and r["valid"]
+
+
+def test_median_imputer_stage_is_exact(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 4.0, None), (3, None, None), (4, 10.0, None), (5, 2.0, None)],
+                               "key long, x double, y double")
+    m = E.MedianImputer(inputCols=["x", "y"], outputCols=["x_m", "y_m"]).fit(df)
+    got = {r["key"]: (r["x_m"], r["y_m"]) for r in m.transform(df).collect()}
+    assert got[3] == (3.0, None)  # median of 1, 2, 4, 10 is 3.0 (interpolated); all-null y stays null
+    assert got[1] == (1.0, None)
