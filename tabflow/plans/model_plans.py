@@ -111,3 +111,21 @@ def hook_model(spark, sf_dir):
     from ..operators.metrics import evaluate
     ev = evaluate(MD.score(model, val, KEY, "hook_lr"), val.select("key", "target"))
     return ev.select("model_id", F.round("auc", 6).alias("auc"), "valid")
+
+
+@register("fit_lr_balanced", "M10 A22 M18")
+def fit_lr_balanced(spark, sf_dir):
+    from pyspark.ml import Pipeline
+
+    from ..operators import encode as E
+    from ..operators.metrics import evaluate
+
+    sp, roles = _prepared(spark, sf_dir)
+    weights = E.class_weights(sp.where(F.col("split") == "train"))  # one row per class
+    weighted = E.with_class_weights(sp, weights)
+    stages, _ = MD.feature_stages(roles, exclude=("key", "target", "weight"))
+    model = Pipeline(stages=stages + [MD.classifier("lr", weight_col="weight")]).fit(
+        weighted.where(F.col("split") == "train"))
+    val = weighted.where(F.col("split") == "val")
+    ev = evaluate(MD.score(model, val, KEY, "lr_balanced"), val.select("key", "target"))
+    return ev.select("model_id", F.round("auc", 6).alias("auc"), "valid")
