@@ -102,7 +102,11 @@ def stratified_split(
     edge = F.col("__edge")
     far = tagged.where(edge.isNull() | (F.col("__b") != edge)).withColumn(
         out, F.when(edge.isNotNull() & (F.col("__b") < edge), "val").otherwise("train"))
-    wr = Window.partitionBy("__cls").orderBy("__h", *key)
+    # ties on (hash, key) only happen for duplicate keys: the row's other orderable
+    # columns break them, so even then the assignment is deterministic
+    rest = [f.name for f in df.schema.fields
+            if f.name not in key and not isinstance(f.dataType, (T.MapType, T.BinaryType))]
+    wr = Window.partitionBy("__cls").orderBy("__h", *key, *rest)
     near = (tagged.where(F.col("__b") == edge)
             .withColumn("__rn", F.row_number().over(wr))
             .withColumn(out, F.when(F.col("__rn") <= F.col("__need"), "val").otherwise("train"))

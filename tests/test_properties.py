@@ -124,3 +124,12 @@ def test_admission_stream_equals_batch(spark):
     a = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in stream.collect()}
     b = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in batch.collect()}
     assert a == b and any(not v[0] for v in a.values()) and any(v[0] for v in a.values())
+
+
+def test_split_with_duplicate_keys_is_deterministic(spark):
+    base = spark.range(400).select((F.col("id") % 150).alias("key"), (F.col("id") % 7 == 0).cast("int").alias("target"),
+                                   F.col("id").alias("payload"))
+    ref = sorted((r["payload"], r["split"]) for r in S.stratified_split(base, "key").collect())
+    for parts in (3, 17):
+        got = sorted((r["payload"], r["split"]) for r in S.stratified_split(base.repartition(parts), "key").collect())
+        assert got == ref
