@@ -92,13 +92,16 @@ def class_weights(spark, sf_dir):
     return E.class_weights(sp.where(F.col("split") == "train"))
 
 
-@register("derived_features", "P5 P6 U3 P4", fx.with_views(
+@register("derived_features", "P5 P6 U3 P4 H1", fx.with_views(
     "SELECT key, total_price / (acct_bal + 1e-9) AS price_per_balance, total_price * total_price AS total_price_sq, "
     "acct_bal * acct_bal AS acct_bal_sq, CAST(nation_key AS FLOAT) AS nation_key_f FROM labelled", "labelled"))
 def derived_features(spark, sf_dir):
-    from ..operators.features import polynomial, ratio
-    df = fx.labelled(spark, sf_dir)
-    df = ratio(df, "total_price", "acct_bal", "price_per_balance")
-    df = polynomial(df, ["total_price", "acct_bal"])
+    from ..operators.features import apply_hook, polynomial, ratio
+
+    def build_features(ds):  # a user hook (H1): DataFrame in, DataFrame out, run once on all rows
+        ds = ratio(ds, "total_price", "acct_bal", "price_per_balance")
+        return polynomial(ds, ["total_price", "acct_bal"])
+
+    df = apply_hook(fx.labelled(spark, sf_dir), build_features)
     return df.select("key", "price_per_balance", "total_price_sq", "acct_bal_sq",
                      F.col("nation_key").cast("float").alias("nation_key_f"))
