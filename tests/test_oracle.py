@@ -18,6 +18,7 @@ def con():
 def test_every_query_is_registered_with_ops():
     from tabflow.plans import OPERATORS
     assert set(OPERATORS) == set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES)
     assert len(ORACLE) >= 45
 
 
