@@ -16,30 +16,31 @@ from .ranking import running
 
 # USD per 1M tokens (input, output), and the default for models not listed.
 MODEL_PRICES = [
-    ("deepseek/deepseek-r1", "0.45", "2.15"),
-    ("deepseek/deepseek-chat", "0.32", "0.89"),
-    ("deepseek/deepseek-v3.2", "0.26", "0.38"),
-    ("deepseek/deepseek-v3.2-exp", "0.21", "0.41"),
-    ("deepseek/deepseek-chat-v3.1", "0.21", "0.79"),
-    ("qwen/qwen3-235b-a22b", "0.13", "0.60"),
-    ("qwen/qwen3-32b", "0.10", "0.40"),
+    ("deepseek/deepseek-r1", 0.45, 2.15),
+    ("deepseek/deepseek-chat", 0.32, 0.89),
+    ("deepseek/deepseek-v3.2", 0.26, 0.38),
+    ("deepseek/deepseek-v3.2-exp", 0.21, 0.41),
+    ("deepseek/deepseek-chat-v3.1", 0.21, 0.79),
+    ("qwen/qwen3-235b-a22b", 0.13, 0.60),
+    ("qwen/qwen3-32b", 0.10, 0.40),
 ]
-DEFAULT_PRICE = ("0.55", "2.19")
+DEFAULT_PRICE = (0.55, 2.19)
 DEFAULT_DAILY_LIMIT = 3.0
 
 PRICE_TYPE = "decimal(12,6)"
 
 
 def price_table(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{m}', CAST({i} AS {PRICE_TYPE}), CAST({o} AS {PRICE_TYPE}))" for m, i, o in MODEL_PRICES)
+    # the decimal text of each price becomes an exact DECIMAL literal
+    rows = ", ".join(f"('{m}', CAST('{i!s}' AS {PRICE_TYPE}), CAST('{o!s}' AS {PRICE_TYPE}))" for m, i, o in MODEL_PRICES)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(model, input_usd_per_m, output_usd_per_m)")
 
 
 def with_cost(usage: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Price lookup (unknown model -> default) and per-call cost in micro-USD (exact) and USD."""
     prices = prices if prices is not None else price_table(usage.sparkSession)
-    p_in = F.coalesce(F.col("input_usd_per_m"), F.lit(DEFAULT_PRICE[0]).cast(PRICE_TYPE))
-    p_out = F.coalesce(F.col("output_usd_per_m"), F.lit(DEFAULT_PRICE[1]).cast(PRICE_TYPE))
+    p_in = F.coalesce(F.col("input_usd_per_m"), F.lit(str(DEFAULT_PRICE[0])).cast(PRICE_TYPE))
+    p_out = F.coalesce(F.col("output_usd_per_m"), F.lit(str(DEFAULT_PRICE[1])).cast(PRICE_TYPE))
     micro = F.col("input_tokens") * p_in + F.col("output_tokens") * p_out  # USD * 1e6, exact
     # the price table has one row per priced model: a bounded broadcast
     return (usage.join(F.broadcast(prices), "model", "left")
