@@ -22,7 +22,8 @@ DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tabflow") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tabflow",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, no ports beyond Spark's own)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -32,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("TABFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for k, v in DEFAULTS.items():
+    for k, v in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
