@@ -138,24 +138,40 @@ def featurized(split_df: DataFrame, roles: dict[str, list[str]], key: list[str],
 
 
 def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str], key: list[str],
-            target: str = "target", folds: int = 3) -> DataFrame:
-    """Out-of-fold base scores on train (hash folds), a logistic meta-model, scored on val."""
+            target: str = "target", folds: int = 3, parallelism: int = 4) -> DataFrame:
+    """Out-of-fold base scores on train (hash folds), a logistic meta-model, scored on val.
+
+    The (base, fold) fits are independent Spark jobs and run from a small thread
+    pool, as ``CrossValidator`` does with ``parallelism``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
     feats = featurized(split_df, roles, key, target, folds)
     train = feats.where(F.col("split") == "train")
     val = feats.where(F.col("split") == "val")
+
+    def fit_one(job):
+        b, f = job
+        fit_part = train if f is None else train.where(F.col("__fold") != f)
+        if b == "gbt":
+            fit_part = _early_stop_flag(fit_part, key)
+        m = classifier(b, target).fit(fit_part)
+        scored = val if f is None else train.where(F.col("__fold") == f)
+        return b, f, with_p1(m.transform(scored)).select(*key, F.col("p1").alias(b))
+
+    jobs = [(b, f) for b in bases for f in [*range(folds), None]]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(inheritable_thread_target(fit_one), jobs))
+
     oof, val_scores = None, None
     for b in bases:
         parts = None
-        for f in range(folds):
-            fit_part = train.where(F.col("__fold") != f)
-            if b == "gbt":
-                fit_part = _early_stop_flag(fit_part, key)
-            m = classifier(b, target).fit(fit_part)
-            p = with_p1(m.transform(train.where(F.col("__fold") == f))).select(*key, F.col("p1").alias(b))
-            parts = p if parts is None else parts.unionByName(p)
-        full_train = _early_stop_flag(train, key) if b == "gbt" else train
-        full = classifier(b, target).fit(full_train)
-        v = with_p1(full.transform(val)).select(*key, F.col("p1").alias(b))
+        for bb, f, p in results:
+            if bb == b and f is not None:
+                parts = p if parts is None else parts.unionByName(p)
+        v = next(p for bb, f, p in results if bb == b and f is None)
         oof = parts if oof is None else oof.join(parts, key)
         val_scores = v if val_scores is None else val_scores.join(v, key)
     meta_train = oof.join(train.select(*key, target), key)
