@@ -110,14 +110,23 @@ def train_run(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key:
 
 
 def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str], key: list[str],
-               target: str = "target") -> DataFrame:
-    """Several candidate pipelines on one persisted training set; their metrics, best flagged."""
-    split_df = split_df.persist()
-    rows = None
-    for k in kinds:
-        _, m = train_run(split_df, roles, k, key, target)
-        rows = m if rows is None else rows.unionByName(m)
-    best = rows.where(F.col("auc").isNotNull()).agg(F.max_by("model_id", F.struct("auc", F.lit(0))).alias("b"))
+               target: str = "target", parallelism: int = 2) -> DataFrame:
+    """Several candidate pipelines fitted concurrently on one persisted training set; best flagged."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    split_df = split_df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(kind):
+        return train_run(split_df, roles, kind, key, target)[1]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        metrics = list(pool.map(inheritable_thread_target(run), kinds))
+    rows = metrics[0]
+    for m in metrics[1:]:
+        rows = rows.unionByName(m)
+    best = rows.where(F.col("auc").isNotNull()).agg(F.max_by("model_id", "auc").alias("b"))
     return rows.withColumn("is_best", F.col("model_id") == best.select("b").scalar())
 
 
