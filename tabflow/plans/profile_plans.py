@@ -6,6 +6,7 @@ from ..operators import profile as P
 from ..operators import stats
 from ..sources import fixtures as fx
 from .registry import register
+from .split_plans import SPLIT_CTES, labelled_split
 
 # Column spec of the labelled view (name, kind, dtype) used to write the SQL twins.
 LABELLED_SPEC = [
@@ -183,15 +184,13 @@ def profile_report(spark, sf_dir):
     return P.report(P.profile(df), df)
 
 
-@register("freq_encode_all_rows", "A9 M4", fx.with_views("", "labelled").rstrip() + ","
-          + __import__("tabflow.plans.split_plans", fromlist=["SPLIT_CTES"]).SPLIT_CTES
+@register("freq_encode_all_rows", "A9 M4", fx.with_views("", "labelled").rstrip() + "," + SPLIT_CTES
           + ", fr AS (SELECT stock_code AS v, count(*) / (SELECT count(*) FROM assigned WHERE split = 'train') AS freq "
             "FROM assigned WHERE split = 'train' AND stock_code IS NOT NULL GROUP BY stock_code)\n"
             "SELECT a.key, a.split, coalesce(f.freq, 0.0) AS stock_code_freq FROM assigned a LEFT JOIN fr f ON a.stock_code = f.v")
 def freq_encode_all_rows(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..operators.encode import FrequencyEncoder
-    from .split_plans import labelled_split
     sp = labelled_split(spark, sf_dir)
     enc = FrequencyEncoder(inputCols=["stock_code"], outputCols=["stock_code_freq"], denominator="all")
     return enc.fit(sp.where(F.col("split") == "train")).transform(sp).select("key", "split", "stock_code_freq")
