@@ -191,7 +191,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
 
 
 def cross_validated(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
-                    reg_params: tuple[float, ...] = (0.0, 0.01, 0.1), folds: int = 3, parallelism: int = 2):
+                    reg_params: tuple[float, ...] = (0.0, 0.01, 0.1), folds: int = 3, parallelism: int = 3):
     """Grid search with k-fold CV on train (exact AUC: ``numBins=0``), best model scored on val."""
     feats = featurized(split_df, roles, key, target)
     lr = classifier("lr", target)
