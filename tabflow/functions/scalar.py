@@ -22,6 +22,11 @@ def looks_like_id(name: str) -> bool:
     return any(kw in low for kw in ID_NAME_KEYWORDS)
 
 
+def qcol(name: str) -> Column:
+    """A column by its exact name (dots and spaces are part of the name, not struct access)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def finite(c: Column) -> Column:
     """NaN and +/-Inf become null."""
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(c)

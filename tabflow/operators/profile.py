@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.scalar import finite, is_numeric_type, looks_like_id
+from ..functions.scalar import finite, is_numeric_type, looks_like_id, qcol
 
 # Role thresholds on the distinct count of a string column.
 CATEGORICAL_MAX_DISTINCT = 50
@@ -53,7 +53,7 @@ _RAW_SCHEMA = ("column string, position int, kind string, dtype string, n bigint
 def _raw_stats(df: DataFrame, cols: list[str], fields: dict, exact_max: int) -> list[tuple]:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
-        x = F.col(c)
+        x = qcol(c)
         aggs.append(F.count(x).alias(f"__nn{i}"))
         if _kind(fields[c]) == "numeric":
             v = x.cast("double")
@@ -67,7 +67,7 @@ def _raw_stats(df: DataFrame, cols: list[str], fields: dict, exact_max: int) ->
     exact_idx = [i for i, c in enumerate(cols) if _kind(fields[c]) != "numeric" and row[f"__hll{i}"] <= bound]
     exact = {}
     if exact_idx:
-        r2 = df.agg(*[F.count_distinct(F.col(cols[i])).alias(f"__nd{i}") for i in exact_idx]).first()
+        r2 = df.agg(*[F.count_distinct(qcol(cols[i])).alias(f"__nd{i}") for i in exact_idx]).first()
         exact = {i: r2[f"__nd{i}"] for i in exact_idx}
     out = []
     for i, c in enumerate(cols):
@@ -159,7 +159,7 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, value string, count bigint, rank int")
     longf = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])))
+        F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value")) for c in columns])))
     counts = longf.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value").asc())
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

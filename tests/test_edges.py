@@ -169,3 +169,10 @@ def test_median_imputer_stage_is_exact(spark):
     got = {r["key"]: (r["x_m"], r["y_m"]) for r in m.transform(df).collect()}
     assert got[3] == (3.0, None)  # median of 1, 2, 4, 10 is 3.0 (interpolated); all-null y stays null
     assert got[1] == (1.0, None)
+
+
+def test_profile_column_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([(1.0, "a", 0), (None, "b", 1)], "`x.y` double, `a b` string, target int")
+    got = {r["column"]: (r["role"], r["null_pct"]) for r in P.profile(df).collect()}
+    assert got == {"x.y": ("numeric", 50.0), "a b": ("categorical", 0.0)}
+    assert P.top_values(df, ["a b"], 5).count() == 2
