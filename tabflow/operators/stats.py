@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.scalar import qcol
 from ..sources.tables import literal_table
 from .ranking import default_buckets, with_buckets
 
@@ -22,11 +23,13 @@ def exact_medians(df: DataFrame, cols: list[str], n_buckets: int | None = None)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, median double")
     n_buckets = n_buckets or default_buckets(df)
+    # positional aliases: user column names may contain dots or spaces
+    vcols = [f"__c{i}" for i in range(len(cols))]
     bcols = [f"__bk{i}" for i in range(len(cols))]
-    wide = with_buckets(df.select(*cols), cols, bcols, n_buckets)
+    wide = with_buckets(df.select(*[qcol(c).alias(v) for c, v in zip(cols, vcols)]), vcols, bcols, n_buckets)
     longf = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("bucket"))
-        for c, b in zip(cols, bcols)]))).where(F.col("value").isNotNull())
+        F.struct(F.lit(c).alias("column"), F.col(v).cast("double").alias("value"), F.col(b).alias("bucket"))
+        for c, v, b in zip(cols, vcols, bcols)]))).where(F.col("value").isNotNull())
 
     # bucket table: counts per (column, bucket), map-side combined (columns x buckets rows)
     bt = longf.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("bcnt"))

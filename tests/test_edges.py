@@ -176,3 +176,8 @@ def test_profile_column_names_with_dots_and_spaces(spark):
     got = {r["column"]: (r["role"], r["null_pct"]) for r in P.profile(df).collect()}
     assert got == {"x.y": ("numeric", 50.0), "a b": ("categorical", 0.0)}
     assert P.top_values(df, ["a b"], 5).count() == 2
+
+
+def test_median_of_dotted_column_name(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (None,)], "`p.q` double")
+    assert stats.exact_medians(df, ["p.q"], n_buckets=4).first()["median"] == 2.0
