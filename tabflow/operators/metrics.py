@@ -59,7 +59,7 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
         F.count(F.lit(1)).alias("n_preds"),
         F.count_if(p.isNull() | F.isnan(p)).alias("n_nan"),
         F.count_if(F.abs(p) == F.lit(float("inf"))).alias("n_inf"))
-    lab = labels.select(*keys, target)
+    lab = labels.select(*keys, F.col(target).cast("int").alias(target))  # 0/1 labels, boolean accepted
     n_labels = lab.select(F.count(F.lit(1))).scalar()
     joined = preds.select(group, *keys, score).join(lab, keys, "inner")
     groups = (joined.withColumn(score, F.when(bad, F.lit(None).cast("double")).otherwise(p))

@@ -181,3 +181,10 @@ def test_profile_column_names_with_dots_and_spaces(spark):
 def test_median_of_dotted_column_name(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (None,)], "`p.q` double")
     assert stats.exact_medians(df, ["p.q"], n_buckets=4).first()["median"] == 2.0
+
+
+def test_boolean_labels(spark):
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(6)], "key long, target boolean")
+    preds = labels.select("key", F.lit("m").alias("model_id"), F.col("key").cast("double").alias("p1"))
+    r = M.evaluate(preds, labels).first()
+    assert r["valid"] and r["auc"] == pytest.approx(2 / 3)
