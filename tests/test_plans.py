@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tabflow.plans import QUERIES as PLANS
 
 HEAVY = {"stacked_model", "cv_lr", "fit_rf", "fit_gbt", "model_candidates", "kmeans_clusters", "pca_components",
          "batch_score", "hook_model", "fit_lr", "daily_usage_stream", "budget_admission_stream"}
-NAMES = sorted(n for n in E.queries() if n not in HEAVY)
+NAMES = sorted(n for n in PLANS if n not in HEAVY)
 
 
 @pytest.mark.parametrize("name", NAMES)
