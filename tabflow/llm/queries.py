@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import html_text, mixing, quality, secret_scan, simhash, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,9 +54,9 @@ def _duck_spans(kind: str, ordinal: int, pattern: str, tested: str, min_len: int
                    'kind': '{kind}'}})"""
 
 
-_PARTS = ", ".join(f"{_duck_spans(r.kind, i, r.pattern, str(r.group), r.min_len)} AS k{i}" for i, r in enumerate(secrets.RULES))
-_ALL = " || ".join(f"k{i}" for i in range(len(secrets.RULES)))
-_BASE = " || ".join(f"k{i}" for i, r in enumerate(secrets.RULES) if r.base)
+_PARTS = ", ".join(f"{_duck_spans(r.kind, i, r.pattern, str(r.group), r.min_len)} AS k{i}" for i, r in enumerate(secret_scan.RULES))
+_ALL = " || ".join(f"k{i}" for i in range(len(secret_scan.RULES)))
+_BASE = " || ".join(f"k{i}" for i, r in enumerate(secret_scan.RULES) if r.base)
 _TEXT = "array_to_string(list_transform(list_sort({0}), lambda x: x.kind || ':' || x.s || ':' || x.e), ',')"
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -69,10 +69,39 @@ FROM m"""
 @query(8, OP8_SQL)
 def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document through a new blob ledger: counts, digest of the base spans, all spans."""
-    ledger = secrets.Ledger(spark)
-    addressed = secrets.scan(table(spark, sf_dir, "documents"), ledger)
-    f = secrets.findings(addressed, ledger)
-    base = [r.kind for r in secrets.RULES if r.base]
+    ledger = secret_scan.Ledger(spark)
+    addressed = secret_scan.scan(table(spark, sf_dir, "documents"), ledger)
+    f = secret_scan.findings(addressed, ledger)
+    base = [r.kind for r in secret_scan.RULES if r.base]
     base_found = F.filter("found", lambda x: x["kind"].isin(*base))
     return f.select("doc_id", *[_count(k).alias(f"n_{k}") for k in base], F.sha2(_joined(base_found), 256).alias("base_sha256"),
                     _joined(F.col("found")).alias("spans"))
+
+
+@query(3)
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page and its length in code points."""
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(4)
+def op4_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    c = simhash.classes(table(spark, sf_dir, "documents"))
+    return c.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query(9)
+def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page url: the longest fitting rule's, else its template's."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "score")
+
+
+@query(5)
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of fold 0 are never learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model)
