@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixing, quality, secret_scan, simhash, url_filter
+from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,15 @@ def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.classify(docs, model)
+
+
+@query(6)
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item: one row per (document, item)."""
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(10)
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences of spans that occur earlier."""
+    return sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
