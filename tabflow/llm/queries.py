@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, url_filter
+from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,16 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences of spans that occur earlier."""
     return sentence_spans.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query(7)
+def op7_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness to the document's."""
+    d = sketches.with_next(table(spark, sf_dir, "documents")).withColumn(
+        "edited", sketches.edited(F.col("text"), F.col("next_text")))
+    d = sketches.with_sketch(d, "edited", "edited_sketch")
+    return d.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.encode(F.col("sketch")).alias("fingerprint"), sketches.encode(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.alike(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.alike(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
