@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 # The white space and the words of the text contracts (\x20 and \x09-\x0D).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -119,3 +120,10 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 def sum_or_zero(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the cluster's shared folder and read back (a compact lineage cut)."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

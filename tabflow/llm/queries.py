@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, url_filter
+from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, suffix_dedup, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def query(number: int, sql: str | None = None):
     return deco
 
 
+@query(1)
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    d = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(2)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document by the mixture (sources weigh 5, 2, 1, repeating; 150 % of all words)."""
