@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a query's shuffle files go when it ends, so a job of several written steps needs the disk of one
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -50,11 +52,16 @@ def ship_code() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
+def set_by_user(spark: SparkSession, key: str) -> bool:
+    """Whether the session carries its own value (``conf.get`` also returns built-in defaults)."""
+    return key in spark.conf.getAll
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply DEFAULTS where unset, ship the package code and make sure a checkpoint folder exists."""
     ship_code()
     for k, v in DEFAULTS.items():
-        if spark.conf.get(k, None) is None:
+        if not set_by_user(spark, k):
             spark.conf.set(k, v)
     # days are calendar days in UTC (ledger, run ids, streaming windows): pinned, not defaulted
     spark.conf.set("spark.sql.session.timeZone", "UTC")
