@@ -167,16 +167,15 @@ def passes(items: DataFrame, pass_items: int = PASS_ITEMS, min_length: int = MIN
         for p in range(2 * parts if parts > 1 else 1):
             got = sized.where((F.col("length") == r["length"]) & (deal == p)).select("item_id", "text").collect()
             if got:
-                yield r["length"], sorted((x["item_id"], x["text"]) for x in got)
+                yield r["length"], sorted(((x["item_id"], x["text"]) for x in got), key=lambda x: (x[0] is not None, x))
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
             item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, block: int = BLOCK,
             pass_items: int = PASS_ITEMS) -> DataFrame:
     """``(doc_id, item_id, score, question_overlap, answer_overlap)``: each document's best passage per item."""
-    base = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    kind = base.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double"
+    base = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     tests = items.select(col(item_col).cast("long").alias("item_id"), text_of(item_text).alias("text"))
     found = []
     for length, rows in passes(tests, pass_items):
@@ -187,10 +186,11 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                 rows = []
                 for at in _slices(pdf["text"]):
                     part = pdf.iloc[at]
-                    ids = part["doc_id"].tolist()
+                    ids = part["doc_id"].astype("Int64").tolist()
                     rows += [(ids[d], index.value.items[i], s, q, a)
                              for d, i, s, q, a in search(index.value, part["text"].tolist(), threshold, overlap)]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                out = pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
 
         found.append(base.mapInPandas(run, schema))
     if not found:
@@ -211,6 +211,18 @@ def _slices(texts: pd.Series, max_chars: int = 2_000_000) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def _hit_udf(index, threshold: float, overlap: float):
+    @F.pandas_udf("boolean")
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            out = np.zeros(len(s), dtype=bool)
+            for at in _slices(s):
+                for d, *_ in search(index.value, s.iloc[at].tolist(), threshold, overlap):
+                    out[at.start + d] = True
+            yield pd.Series(out)
+    return hit
+
+
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
           threshold: float = THRESHOLD, overlap: float = OVERLAP, block: int = BLOCK,
           pass_items: int = PASS_ITEMS) -> DataFrame:
@@ -220,15 +232,6 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
     for length, rows in passes(tests, pass_items):
         index = docs.sparkSession.sparkContext.broadcast(build(rows, length, block))
 
-        @F.pandas_udf("boolean")
-        def hit(batches: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            for s in batches:
-                out = np.zeros(len(s), dtype=bool)
-                for at in _slices(s):
-                    for d, *_ in search(index.value, s.iloc[at].tolist(), threshold, overlap):
-                        out[at.start + d] = True
-                yield pd.Series(out)
-
-        dirty = dirty | hit(text_of(text_col))
+        dirty = dirty | _hit_udf(index, threshold, overlap)(text_of(text_col))
     flag = fresh(docs, "dirty")
     return docs.withColumn(flag, dirty).where(~F.col(flag)).drop(flag)

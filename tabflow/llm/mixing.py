@@ -32,8 +32,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import col, cut, dense_index, text_of, union_all, word_count
+from .common import col, cut, dense_index, fresh, text_of, union_all, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)  # fixed values: source weights in order, repeating
 EPS = 1e-9
@@ -145,3 +146,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select("doc_id", "source", "size", F.coalesce(F.col("source_size"), F.lit(0)).alias("source_size"),
                       F.coalesce(F.col("target"), F.lit(0.0)).alias("target"),
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mixture itself: the rows it takes, with every column as it was, plus ``copies`` and ``taken``.
+
+    Rows with 0 copies go; identical rows become one with their copies added up. Clashing
+    column names of the input win: ``copies`` and ``taken`` are then prefixed with ``_``.
+    """
+    row = F.struct(col(id_col).alias("id"), F.xxhash64(*[
+        col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]).alias("h"))
+    key, n, words = fresh(docs, "row_key"), fresh(docs, "copies"), fresh(docs, "taken")
+    keyed = docs.withColumn(key, row)
+    plan = (mix(keyed, key, text_col, source_col, **options).groupBy("doc_id")
+            .agg(F.sum("copies").alias(n), F.sum("taken").alias(words)).where(F.col(n) > 0))
+    # the key of a row never is null itself, its id may be
+    p = plan.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.h").alias("__h"), n, words)
+    same = (col(key)["h"] == F.col("__h")) & col(key)["id"].eqNullSafe(F.col("__id"))
+    joined = keyed.join(p, same)
+    once = F.row_number().over(Window.partitionBy(F.col("__h"), F.col("__id")).orderBy(F.lit(1)))
+    rn = fresh(joined, "rn")
+    return joined.withColumn(rn, once).where(F.col(rn) == 1).select(*[col(c) for c in docs.columns], n, words)

@@ -99,12 +99,16 @@ class ByteCnn:
 
 
 def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, n_filters: int = 16, width: int = 6,
-          stride: int = 128, epochs: int = 6, batch: int = 64, rate: float = 0.02, seed: int = 42) -> ByteCnn:
-    """Fit with Adam on the weighted log loss; a fixed seed and order make it repeatable."""
+          stride: int = 128, epochs: int = 6, batch: int = 64, rate: float = 0.02, min_steps: int = 300, seed: int = 42) -> ByteCnn:
+    """Fit with Adam on the weighted log loss; a fixed seed and order make it repeatable.
+
+    A small sample is passed more often, until ``min_steps`` steps are made.
+    """
     if len(texts) == 0 or len(set(labels.tolist())) < 2:
         share = float(np.average(labels, weights=weights)) if len(texts) else 0.5
         return ByteCnn(np.zeros((width, PAD + 1, n_filters), np.float32), np.zeros(n_filters, np.float32),
                        np.zeros(2 * n_filters, np.float32), 0.0, stride, share)
+    epochs = max(epochs, -(-min_steps * batch // len(texts)))
     rng = np.random.default_rng(seed)
     model = ByteCnn(rng.normal(0, 0.3, (width, PAD + 1, n_filters)).astype(np.float32), np.zeros(n_filters, np.float32),
                     rng.normal(0, 0.1, 2 * n_filters).astype(np.float32), 0.0, stride)

@@ -178,8 +178,11 @@ def mask(text: Column, found: Column, token: str = "[secret]") -> Column:
 
 
 def redact(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str = "text",
-           rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with secrets masked in the text; rows without findings are unchanged (null text stays null)."""
+           rules: tuple[Rule, ...] = RULES, length_col: str | None = None) -> DataFrame:
+    """``docs`` with secrets masked in the text; rows without findings are unchanged (null text stays null).
+
+    ``length_col``, if the table has it, gets the new length of a masked text.
+    """
     scan(docs, ledger, id_col, text_col, rules)
     blob, found = fresh(docs, "blob"), fresh(docs, "found")
     addressed = docs.withColumn(blob, F.sha2(text_of(text_col), 256))
@@ -187,5 +190,9 @@ def redact(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: st
                 .select(F.col("blob").alias(blob), F.col("found").alias(found)))
     none = F.array().cast("array<struct<s:bigint,ord:int,e:bigint,kind:string>>")
     joined = addressed.join(per_blob, blob, "left").withColumn(found, F.coalesce(col(found), none))
-    masked = F.when(F.size(col(found)) == 0, col(text_col)).otherwise(mask(col(text_col), col(found)))
-    return joined.withColumn(text_col, masked).select(*[col(c) for c in docs.columns])
+    clean = F.size(col(found)) == 0
+    out = joined.withColumn(text_col, F.when(clean, col(text_col)).otherwise(mask(col(text_col), col(found))))
+    if length_col in docs.columns:
+        new = F.length(col(text_col)).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(clean, col(length_col)).otherwise(new))
+    return out.select(*[col(c) for c in docs.columns])

@@ -133,16 +133,16 @@ def _links(keys: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray,
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = 4096) -> DataFrame:
     """``(a, b)``: verified links between distinct fingerprints, enough to connect every linked pair."""
     index = variants(fps, max_bits)
-    sizes = index.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = index.join(sizes, ["bit", "rest"])
-    # a bucket beyond ``block`` is cut in n_blocks parts; each unordered pair of parts is one task's bucket
-    parts = F.ceil(F.col("n") / block).cast("int")
+    # a bucket beyond ``block`` is cut in parts; each unordered pair of parts is one task's bucket
+    large = (index.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+             .select("bit", "rest", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
     mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.struct(
         F.least(o, mine).alias("i"), F.greatest(o, mine).alias("j")))
-    dealt = shared.select("bit", "rest", "fp", F.inline(pairs))
-    dealt = dealt.select("fp", F.xxhash64("bit", "rest", "i", "j").alias("bucket"))
+    dealt = index.join(large, ["bit", "rest"], "left").select("bit", "rest", "fp", F.inline(pairs))
     # the bucket number is only a grouping: entries that meet by chance fail the verification
+    dealt = dealt.select("fp", F.xxhash64("bit", "rest", "i", "j").alias("bucket"))
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "fp")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
