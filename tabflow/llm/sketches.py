@@ -72,7 +72,7 @@ def encode(sketch: Column) -> Column:
 
 def decode(text: Column) -> Column:
     """The sketch of an encoded fingerprint."""
-    one = F.sequence(F.lit(0), F.length(text).cast("int") / 16 - 1)
+    one = F.sequence(F.lit(0), F.floor(F.length(text) / 16).cast("int") - 1)
     digits = F.transform(one, lambda i: F.conv(F.substring(text, (i * 16 + 1).cast("int"), F.lit(16)), 16, 10).cast("long"))
     return F.when(F.length(text) > 0, digits).otherwise(F.array().cast("array<bigint>"))
 
