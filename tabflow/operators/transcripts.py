@@ -26,10 +26,14 @@ PIP_NAMES = [
 ]
 
 # Static code-check rules.
-DEPRECATED_CALL_PATTERNS = [("verbose_eval", r"verbose_eval="), ("early_stopping_rounds", r"early_stopping_rounds=")]
+VERBOSE_EVAL = r"\bverbose_eval\s*="
+EARLY_STOPPING = r"early_stopping_rounds\s*=\s*[0-9]+"
+FIT_CALL = ".fit("
 LAMBDA_WORD = r"\blambda\b"
 PICKLE_WORD = "pickle"
 MODEL_HOOK = "def build_model"
+PROBA_CALL = "predict_proba"
+PROBA_SHAPE = ["[:, 1]", "column_stack", "hstack"]
 
 
 def code_blocks(text: Column) -> Column:
@@ -73,7 +77,12 @@ def missing_packages(logs: DataFrame, text: str = "error") -> DataFrame:
 
 def code_issues(code: Column) -> Column:
     """Names of the rules a code text breaks, as an array."""
-    flags = [F.when(code.rlike(rx), F.lit(name)) for name, rx in DEPRECATED_CALL_PATTERNS]
-    flags.append(F.when(code.rlike(LAMBDA_WORD) & code.contains(PICKLE_WORD), F.lit("lambda_with_pickle")))
-    flags.append(F.when(~code.contains(MODEL_HOOK), F.lit("missing_build_model")))
+    one_column = ~code.contains(PROBA_SHAPE[0]) & ~code.contains(PROBA_SHAPE[1]) & ~code.contains(PROBA_SHAPE[2])
+    flags = [
+        F.when(code.rlike(VERBOSE_EVAL), F.lit("verbose_eval")),
+        F.when(code.rlike(EARLY_STOPPING) & code.contains(FIT_CALL), F.lit("early_stopping_rounds")),
+        F.when(code.rlike(LAMBDA_WORD) & code.contains(PICKLE_WORD), F.lit("lambda_with_pickle")),
+        F.when(~code.contains(MODEL_HOOK), F.lit("missing_build_model")),
+        F.when(code.contains(PROBA_CALL) & one_column, F.lit("predict_proba_shape")),
+    ]
     return F.filter(F.array(*flags), lambda x: x.isNotNull())

@@ -45,10 +45,13 @@ def main_block(spark, sf_dir):
 
 
 _RULE_SQL = " UNION ALL ".join([
-    "SELECT conv_id, 'verbose_eval' AS rule FROM m WHERE regexp_matches(code, 'verbose_eval=')",
-    "SELECT conv_id, 'early_stopping_rounds' FROM m WHERE regexp_matches(code, 'early_stopping_rounds=')",
-    "SELECT conv_id, 'lambda_with_pickle' FROM m WHERE regexp_matches(code, '\\blambda\\b') AND contains(code, 'pickle')",
-    "SELECT conv_id, 'missing_build_model' FROM m WHERE NOT contains(code, 'def build_model')",
+    "SELECT conv_id, turn, 'verbose_eval' AS rule FROM m WHERE regexp_matches(code, '\\bverbose_eval\\s*=')",
+    "SELECT conv_id, turn, 'early_stopping_rounds' FROM m "
+    "WHERE regexp_matches(code, 'early_stopping_rounds\\s*=\\s*[0-9]+') AND contains(code, '.fit(')",
+    "SELECT conv_id, turn, 'lambda_with_pickle' FROM m WHERE regexp_matches(code, '\\blambda\\b') AND contains(code, 'pickle')",
+    "SELECT conv_id, turn, 'missing_build_model' FROM m WHERE NOT contains(code, 'def build_model')",
+    "SELECT conv_id, turn, 'predict_proba_shape' FROM m WHERE contains(code, 'predict_proba') AND NOT contains(code, '[:, 1]') "
+    "AND NOT contains(code, 'column_stack') AND NOT contains(code, 'hstack')",
 ])
 
 

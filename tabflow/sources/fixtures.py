@@ -91,18 +91,28 @@ def usage_from_events(e: DataFrame) -> DataFrame:
     )
 
 
-_FENCED_TAIL_PY = "\n```python\ndef build_model(X):\n    return X\n```\n```python\nverbose_eval=1\n```"
-_FENCED_TAIL_PLAIN = "\n```\nx = 1\n```"
+# Code appended to a response, by ``(conv_id + turn) % 9``; ``{n}`` becomes the conversation id. Together they
+# hold python and plain fences, several blocks, an empty block, a nested tag, no code, and a case for every code rule.
+RESPONSE_TAILS = [
+    "\n```python\ndef build_model(X):\n    return fit(X, {n})\n```\nthen\n```python\nverbose_eval=1\n```",
+    "\n```\nx = {n}\n```\n```\ny = x\n```",
+    "",
+    "\n```python\nimport pickle\nkey = lambda r: r[{n}]\n```\n```\nplain\n```",
+    "\n```python\ndef build_model(X):\n    m.fit(X, early_stopping_rounds = {n})\n    train(verbose_eval = 100)\n```",
+    "\n```python\n   \n```\ntail {n}",
+    "\n```python\nseed = {n}\n```\n```python\ndef train_code(X):\n    p = m.predict_proba(X)\n```",
+    "\n```python\ndef build_model(X):\n    p = m.predict_proba(X)[:, 1]\n    return early_stopping_rounds\n```",
+    "\n```sql\nselect {n}\n```\nunclosed ```python\nz = 1",
+]
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    head = F.substring("text", 1, 80)
-    m = F.col("conv_id") % 3
-    text = (F.when(m == 0, F.concat(head, F.lit(_FENCED_TAIL_PY)))
-            .when(m == 1, F.concat(head, F.lit(_FENCED_TAIL_PLAIN)))
-            .otherwise(F.col("text")))
-    return c.where(F.col("role") == "assistant").select("conv_id", "turn", text.alias("text"))
+    n = F.col("conv_id").cast("string")
+    tail = F.lit("")
+    for i, t in enumerate(RESPONSE_TAILS):
+        tail = F.when((F.col("conv_id") + F.col("turn")) % len(RESPONSE_TAILS) == i, F.replace(F.lit(t), F.lit("{n}"), n)).otherwise(tail)
+    return c.where(F.col("role") == "assistant").select("conv_id", "turn", F.concat("text", tail).alias("text"))
 
 
 VIEWS = {
@@ -153,13 +163,10 @@ SELECT event_id AS call_seq, ts,
        1000 + 100 * CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS input_tokens,
        CAST(floor(value * 10) AS BIGINT) AS output_tokens
 FROM events""",
-    "responses": """
-SELECT conv_id, turn,
-       CASE conv_id % 3
-         WHEN 0 THEN concat(substr(text, 1, 80), chr(10), '```python', chr(10), 'def build_model(X):', chr(10), '    return X', chr(10), '```', chr(10), '```python', chr(10), 'verbose_eval=1', chr(10), '```')
-         WHEN 1 THEN concat(substr(text, 1, 80), chr(10), '```', chr(10), 'x = 1', chr(10), '```')
-         ELSE text END AS text
-FROM conversations WHERE role = 'assistant'""",
+    "responses": "SELECT conv_id, turn, concat(text, replace(CASE (conv_id + turn) % {} {} END, '{{n}}', CAST(conv_id AS STRING))) AS text\n"
+                 "FROM conversations WHERE role = 'assistant' AND text IS NOT NULL UNION ALL\n"
+                 "SELECT conv_id, turn, NULL FROM conversations WHERE role = 'assistant' AND text IS NULL".format(
+                     len(RESPONSE_TAILS), " ".join("WHEN {} THEN '{}'".format(i, t.replace("'", "''")) for i, t in enumerate(RESPONSE_TAILS))),
 }
 
 
