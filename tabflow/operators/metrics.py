@@ -53,34 +53,41 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
     non-finite rows) and that small table is checkpointed for the AUC steps.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    p = F.col(score)
+    p = F.col("p")
     bad = p.isNull() | F.isnan(p) | (F.abs(p) == F.lit(float("inf")))
-    pstats = preds.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n_preds"),
-        F.count_if(p.isNull() | F.isnan(p)).alias("n_nan"),
-        F.count_if(F.abs(p) == F.lit(float("inf"))).alias("n_inf"))
-    lab = labels.select(*keys, F.col(target).cast("int").alias(target))  # 0/1 labels, boolean accepted
+    lab = labels.select(*keys, F.col(target).cast("int").alias(target), F.lit(1).alias("__known"))  # 0/1, boolean accepted
     n_labels = lab.select(F.count(F.lit(1))).scalar()
-    joined = preds.select(group, *keys, score).join(lab, keys, "inner")
-    groups = (joined.withColumn(score, F.when(bad, F.lit(None).cast("double")).otherwise(p))
-              .groupBy(group, score).agg(F.sum(F.col(target).cast("long")).alias("pos"),
-                                         F.sum((1 - F.col(target)).cast("long")).alias("neg"))
+    # one pass: the left join keeps unmatched predictions; rows of a (key, model) are already together for the count
+    joined = preds.select(group, *keys, F.col(score).alias("p")).join(lab, keys, "left")
+    per_key = joined.groupBy(*keys, group).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("p").alias("p"), F.max(target).alias(target), F.max("__known").alias("known"),
+        F.count_if(p.isNull() | F.isnan(p)).alias("nan"), F.count_if(F.abs(p) == F.lit(float("inf"))).alias("inf"))
+    # null keys match no label and are no duplicates of each other
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    hit = F.col("known").isNotNull()
+    groups = (per_key.withColumn(score, F.when(bad | ~hit, F.lit(None).cast("double")).otherwise(p))
+              .groupBy(group, score).agg(
+                  F.sum(F.when(hit, F.col(target)).cast("long")).alias("pos"),
+                  F.sum(F.when(hit, 1 - F.col(target)).cast("long")).alias("neg"),
+                  F.sum("rows").alias("rows"), F.count_if(hit).alias("keys"),
+                  F.count_if((F.col("rows") > 1) & ~null_key).alias("dup"), F.sum("nan").alias("nan"), F.sum("inf").alias("inf"))
               .checkpoint())
-    jstats = groups.groupBy(group).agg(
-        F.sum(F.col("pos") + F.col("neg")).alias("n_matched"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    stats = groups.groupBy(group).agg(
+        F.sum("rows").alias("n_preds"), F.sum("nan").alias("n_nan"), F.sum("inf").alias("n_inf"),
+        F.sum("keys").alias("n_matched"), F.sum("dup").alias("n_duplicate"),
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"))
     aucs = auc_from_groups(groups.where(F.col(score).isNotNull()), group, score, n_buckets)
 
-    # the three per-model tables are stacked and merged by one group-by (no joins:
-    # a constant model id would otherwise turn a join into a nested loop)
-    stacked = (pstats.unionByName(jstats, allowMissingColumns=True)
-               .unionByName(aucs, allowMissingColumns=True))
-    merged = stacked.groupBy(group).agg(*[F.max(c).alias(c) for c in
-                                          ("n_preds", "n_nan", "n_inf", "n_matched", "n_pos", "n_neg", "auc")])
-    res = (merged.where(F.col("n_preds").isNotNull())
-           .withColumn("n_labels", n_labels)
-           .fillna(0, ["n_matched", "n_pos", "n_neg"]))
-    reason = (F.when((F.col("n_preds") != F.col("n_labels")) | (F.col("n_matched") != F.col("n_labels")), "size_mismatch")
+    # the two per-model tables are stacked and merged by one group-by (no join:
+    # a constant model id would otherwise turn it into a nested loop)
+    merged = stats.unionByName(aucs, allowMissingColumns=True).groupBy(group).agg(*[F.max(c).alias(c) for c in (
+        "n_preds", "n_nan", "n_inf", "n_matched", "n_duplicate", "n_pos", "n_neg", "auc")])
+    res = merged.withColumn("n_labels", n_labels)
+    reason = (F.when(F.col("n_preds") != F.col("n_labels"), "size_mismatch")
+              .when(F.col("n_duplicate") > 0, "duplicate_key")
+              .when(F.col("n_matched") != F.col("n_labels"), "size_mismatch")
               .when(F.col("n_nan") > 0, "nan")
               .when(F.col("n_inf") > 0, "inf")
               .when((F.col("n_pos") == 0) | (F.col("n_neg") == 0), "single_class"))
@@ -89,18 +96,29 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
                .withColumn("auc", F.when(F.col("valid"), F.col("auc"))))
 
 
+def _per_key(preds: DataFrame, key: str, group: str, score: str, weights: DataFrame | None) -> DataFrame:
+    """One row per key: the (weighted) mean of its models' scores and how many models it has; a repeated
+    (key, model) counts once, with its mean score. Both steps share the shuffle by key."""
+    one = preds.repartition(key).groupBy(key, group).agg(F.avg(score).alias("__p"))
+    w = F.lit(1.0)
+    if weights is not None:
+        # (model, weight): a model-sized table; Spark broadcasts or shuffles it by its size
+        one, w = one.join(weights.select(group, F.col("weight").alias("__w")), group), F.col("__w")
+    return one.groupBy(key).agg(F.try_divide(F.sum(F.col("__p") * w), F.sum(w)).alias(score), F.count(F.lit(1)).alias("n_models"))
+
+
 def ensemble_mean(preds: DataFrame, key: str = "key", group: str = "model_id", score: str = "p1",
                   weights: DataFrame | None = None) -> DataFrame:
-    """Mean (or weighted mean) of the k models' scores per key; keys missing a model are dropped."""
+    """Mean (or weighted mean) of the k models' scores per key; keys missing a model are left out
+    (``ensemble_rejects`` lists them)."""
+    k = (preds if weights is None else preds.join(weights, group, "left_semi")).select(F.count_distinct(group)).scalar()
+    return _per_key(preds, key, group, score, weights).where(F.col("n_models") == k).drop("n_models")
+
+
+def ensemble_rejects(preds: DataFrame, key: str = "key", group: str = "model_id", score: str = "p1") -> DataFrame:
+    """Keys without a score of every model, ``(key, n_models)``."""
     k = preds.select(F.count_distinct(group)).scalar()
-    if weights is None:
-        return (preds.groupBy(key).agg(F.avg(score).alias(score), F.count_distinct(group).alias("__m"))
-                .where(F.col("__m") == k).drop("__m"))
-    # weights: (model_id, weight), one row per model: bounded broadcast
-    w = preds.join(F.broadcast(weights), group)
-    return (w.groupBy(key).agg(F.try_divide(F.sum(F.col(score) * F.col("weight")), F.sum("weight")).alias(score),
-                               F.count_distinct(group).alias("__m"))
-            .where(F.col("__m") == k).drop("__m"))
+    return _per_key(preds, key, group, score, None).where(F.col("n_models") != k).select(key, "n_models")
 
 
 def constant_baseline(labels: DataFrame, key: str = "key", value: float = 0.5, model_id: str = "baseline") -> DataFrame:

@@ -85,6 +85,17 @@ def metric_delta(spark, sf_dir):
     return r.select("attempt_seq", "campaign", "best_before", F.round("delta", 12).alias("delta"), "new_best")
 
 
+@register("metric_delta_null_campaign", "W1 W2", fx.with_views(
+    "SELECT attempt_seq, campaign, best_before, round(roc_auc - best_before, 12) AS delta, "
+    "coalesce(roc_auc > coalesce(best_before, -1.0), FALSE) AS new_best FROM (SELECT *, max(roc_auc) OVER "
+    "(PARTITION BY campaign ORDER BY attempt_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before "
+    "FROM (SELECT attempt_seq, nullif(campaign, 'c0') AS campaign, roc_auc FROM attempts) a) t", "attempts"))
+def metric_delta_null_campaign(spark, sf_dir):
+    a = _attempts(spark, sf_dir).select("attempt_seq", F.nullif("campaign", F.lit("c0")).alias("campaign"), "roc_auc")
+    r = A.metric_delta(a)
+    return r.select("attempt_seq", "campaign", "best_before", F.round("delta", 12).alias("delta"), "new_best")
+
+
 # ------------------------------------------------------------------ ledger
 
 def _prices_sql() -> str:

@@ -137,3 +137,97 @@ def submission_without_id(spark, sf_dir):
     test = R.row_index(fx.labelled(spark, sf_dir).select("key"), "key", "id")
     e = M.ensemble_mean(fx.predictions(spark, sf_dir))
     return test.join(e, "key", "left").select("id", F.round("p1", 12).alias("target"))
+
+
+# ---------------------------------------------------------------- rejected predictions, weights, text keys
+
+_BAD_SQL = """
+SELECT key, 'nan' AS model_id, CASE WHEN key % 101 = 0 THEN CAST('NaN' AS DOUBLE) ELSE p1 END AS p1 FROM predictions WHERE model_id = 'm1'
+UNION ALL SELECT key, 'inf', CASE WHEN key % 103 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE p1 END FROM predictions WHERE model_id = 'm1'
+UNION ALL SELECT key, 'missing', p1 FROM predictions WHERE model_id = 'm1' AND key % 7 <> 0
+UNION ALL SELECT CASE WHEN key % 50 = 0 THEN (SELECT min(key) FROM labelled) ELSE key END, 'duplicate', p1 FROM predictions WHERE model_id = 'm1'
+UNION ALL SELECT CASE WHEN key % 50 = 0 THEN -key ELSE key END, 'uncovered', p1 FROM predictions WHERE model_id = 'm1'
+UNION ALL SELECT key, NULL, p1 FROM predictions WHERE model_id = 'm2'"""
+
+
+def _bad_predictions(spark, sf_dir):
+    p = fx.predictions(spark, sf_dir)
+    m1, key = p.where(F.col("model_id") == "m1"), F.col("key")
+    low = fx.labelled(spark, sf_dir).select(F.min("key")).scalar()
+    cases = [
+        m1.select("key", F.lit("nan").alias("model_id"), F.when(key % 101 == 0, float("nan")).otherwise(F.col("p1")).alias("p1")),
+        m1.select("key", F.lit("inf").alias("model_id"), F.when(key % 103 == 0, float("inf")).otherwise(F.col("p1")).alias("p1")),
+        m1.where(key % 7 != 0).select("key", F.lit("missing").alias("model_id"), "p1"),
+        m1.select(F.when(key % 50 == 0, low).otherwise(key).alias("key"), F.lit("duplicate").alias("model_id"), "p1"),
+        m1.select(F.when(key % 50 == 0, -key).otherwise(key).alias("key"), F.lit("uncovered").alias("model_id"), "p1"),
+        p.where(F.col("model_id") == "m2").select("key", F.lit(None).cast("string").alias("model_id"), "p1"),
+    ]
+    out = cases[0]
+    for c in cases[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@register("prediction_guard_bad", "P11 J4 A18", _auc_sql("", preds_sql=fx.VIEW_SQL["predictions"]).split(",\nj AS")[0].rstrip() + ",\nbad AS ("
+          + _BAD_SQL + """),
+per AS (SELECT p.model_id, p.key, count(*) AS c, max(l.target) AS target, max(l.key) AS known,
+               count_if(p.p1 IS NULL OR isnan(p.p1)) AS nn, count_if(isinf(p.p1)) AS ni, min(p.p1) AS p1
+        FROM bad p LEFT JOIN labelled l ON p.key = l.key GROUP BY p.model_id, p.key),
+st AS (SELECT model_id, sum(c) AS n_preds, count(known) AS n_matched, count_if(c > 1) AS n_dup, sum(nn) AS nn, sum(ni) AS ni FROM per GROUP BY model_id),
+j2 AS (SELECT p.model_id, p.p1, l.target FROM bad p JOIN labelled l ON p.key = l.key WHERE p.model_id IS NULL),
+r2 AS (SELECT target, rank() OVER (ORDER BY p1) + (count(*) OVER (PARTITION BY p1) - 1) / 2.0 AS ar FROM j2),
+s2 AS (SELECT sum(CASE WHEN target = 1 THEN ar ELSE 0 END) AS rp, CAST(count_if(target = 1) AS DOUBLE) AS np, CAST(count_if(target = 0) AS DOUBLE) AS ng FROM r2),
+v AS (SELECT st.*, (SELECT count(*) FROM labelled) AS n_labels FROM st)
+SELECT model_id, CAST(n_preds AS BIGINT) AS n_preds, n_matched, CAST(n_dup AS BIGINT) AS n_duplicate,
+       CASE WHEN n_preds <> n_labels THEN 'size_mismatch' WHEN n_dup > 0 THEN 'duplicate_key' WHEN n_matched <> n_labels THEN 'size_mismatch'
+            WHEN nn > 0 THEN 'nan' WHEN ni > 0 THEN 'inf' END AS reason,
+       CASE WHEN model_id IS NULL THEN round((rp - np * (np + 1) / 2) / (np * ng), 10) END AS auc
+FROM v CROSS JOIN s2""")
+def prediction_guard_bad(spark, sf_dir):
+    ev = M.evaluate(_bad_predictions(spark, sf_dir), _labels(spark, sf_dir))
+    return ev.select("model_id", "n_preds", "n_matched", "n_duplicate", "reason", F.round("auc", 10).alias("auc"))
+
+
+@register("prediction_guard_single_class", "P11 A19", fx.with_views(
+    "SELECT model_id, count(*) AS n_preds, 'single_class' AS reason, FALSE AS valid FROM predictions p JOIN labelled l ON p.key = l.key "
+    "WHERE l.target = 1 GROUP BY model_id", "labelled", "predictions"))
+def prediction_guard_single_class(spark, sf_dir):
+    labels = _labels(spark, sf_dir).where(F.col("target") == 1)
+    preds = fx.predictions(spark, sf_dir).join(labels.select("key"), "key", "left_semi")
+    return M.evaluate(preds, labels).select("model_id", "n_preds", "reason", "valid")
+
+
+_WEIGHTS = [("m1", 0.7), ("m2", 0.3)]
+
+
+@register("ensemble_weighted", "M13 A21", fx.with_views(
+    "SELECT key, round(sum(p1 * w) / sum(w), 10) AS p1 FROM (SELECT key, model_id, avg(p1) AS p1, CASE model_id WHEN 'm1' THEN 0.7::DOUBLE "
+    "WHEN 'm2' THEN 0.3::DOUBLE END AS w FROM predictions GROUP BY key, model_id) t GROUP BY key HAVING count(*) = 2", "predictions"))
+def ensemble_weighted(spark, sf_dir):
+    from ..sources.tables import literal_table
+    weights = literal_table(spark, _WEIGHTS, ["model_id", "weight"])
+    return M.ensemble_mean(fx.predictions(spark, sf_dir), weights=weights).select("key", F.round("p1", 10).alias("p1"))
+
+
+@register("ensemble_rejects", "M13 A21", fx.with_views(
+    "SELECT key, count(DISTINCT model_id) AS n_models FROM predictions WHERE NOT (model_id = 'm2' AND key % 9 = 0) GROUP BY key "
+    "HAVING count(DISTINCT model_id) <> 2", "predictions"))
+def ensemble_rejects(spark, sf_dir):
+    p = fx.predictions(spark, sf_dir).where(~((F.col("model_id") == "m2") & (F.col("key") % 9 == 0)))
+    return M.ensemble_rejects(p)
+
+
+@register("sequential_ids_text", "W5", fx.with_views(
+    "SELECT customer_id, n_rows, row_number() OVER (ORDER BY customer_id) - 1 AS row_id FROM "
+    "(SELECT customer_id, count(*) AS n_rows FROM labelled GROUP BY customer_id) t", "labelled"))
+def sequential_ids_text(spark, sf_dir):
+    names = fx.labelled(spark, sf_dir).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return R.row_index(names, "customer_id", "row_id")
+
+
+@register("running_total_by_day", "W2 W5", fx.with_views(
+    "SELECT CAST(ts AS DATE) AS day, count(*) AS n, coalesce(sum(count(*)) OVER (ORDER BY CAST(ts AS DATE) ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0)::BIGINT AS n_before FROM attempts GROUP BY 1", "attempts"))
+def running_total_by_day(spark, sf_dir):
+    days = fx.attempts(spark, sf_dir).groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return R.running(days, "day", "n", out="n_before")
