@@ -16,6 +16,8 @@ equality grouping on the variant meets every pair to verify.
 * Within a variant's bucket the exact distance is verified. Small buckets compare all
   their entries; larger ones grow components breadth first, dropping an entry once it is
   linked, so a bucket yields fewer links than entries (connectivity is kept, not all pairs).
+* Every variant row is dealt, whether its bucket is shared or not: the rows are 64 per distinct
+  fingerprint at any size (by chance, shared buckets alone would grow with the square of the entries).
 * A bucket with more than ``block`` entries is dealt as pairs of blocks to separate tasks.
 * Components of the links come from star contraction joins (``common.components``).
 
