@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,14 @@ def qcol(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name starting with ``name`` that ``df`` does not have (names compare without case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def finite(c: Column) -> Column:
     """NaN and +/-Inf become null."""
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(c)

@@ -1,10 +1,9 @@
 """Encoders fitted on training rows and applied to every split.
 
-Fitted state is always a small table (one row per category, per column or per
-class). Lookups are left joins; a side is broadcast only when its size is
-known to be bounded (a categorical vocabulary has at most 50 values by the
-role rule) or has been counted under ``BROADCAST_MAX_ROWS``. A larger
-vocabulary is shuffle-joined and AQE splits a hot value's partition.
+Fitted state is a table of one row per category, per column or per class.
+Lookups are left joins. Only tables of one row per column or class are hinted
+as broadcast; a vocabulary is broadcast or shuffled by Spark from its size in
+bytes, and AQE splits a hot value's partition.
 """
 
 from __future__ import annotations
@@ -18,10 +17,10 @@ from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, Default
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import fresh, qcol
 from .stats import exact_medians
 
 NAN_TOKEN = "__nan__"
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 # ---------------------------------------------------------------- label codes
@@ -61,7 +60,7 @@ class FrequencyEncoder(Estimator, _FreqParams, DefaultParamsReadable, DefaultPar
     def _fit(self, dataset: DataFrame) -> "FrequencyEncoderModel":
         cols = self.getInputCols()
         longf = dataset.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
+            F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value")) for c in cols])))
         counts = longf.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
         if self.getOrDefault("denominator") == "all":
             denom = counts.groupBy("column").agg(F.sum("cnt").alias("den"))
@@ -114,39 +113,24 @@ class FrequencyEncoderModel(Model, _FreqParams, MLWritable, MLReadable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
-        sizes = {r["column"]: r["n"] for r in self.vocab.groupBy("column").count().withColumnRenamed("count", "n").collect()}
         for c, o in zip(self.getInputCols(), self.getOutputCols()):
-            v = self.vocab.where(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("freq").alias(o))
-            if sizes.get(c, 0) <= BROADCAST_MAX_ROWS:
-                out = out.join(F.broadcast(v), out[c].cast("string") == F.col(f"__v_{c}"), "left")
-            else:
-                # shuffle join: null values get a unique never-matching key (flag true), so a
-                # column that is mostly null does not pile into one partition; AQE splits hot values
-                k, nk = f"__k_{c}", f"__n_{c}"
-                # the salt is a hash of the row itself: deterministic, so a retried stage routes rows the same way
-                salt = F.xxhash64(*[F.col(x) for x in out.columns]).cast("string")
-                out = out.withColumns({nk: out[c].isNull(), k: F.coalesce(out[c].cast("string"), salt)})
-                v = v.select(F.lit(False).alias(nk), F.col(f"__v_{c}").alias(k), o)
-                out = out.join(v, [nk, k], "left").drop(nk, k)
-            out = out.withColumn(o, F.coalesce(F.col(o), F.lit(0.0))).drop(f"__v_{c}")
+            # an equi-join whose strategy Spark picks by the vocabulary's size in bytes. A null value gets a
+            # non-zero flag that matches nothing, hashed from the row: deterministic, and spread over partitions
+            k, nk = fresh(out, "vocab_value"), fresh(out, "vocab_null")
+            salt = 1 + F.pmod(F.xxhash64(*[qcol(x) for x in out.columns]), F.lit(1 << 20))
+            flagged = out.withColumn(nk, F.when(qcol(c).isNull(), salt).otherwise(F.lit(0)))
+            v = self.vocab.where(F.col("column") == c).select(F.lit(0).cast("long").alias("__zero"), F.col("value").alias(k), F.col("freq").alias("__freq"))
+            joined = flagged.join(v, (F.col(nk) == F.col("__zero")) & (qcol(c).cast("string") == F.col(k)), "left")
+            out = joined.withColumn(o, F.coalesce(F.col("__freq"), F.lit(0.0))).drop(k, nk, "__zero", "__freq")
         return out
 
-    def save_vocab(self, path: str) -> None:
-        self.vocab.write.mode("overwrite").parquet(path)
-
-    @classmethod
-    def load_vocab(cls, spark, path: str, input_cols: list[str], output_cols: list[str]) -> "FrequencyEncoderModel":
-        m = cls(spark.read.parquet(path))
-        m._set(inputCols=input_cols, outputCols=output_cols)
-        return m
-
 
 # ---------------------------------------------------------------- unseen categories
 
 def unseen_categories(df: DataFrame, cols: list[str], split_col: str = "split", fit_split: str = "train") -> DataFrame:
     """Values outside the training vocabulary, with the number of rows per split, ``(column, value, split, rows)``."""
     longf = df.select(split_col, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(NAN_TOKEN)).alias("value"))
+        F.struct(F.lit(c).alias("column"), F.coalesce(qcol(c).cast("string"), F.lit(NAN_TOKEN)).alias("value"))
         for c in cols])))
     known = longf.where(F.col(split_col) == fit_split).select("column", "value").distinct()
     other = (longf.where(F.col(split_col) != fit_split)

@@ -39,18 +39,19 @@ def feature_columns(df: DataFrame, target: str | None = "target", exclude: tuple
     return [c for c in df.columns if c != target and c not in exclude]
 
 
-# Distinct counts: HLL estimate first (merged map-side, no shuffle of values);
-# exact counts only where the estimate is small enough to matter for a role
-# (thresholds 50 and 1000) and cheap to dedupe. Above the bound the estimate is
-# reported and flagged, and the role (id_like / high_cardinality) is the same.
-EXACT_DISTINCT_MAX = 1_000_000
-HLL_RSD = 0.05  # 512 registers: a small aggregation buffer (0.01 means 16k buffer slots per column)
-
 _RAW_SCHEMA = ("column string, position int, kind string, dtype string, n bigint, nn bigint, mean double, std double, "
-               "min double, max double, zeros bigint, nd bigint, nd_exact boolean")
+               "min double, max double, zeros bigint, nd bigint")
+
+
+def _distinct_counts(df: DataFrame, cols: list[str], idx: list[int]) -> dict[int, int]:
+    """Exact distinct non-null values per column: (column, value) pairs are deduplicated map-side, then counted."""
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), qcol(cols[i]).cast("string").alias("v")) for i in idx])))
+    got = pairs.where(F.col("v").isNotNull()).distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {i: 0 for i in idx} | {r["i"]: r["n"] for r in got}  # one row per column
 
 
-def _raw_stats(df: DataFrame, cols: list[str], fields: dict, exact_max: int) -> list[tuple]:
+def _raw_stats(df: DataFrame, cols: list[str], fields: dict) -> list[tuple]:
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         x = qcol(c)
@@ -60,34 +61,25 @@ def _raw_stats(df: DataFrame, cols: list[str], fields: dict, exact_max: int) ->
             aggs += [F.avg(v).alias(f"__mean{i}"), F.stddev_samp(v).alias(f"__std{i}"),
                      F.min(v).alias(f"__min{i}"), F.max(v).alias(f"__max{i}"),
                      F.count_if(v == 0).alias(f"__z{i}")]
-        else:
-            aggs.append(F.approx_count_distinct(x, HLL_RSD).alias(f"__hll{i}"))
     row = df.agg(*aggs).first()  # one row of per-column summaries
-    bound = exact_max * (1 + 10 * HLL_RSD)
-    exact_idx = [i for i, c in enumerate(cols) if _kind(fields[c]) != "numeric" and row[f"__hll{i}"] <= bound]
-    exact = {}
-    if exact_idx:
-        r2 = df.agg(*[F.count_distinct(qcol(cols[i])).alias(f"__nd{i}") for i in exact_idx]).first()
-        exact = {i: r2[f"__nd{i}"] for i in exact_idx}
+    idx = [i for i, c in enumerate(cols) if _kind(fields[c]) != "numeric"]
+    exact = _distinct_counts(df, cols, idx) if idx else {}
     out = []
     for i, c in enumerate(cols):
         kind = _kind(fields[c])
         num = kind == "numeric"
-        nd = None if num else exact.get(i, row[f"__hll{i}"])
         out.append((c, i, kind, fields[c].simpleString(), row["__n"], row[f"__nn{i}"],
                     row[f"__mean{i}"] if num else None, row[f"__std{i}"] if num else None,
                     row[f"__min{i}"] if num else None, row[f"__max{i}"] if num else None,
-                    row[f"__z{i}"] if num else None, nd, None if num else i in exact))
+                    row[f"__z{i}"] if num else None, exact.get(i)))
     return out
 
 
-def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ...] = (), round_stats: bool = True,
-            exact_distinct_max: int = EXACT_DISTINCT_MAX) -> DataFrame:
+def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ...] = (), round_stats: bool = True) -> DataFrame:
     """One row per feature column with role and statistics.
 
-    Two scans at most: one aggregation for every statistic of every column
-    (with HLL sketches for string columns), and one exact distinct count over
-    the string columns whose estimate is at most ``exact_distinct_max``.
+    Two scans: one aggregation for every statistic of every column, and one exact
+    distinct count of the non-numeric columns, whatever their number of values.
     ``n_unique`` (nulls excluded) is reported for non-numeric columns, the
     ones whose role depends on it; numeric columns carry mean, sample std,
     min, max and zero share instead.
@@ -95,7 +87,7 @@ def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ..
     spark = df.sparkSession
     cols = feature_columns(df, target, exclude)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    raw = _raw_stats(df, cols, fields, exact_distinct_max) if cols else []
+    raw = _raw_stats(df, cols, fields) if cols else []
     t = (spark.range(1).select(F.inline(F.array(*[F.struct(*[
              F.lit(v).cast(typ).alias(name) for v, (name, typ) in zip(r, _raw_fields())]) for r in raw])))
          if raw else spark.range(0).select(*[F.lit(None).cast(typ).alias(name) for name, typ in _raw_fields()]))
@@ -122,8 +114,7 @@ def profile(df: DataFrame, target: str | None = "target", exclude: tuple[str, ..
     return t.withColumn("id_word", id_word).select(
         "column", "position", role.alias("role"), "dtype", nd.alias("n_unique"),
         stat("mean").alias("mean"), stat("std").alias("std"), stat("min").alias("min"), stat("max").alias("max"),
-        null_pct.alias("null_pct"), zeros_pct.alias("zeros_pct"), nulls.alias("null_count"),
-        F.col("nd_exact").alias("n_unique_exact"))
+        null_pct.alias("null_pct"), zeros_pct.alias("zeros_pct"), nulls.alias("null_count"))
 
 
 def _raw_fields() -> list[tuple[str, str]]:
@@ -179,16 +170,6 @@ def imbalance(df: DataFrame, target: str = "target") -> DataFrame:
     )
 
 
-def class_count(df: DataFrame, target: str = "target") -> DataFrame:
-    """Number of distinct labels."""
-    return df.agg(F.count_distinct(target).alias("n_classes"))
-
-
-def positive_rate(df: DataFrame, by: str = "split", target: str = "target") -> DataFrame:
-    """Mean of the label per group."""
-    return df.groupBy(by).agg(F.avg(F.col(target).cast("double")).alias("positive_rate"))
-
-
 def key_sample(df: DataFrame, key: list[str], fraction: float, seed: str = "sample") -> DataFrame:
     """A stable sample by key hash (never ``limit``: that depends on scan order).
 
@@ -219,8 +200,12 @@ def _names(prof: DataFrame, role: str, limit: int | None = None) -> Column:
     return F.slice(names, 1, limit) if limit else names
 
 
-def report(prof: DataFrame, df: DataFrame, target: str = "target") -> DataFrame:
-    """The profile as report text, ``(line_no, line)``; first 20 numeric names, first 15 numeric stats (O3)."""
+def report(prof: DataFrame, df: DataFrame, target: str = "target", max_names: int | None = None,
+           max_stats: int | None = None) -> DataFrame:
+    """The profile as report text, ``(line_no, line)``.
+
+    ``max_names`` numeric names and ``max_stats`` lines of numeric statistics are shown (default: all).
+    """
     counts = target_distribution(df, target)
     balance = counts.agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("target", "n"))),
@@ -231,18 +216,18 @@ def report(prof: DataFrame, df: DataFrame, target: str = "target") -> DataFrame:
     summary = prof.agg(
         F.count(F.lit(1)).alias("n_features"),
         *[F.count_if(F.col("role") == r).alias(f"k_{r}") for r in ("numeric", "categorical", "high_cardinality", "id_like")],
-        _names(prof, "numeric", 20).alias("numeric"), _names(prof, "categorical").alias("categorical"),
+        _names(prof, "numeric", max_names).alias("numeric"), _names(prof, "categorical").alias("categorical"),
         _names(prof, "high_cardinality").alias("high_cardinality"), _names(prof, "id_like").alias("id_like"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("null_count") > 0, F.struct(
             "position", F.concat(F.col("column"), F.lit(": "), F.col("null_pct").cast("string")).alias("t"))))),
             lambda s: s["t"]), ", ").alias("missing"))
-    # the balance figures enter as scalar subqueries (one value each, no join)
-    both = summary.withColumns({c: balance.select(c).scalar() for c in ("dist", "ratio", "n_rows")})
+    # the balance enters as one scalar subquery (a struct), so the table is counted once
+    both = summary.withColumn("__b", balance.select(F.struct("dist", "ratio", "n_rows")).scalar()).select("*", "__b.*")
 
     def role_line(no: int, label: str, role: str, more: bool = False) -> Column:
         text = F.concat(F.lit(f"{label} ("), F.col(f"k_{role}").cast("string"), F.lit("): "),
                         F.array_join(F.col(role), ", "),
-                        F.when(F.lit(more) & (F.col(f"k_{role}") > 20), F.lit("...")).otherwise(F.lit("")))
+                        F.when(F.lit(more and max_names is not None) & (F.col(f"k_{role}") > F.lit(max_names or 0)), F.lit("...")).otherwise(F.lit("")))
         return F.struct(F.lit(no).alias("line_no"), F.when((F.col(f"k_{role}") > 0) | F.lit(role == "numeric"), text).alias("line"))
 
     head = both.select(F.inline(F.array(
@@ -259,11 +244,12 @@ def report(prof: DataFrame, df: DataFrame, target: str = "target") -> DataFrame:
         role_line(8, "ID columns (dropped)", "id_like"),
         F.struct(F.lit(9).alias("line_no"), F.concat(F.lit("Missing: "), F.when(F.col("missing") == "", F.lit("none"))
                                                    .otherwise(F.concat(F.lit("{"), F.col("missing"), F.lit("}")))).alias("line")),
-        F.struct(F.lit(10).alias("line_no"), F.lit("=== STATISTICS (first 15 numeric) ===").alias("line")),
+        F.struct(F.lit(10).alias("line_no"), F.lit("=== STATISTICS" + (f" (first {max_stats} numeric)" if max_stats else " (numeric)") + " ===").alias("line")),
     ))).where(F.col("line").isNotNull())
     nums = prof.where(F.col("role") == "numeric")
     w = Window.orderBy("position")  # over the numeric columns of one table: a handful of rows
-    stats = (nums.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= 15).select(
+    ranked = nums.withColumn("__r", F.row_number().over(w))
+    stats = ((ranked.where(F.col("__r") <= max_stats) if max_stats else ranked).select(
         (F.lit(10) + F.col("__r")).alias("line_no"),
         F.concat(F.lit("  "), F.col("column"), F.lit(": mean="), _num_text(F.col("mean")), F.lit(", std="),
                  _num_text(F.col("std")), F.lit(", ["), _num_text(F.col("min")), F.lit(", "), _num_text(F.col("max")),

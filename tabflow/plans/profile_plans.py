@@ -180,7 +180,7 @@ SELECT line_no, line FROM lines"""
 @register("profile_report", "S14 O3 F8", fx.with_views("", "labelled").rstrip() + ",\n" + _PROFILE_CTE + _REPORT_SQL)
 def profile_report(spark, sf_dir):
     df = fx.labelled(spark, sf_dir)
-    return P.report(P.profile(df), df)
+    return P.report(P.profile(df), df, max_names=20, max_stats=15)
 
 
 @register("freq_encode_all_rows", "A9 M4", fx.with_views("", "labelled").rstrip() + "," + SPLIT_CTES

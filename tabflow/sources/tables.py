@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import qcol
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -27,10 +29,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     changed = False
     for f in df.schema.fields:
         if isinstance(f.dataType, _FLOATS):
-            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+            cols.append(F.nanvl(qcol(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
             changed = True
         else:
-            cols.append(F.col(f.name))
+            cols.append(qcol(f.name))
     return df.select(*cols) if changed else df
 
 

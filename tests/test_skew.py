@@ -50,19 +50,46 @@ def test_split_with_dominant_class(spark):
     assert got == {(0, "train"): 4704, (0, "val"): 1176, (1, "train"): 96, (1, "val"): 24}
 
 
-def test_frequency_encoder_shuffle_path_with_null_heavy_column(spark, monkeypatch):
+def test_frequency_encoder_same_result_by_shuffle_or_broadcast(spark):
     from tabflow.operators import encode as E
     rows = [(i, None if i % 3 else f"v{i % 7}") for i in range(900)]
-    df = spark.createDataFrame(rows, "key long, c string")
-    monkeypatch.setattr(E, "BROADCAST_MAX_ROWS", 0)  # force the shuffle join
-    got = {r["key"]: r["f"] for r in E.FrequencyEncoder(inputCols=["c"], outputCols=["f"]).fit(df).transform(df).collect()}
-    monkeypatch.setattr(E, "BROADCAST_MAX_ROWS", 2_000_000)
-    want = {r["key"]: r["f"] for r in E.FrequencyEncoder(inputCols=["c"], outputCols=["f"]).fit(df).transform(df).collect()}
+    df = spark.createDataFrame(rows, "key long, `a.b` string")
+
+    def run():
+        enc = E.FrequencyEncoder(inputCols=["a.b"], outputCols=["f"])
+        return {r["key"]: r["f"] for r in enc.fit(df).transform(df).collect()}
+
+    want = run()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     non_null = [v for _, v in rows if v is not None]
     assert got == want and got[1] == 0.0
     assert abs(got[0] - non_null.count("v0") / len(non_null)) < 1e-12
 
 
+def test_distinct_counts_stay_exact(spark):
+    from tabflow.operators import profile as P
+    df = spark.range(1_200_000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("word"))
+    assert P.profile(df, target=None).first()["n_unique"] == 1_200_000
+
+
+def test_prefixes_do_not_depend_on_shuffle_partitions(spark):
+    from tabflow.operators import ranking as R
+    assert R.default_buckets(spark.range(1)) == R.N_BUCKETS
+    rows = [(None if i % 3 == 0 else f"g{i % 3}", f"k{i:05d}", i % 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, k string, v long").repartition(6)
+    got = {r["k"]: r["running"] for r in R.running(df, "k", "v", partition_cols=("g",), exclusive=False).collect()}
+    total, want = {}, {}
+    for g, k, v in rows:
+        total[g] = total.get(g, 0) + v
+        want[k] = total[g]
+    assert got == want
+
+
 def test_median_of_all_null_column(spark):
     from tabflow.operators import stats
     df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None)], "a double, b double")
