@@ -8,8 +8,10 @@ order and cluster size. Finding each class's cut needs no global sort:
   counted per (class, bucket) with map-side combine (a small table);
 * running counts over that table locate, per class, the boundary bucket and
   how many of its rows still go to validation;
-* rows below the boundary are validation, above it training; only rows of the
-  boundary bucket (about n / 1M per class) are ordered by a window.
+* only the rows of the boundary bucket (about n / 1M per class) are ordered; the
+  last validation row among them is the class's cut (one row per class);
+* the split itself is then a comparison with that cut: no join, window or
+  shuffle, and one pass over the table for whoever reads the result.
 
 Quotas follow the reference's library: ``n_val = ceil(test_size * n)``; each
 class gets ``floor(n_c * n_train / n)`` training rows, left-over training rows
@@ -97,21 +99,43 @@ def stratified_split(
                .join(F.broadcast(qdf), "__cls")
                .where((F.col("__start") < F.col("__q")) & (F.col("__q") <= F.col("__start") + F.col("__bc")))
                .select("__cls", F.col("__b").alias("__edge"), (F.col("__q") - F.col("__start")).alias("__need")))
-    # one row per class: broadcast is bounded by the number of labels
-    tagged = staged.join(F.broadcast(bound), "__cls", "left")
-    edge = F.col("__edge")
-    far = tagged.where(edge.isNull() | (F.col("__b") != edge)).withColumn(
-        out, F.when(edge.isNotNull() & (F.col("__b") < edge), "val").otherwise("train"))
     # ties on (hash, key) only happen for duplicate keys: the row's other orderable
     # columns break them, so even then the assignment is deterministic
     rest = [f.name for f in df.schema.fields
             if f.name not in key and not isinstance(f.dataType, (T.MapType, T.BinaryType))]
-    wr = Window.partitionBy("__cls").orderBy("__h", *key, *rest)
-    near = (tagged.where(F.col("__b") == edge)
-            .withColumn("__rn", F.row_number().over(wr))
-            .withColumn(out, F.when(F.col("__rn") <= F.col("__need"), "val").otherwise("train"))
-            .drop("__rn"))
-    return far.unionByName(near).drop("__cls", "__h", "__b", "__edge", "__need")
+    order = ["__h", *key, *rest]
+    # one row per class: broadcast is bounded by the number of labels
+    near = staged.join(F.broadcast(bound), "__cls").where(F.col("__b") == F.col("__edge"))
+    wr = Window.partitionBy("__cls").orderBy(*order)
+    ranked = near.select("__cls", "__need", *order).withColumn("__rn", F.row_number().over(wr))
+    cuts = ranked.where(F.col("__rn") == F.col("__need")).collect()  # one row per class
+    types = {f.name: f.dataType for f in staged.schema.fields}
+
+    def lit(row, c):
+        return F.lit(row[c]).cast(types[c])
+
+    is_val, tied = F.lit(False), []
+    for r in cuts:
+        mine = F.col("__cls").eqNullSafe(lit(r, "__cls"))
+        at = F.struct(*[F.col(c) for c in order])
+        last = F.struct(*[lit(r, c).alias(c) for c in order])
+        is_val = is_val | (mine & (at <= last))
+        tied.append((r["__cls"], r["__rn"], mine & at.eqNullSafe(last)))
+    res = staged.withColumn(out, F.when(is_val, "val").otherwise("train"))
+    # identical rows at a cut (repeated rows): only then some of them are numbered to meet the quota exactly
+    same = F.lit(False)
+    for _, _, m in tied:
+        same = same | m
+    copies = {r["__cls"]: (r["first"], r["last"]) for r in
+              near.withColumn("__rn", F.row_number().over(wr)).where(same)
+              .groupBy("__cls").agg(F.min("__rn").alias("first"), F.max("__rn").alias("last")).collect()} if tied else {}
+    if any(copies[c][1] > rn for c, rn, _ in tied):
+        keep = literal_table(spark, [(c, int(rn - copies[c][0] + 1)) for c, rn, _ in tied], ["__cls", "__keep"]).select(
+            F.col("__cls").cast(cls_type).alias("__cls"), "__keep")
+        extra = (res.where(same).join(F.broadcast(keep), "__cls").withColumn("__rn", F.row_number().over(wr))
+                 .withColumn(out, F.when(F.col("__rn") <= F.col("__keep"), "val").otherwise("train")))
+        res = res.where(~same).unionByName(extra.select(*res.columns))
+    return res.drop("__cls", "__h", "__b")
 
 
 def split_counts(split_df: DataFrame, target: str = "target", by: str = "split") -> DataFrame:
@@ -127,20 +151,18 @@ def split_counts(split_df: DataFrame, target: str = "target", by: str = "split")
 
 
 def partition_check(full: DataFrame, split_df: DataFrame, key: str | list[str], by: str = "split") -> DataFrame:
-    """Train and val partition the full table (by key): one row of counts."""
+    """Train and val partition the full table (by key): one row of counts, from one grouping by key."""
     key = [key] if isinstance(key, str) else list(key)
-    tr = split_df.where(F.col(by) == "train").select(*key)
-    va = split_df.where(F.col(by) == "val").select(*key)
-    k = full.select(*key)
-    n_overlap = tr.intersect(va).select(F.count(F.lit(1))).scalar()
-    n_missing = k.exceptAll(tr.unionByName(va)).select(F.count(F.lit(1))).scalar()
-    n_extra = tr.unionByName(va).exceptAll(k).select(F.count(F.lit(1))).scalar()
-    return full.agg(F.count(F.lit(1)).alias("n_full")).select(
-        "n_full",
-        tr.select(F.count(F.lit(1))).scalar().alias("n_train"),
-        va.select(F.count(F.lit(1))).scalar().alias("n_val"),
-        n_overlap.alias("n_overlap"), n_missing.alias("n_missing"), n_extra.alias("n_extra"),
-    )
+    tagged = full.select(*key, F.lit("full").alias("__in")).unionByName(split_df.select(*key, F.col(by).alias("__in")))
+    n = {t: F.count_if(F.col("__in") == t) for t in ("full", "train", "val")}
+    per_key = tagged.groupBy(*key).agg(*[c.alias(f"__{t}") for t, c in n.items()])
+    both = F.col("__train") + F.col("__val")
+    return per_key.agg(
+        F.coalesce(F.sum("__full"), F.lit(0)).alias("n_full"), F.coalesce(F.sum("__train"), F.lit(0)).alias("n_train"),
+        F.coalesce(F.sum("__val"), F.lit(0)).alias("n_val"),
+        F.count_if((F.col("__train") > 0) & (F.col("__val") > 0)).alias("n_overlap"),
+        F.coalesce(F.sum(F.greatest(F.col("__full") - both, F.lit(0))), F.lit(0)).alias("n_missing"),
+        F.coalesce(F.sum(F.greatest(both - F.col("__full"), F.lit(0))), F.lit(0)).alias("n_extra"))
 
 
 def rows_in_split(df: DataFrame, assignment: DataFrame, key: str | list[str], which: str = "val", by: str = "split") -> DataFrame:

@@ -44,21 +44,23 @@ def freq_encode(spark, sf_dir):
     return model.transform(sp).select("key", "split", "stock_code_freq")
 
 
-_UNSEEN_COLS = ["priority", "segment", "stock_code", "customer_id"]
+_UNSEEN_COLS = ["priority", "segment", "stock_code", "customer_id", "order_group"]  # the last has values outside train
+_GROUPED = "(SELECT *, concat('G', CAST(key % 5003 AS VARCHAR)) AS order_group FROM assigned)"
 
 
 @register("unseen_categories", "J6", _sql(
     "SELECT o.\"column\", o.value, o.split, o.rows FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", coalesce({c}, '__nan__') AS value, split, count(*) AS rows FROM assigned "
+        f"SELECT '{c}' AS \"column\", coalesce({c}, '__nan__') AS value, split, count(*) AS rows FROM {_GROUPED} "
         f"WHERE split <> 'train' GROUP BY 2, 3" for c in _UNSEEN_COLS)
     + ") o WHERE NOT EXISTS (SELECT 1 FROM ("
     + " UNION ALL ".join(
-        f"SELECT DISTINCT '{c}' AS \"column\", coalesce({c}, '__nan__') AS value FROM assigned WHERE split = 'train'"
+        f"SELECT DISTINCT '{c}' AS \"column\", coalesce({c}, '__nan__') AS value FROM {_GROUPED} WHERE split = 'train'"
         for c in _UNSEEN_COLS)
     + ") k WHERE k.\"column\" = o.\"column\" AND k.value = o.value)"))
 def unseen_categories(spark, sf_dir):
-    return E.unseen_categories(labelled_split(spark, sf_dir), _UNSEEN_COLS)
+    sp = labelled_split(spark, sf_dir)
+    return E.unseen_categories(sp.withColumn("order_group", F.concat(F.lit("G"), (F.col("key") % 5003).cast("string"))), _UNSEEN_COLS)
 
 
 @register("median_impute", "M2 A10 F5", _sql(

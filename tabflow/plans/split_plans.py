@@ -51,7 +51,9 @@ def split_counts(spark, sf_dir):
     "SELECT (SELECT count(*) FROM labelled) AS n_full, "
     "(SELECT count(*) FROM assigned WHERE split = 'train') AS n_train, "
     "(SELECT count(*) FROM assigned WHERE split = 'val') AS n_val, "
-    "CAST(0 AS BIGINT) AS n_overlap, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra"))
+    "(SELECT count(*) FROM (SELECT key FROM assigned WHERE split = 'train' INTERSECT SELECT key FROM assigned WHERE split = 'val') i) AS n_overlap, "
+    "(SELECT count(*) FROM (SELECT key FROM labelled EXCEPT ALL SELECT key FROM assigned) e) AS n_missing, "
+    "(SELECT count(*) FROM (SELECT key FROM assigned EXCEPT ALL SELECT key FROM labelled) x) AS n_extra"))
 def split_partition_check(spark, sf_dir):
     full = fx.labelled(spark, sf_dir)
     return S.partition_check(full, labelled_split(spark, sf_dir), "key")
@@ -62,7 +64,11 @@ def split_partition_check(spark, sf_dir):
     "FROM labelled WHERE key IN (SELECT key FROM assigned WHERE split = 'val')"))
 def val_rows(spark, sf_dir):
     full = fx.labelled(spark, sf_dir)
-    assignment = labelled_split(spark, sf_dir).select("key", "split")
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"assignments/{uuid.uuid4().hex}")
+    S.save_assignment(labelled_split(spark, sf_dir), "key", path)  # written once, read by every later job
+    assignment = spark.read.parquet(path)
     return S.rows_in_split(full, assignment, "key", "val").drop("target")
 
 

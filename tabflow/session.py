@@ -63,14 +63,24 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULTS.items():
         if not set_by_user(spark, k):
             spark.conf.set(k, v)
-    # days are calendar days in UTC (ledger, run ids, streaming windows): pinned, not defaulted
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
     return spark
 
 
+SHARED_SCHEMES = ("hdfs", "s3", "s3a", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "dbfs", "viewfs", "webhdfs", "ofs", "cosn")
+
+
+def needs_shared_folder(master: str, folder: str | None) -> bool:
+    """True when ``folder`` cannot serve a session on ``master``: unset on anything but a local master."""
+    return not folder and not master.startswith("local[") and master != "local"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only when unset on a local master (tests).
+
+    On a cluster a machine-local folder would hold a part of the data on every executor, so an unset
+    folder is an error there.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns the context
@@ -78,6 +88,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if needs_shared_folder(sc.master if sc is not None else "remote", d):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share "
+                         f"(for example on {', '.join(SHARED_SCHEMES[:4])}); a temporary folder is only used on a local master")
     if not d:
         d = tempfile.mkdtemp(prefix="tabflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -16,3 +16,10 @@ def test_configure_keeps_explicit_settings(spark):
     configure(spark)
     assert spark.conf.get("spark.sql.shuffle.partitions") == old
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from tabflow.session import needs_shared_folder
+    assert needs_shared_folder("spark://host:7077", None) and needs_shared_folder("yarn", "")
+    assert needs_shared_folder("local-cluster[3,2,2000]", None)
+    assert not needs_shared_folder("local[8]", None) and not needs_shared_folder("yarn", "hdfs:///ckpt")
