@@ -158,7 +158,7 @@ def budget_admission(spark, sf_dir):
 @register("daily_usage_stream", "ST1 A13", _ledger_sql(DAILY_SQL))
 def daily_usage_stream(spark, sf_dir):
     from ..streaming.ledger_stream import run_ledger_stream
-    d = run_ledger_stream(spark, sf_dir, "events.parquet")
+    d = run_ledger_stream(spark, f"{sf_dir}/events.parquet")
     return d.withColumn("spent_usd", F.round("spent_usd", 8))
 
 
@@ -227,10 +227,42 @@ def run_meta_scan(spark, sf_dir):
     "AS sb FROM costed) t"))
 def budget_admission_stream(spark, sf_dir):
     from ..streaming.admission_stream import run_admission_stream
-    r = run_admission_stream(spark, sf_dir, "events.parquet")
+    r = run_admission_stream(spark, f"{sf_dir}/events.parquet")
     return r.select("call_seq", "day", F.round("spent_before_usd", 8).alias("spent_before_usd"), "admitted")
 
 
+def _newest_first(spark, sf_dir) -> str:
+    """The call table rewritten as three files that arrive newest days first."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.tables import read_table
+    path = scratch_path(spark, f"late_events/{uuid.uuid4().hex}")
+    e = read_table(spark, sf_dir, "events")
+    lo, hi = e.agg(F.percentile_approx("event_id", 0.33), F.percentile_approx("event_id", 0.66)).first()
+    i = F.col("event_id")
+    for part in (e.where(i >= hi), e.where((i >= lo) & (i < hi)), e.where(i < lo)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register("daily_usage_stream_late", "ST1 A13", _ledger_sql(DAILY_SQL))
+def daily_usage_stream_late(spark, sf_dir):
+    from ..streaming.ledger_stream import run_ledger_stream
+    return run_ledger_stream(spark, _newest_first(spark, sf_dir)).withColumn("spent_usd", F.round("spent_usd", 8))
+
+
+@register("admission_stream_late", "W3 ST1 P12", _ledger_sql(
+    "SELECT day, count(*) AS calls, round(CAST(max(spent) AS DOUBLE) / 1e6, 8) AS spent_usd FROM "
+    "(SELECT day, sum(cost_micro) OVER (PARTITION BY day) AS spent FROM costed) t GROUP BY day"))
+def admission_stream_late(spark, sf_dir):
+    """Every call arrives once, whatever the order: per day the spend before the last call plus its cost is the total."""
+    from ..streaming.admission_stream import run_admission_stream
+    r = run_admission_stream(spark, _newest_first(spark, sf_dir))
+    cost = _costed(spark, sf_dir).select("call_seq", "cost_usd")
+    after = r.join(cost, "call_seq").withColumn("after", F.col("spent_before_usd") + F.col("cost_usd"))
+    return after.groupBy("day").agg(F.count(F.lit(1)).alias("calls"), F.round(F.max("after"), 8).alias("spent_usd"))
+
+
 @register("tried_approaches", "P13 W5 F7", fx.with_views(
     "SELECT attempt_seq, row_number() OVER (ORDER BY attempt_seq) AS position, "
     "substr(approach_description, 1, 100) AS approach FROM attempts", "attempts"))

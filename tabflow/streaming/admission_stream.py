@@ -1,93 +1,63 @@
-"""W3 as a stream: admit calls one by one against the day's spend so far.
+"""W3 as a stream: admit calls batch by batch against the day's spend so far.
 
-``applyInPandasWithState`` keeps one state row per day (the exact spend so
-far, as a decimal). Each micro-batch hands a day's new calls to the function,
-which orders them by sequence, computes the spend before each call and admits
-it while that is under the limit. The group is bounded by the trigger size, not
-by the day. The output (one row per call, append mode) goes to an append-only
-parquet table tagged with the batch id; a replayed batch restarts from the
-checkpointed state and writes identical rows, which readers deduplicate.
+The day totals live in a small table, one row per (batch, day) the batch touched. A
+micro-batch reads the totals of earlier batches, adds the running spend of its own calls (the
+bucketed prefix of ``ranking.running``: a day holding a third of all calls is many tasks), and
+admits a call while the spend before it is under the limit. Calls are taken in arrival
+order: batch by batch, by sequence inside a batch.
 
-Day state is dropped once the event-time watermark passes the day's end, so
-state stays at one row per open day.
+Both outputs of a batch go to folders named by its id, so a replayed batch reads the same
+earlier totals and rewrites the same rows. Late calls are admitted against their own day's
+total; no call is dropped.
 """
 
 from __future__ import annotations
 
 import uuid
-from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.scalar import day_string
 from ..operators.ledger import DEFAULT_DAILY_LIMIT, with_cost
+from ..operators.ranking import running
 from ..session import scratch_path
 from ..sources.fixtures import usage_from_events
-from .ledger_stream import events_stream
+from .ledger_stream import events_stream, finish
 
-OUT_SCHEMA = T.StructType([
-    T.StructField("call_seq", T.LongType()),
-    T.StructField("day", T.StringType()),
-    T.StructField("spent_before_micro", T.DecimalType(38, 6)),
-    T.StructField("admitted", T.BooleanType()),
-])
-STATE_SCHEMA = T.StructType([T.StructField("spent_micro", T.StringType())])
+MONEY = "decimal(38,6)"
 
 
-def _admit_fn(limit_micro: Decimal):
-    def admit(key, batches, state):
-        day = key[0]
-        spent = Decimal(state.get[0]) if state.exists else Decimal(0)
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("call_seq", kind="stable")
-        costs = pdf["cost_micro"].map(Decimal)
-        before = spent + (costs.cumsum() - costs)  # exact decimal spend before each call
-        flags = before < limit_micro
-        spent = spent + costs.sum()
-        state.update((str(spent),))
-        # keep the day until the watermark passes its end (+1 day of lateness)
-        end_ms = int(pd.Timestamp(day, tz="UTC").timestamp() * 1000) + 2 * 86_400_000
-        state.setTimeoutTimestamp(end_ms)
-        yield pd.DataFrame({"call_seq": pdf["call_seq"].astype("int64").values, "day": day,
-                            "spent_before_micro": before.values, "admitted": flags.values.astype(bool)})
-    return admit
+def admit_batch(batch: DataFrame, totals: DataFrame, limit: float) -> DataFrame:
+    """``(call_seq, day, cost, spent_before_micro, admitted)`` of one batch; ``totals(day, spent)`` is what came before."""
+    r = running(batch, "call_seq", "cost", "sum", ("day",), True, "inside")
+    earlier = totals.groupBy("day").agg(F.sum("spent").cast(MONEY).alias("earlier"))  # one row per day
+    joined = r.join(earlier.withColumnRenamed("day", "d"), F.col("day").eqNullSafe(F.col("d")), "left").drop("d")
+    before = (F.coalesce(F.col("earlier"), F.lit(0)) + F.col("inside")).cast(MONEY)
+    limit_micro = F.lit(str(int(round(limit * 1e6)))).cast(MONEY)
+    return joined.select("call_seq", "day", "cost", before.alias("spent_before_micro"), (before < limit_micro).alias("admitted"))
 
 
-def admission_stream(costed: DataFrame, limit: float = DEFAULT_DAILY_LIMIT, ts: str = "ts") -> DataFrame:
-    limit_micro = Decimal(str(limit)) * Decimal(1_000_000)
-    keyed = (costed.withColumn("__t", F.col(ts).cast("timestamp")).withWatermark("__t", "1 day")
-             .select(day_string(F.col(ts)).alias("day"), "call_seq", "__t",
-                     F.col("cost_micro").cast("decimal(38,6)").alias("cost_micro")))
-    return keyed.groupBy("day").applyInPandasWithState(
-        _admit_fn(limit_micro), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def run_admission_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet", max_files: int = 1,
-                         limit: float = DEFAULT_DAILY_LIMIT, timeout_s: int = 600) -> DataFrame:
+def run_admission_stream(spark: SparkSession, path: str, max_files: int = 1, limit: float = DEFAULT_DAILY_LIMIT,
+                         timeout_s: float | None = None) -> DataFrame:
     """Run over the files present (available-now); return one row per call."""
     run = uuid.uuid4().hex
-    out_path = scratch_path(spark, f"admission_stream/{run}/table")
+    out_path = scratch_path(spark, f"admission_stream/{run}/calls")
+    totals_path = scratch_path(spark, f"admission_stream/{run}/totals")
     ckpt = scratch_path(spark, f"admission_stream/{run}/checkpoint")
-    costed = with_cost(usage_from_events(events_stream(spark, source_dir, glob, max_files)))
+    costed = with_cost(usage_from_events(events_stream(spark, path, max_files))).select(
+        "call_seq", day_string(F.col("ts")).alias("day"), F.col("cost_micro").cast(MONEY).alias("cost"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
-
-    q = (admission_stream(costed, limit).writeStream.outputMode("append").foreachBatch(write_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("admission stream did not finish")
-    if q.exception():
-        raise q.exception()
-    t = spark.read.parquet(out_path)
-    return t.dropDuplicates(["call_seq"]).select(
-        "call_seq", "day", (F.col("spent_before_micro").cast("double") / F.lit(1e6)).alias("spent_before_usd"),
-        "admitted")
+        s = batch.sparkSession
+        none = s.createDataFrame([], f"day string, spent {MONEY}, batch_id long")
+        seen = s.read.schema(none.schema).parquet(f"{totals_path}/batch=*").where(F.col("batch_id") < batch_id) if batch_id else none
+        admit_batch(batch, seen, limit).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        # totals come last: a batch that fails before here is replayed whole
+        (batch.groupBy("day").agg(F.sum("cost").cast(MONEY).alias("spent"))
+         .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{totals_path}/batch={batch_id}"))
+
+    finish(costed.writeStream.outputMode("append").foreachBatch(write_batch).option("checkpointLocation", ckpt)
+           .trigger(availableNow=True).start(), timeout_s, "admission stream")
+    t = spark.read.parquet(f"{out_path}/batch=*")
+    return t.select("call_seq", "day", (F.col("spent_before_micro").cast("double") / F.lit(1e6)).alias("spent_before_usd"), "admitted")

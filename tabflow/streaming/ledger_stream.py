@@ -1,15 +1,17 @@
 """ST1: the usage ledger maintained call by call as a streaming daily total.
 
-``readStream`` over the call files -> broadcast price lookup (stream-static
-join) -> event-time watermark -> ``groupBy(window(ts, '1 day'))`` with the same
-exact-money aggregates as the batch ``ledger.daily_usage``.
+``readStream`` over the call table (one file or a folder of files, declared schema, NaN
+made null as in the batch scan) -> broadcast price lookup (stream-static join) ->
+``groupBy(day)`` with the same exact-money aggregates as the batch ``ledger.daily_usage``.
+
+Every call counts, however late it arrives: there is no dropping watermark. The state is one
+row per calendar day, so it does not need one.
 
 The sink is a parquet table in the shared checkpoint folder written by
-``foreachBatch`` in update mode: every micro-batch appends the days it changed,
-tagged with its batch id. A replayed batch (after a lost executor or driver
-restart) appends identical rows under the same id, so readers take, per day,
-the row of the highest batch id and the result is exactly-once in effect.
-State is one row per open day, dropped once the watermark passes it.
+``foreachBatch`` in update mode: every micro-batch writes the days it changed into a
+folder of its own batch id. A replayed batch (after a lost executor or driver restart)
+overwrites that folder with the same rows; readers take, per day, the row of the highest
+batch id.
 """
 
 from __future__ import annotations
@@ -18,35 +20,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalar import day_string
 from ..operators.ledger import with_cost
 from ..session import scratch_path
 from ..sources.fixtures import usage_from_events
+from ..sources.tables import nan_to_null
 
-WATERMARK = "1 day"
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+TOTALS_SCHEMA = ("day string, spent_micro decimal(38,6), calls bigint, input_tokens bigint, output_tokens bigint, batch_id bigint")
 
 
-def events_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet", max_files: int = 1) -> DataFrame:
-    """Streaming scan of call files (schema taken once from the files present)."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-            .option("maxFilesPerTrigger", max_files).parquet(source_dir))
+def events_stream(spark: SparkSession, path: str, max_files: int = 1, schema: T.StructType = EVENTS_SCHEMA) -> DataFrame:
+    """Streaming scan of a call table: ``path`` is its folder, or its only file."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop)
+    # the file source lists folders: a single file is its folder, filtered by name
+    df = reader.parquet(path) if status.isDirectory() else reader.option("pathGlobFilter", name).parquet(folder)
+    return nan_to_null(df)
 
 
 def daily_totals_stream(costed: DataFrame, ts: str = "ts") -> DataFrame:
-    t = F.col(ts).cast("timestamp")
-    return (costed.withColumn("__t", t).withWatermark("__t", WATERMARK)
-            .groupBy(F.window("__t", "1 day").alias("w"))
-            .agg(F.sum("cost_micro").alias("spent_micro"), F.count(F.lit(1)).alias("calls"),
-                 F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"))
-            .select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "spent_micro", "calls",
-                    "input_tokens", "output_tokens"))
+    return costed.groupBy(day_string(F.col(ts)).alias("day")).agg(
+        F.sum("cost_micro").cast("decimal(38,6)").alias("spent_micro"), F.count(F.lit(1)).alias("calls"),
+        F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"))
 
 
 def start(totals: DataFrame, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     w = (totals.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
@@ -54,9 +62,22 @@ def start(totals: DataFrame, out_path: str, checkpoint: str, available_now: bool
     return w.start()
 
 
+def finish(q: StreamingQuery, timeout_s: float | None, what: str) -> None:
+    """Wait for an available-now stream; ``timeout_s`` (default: no limit) stops it with an error."""
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"{what} did not finish in {timeout_s} s")
+    if q.exception():
+        raise q.exception()
+
+
 def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
     """The current daily totals: per day, the row written by the latest micro-batch."""
-    t = spark.read.parquet(out_path)
+    t = spark.read.schema(TOTALS_SCHEMA).parquet(f"{out_path}/batch=*")
     latest = t.groupBy("day").agg(F.max_by(F.struct("spent_micro", "calls", "input_tokens", "output_tokens"),
                                            F.col("batch_id")).alias("r"))
     return latest.select("day", (F.col("r.spent_micro").cast("double") / F.lit(1e6)).alias("spent_usd"),
@@ -64,18 +85,11 @@ def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
                          F.col("r.output_tokens").alias("output_tokens"))
 
 
-def run_ledger_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet",
-                      max_files: int = 1, timeout_s: int = 600) -> DataFrame:
+def run_ledger_stream(spark: SparkSession, path: str, max_files: int = 1, timeout_s: float | None = None) -> DataFrame:
     """Run the ledger stream over the files present (available-now) and return its daily totals."""
     run = uuid.uuid4().hex
     out_path = scratch_path(spark, f"ledger_stream/{run}/table")
     ckpt = scratch_path(spark, f"ledger_stream/{run}/checkpoint")
-    costed = with_cost(usage_from_events(events_stream(spark, source_dir, glob, max_files)))
-    q = start(daily_totals_stream(costed), out_path, ckpt)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("ledger stream did not finish")
-    if q.exception():
-        raise q.exception()
+    costed = with_cost(usage_from_events(events_stream(spark, path, max_files)))
+    finish(start(daily_totals_stream(costed), out_path, ckpt), timeout_s, "ledger stream")
     return read_latest(spark, out_path)

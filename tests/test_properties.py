@@ -90,7 +90,7 @@ def test_stream_equals_batch_over_many_files(spark):
         chunk.coalesce(1).write.mode("append").parquet(os.path.join(src, "events.parquet"))
         time.sleep(1.1)
     from tabflow.streaming.ledger_stream import run_ledger_stream
-    stream = run_ledger_stream(spark, os.path.join(src, "events.parquet"), glob="*.parquet", max_files=1)
+    stream = run_ledger_stream(spark, os.path.join(src, "events.parquet"), max_files=1)
     batch = L.daily_usage(L.with_cost(fx.usage(spark, SF_SMALL)))
     key = ["day", "calls", "input_tokens", "output_tokens"]
     a = sorted((r["day"], r["calls"], r["input_tokens"], r["output_tokens"], round(r["spent_usd"], 8))
@@ -100,6 +100,23 @@ def test_stream_equals_batch_over_many_files(spark):
     assert a == b and len(a) > 0, key
 
 
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_streams_drop_no_late_call(spark, newest_first):
+    import time
+    from tabflow.streaming.admission_stream import run_admission_stream
+    from tabflow.streaming.ledger_stream import run_ledger_stream
+    path = tempfile.mkdtemp(prefix="tabflow-late-") + "/events.parquet"
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    days = sorted(r[0] for r in ev.select(F.to_date("ts")).distinct().collect())
+    cuts = [days[:10], days[10:20], days[20:]]
+    for part in reversed(cuts) if newest_first else cuts:
+        ev.where(F.to_date("ts").isin(part)).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    n = ev.count()
+    assert run_ledger_stream(spark, path).agg(F.sum("calls")).first()[0] == n
+    assert run_admission_stream(spark, path).count() == n
+
+
 def test_median_matches_sql(spark):
     rnd = random.Random(11)
     vals = [rnd.choice([None, 1.0, 2.5, 2.5, 7.0, rnd.random() * 10]) for _ in range(301)]
@@ -119,7 +136,7 @@ def test_admission_stream_equals_batch(spark):
         chunk.coalesce(1).write.mode("append").parquet(os.path.join(src, "events.parquet"))
         time.sleep(1.1)
     limit = 0.05
-    stream = run_admission_stream(spark, os.path.join(src, "events.parquet"), glob="*.parquet", limit=limit)
+    stream = run_admission_stream(spark, os.path.join(src, "events.parquet"), limit=limit)
     batch = L.admission(L.with_cost(fx.usage(spark, SF_SMALL)), limit)
     a = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in stream.collect()}
     b = {r["call_seq"]: (r["admitted"], round(r["spent_before_usd"], 8)) for r in batch.collect()}
