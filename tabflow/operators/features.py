@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,27 +67,3 @@ def rowwise_hook(df: DataFrame, fn: Callable, in_cols: list[str], out_schema: T.
     schema = out_schema if isinstance(out_schema, T.StructType) else T._parse_datatype_string(out_schema)
     fields = list(schema.fields) + [df.schema[k] for k in keep]
     return df.select(*in_cols, *keep).mapInPandas(run, T.StructType(fields))
-
-
-class TransformChain:
-    """M7: an ordered, named chain of pyspark.ml stages, fitted once on train, applied to any split."""
-
-    def __init__(self):
-        self.names: list[str] = []
-        self.stages: list = []
-        self.model: PipelineModel | None = None
-
-    def add(self, name: str, stage) -> "TransformChain":
-        self.names.append(name)
-        self.stages.append(stage)
-        self.model = None  # refit lazily on next use
-        return self
-
-    def fit(self, train: DataFrame) -> "TransformChain":
-        self.model = Pipeline(stages=self.stages).fit(train)
-        return self
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        if self.model is None:
-            raise RuntimeError("fit the chain on the training split first")
-        return self.model.transform(df)

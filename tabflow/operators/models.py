@@ -9,6 +9,9 @@ with the guarded AUC of ``metrics.evaluate``.
 
 from __future__ import annotations
 
+import itertools
+import json
+import random
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -18,7 +21,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,18 +58,26 @@ def feature_stages(roles: dict[str, list[str]], exclude: tuple[str, ...] = ()) -
     return stages, feats
 
 
-def classifier(kind: str, target: str = "target", weight_col: str | None = None) -> Estimator:
-    """The learners the reference's hooks reach for, as Spark ML estimators."""
-    if kind == "lr":
-        lr = LogisticRegression(featuresCol="features", labelCol=target, maxIter=100)
-        return lr.setWeightCol(weight_col) if weight_col else lr
-    if kind == "rf":
-        return RandomForestClassifier(featuresCol="features", labelCol=target, numTrees=100, maxDepth=8, seed=SEED)
+# The learners' settings unless a caller passes others (any Spark ML parameter of the estimator).
+DEFAULT_PARAMS = {
+    "lr": {"maxIter": 1000},
+    "rf": {"numTrees": 100, "maxDepth": 8, "seed": SEED},
+    "gbt": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 5, "validationTol": 0.001, "seed": SEED},
+}
+ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
+
+
+def classifier(kind: str, target: str = "target", weight_col: str | None = None, params: dict | None = None) -> Estimator:
+    """The learners the reference's hooks reach for, as Spark ML estimators; ``params`` override the defaults."""
+    if kind not in ESTIMATORS:
+        raise ValueError(f"unknown classifier {kind}")
+    settings = {"featuresCol": "features", "labelCol": target, **DEFAULT_PARAMS[kind], **(params or {})}
     if kind == "gbt":
         # early stopping on an inner fold of train (never on the scored split)
-        return GBTClassifier(featuresCol="features", labelCol=target, maxIter=50, stepSize=0.1, maxDepth=5,
-                             seed=SEED, validationIndicatorCol="__es", validationTol=0.01)
-    raise ValueError(f"unknown classifier {kind}")
+        settings.setdefault("validationIndicatorCol", "__es")
+    if weight_col:
+        settings["weightCol"] = weight_col
+    return ESTIMATORS[kind](**settings)
 
 
 def with_p1(scored: DataFrame, out: str = "p1") -> DataFrame:
@@ -78,17 +89,17 @@ def _early_stop_flag(df: DataFrame, key: list[str], share: int = 10) -> DataFram
     return df.withColumn("__es", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(share)) == 0)
 
 
-def build(roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target") -> Pipeline:
+def build(roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target", params: dict | None = None) -> Pipeline:
     stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
-    return Pipeline(stages=stages + [classifier(kind, target)])
+    return Pipeline(stages=stages + [classifier(kind, target, params=params)])
 
 
 def fit(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target",
-        split_col: str = "split") -> PipelineModel:
+        split_col: str = "split", params: dict | None = None) -> PipelineModel:
     train = split_df.where(F.col(split_col) == "train")
     if kind == "gbt":
         train = _early_stop_flag(train, key)
-    return build(roles, kind, key, target).fit(train)
+    return build(roles, kind, key, target, params).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame, key: list[str], model_id: str) -> DataFrame:
@@ -97,10 +108,10 @@ def score(model: PipelineModel, df: DataFrame, key: list[str], model_id: str) ->
 
 
 def train_run(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target",
-              split_col: str = "split", model_id: str | None = None) -> tuple[PipelineModel, DataFrame]:
+              split_col: str = "split", model_id: str | None = None, params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit on train, score val, guarded AUC; returns the model and a one-row metrics frame."""
     model_id = model_id or kind
-    model = fit(split_df, roles, kind, key, target, split_col)
+    model = fit(split_df, roles, kind, key, target, split_col, params)
     val = split_df.where(F.col(split_col) == "val")
     preds = score(model, val, key, model_id)
     ev = evaluate(preds, val.select(*key, target), key=key[0] if len(key) == 1 else key, target=target)
@@ -110,8 +121,11 @@ def train_run(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key:
 
 
 def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str], key: list[str],
-               target: str = "target", parallelism: int = 2) -> DataFrame:
-    """Several candidate pipelines fitted concurrently on one persisted training set; best flagged."""
+               target: str = "target", parallelism: int = 2, params: dict[str, dict] | None = None) -> DataFrame:
+    """Several candidate pipelines fitted concurrently on one persisted training set; best flagged.
+
+    ``params`` holds the settings per kind.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
@@ -119,10 +133,11 @@ def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str
     split_df = split_df.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(kind):
-        return train_run(split_df, roles, kind, key, target)[1]
+        return train_run(split_df, roles, kind, key, target, params=(params or {}).get(kind))[1]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         metrics = list(pool.map(inheritable_thread_target(run), kinds))
+    split_df.unpersist()  # the scored groups are checkpointed; what is left is small
     rows = metrics[0]
     for m in metrics[1:]:
         rows = rows.unionByName(m)
@@ -147,7 +162,7 @@ def featurized(split_df: DataFrame, roles: dict[str, list[str]], key: list[str],
 
 
 def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str], key: list[str],
-            target: str = "target", folds: int = 3, parallelism: int = 4) -> DataFrame:
+            target: str = "target", folds: int = 3, parallelism: int = 4, params: dict[str, dict] | None = None) -> DataFrame:
     """Out-of-fold base scores on train (hash folds), a logistic meta-model, scored on val.
 
     The (base, fold) fits are independent Spark jobs and run from a small thread
@@ -166,7 +181,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
         fit_part = train if f is None else train.where(F.col("__fold") != f)
         if b == "gbt":
             fit_part = _early_stop_flag(fit_part, key)
-        m = classifier(b, target).fit(fit_part)
+        m = classifier(b, target, params=(params or {}).get(b)).fit(fit_part)
         scored = val if f is None else train.where(F.col("__fold") == f)
         return b, f, with_p1(m.transform(scored)).select(*key, F.col("p1").alias(b))
 
@@ -187,25 +202,39 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
     meta = Pipeline(stages=[VectorAssembler(inputCols=bases, outputCol="meta_x"),
                             LogisticRegression(featuresCol="meta_x", labelCol=target)]).fit(meta_train)
     preds = with_p1(meta.transform(val_scores)).select(*key, F.lit("stacked").alias("model_id"), "p1")
-    return evaluate(preds, val.select(*key, target), key=key[0], target=target)
+    res = evaluate(preds, val.select(*key, target), key=key[0], target=target)
+    feats.unpersist()
+    return res
+
 
+def grid_points(grid: dict[str, list], max_trials: int | None = None, seed: int = SEED) -> list[dict]:
+    """The grid's combinations; with ``max_trials`` a reproducible random choice of that many."""
+    points = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
+    if max_trials is None or max_trials >= len(points):
+        return points
+    return [points[i] for i in sorted(random.Random(seed).sample(range(len(points)), max_trials))]
 
-def cross_validated(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
-                    reg_params: tuple[float, ...] = (0.0, 0.01, 0.1), folds: int = 3, parallelism: int = 3):
-    """Grid search with k-fold CV on train (exact AUC: ``numBins=0``), best model scored on val."""
+
+def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], kind: str = "lr", grid: dict[str, list] | None = None,
+           target: str = "target", folds: int = 3, parallelism: int = 3, max_trials: int | None = None,
+           params: dict | None = None) -> DataFrame:
+    """Search over any learner's parameters with k-fold CV on train (exact AUC: ``numBins=0``); the best
+    setting is refitted on train and scored on val. ``params`` are settings all trials share; ``best_params`` is JSON."""
     feats = featurized(split_df, roles, key, target)
-    lr = classifier("lr", target)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
-    ev = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
-                                       numBins=0)
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=folds, parallelism=parallelism, seed=SEED)
+    if kind == "gbt":
+        feats = _early_stop_flag(feats, key)
+    est = classifier(kind, target, params=params)
+    points = grid_points(grid or {"regParam": [0.0, 0.01, 0.1]}, max_trials)
+    maps = [{est.getParam(k): v for k, v in p.items()} for p in points]
+    ev = BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, parallelism=parallelism, seed=SEED)
     model = cv.fit(feats.where(F.col("split") == "train"))
-    best_i = max(range(len(grid)), key=lambda i: (model.avgMetrics[i], -i))
+    best = max(range(len(points)), key=lambda i: (model.avgMetrics[i], -i))
     val = feats.where(F.col("split") == "val")
-    preds = with_p1(model.bestModel.transform(val)).select(*key, F.lit("cv_lr").alias("model_id"), "p1")
+    preds = with_p1(model.bestModel.transform(val)).select(*key, F.lit(f"cv_{kind}").alias("model_id"), "p1")
     res = evaluate(preds, val.select(*key, target), key=key[0], target=target)
-    return res.withColumn("best_reg_param", F.lit(float(reg_params[best_i])))
+    feats.unpersist()
+    return res.withColumn("best_params", F.lit(json.dumps(points[best], sort_keys=True))).withColumn("n_trials", F.lit(len(points)))
 
 
 def scaled_features(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target"):
@@ -217,15 +246,16 @@ def scaled_features(split_df: DataFrame, roles: dict[str, list[str]], key: list[
 
 def cluster_features(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], k: int = 4,
                      target: str = "target") -> DataFrame:
-    """KMeans on train; every row gets its cluster id and distance to that cluster's centre."""
+    """KMeans on train; every row gets its cluster, the distance to its centre and to all centres."""
     prep = scaled_features(split_df, roles, key, target)
     data = prep.transform(split_df)
     km = KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=SEED).fit(data.where(F.col("split") == "train"))
     centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in km.clusterCenters()])
     out = km.transform(data).withColumn("__x", vector_to_array("scaled"))
-    c = F.element_at(centers, F.col("cluster") + 1)
-    dist = F.sqrt(F.aggregate(F.zip_with("__x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    return out.select(*key, "split", "cluster", dist.alias("distance"))
+    all_d = F.transform(centers, lambda c: F.sqrt(F.aggregate(
+        F.zip_with("__x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)))
+    out = out.withColumn("distances", all_d)
+    return out.select(*key, "split", "cluster", F.element_at("distances", F.col("cluster") + 1).alias("distance"), "distances")
 
 
 def principal_components(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], k: int = 2,

@@ -76,12 +76,13 @@ def require_unique_key(df: DataFrame, key: list[str]) -> None:
         raise ValueError(f"key {key} is not unique")
 
 
-def load_dataset(spark: SparkSession, train: str, val: str, test: str | None = None, fmt: str = "parquet") -> DataFrame:
+def load_dataset(spark: SparkSession, train: str, val: str, test: str | None = None, fmt: str = "parquet",
+                 schema: T.StructType | str | None = None) -> DataFrame:
     """Train + val (+ test) as one frame with a ``split`` column."""
-    parts = [read_labelled(spark, train, fmt).withColumn("split", F.lit("train")),
-             read_labelled(spark, val, fmt).withColumn("split", F.lit("val"))]
+    parts = [read_labelled(spark, train, fmt, schema).withColumn("split", F.lit("train")),
+             read_labelled(spark, val, fmt, schema).withColumn("split", F.lit("val"))]
     if test:
-        parts.append(read_labelled(spark, test, fmt).withColumn("split", F.lit("test")))
+        parts.append(read_labelled(spark, test, fmt, schema).withColumn("split", F.lit("test")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
