@@ -2,8 +2,8 @@
 
 A text is cut into sentences (a full stop, question or exclamation mark followed by white
 space ends one; so does a line break). From every sentence starts one span: ``run``
-consecutive sentences, and as many more as it takes to hold ``min_words`` words (so that three
-one-word sentences are not evidence of copying). Sentences are compared lower-cased with single
+consecutive sentences (at least), and as many more as it takes to hold ``min_words`` words (so that a
+few one-word sentences are not evidence of copying, and two long ones are). Sentences are compared lower-cased with single
 spaces; a span is its 128-bit hash. Spans are joined globally on the hash: the first
 (smallest id, then position) stays, and every sentence covered by any other occurrence is
 removed, together with the white space after it.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import col, text_of
 
-RUN, MIN_WORDS = 3, 12
+RUN, MIN_WORDS = 2, 20
 _END = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
 _BITS = 20  # low bits of a mark that hold the span's sentence count
 

@@ -197,7 +197,7 @@ def test_op9_rules(spark):
         assert r.verdict == (best[2] if best else r.verdict) and r.verdict in ("allow", "block")
 
 
-def spans_brute(docs, run_=3, min_words=12):
+def spans_brute(docs, run_=2, min_words=20):
     """First occurrences by a dictionary; returns the removed sentences per document."""
     def cut(t):
         return [s for s in re.split(r"(?<=[.!?])\s+|\s*\n\s*", t) if s.strip()]
