@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalar import run_id
+from ..functions.scalar import run_id, run_id_ts
 from .ranking import running
 
 # Slack under the best metric that still counts as failed, and the
@@ -111,3 +111,22 @@ def history_lines(df: DataFrame, n: int = 15, metric: str = "roc_auc", seq: str
         fields.append(F.substring(F.coalesce(F.col("agent_analysis"), F.lit("")), 1, 300).alias("analysis"))
     fields.append(F.substring(F.col("error"), 1, 150).alias("error"))
     return tail.select(*fields)
+
+
+def history_header(df: DataFrame, n: int = 15, metric: str = "roc_auc", seq: str = "attempt_seq") -> DataFrame:
+    """The head of the history: attempts shown, the best metric so far and its run (null without a metric)."""
+    a = df.agg(F.count(F.lit(1)).alias("c"), F.max_by(
+        F.when(F.col(metric).isNotNull(), F.struct(F.col("run_id").alias("run"), F.col(metric).alias("m"))),
+        F.when(F.col(metric).isNotNull(), _rank_key(metric, seq))).alias("b"))
+    return a.select(F.least("c", F.lit(n)).alias("n_shown"), F.col("c").alias("n_attempts"), F.col("b.run").alias("best_run"),
+                    F.format_string("ROC-AUC = %.6f", F.col("b.m")).alias("best"))
+
+
+def parse_run_id(run: Column) -> Column:
+    """F10 backwards: ``struct<ts, agent_id>`` of a run id, nulls if it is none."""
+    return F.struct(run_id_ts(run).alias("ts"), F.regexp_extract(run, r"_a([0-9]+)$", 1).try_cast("int").alias("agent_id"))
+
+
+def tail_text(text: Column, width: int) -> Column:
+    """The last ``width`` characters (log output is cut from the front)."""
+    return F.when(F.length(text) > width, F.right(text, F.lit(width))).otherwise(text)

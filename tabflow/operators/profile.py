@@ -170,6 +170,34 @@ def imbalance(df: DataFrame, target: str = "target") -> DataFrame:
     )
 
 
+FULL_SCHEMA = ("section string, item string, position int, label string, n bigint, mean double, std double, min double, "
+               "max double, null_pct double, ratio double")
+
+
+def full_profile(df: DataFrame, target: str = "target", top: int = 5) -> DataFrame:
+    """A24 as one long table: the column rows, each categorical column's top values, the target's classes and the imbalance.
+
+    ``section`` is ``column`` (label: role, n: distinct values), ``top_value`` (label: value, n: rows, position: rank),
+    ``target`` (label: class, n: rows) or ``imbalance`` (n: classes, ratio).
+    """
+    prof = profile(df, target)
+    empty = {f.split()[0]: F.lit(None).cast(f.split()[1]) for f in FULL_SCHEMA.split(", ")}
+
+    def rows(frame: DataFrame, section: str, **cols: Column) -> DataFrame:
+        have = {"section": F.lit(section), **cols}
+        return frame.select(*[have.get(k, v).cast(frame.sparkSession.range(0).select(v.alias(k)).schema[k].dataType).alias(k)
+                              for k, v in empty.items()])
+
+    c = F.col
+    classes = target_distribution(df, target)
+    return (rows(prof, "column", item=c("column"), position=c("position"), label=c("role"), n=c("n_unique"), mean=c("mean"), std=c("std"),
+                 min=c("min"), max=c("max"), null_pct=c("null_pct"))
+            .unionByName(rows(top_values(df, roles(prof)["categorical"], top), "top_value", item=c("column"), position=c("rank"),
+                              label=c("value"), n=c("count")))
+            .unionByName(rows(classes, "target", item=F.lit(target), label=c("target").cast("string"), n=c("n")))
+            .unionByName(rows(imbalance(df, target), "imbalance", item=F.lit(target), n=c("n_classes"), ratio=c("imbalance_ratio"))))
+
+
 def key_sample(df: DataFrame, key: list[str], fraction: float, seed: str = "sample") -> DataFrame:
     """A stable sample by key hash (never ``limit``: that depends on scan order).
 
@@ -181,13 +209,13 @@ def key_sample(df: DataFrame, key: list[str], fraction: float, seed: str = "samp
 
 
 def write_profile(prof: DataFrame, path: str) -> None:
-    """Profile sink (JSON lines, one column per line)."""
-    profile_table(prof).write.mode("overwrite").json(path)
+    """Profile sink (JSON lines); takes the column profile or the full one."""
+    (prof if "section" in prof.columns else profile_table(prof)).write.mode("overwrite").json(path)
 
 
-def read_profile(spark, path: str) -> DataFrame:
-    """Re-read a saved profile with its declared schema (no inference)."""
-    return spark.read.schema(PROFILE_SCHEMA).json(path)
+def read_profile(spark, path: str, schema: str = PROFILE_SCHEMA) -> DataFrame:
+    """Re-read a saved profile with its declared schema (``FULL_SCHEMA`` for a full one; no inference)."""
+    return spark.read.schema(schema).json(path)
 
 
 def _num_text(c: Column) -> Column:

@@ -171,6 +171,11 @@ def rows_in_split(df: DataFrame, assignment: DataFrame, key: str | list[str], wh
     return df.join(assignment.where(F.col(by) == which).select(*key), key, "left_semi")
 
 
+def part(df: DataFrame, which: str, by: str = "split") -> DataFrame:
+    """M8: the rows of one split of a (transformed) table, without the split column."""
+    return df.where(F.col(by) == which).drop(by)
+
+
 def save_assignment(split_df: DataFrame, key: str | list[str], path: str, by: str = "split") -> None:
     """Persist (key, split) once so every later job reads the same assignment."""
     key = [key] if isinstance(key, str) else list(key)

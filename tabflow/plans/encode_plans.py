@@ -107,3 +107,17 @@ def derived_features(spark, sf_dir):
     df = apply_hook(fx.labelled(spark, sf_dir), build_features)
     return df.select("key", "price_per_balance", "total_price_sq", "acct_bal_sq",
                      F.col("nation_key").cast("float").alias("nation_key_f"))
+
+
+@register("split_accessors", "M8 M3", _sql(
+    "SELECT a.split AS part, count(*) AS rows, sum(coalesce(p.code, (SELECT count(*) FROM voc_priority)))::BIGINT AS code_sum, "
+    "CAST(sum(a.target) AS BIGINT) AS positives FROM assigned a LEFT JOIN voc_priority p ON coalesce(a.priority, '__nan__') = p.v GROUP BY a.split",
+    _vocab_cte("priority")))
+def split_accessors(spark, sf_dir):
+    """Train and val rows taken from the table after a transform fitted on train."""
+    from ..operators import split as S
+    sp = labelled_split(spark, sf_dir)
+    out = E.apply_label_codes(E.label_encoder(["priority"]).fit(S.part(sp, "train")), sp, ["priority"])
+    parts = [S.part(out, w).agg(F.lit(w).alias("part"), F.count(F.lit(1)).alias("rows"), F.sum("priority_code").cast("bigint").alias("code_sum"),
+                                F.sum("target").cast("bigint").alias("positives")) for w in ("train", "val")]
+    return parts[0].unionByName(parts[1])

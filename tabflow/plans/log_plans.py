@@ -60,7 +60,7 @@ def leaderboard(spark, sf_dir):
 @register("attempt_history", "O4 P13 F7 F8 F10", fx.with_views(
     "SELECT attempt_seq, position, concat('[', 'run_' || strftime(ts, '%Y%m%d_%H%M%S') || '_a' || CAST(agent_id AS VARCHAR), "
     "'] ROC-AUC: ', CASE WHEN roc_auc IS NOT NULL THEN printf('%.6f', roc_auc) ELSE 'N/A (error)' END) AS header, "
-    "substr(coalesce(approach_description, ''), 1, 200) AS approach, substr(error, 1, 150) AS error FROM "
+    "substr(coalesce(approach_description, ''), 1, 200) AS approach, substr(coalesce(agent_analysis, ''), 1, 300) AS analysis, substr(error, 1, 150) AS error FROM "
     "(SELECT *, CAST(row_number() OVER (ORDER BY attempt_seq) AS INTEGER) AS position FROM "
     "(SELECT * FROM attempts ORDER BY attempt_seq DESC LIMIT 15) l) t", "attempts"))
 def attempt_history(spark, sf_dir):
@@ -68,6 +68,25 @@ def attempt_history(spark, sf_dir):
     return A.history_lines(a, 15)
 
 
+_RUN = "'run_' || strftime(ts, '%Y%m%d_%H%M%S') || '_a' || CAST(agent_id AS VARCHAR)"
+
+
+@register("history_header", "P13 A15", fx.with_views(
+    f"SELECT least(count(*), 15) AS n_shown, count(*) AS n_attempts, (SELECT {_RUN} FROM attempts WHERE roc_auc IS NOT NULL "
+    "ORDER BY roc_auc DESC, attempt_seq LIMIT 1) AS best_run, 'ROC-AUC = ' || printf('%.6f', max(roc_auc)) AS best FROM attempts", "attempts"))
+def history_header(spark, sf_dir):
+    return A.history_header(A.with_run_id(_attempts(spark, sf_dir)), 15)
+
+
+@register("run_id_parts", "F10", fx.with_views(
+    "SELECT attempt_seq, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS ts_seconds, CAST(agent_id AS INTEGER) AS agent_id, "
+    "CASE WHEN length(agent_analysis) > 60 THEN right(agent_analysis, 60) ELSE agent_analysis END AS tail FROM attempts", "attempts"))
+def run_id_parts(spark, sf_dir):
+    a = A.with_run_id(_attempts(spark, sf_dir)).withColumn("p", A.parse_run_id(F.col("run_id")))
+    return a.select("attempt_seq", F.unix_timestamp("p.ts").alias("ts_seconds"), F.col("p.agent_id").alias("agent_id"),
+                    A.tail_text(F.col("agent_analysis"), 60).alias("tail"))
+
+
 @register("failed_approaches", "P9 F7", fx.with_views(
     "SELECT attempt_seq, substr(approach_description, 1, 150) AS approach FROM attempts "
     "WHERE roc_auc IS NULL OR roc_auc < (SELECT coalesce(max(roc_auc), 0.5) FROM attempts) - 0.01", "attempts"))
@@ -175,7 +194,7 @@ def attempts_log_roundtrip(spark, sf_dir):
     log = a.select(
         "attempt_seq", "run_id", F.col("agent_id").cast("int").alias("agent_id"), F.col("round").cast("int").alias("round"),
         "campaign", F.col("ts").cast("timestamp").alias("timestamp"), "roc_auc", "approach_description",
-        F.lit(None).cast("string").alias("agent_analysis"), "error", F.lit(0.0).alias("cost_usd"),
+        "agent_analysis", "error", F.lit(0.0).alias("cost_usd"),
         "duration_seconds", "status")
     TB.append_log(log, path)
     back = TB.read_log(spark, path, TB.ATTEMPT_SCHEMA)
@@ -215,8 +234,8 @@ def run_meta_scan(spark, sf_dir):
                     # both spellings occur in metadata files: even rounds write one, odd rounds the other
                     F.when(F.col("round") % 2 == 0, F.col("d")).alias("duration_seconds"),
                     F.when(F.col("round") % 2 == 1, F.col("d")).alias("duration_sec")))
-    runs.write.mode("overwrite").json(base)
-    meta = TB.read_run_meta(spark, base, "*.json", multiline=False)
+    TB.write_run_meta(runs, base)  # a folder per run, one JSON document in it
+    meta = TB.read_run_meta(spark, base)
     return meta.select("run_id", "agent_id", "roc_auc", F.round("duration_seconds", 6).alias("duration_seconds"))
 
 

@@ -215,3 +215,23 @@ def profile_roundtrip(spark, sf_dir):
     path = scratch_path(spark, f"profiles/{uuid.uuid4().hex}")
     P.write_profile(P.profile(fx.labelled(spark, sf_dir)), path)
     return P.read_profile(spark, path)
+
+
+_NULLS = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("mean", "std", "min", "max", "null_pct"))
+_TOP_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS item, CAST({c} AS VARCHAR) AS label, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) AS INTEGER) AS rk "
+    f"FROM labelled WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("priority", "segment"))
+
+
+@register("full_profile", "A24 A5 A6 A7 S7", _with_profile(f"""
+SELECT 'column' AS section, "column" AS item, position, role AS label, n_unique AS n, mean, std, min, max, null_pct, CAST(NULL AS DOUBLE) AS ratio FROM prof
+UNION ALL SELECT 'top_value', item, rk, label, n, {_NULLS}, NULL FROM ({_TOP_SQL}) t WHERE rk <= 5
+UNION ALL SELECT 'target', 'target', NULL, CAST(target AS VARCHAR), count(*), {_NULLS}, NULL FROM labelled GROUP BY target
+UNION ALL SELECT 'imbalance', 'target', NULL, NULL, count(*), {_NULLS}, CASE WHEN count(*) = 2 THEN round(max(n) / min(n), 2) END
+          FROM (SELECT count(*) AS n FROM labelled GROUP BY target) d"""))
+def full_profile(spark, sf_dir):
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(spark, f"profiles/{uuid.uuid4().hex}")
+    P.write_profile(P.full_profile(fx.labelled(spark, sf_dir)), path)
+    return P.read_profile(spark, path, P.FULL_SCHEMA)

@@ -40,7 +40,7 @@ def stratified_split_keys(spark, sf_dir):
     return labelled_split(spark, sf_dir).select("key", "target", "split")
 
 
-@register("split_counts", "A20 A11 M8", _split_sql(
+@register("split_counts", "A20 A11", _split_sql(
     "SELECT split, count(*) AS rows, CAST(count_if(target = 1) AS BIGINT) AS positives, CAST(count_if(target = 0) AS BIGINT) AS negatives, "
     "avg(CAST(target AS DOUBLE)) AS positive_rate, 8 AS n_columns FROM assigned GROUP BY split"))
 def split_counts(spark, sf_dir):

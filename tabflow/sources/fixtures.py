@@ -69,6 +69,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type").isin("error", "signup"), F.lit(None).cast("double"))
          .otherwise(F.col("value") / F.lit(500.0)).alias("roc_auc"),
         F.concat(F.lit("approach "), F.col("props")).alias("approach_description"),
+        F.concat(F.lit("analysis of "), "event_type", F.lit(": "), F.repeat(F.col("props"), (F.col("event_id") % 40).cast("int"))).alias("agent_analysis"),
         F.col("value").alias("duration_seconds"),
     )
 
@@ -154,6 +155,7 @@ SELECT event_id AS attempt_seq, ts, concat('c', CAST(user_id % 5 AS STRING)) AS
             CASE user_id % 4 WHEN 0 THEN 'sklearn.metrics' WHEN 1 THEN 'cv2' WHEN 2 THEN 'yaml' ELSE 'foo.bar' END, '"') END AS error,
        CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value / CAST(500 AS DOUBLE) END AS roc_auc,
        concat('approach ', props) AS approach_description,
+       concat('analysis of ', event_type, ': ', repeat(props, CAST(event_id % 40 AS INTEGER))) AS agent_analysis,
        value AS duration_seconds
 FROM events""",
     "usage": """

@@ -151,8 +151,13 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_run_meta(spark: SparkSession, runs_dir: str, pattern: str = "*/meta.json", multiline: bool = True) -> DataFrame:
-    """Run metadata JSON (one document per run); the two duration spellings are merged."""
+def write_run_meta(runs: DataFrame, runs_dir: str) -> None:
+    """One folder per run id holding that run's JSON document."""
+    (runs.withColumn("run", F.col("run_id")).repartition("run").write.mode("append").partitionBy("run").json(runs_dir))
+
+
+def read_run_meta(spark: SparkSession, runs_dir: str, pattern: str = "*/*.json", multiline: bool = True) -> DataFrame:
+    """Run metadata JSON (one document per run folder); the two duration spellings are merged."""
     df = (spark.read.schema(RUN_META_SCHEMA).option("multiLine", multiline)
           .json(f"{runs_dir.rstrip('/')}/{pattern}"))
     return (df.withColumn("duration_seconds", F.coalesce("duration_seconds", "duration_sec"))
