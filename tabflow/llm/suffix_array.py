@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import numpy as np
 
+_CHUNK = 1 << 18
+
 
 def classify(t: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than its successor (S-type); the last symbol must be the unique smallest."""
@@ -130,6 +132,7 @@ def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
         a, b = order[:-1], order[1:]
         new = length[a] != length[b]
         new[~new] = ~_same_lms(t, a[~new], b[~new], length[a[~new]])
+        del first, length, is_lms
         name = np.zeros(n, dtype=lms.dtype)
         name[order] = np.concatenate(([0], np.cumsum(new)))
         # an LMS substring moves on by at least two symbols
@@ -145,35 +148,39 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, limit: int, restart: np.ndarr
     neighbour's neighbour extends the same pair to the left is one less than the entry
     before it. ``restart`` marks positions that are compared anyway.
     """
-    n = len(t)
-    phi = np.full(n, -1, dtype=sa.dtype)
+    n, kind = len(t), sa.dtype
+    phi = np.full(n, -1, dtype=kind)
     phi[sa[1:]] = sa[:-1]
-    words = np.concatenate((t, np.zeros(8, dtype=np.uint8)))
-    wide = np.lib.stride_tricks.sliding_window_view(words, 8)
     reducible = np.zeros(n, dtype=bool)
-    i = np.arange(1, n)
-    follows = (phi[1:] > 0) & (phi[1:] == phi[:-1] + 1)
-    reducible[1:] = follows
-    reducible[i[follows]] &= t[i[follows] - 1] == t[phi[i[follows]] - 1]
+    follows = np.flatnonzero((phi[1:] > 0) & (phi[1:] == phi[:-1] + 1)) + 1
+    reducible[follows] = t[follows - 1] == t[phi[follows] - 1]
     if restart is not None:
         reducible[restart] = False
-    plcp = np.zeros(n, dtype=np.int64)
-    live = np.flatnonzero(~reducible & (phi >= 0))
-    other = phi[live]
+    wide = np.lib.stride_tricks.sliding_window_view(np.concatenate((t, np.zeros(8, dtype=np.uint8))), 8)
+    plcp = np.zeros(n, dtype=kind)
+    fresh = np.flatnonzero(~reducible & (phi >= 0)).astype(kind)
+    for part in np.array_split(fresh, len(fresh) // _CHUNK + 1):  # bounded working memory
+        plcp[part] = _compare(wide, part, phi[part], n, limit)
+    at = np.where(reducible, kind.type(0), np.arange(n, dtype=kind))
+    lead = np.maximum.accumulate(at)
+    return plcp[lead] - (np.arange(n, dtype=kind) - lead)
+
+
+def _compare(wide: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, limit: int) -> np.ndarray:
+    """Symbols that the suffixes at ``a`` and ``b`` share, eight at a time, up to about ``limit``."""
+    out = np.zeros(len(a), dtype=a.dtype)
+    live = np.arange(len(a))
     k = 0
     while len(live) and k < limit:
-        inside = np.maximum(live, other) + k < n
-        live, other = live[inside], other[inside]
-        x = _load(wide, live + k) ^ _load(wide, other + k)
+        live = live[np.maximum(a[live], b[live]) + k < n]
+        x = _load(wide, a[live] + k) ^ _load(wide, b[live] + k)
         differs = x != 0
         low = x[differs]
-        plcp[live[differs]] = k + (np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) >> 3)
-        live, other = live[~differs], other[~differs]
-        plcp[live] = k + 8
+        out[live[differs]] = k + (np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) >> 3)
+        live = live[~differs]
+        out[live] = k + 8
         k += 8
-    at = np.where(reducible, 0, np.arange(n))
-    lead = np.maximum.accumulate(at)
-    return plcp[lead] - (np.arange(n) - lead)
+    return out
 
 
 def _load(wide: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -16,8 +16,8 @@ moves. Three steps thin the stretches out exactly:
 Shards. A task takes whole owner groups up to about ``shard_bytes``, concatenates their stretches,
 builds the suffix array by induced sorting, and reads the repeats off the permuted common
 prefixes: neighbours sharing ``length`` bytes form a run, whose earliest start stays. An owner with more
-than ``block`` different stretches (a passage that a large share of documents quote) is dealt over
-several shards; the earliest start of each of its runs is then compared across shards by the
+than ``block`` different stretches (a passage that a large share of documents quote; ``block`` of them are
+about 5 MB of text, what a task's memory takes) is dealt over several shards; the earliest start of each of its runs is then compared across shards by the
 window's hash.
 
 Removed bytes are grouped per document (its own length bounds them) and joined to its text.
@@ -200,11 +200,13 @@ def shard_repeats(groups: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: li
     start = np.cumsum(size + 1) - size - 1
     sa = suffix_array(t, length)
     plcp = common_prefixes(t, sa, 2 * length, start)
-    which = np.repeat(np.arange(len(parts)), size + 1)
-    inside = np.arange(len(t)) - start[which]
-    whole = inside <= size[which] - length  # a window starts here
+    which = np.repeat(np.arange(len(parts), dtype=np.int32), size + 1)
+    inside = np.arange(len(t), dtype=np.int32) - np.repeat(start.astype(np.int32), size + 1)
+    whole = inside <= np.repeat((size - length).astype(np.int32), size + 1)  # a window starts here
     pos = sa[whole[sa]]
-    run = np.cumsum(plcp[pos] < length)
+    del sa, whole
+    run = np.cumsum(plcp[pos] < length, dtype=np.int32)
+    del plcp
     # order of (doc, start) as one number: ranks of documents, then the place
     rank = np.unique(doc, return_inverse=True)[1].reshape(-1)
     place = rank[which[pos]].astype(np.int64) << 40 | (at[which[pos]] + inside[pos])
@@ -225,7 +227,7 @@ def shard_repeats(groups: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: li
     return covered, firsts
 
 
-def sharded(base: DataFrame, wanted: DataFrame, length: int = LENGTH, block: int = 8192,
+def sharded(base: DataFrame, wanted: DataFrame, length: int = LENGTH, block: int = 32768,
             shard_bytes: int = 1_500_000) -> DataFrame:
     """``(doc, a, b, w1, w2)``: covered bytes (``w1`` null), and first windows of dealt owners with their hash."""
     # the stretches of a document, bounded by its length, travel to its text
@@ -293,7 +295,7 @@ def _rows(pdf: pd.DataFrame, block: int, length: int) -> pd.DataFrame:
     return out
 
 
-def removed(base: DataFrame, length: int = LENGTH, block: int = 8192, shard_bytes: int = 1_500_000) -> DataFrame:
+def removed(base: DataFrame, length: int = LENGTH, block: int = 32768, shard_bytes: int = 1_500_000) -> DataFrame:
     """``(doc, spans array<long>)``: the byte ranges to remove (start and length packed), possibly overlapping."""
     kept = thin(base, length)
     firsts = kept.where("r = 1")
@@ -339,7 +341,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                block: int = 8192, shard_bytes: int = 1_500_000) -> DataFrame:
+                block: int = 32768, shard_bytes: int = 1_500_000) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for every row; ``kept`` is binary (a cut may split a character)."""
     base = keyed(docs, id_col, text_col)
     rows = base.join(removed(base, length, block, shard_bytes), "doc", "left").select("doc_id", "text", "spans")
