@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import col, cut, dense_index, text_of, words_of
+from .common import col, cut, dense_index, stored, text_of, words_of
 
 SHINGLE, FRACTION = 5, 0.25
 TOP = (1 << 63) - 1
@@ -102,8 +102,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     firsts = cut(firsts)
     n = firsts.count()
     before = firsts.select(F.pmod(F.col("k") + 1, F.lit(max(n, 1))).alias("k"), F.col("rng").alias("prev"))
-    marks = firsts.join(before, "k").select("rng", "first", "prev")
-    # one row per range: Spark broadcasts or shuffles it by its size
+    # one row per range, written so that Spark knows its size and broadcasts it or not
+    marks = stored(firsts.join(before, "k").select("rng", "first", "prev"), "ranges")
     marked = keyed.withColumn("key", key).join(marks, "rng")
     also = F.when(F.col("key") == F.col("first"), F.array(
         F.struct(F.col("rng").alias("to"), F.lit(0).alias("copy")), F.struct(F.col("prev").alias("to"), F.lit(1).alias("copy")))
