@@ -42,7 +42,7 @@ from .common import col, dense_index, stored, text_of
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 16
-SEGMENT = 1 << 20  # bytes hashed at a time
+SEGMENT = 1 << 17  # bytes hashed at a time: the working arrays stay in cache
 _POS = np.uint64(21)  # low bits of a window key that hold the position in a segment
 _NO_ID = -(1 << 63)
 _BITS = 20  # low bits of a packed span that hold its length
@@ -95,8 +95,9 @@ def _grams(flat: np.ndarray) -> np.ndarray:
     return _mix(w[:-8] * _U(0x9E3779B97F4A7C15) ^ _mix(w[8:]))
 
 
-def stretches(texts: list[bytes], hasher: _Hasher, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """``(text number, first window, n bytes, owner hash, content hash)`` of every stretch of the texts.
+def stretches(texts: list[bytes], hasher: _Hasher | None, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """``(text number, first window, n bytes, owner hash, content hash)`` of every stretch of the texts
+    (content hash 0 without a ``hasher``).
 
     A text beyond a segment is cut by windows; a stretch cut there is two stretches, which the shards
     treat like any other different stretches.
@@ -120,10 +121,11 @@ def stretches(texts: list[bytes], hasher: _Hasher, length: int = LENGTH) -> tupl
         first = p[new]
         last = p[np.append(np.flatnonzero(new)[1:] - 1, len(p) - 1)]
         owner = q[new]
-        pre = hasher.prefix(flat)
         stop = last + length
-        shape = ((owner - first) << 32 | (stop - first)).astype(np.uint64)
-        content = _mix(hasher.of(pre, first, stop) + _mix(shape))
+        content = np.zeros(len(first), dtype=np.uint64)
+        if hasher is not None:
+            shape = ((owner - first) << 32 | (stop - first)).astype(np.uint64)
+            content = _mix(hasher.of(hasher.prefix(flat), first, stop) + _mix(shape))
         no = piece[first]
         offset = np.array([x[1] for x in pieces])
         doc = np.array([x[0] for x in pieces])
@@ -170,13 +172,23 @@ def stretch_rows(base: DataFrame, length: int = LENGTH) -> DataFrame:
     return base.select("doc", "text").mapInPandas(emit, "h long, c long, doc long, at long, n long, later boolean")
 
 
+def owner_counts(base: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``(h, k)``: how many stretches each owner hash has (counted per batch, then summed)."""
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            h, k = np.unique(stretches(_bytes(pdf["text"]), None, length)[3], return_counts=True)
+            yield pd.DataFrame({"h": h.view(np.int64), "k": k})
+
+    return base.select("text").mapInPandas(emit, "h long, k long").groupBy("h").agg(F.sum("k").alias("k"))
+
+
 def thin(base: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(r, h, doc, at, n)``, stored: stretches whose owner repeats, ``r`` = 1 for the first of each content.
 
     Rows with ``r`` > 1 are covered whole; the very same place seen twice (repeated rows) has ``r`` 0.
     """
     rows = stretch_rows(base, length)
-    owners = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
+    owners = owner_counts(base, length).where("k > 1").select("h")
     shared = rows.join(owners, "h")
     # each batch leaves one row of a content that is not ``later``, so a hot content is few rows here;
     # the ``later`` ones are settled and only need to be spread
@@ -228,7 +240,7 @@ def shard_repeats(groups: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: li
 
 
 def sharded(base: DataFrame, wanted: DataFrame, length: int = LENGTH, block: int = 32768,
-            shard_bytes: int = 1_500_000) -> DataFrame:
+            shard_bytes: int = 800_000) -> DataFrame:
     """``(doc, a, b, w1, w2)``: covered bytes (``w1`` null), and first windows of dealt owners with their hash."""
     # the stretches of a document, bounded by its length, travel to its text
     lists = wanted.groupBy("doc").agg(*[F.collect_list(c).alias(c) for c in ("h", "at", "n", "m")])
@@ -295,7 +307,7 @@ def _rows(pdf: pd.DataFrame, block: int, length: int) -> pd.DataFrame:
     return out
 
 
-def removed(base: DataFrame, length: int = LENGTH, block: int = 32768, shard_bytes: int = 1_500_000) -> DataFrame:
+def removed(base: DataFrame, length: int = LENGTH, block: int = 32768, shard_bytes: int = 800_000) -> DataFrame:
     """``(doc, spans array<long>)``: the byte ranges to remove (start and length packed), possibly overlapping."""
     kept = thin(base, length)
     firsts = kept.where("r = 1")
@@ -341,7 +353,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                block: int = 32768, shard_bytes: int = 1_500_000) -> DataFrame:
+                block: int = 32768, shard_bytes: int = 800_000) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)`` for every row; ``kept`` is binary (a cut may split a character)."""
     base = keyed(docs, id_col, text_col)
     rows = base.join(removed(base, length, block, shard_bytes), "doc", "left").select("doc_id", "text", "spans")
