@@ -109,9 +109,9 @@ def _per_key(preds: DataFrame, key: str, group: str, score: str, weights: DataFr
 
 def ensemble_mean(preds: DataFrame, key: str = "key", group: str = "model_id", score: str = "p1",
                   weights: DataFrame | None = None) -> DataFrame:
-    """Mean (or weighted mean) of the k models' scores per key; keys missing a model are left out
-    (``ensemble_rejects`` lists them)."""
-    k = (preds if weights is None else preds.join(weights, group, "left_semi")).select(F.count_distinct(group)).scalar()
+    """Mean (or weighted mean, over the models that have a weight) of the k models' scores per key; keys
+    missing one of them are left out (``ensemble_rejects`` lists them)."""
+    k = (preds if weights is None else weights).select(F.count_distinct(group)).scalar()
     return _per_key(preds, key, group, score, weights).where(F.col("n_models") == k).drop("n_models")
 
 

@@ -151,7 +151,8 @@ def row_index(df: DataFrame, order_col: str, out: str = "row_index", n_buckets:
 
 def value_ranks(df: DataFrame, col: str, n_buckets: int | None = None) -> DataFrame:
     """Per distinct non-null value: rows with a smaller value (``below``) and its count (``cnt``)."""
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
+    # read three times below (quantiles, bucket totals, window), so settled once
+    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt")).checkpoint()
     return running(vc, col, "cnt", "sum", (), True, "below", n_buckets)
 
 

@@ -24,8 +24,9 @@ def test_plan_shape(spark, name):
             assert "Aggregate(" in below, (name, line, below)
 
 
-def test_split_shuffles_only_boundary_rows(spark):
+def test_split_is_one_pass_over_the_table(spark):
     plan = E.queries()["stratified_split_keys"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    # the window runs after the (broadcast) boundary join and filter, never on all rows
-    window_at = plan.index("Window [row_number()")
-    assert "BroadcastHashJoin" in plan[window_at:]
+    assert "Window" not in plan and "Union" not in plan
+    assert plan.count("FileScan parquet") == 2  # orders and customer
+    check = E.queries()["split_partition_check"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert check.count("FileScan parquet") <= 4
