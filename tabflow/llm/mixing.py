@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import col, cut, dense_index, fresh, text_of, union_all, word_count
+from .common import col, cut, dense_index, fresh, stored, text_of, union_all, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)  # fixed values: source weights in order, repeating
 EPS = 1e-9
@@ -104,7 +104,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """``(doc_id, source, size, source_size, target, copies, taken)``, one row per input row."""
     sized = cut(docs.select(col(id_col).alias("doc_id"), col(source_col).alias("source"),
                             word_count(text_of(text_col)).alias("size")))
-    targets = source_targets(sized, share, cap, weights)
+    # one row per source, written so that Spark knows its size and broadcasts it or not
+    targets = stored(source_targets(sized, share, cap, weights), "mix-targets")
     # null-safe join; the source table is small or shuffled, Spark picks by its size
     t = targets.withColumnRenamed("source", "src")
     x = F.try_divide(F.col("target"), F.col("source_size").cast("double"))

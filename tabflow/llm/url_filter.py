@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut
+from .common import col, cut, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -134,11 +134,12 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         "segments", F.filter(F.split("path", "/"), lambda s: s != F.lit("")))
     if not label_col:
         base = base.withColumn("label", F.col("r.verdict"))
-    keep = cut(constants(base))
+    # host and template tables are written, so that Spark knows their size and broadcasts them or not
+    keep = stored(constants(base), "url-constants")
     placed = base.join(keep, "host", "left").withColumn("template", template(F.col("segments"), F.col("keep"))).drop("keep")
     counts = placed.groupBy("host", "template").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("rejected"))
-    verdicts = template_verdicts(counts).select("host", "template", "score", "reject")
+    verdicts = stored(template_verdicts(counts).select("host", "template", "score", "reject"), "url-templates")
     out = placed.join(verdicts, ["host", "template"], "left")
     by_tree = F.when(F.coalesce("reject", F.lit(False)), "block").otherwise("allow")
     return out.select("page_id", "url", "host", "path", F.col("r.name").alias("rule"),
