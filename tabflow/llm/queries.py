@@ -99,7 +99,37 @@ def op4_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@query(9)
+_FITS = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN {{'name': '{r.name}', 'verdict': '{r.verdict}'}}"
+    for r in sorted(url_filter.RULES, key=lambda r: -len(r.name)))
+OP9_SQL = f"""
+WITH u AS (SELECT page_id, coalesce(strpos(url, '://'), 0) AS mark, url FROM pages),
+p AS (SELECT page_id,
+             CASE WHEN mark > 0 THEN translate(regexp_extract(substr(url, mark + 3), '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') ELSE '' END AS host,
+             CASE WHEN mark > 0 THEN regexp_extract(substr(url, mark + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM u),
+base AS (SELECT *, CASE {_FITS} END AS r, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments FROM p),
+seg AS (SELECT host, i - 1 AS depth, segments[i] AS s, count(*) AS n FROM base, unnest(range(1, len(segments) + 1)) AS t(i) GROUP BY ALL),
+tot AS (SELECT host, depth, sum(n) AS a FROM seg GROUP BY host, depth),
+keep AS (SELECT host, list(CAST(depth AS VARCHAR) || ':' || s) AS keep FROM seg JOIN tot USING (host, depth)
+         WHERE n >= {url_filter.MIN_SUPPORT} AND n >= CAST({url_filter.MIN_SHARE} AS DOUBLE) * a GROUP BY host),
+placed AS (SELECT b.*, '/' || array_to_string(list_transform(segments, lambda x, i: CASE WHEN list_contains(coalesce(keep, []),
+                  CAST(i - 1 AS VARCHAR) || ':' || x) THEN x ELSE '*' END), '/') AS template FROM base b LEFT JOIN keep k ON b.host = k.host),
+counts AS (SELECT host, template, count(r.verdict) AS labelled, count(*) FILTER (WHERE r.verdict = 'block') AS rejected FROM placed GROUP BY host, template),
+point AS (SELECT *, array_to_string(list_transform(names, lambda x, k: CASE WHEN k = i THEN '<>' ELSE x END), '/') AS parent FROM
+          (SELECT *, string_split(template, '/')[2:] AS names FROM counts WHERE labelled > 0) c, unnest(range(1, len(names) + 1)) AS t(i) WHERE names[i] <> '*'),
+pool AS (SELECT host, parent, sum(labelled) AS pl, sum(rejected) AS pr FROM point GROUP BY host, parent HAVING count(*) > 1),
+alike AS (SELECT point.* FROM point JOIN pool USING (host, parent) WHERE abs(CAST(rejected AS DOUBLE) / labelled - CAST(pr AS DOUBLE) / pl)
+          <= CAST({url_filter.Z} AS DOUBLE) * sqrt((CAST(pr AS DOUBLE) / pl) * (1 - CAST(pr AS DOUBLE) / pl) / labelled)),
+pooled AS (SELECT host, parent, sum(labelled) AS ml, sum(rejected) AS mr FROM alike GROUP BY host, parent),
+merged AS (SELECT a.host, a.template, max({{'ml': g.ml, 'mr': g.mr}}) AS m FROM alike a JOIN pooled g ON a.host = g.host AND a.parent = g.parent GROUP BY 1, 2),
+verdicts AS (SELECT c.host, c.template, (CAST(coalesce(m.mr, rejected) AS DOUBLE) + {url_filter.STRENGTH / 2}::DOUBLE)
+                    / (CAST(coalesce(m.ml, labelled) AS DOUBLE) + {url_filter.STRENGTH}::DOUBLE) AS score
+             FROM counts c LEFT JOIN merged USING (host, template))
+SELECT page_id, host, path, r.name AS rule, coalesce(r.verdict, CASE WHEN score >= CAST({url_filter.PURITY} AS DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict,
+       template, score FROM placed JOIN verdicts USING (host, template)"""
+
+
+@query(9, OP9_SQL)
 def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for every page url: the longest fitting rule's, else its template's."""
     return url_filter.judge(table(spark, sf_dir, "pages")).select(
