@@ -107,32 +107,28 @@ def stratified_split(
     # one row per class: broadcast is bounded by the number of labels
     near = staged.join(F.broadcast(bound), "__cls").where(F.col("__b") == F.col("__edge"))
     wr = Window.partitionBy("__cls").orderBy(*order)
-    ranked = near.select("__cls", "__need", *order).withColumn("__rn", F.row_number().over(wr))
+    ties = Window.partitionBy("__cls", *order)  # identical rows (repeated rows) at the cut
+    ranked = near.select("__cls", "__need", *order).withColumn("__rn", F.row_number().over(wr)).withColumns(
+        {"__first": F.min("__rn").over(ties), "__last": F.max("__rn").over(ties)})
     cuts = ranked.where(F.col("__rn") == F.col("__need")).collect()  # one row per class
     types = {f.name: f.dataType for f in staged.schema.fields}
 
     def lit(row, c):
         return F.lit(row[c]).cast(types[c])
 
-    is_val, tied = F.lit(False), []
+    is_val, same, keep = F.lit(False), F.lit(False), []
     for r in cuts:
         mine = F.col("__cls").eqNullSafe(lit(r, "__cls"))
         at = F.struct(*[F.col(c) for c in order])
         last = F.struct(*[lit(r, c).alias(c) for c in order])
         is_val = is_val | (mine & (at <= last))
-        tied.append((r["__cls"], r["__rn"], mine & at.eqNullSafe(last)))
+        if r["__last"] > r["__rn"]:
+            same = same | (mine & at.eqNullSafe(last))
+            keep.append((r["__cls"], int(r["__rn"] - r["__first"] + 1)))
     res = staged.withColumn(out, F.when(is_val, "val").otherwise("train"))
-    # identical rows at a cut (repeated rows): only then some of them are numbered to meet the quota exactly
-    same = F.lit(False)
-    for _, _, m in tied:
-        same = same | m
-    copies = {r["__cls"]: (r["first"], r["last"]) for r in
-              near.withColumn("__rn", F.row_number().over(wr)).where(same)
-              .groupBy("__cls").agg(F.min("__rn").alias("first"), F.max("__rn").alias("last")).collect()} if tied else {}
-    if any(copies[c][1] > rn for c, rn, _ in tied):
-        keep = literal_table(spark, [(c, int(rn - copies[c][0] + 1)) for c, rn, _ in tied], ["__cls", "__keep"]).select(
-            F.col("__cls").cast(cls_type).alias("__cls"), "__keep")
-        extra = (res.where(same).join(F.broadcast(keep), "__cls").withColumn("__rn", F.row_number().over(wr))
+    if keep:  # only then some of the identical rows are numbered to meet the quota exactly
+        table = literal_table(spark, keep, ["__cls", "__keep"]).select(F.col("__cls").cast(cls_type).alias("__cls"), "__keep")
+        extra = (res.where(same).join(F.broadcast(table), "__cls").withColumn("__rn", F.row_number().over(wr))
                  .withColumn(out, F.when(F.col("__rn") <= F.col("__keep"), "val").otherwise("train")))
         res = res.where(~same).unionByName(extra.select(*res.columns))
     return res.drop("__cls", "__h", "__b")

@@ -27,7 +27,7 @@ from .split_plans import SPLIT_CTES, labelled_split
 
 KEY = ["key"]
 SINGLE = ["total_price", "acct_bal", "nation_key"]
-TOLERANCE = 0.02
+TOLERANCE, LOWEST = 0.02, -1e300
 # settings of the registered queries (the defaults train longer)
 PARAMS = {"lr": {"maxIter": 100}, "rf": {"numTrees": 50, "maxDepth": 8, "seed": MD.SEED},
           "gbt": {"maxIter": 40, "stepSize": 0.1, "maxDepth": 5, "seed": MD.SEED, "validationTol": 0.01}}
@@ -43,9 +43,10 @@ def _prepared(spark, sf_dir):
 
 
 def _best_single(sp):
-    """The best AUC a single numeric column (nulls at the train median) reaches on the validation rows, either direction."""
-    val = E.impute(sp.where(F.col("split") == "val"), E.fit_medians(sp.where(F.col("split") == "train"), SINGLE))
-    longf = val.select("target", F.inline(F.array(*[F.struct(F.lit(c).alias("model_id"), F.col(c).alias("p1")) for c in SINGLE])))
+    """The best AUC a single numeric column (nulls rank lowest) reaches on the validation rows, either direction."""
+    val = sp.where(F.col("split") == "val")
+    longf = val.select("target", F.inline(F.array(*[F.struct(
+        F.lit(c).alias("model_id"), F.coalesce(F.col(c).cast("double"), F.lit(LOWEST)).alias("p1")) for c in SINGLE])))
     a = M.auc_by_group(longf)
     return a.agg(F.round(F.max(F.greatest("auc", 1 - F.col("auc"))), 9).alias("b")).first()["b"]  # one number
 
@@ -58,8 +59,8 @@ def _checked(ev, sp, *more):
 
 
 _SINGLE_SQL = ",\nsg AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS model_id, target, coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM assigned WHERE split = 'train')) "
-    "AS p1 FROM assigned WHERE split = 'val'" for c in SINGLE) + """),
+    f"SELECT '{c}' AS model_id, target, coalesce(CAST({c} AS DOUBLE), CAST({LOWEST} AS DOUBLE)) AS p1 "
+    "FROM assigned WHERE split = 'val'" for c in SINGLE) + """),
 sr AS (SELECT model_id, target, rank() OVER (PARTITION BY model_id ORDER BY p1) + (count(*) OVER (PARTITION BY model_id, p1) - 1) / 2.0 AS ar FROM sg),
 ss AS (SELECT model_id, sum(CASE WHEN target = 1 THEN ar ELSE 0 END) AS rp, CAST(count_if(target = 1) AS DOUBLE) AS np,
               CAST(count_if(target = 0) AS DOUBLE) AS nn FROM sr GROUP BY model_id),
