@@ -1,9 +1,10 @@
 """Substring dedup on sliding sentence spans.
 
 A text is cut into sentences (a full stop, question or exclamation mark followed by white
-space ends one; so does a line break). From every sentence starts one span: ``run``
-consecutive sentences (at least), and as many more as it takes to hold ``min_words`` words (so that a
-few one-word sentences are not evidence of copying, and two long ones are). Sentences are compared lower-cased with single
+space ends one; so does a line break). From every sentence starts one span, and at every sentence ends
+one: ``run`` consecutive sentences (at least), and as many more as it takes to hold ``min_words`` words
+(so that a few one-word sentences are not evidence of copying, and two long ones are). Every sentence of
+a repeated passage that large lies in one of the two kinds inside the passage. Sentences are compared lower-cased with single
 spaces; a span is its 128-bit hash. Spans are joined globally on the hash: the first
 (smallest id, then position) stays, and every sentence covered by any other occurrence is
 removed, together with the white space after it.
@@ -57,14 +58,13 @@ def spans(text: str, run: int = RUN, min_words: int = MIN_WORDS) -> list[tuple[i
     words = [text[a:b].lower().split() for a, b in sentences(text)]
     digests = [xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
     total = np.concatenate(([0], np.cumsum([len(w) for w in words])))
-    out = []
-    for i in range(len(words) - run + 1):
-        # the smallest end that gives enough sentences and enough words
-        j = max(i + run, int(np.searchsorted(total, total[i] + min_words)))
-        if j > len(words):
-            break
-        out.append((i, j - i, xxhash.xxh3_128_digest(b"".join(digests[i:j]))))
-    return out
+    n = len(words)
+    # the smallest end that gives enough sentences and enough words, for every start
+    ends = np.maximum(np.arange(n + 1) + run, np.searchsorted(total, total + min_words)).tolist()
+    # the largest such start, for every end
+    starts = np.minimum(np.arange(n + 1) - run, np.searchsorted(total, total - min_words, "right") - 1).tolist()
+    both = {(i, j) for i, j in enumerate(ends) if j <= n} | {(i, j) for j, i in enumerate(starts) if i >= 0}
+    return [(i, j - i, xxhash.xxh3_128_digest(b"".join(digests[i:j]))) for i, j in sorted(both)]
 
 
 def span_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,

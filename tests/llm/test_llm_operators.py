@@ -1,6 +1,7 @@
 """Operator interfaces: parameters, skew paths, incremental use, clashing columns, the pipeline."""
 
 import random
+import re
 import sys
 
 import numpy as np
@@ -313,6 +314,38 @@ def test_sentence_spans_need_enough_words_and_keep_the_first():
     assert [s for s, _ in sentence_spans.sentences("a.\n\n b? c")] == [0, 5, 8]
 
 
+def _sentences_of(*sizes, tag="w"):
+    return "".join(" ".join(f"{tag}{k}x{i}" for i in range(n)) + ". " for k, n in enumerate(sizes))
+
+
+def _removed_by_any_run(texts):
+    """Sentences covered by any run of two or more sentences and 20 or more words that occurs earlier."""
+    first, hits = {}, {}
+    for d, t in texts:
+        s = [tuple(x.lower().split()) for x in re.split(r"(?<=[.!?])\s+|\s*\n\s*", t) if x.strip()]
+        for i in range(len(s)):
+            for j in range(i + 2, len(s) + 1):
+                if sum(map(len, s[i:j])) >= 20 and first.setdefault(tuple(s[i:j]), (d, i)) != (d, i):
+                    hits.setdefault(d, set()).update(range(i, j))
+    return {d: len(hits.get(d, ())) for d, _ in texts}
+
+
+def test_sentence_spans_cover_the_last_sentences_of_a_passage(spark):
+    passage = _sentences_of(17, 8, 5)  # no span from the second sentence on has 20 words inside the passage
+    texts = [(i, _sentences_of(9, 9, tag=f"a{i}") + passage + _sentences_of(3, 30, tag=f"b{i}")) for i in range(3)]
+    rng = random.Random(3)
+    pool = [_sentences_of(n, tag=f"p{k}") for k, n in enumerate([1, 2, 3, 5, 8, 11, 17, 25] * 2)]
+    for i in range(3, 40):  # runs of shared sentences of all lengths
+        at = rng.randrange(len(pool) - 3)
+        texts.append((i, _sentences_of(4, tag=f"c{i}") + "".join(pool[at:at + rng.randint(2, 8)]) + _sentences_of(6, tag=f"d{i}")))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in sentence_spans.deduplicate(df).collect()}
+    assert got == _removed_by_any_run(texts) and (got[1], got[2]) == (3, 3)
+    docs = rows_of(SF_SMALL, "select doc_id, coalesce(text, '') from documents order by doc_id")
+    got = {r.doc_id: r.n_removed for r in sentence_spans.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == _removed_by_any_run(docs)
+
+
 # --- the pipeline
 
 def test_pipeline_against_its_operators(spark, tmp_path):
