@@ -11,13 +11,13 @@ removed, together with the white space after it.
 
 Plan: one pass emits (hash, id, position) rows; the first of each repeated hash comes from a
 map-side combined aggregate; an equi-join marks the others (a span shared by a third of all
-documents is a hot join key Spark can split); marks are grouped per document, whose own length
-bounds them, and joined back to the texts.
+documents is a hot join key Spark can split); marks are grouped per document (an id and its
+text), whose own length bounds them, and joined back to the texts.
 
 Defined results: null or empty text has no sentences and an empty result text; a text shorter
-than one span is kept; rows that share an id count as one document for what comes first (equal
-positions of the same id are never removed); a null id comes first; an empty table gives an empty
-result; other columns are not read.
+than one span is kept; repeated rows (id and text) are one document and lose nothing to each other;
+rows that share an id but not the text are documents of their own, first by id, then by text hash;
+a null id comes first; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, text_of
+from .suffix_dedup import keyed
 
 RUN, MIN_WORDS = 2, 20
 _END = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
@@ -67,32 +67,29 @@ def spans(text: str, run: int = RUN, min_words: int = MIN_WORDS) -> list[tuple[i
     return [(i, j - i, xxhash.xxh3_128_digest(b"".join(digests[i:j]))) for i, j in sorted(both)]
 
 
-def span_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
-              min_words: int = MIN_WORDS) -> DataFrame:
-    """``(h1, h2, doc_id, mark)``: every span's hash; ``mark`` packs the first sentence and the sentence count."""
+def span_rows(base: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(h1, h2, doc, mark)`` of ``base(doc, text)``: every span's hash; ``mark`` packs the first sentence and the sentence count."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, marks, digests = [], [], []
-            for i, t in zip(pdf["doc_id"], pdf["text"]):
+            docs, marks, digests = [], [], []
+            for i, t in zip(pdf["doc"], pdf["text"]):
                 for first, n, d in spans(t, run, min_words):
-                    ids.append(i)
+                    docs.append(i)
                     marks.append(first << _BITS | n)
                     digests.append(d)
             h = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"h1": h[:, 0], "h2": h[:, 1], "doc_id": pd.array(ids, dtype="Int64"),
+            yield pd.DataFrame({"h1": h[:, 0], "h2": h[:, 1], "doc": np.array(docs, dtype=np.int64),
                                 "mark": np.array(marks, dtype=np.int64)})
 
-    base = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return base.mapInPandas(emit, "h1 long, h2 long, doc_id long, mark long")
+    return base.select("doc", "text").mapInPandas(emit, "h1 long, h2 long, doc long, mark long")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
-    """``(doc_id, marks)``: the spans of each document that also occur earlier."""
-    first = (rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "mark")).alias("f"))
-             .where("n > 1").select("h1", "h2", F.col("f.doc_id").alias("f_doc"), F.col("f.mark").alias("f_mark")))
-    later = rows.join(first, ["h1", "h2"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("mark") == F.col("f_mark"))))
-    return later.groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+    """``(doc, marks)``: the spans of each document that also occur earlier."""
+    first = (rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark")).alias("f"))
+             .where("n > 1").select("h1", "h2", F.col("f.doc").alias("f_doc"), F.col("f.mark").alias("f_mark")))
+    later = rows.join(first, ["h1", "h2"]).where("doc <> f_doc or mark <> f_mark")
+    return later.groupBy("doc").agg(F.collect_set("mark").alias("marks"))
 
 
 def without(text: str, marks) -> tuple[str, int, int]:
@@ -112,9 +109,8 @@ def without(text: str, marks) -> tuple[str, int, int]:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
                 min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, n_sentences, n_removed, text)`` for every row."""
-    later = repeats(span_rows(docs, id_col, text_col, run, min_words)).withColumnRenamed("doc_id", "d")
-    base = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    joined = base.join(later, base["doc_id"].eqNullSafe(later["d"]), "left").drop("d")
+    base = keyed(docs, id_col, text_col)
+    joined = base.join(repeats(span_rows(base, run, min_words)), "doc", "left").select("doc_id", "text", "marks")
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -346,6 +346,16 @@ def test_sentence_spans_cover_the_last_sentences_of_a_passage(spark):
     assert got == _removed_by_any_run(docs)
 
 
+@pytest.mark.parametrize("ids", [(5, 5, 6), (None, None, 6)])
+def test_sentence_spans_of_rows_that_share_an_id(spark, ids):
+    one, two, other = (_sentences_of(12, 12, tag=t) for t in "xyz")
+    rows = [(ids[0], one + other), (ids[0], one + other), (ids[1], two + two.upper()), (ids[2], one + two)]
+    got = sorted((r.text, r.n_removed) for r in sentence_spans.deduplicate(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # each row loses what occurs before it, and nothing at the positions that repeat in another row of its id
+    assert got == sorted([(one + other, 0), (one + other, 0), (two, 2), ("", 4)])
+
+
 # --- the pipeline
 
 def test_pipeline_against_its_operators(spark, tmp_path):
