@@ -11,8 +11,12 @@ tags in its subtree. The link-adjusted density is
 (zero denominators count as 1). The density sum of a node adds its children's
 densities, its own direct text being one more child. The node with the largest sum
 is the core. The lowest density on the path from the body to the core is the
-threshold: the selection climbs to a parent while all its other text-bearing
-children reach the threshold, and to the enclosing ``article`` or ``main``.
+threshold. A core inside an ``article`` or ``main`` selects that, and climbs to a
+parent while all its other text-bearing children reach the threshold. Otherwise, from
+the body down, every child that reaches the threshold keeps the subtree of its largest
+density sum. Beside a kept part, a block below the threshold (heading, date, caption,
+short paragraph) stays if it is not mostly links: text elements anywhere, other blocks
+before a kept part; so does direct text with its inline elements.
 
 Parts that are not the article (navigation, page headers and footers, asides, forms,
 scripts, styles, adverts, notices, reader comments: by tag, ``role``, or a word of
@@ -64,6 +68,8 @@ _TAG = re.compile(
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*)|[^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
+# Elements that are text by themselves, wherever they stand beside kept parts.
+TEXT = frozenset("blockquote dl figcaption figure h1 h2 h3 h4 h5 h6 hgroup ol p pre table ul".split())
 _BREAK = None
 
 
@@ -212,8 +218,8 @@ def parse(src: str) -> _Page:
     return page
 
 
-def select(page: _Page) -> int:
-    """The node whose subtree is the main text."""
+def select(page: _Page) -> list[tuple[int, int]]:
+    """The ranges of events that are the main text, in page order."""
     n, parent = len(page.tag), page.parent
     chars, links, n_links, tags = list(page.chars), list(page.links), list(page.n_links), [1] * n
     for i in range(n - 1, 0, -1):  # children follow their parents
@@ -244,18 +250,60 @@ def select(page: _Page) -> int:
     children: dict[int, list[int]] = {}
     for i in range(1, n):
         children.setdefault(parent[i], []).append(i)
-    top = 0
-    for k, i in enumerate(path):
-        if page.tag[i] in ("article", "main"):
-            top = k
-    while top + 1 < len(path):
-        up, here = path[top + 1], path[top]
-        if any(chars[c] and d[c] < threshold for c in children.get(up, ()) if c != here):
-            break
-        if up == body and any(chars[c] for c in children.get(up, ()) if c != here):
-            break  # the body itself is the selection only when nothing else carries text
-        top += 1
-    return path[top]
+    articles = [k for k, i in enumerate(path) if page.tag[i] in ("article", "main")]
+    if articles:
+        top = articles[-1]
+        while top + 1 < len(path):
+            up, here = path[top + 1], path[top]
+            if any(chars[c] and d[c] < threshold for c in children.get(up, ()) if c != here):
+                break
+            if up == body and any(chars[c] for c in children.get(up, ()) if c != here):
+                break  # the body itself is the selection only when nothing else carries text
+            top += 1
+        return [(page.first[path[top]], page.last[path[top]])]
+
+    # the node of the largest sum in every subtree, and the subtrees that are kept
+    largest = list(range(n))
+    for i in range(n - 1, 0, -1):
+        p = parent[i]
+        if (total[largest[i]], -largest[i]) > (total[largest[p]], -largest[p]):
+            largest[p] = largest[i]
+    root = path[-1]
+    reached, kept, holds = [False] * n, [False] * n, [False] * n
+    for i in range(root, n):
+        reached[i] = d[i] >= threshold and (i == root or reached[parent[i]])
+        if reached[i]:
+            kept[largest[i]] = True
+    for i in range(n - 1, 0, -1):
+        if kept[i] or holds[i]:
+            holds[parent[i]] = True
+    out, todo = [], [(root, 0, 0)]  # (node, 0, 0), or (-1, first, last) for a range
+    while todo:
+        i, a, b = todo.pop()
+        if i < 0 or kept[i]:
+            out.append((a, b) if i < 0 else (page.first[i], page.last[i]))
+            continue
+        below = children.get(i, [])
+        parts = [c for c in below if kept[c] or holds[c]]
+        inline = [c for c in below if page.tag[c] not in BLOCK and not holds[c]]
+        line = page.chars[i] + sum(chars[c] for c in inline)
+        line_stays = 2 * (page.links[i] + sum(links[c] for c in inline)) <= line
+        at, steps = page.first[i], []
+        for c in below:
+            if line_stays:
+                steps.append((-1, at, page.first[c]))
+            at = page.last[c]
+            if kept[c] or holds[c]:
+                steps.append((c, 0, 0))
+            elif page.tag[c] not in BLOCK:
+                if line_stays:
+                    steps.append((-1, page.first[c], at))
+            elif 2 * links[c] <= chars[c] and (page.tag[c] in TEXT or c < parts[-1]):
+                steps.append((-1, page.first[c], at))
+        if line_stays:
+            steps.append((-1, at, page.last[i]))
+        todo += reversed(steps)
+    return out
 
 
 def main_text(src: str | None) -> str:
@@ -263,17 +311,22 @@ def main_text(src: str | None) -> str:
     if not src:
         return ""
     page = parse(src)
-    node = select(page)
-    blocks, parts = [], []
-    for e in [*page.events[page.first[node]:page.last[node]], _BREAK]:
-        if e is _BREAK:
-            if parts:
-                t = " ".join("".join(parts).split())
-                if t:
-                    blocks.append(t)
-                parts = []
-        else:
-            parts.append(e)
+    blocks, parts, end = [], [], 0
+    for first, last in [*select(page), (len(page.events), len(page.events))]:
+        # a block break in what was left out still ends a block
+        cut = [_BREAK] if any(e is _BREAK for e in page.events[end:first]) or first == len(page.events) else []
+        end = last
+        for e in [*cut, *page.events[first:last]]:
+            if e is _BREAK:
+                if parts:
+                    t = " ".join("".join(parts).split())
+                    if t:
+                        blocks.append(t)
+                    parts = []
+            else:
+                parts.append(e)
+    if parts and (t := " ".join("".join(parts).split())):
+        blocks.append(t)
     return "\n\n".join(blocks)
 
 

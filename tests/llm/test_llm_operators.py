@@ -126,6 +126,23 @@ def test_main_text(src, want):
     assert html_text.main_text(src) == want
 
 
+def test_main_text_without_an_article_element_is_whole():
+    para = "<p>" + "word " * 75 + "</p>"
+    p = ("word " * 75).strip()
+    nav = "<div><a href=a>Home page</a> <a href=b>News page</a></div>"
+
+    def text(inner):
+        return html_text.main_text(f"<html><body>{nav}<div id=content>{inner}</div>{nav}</body></html>").split("\n\n")
+
+    half = f"<div>{para}{para}</div>"
+    assert text(f"<h1>Title</h1>{half}{half}<p>End.</p>") == ["Title", p, p, p, p, "End."]
+    assert text(f"<h1>Title</h1><div>May 5</div>{half}<p>Short.</p>{nav}<div>A caption</div>{half}") == [
+        "Title", "May 5", p, p, "Short.", "A caption", p, p]
+    assert text(f"<h1>Title</h1>{half}<p>End.</p>") == ["Title", p, p, "End."]
+    assert text(f"<div>So <b>it</b> <a href=x>is</a> here.</div>{half}<ul><li><a href=c>Other page</a></ul>{half}") == [
+        "So it is here.", p, p, p, p]
+
+
 # --- simhash
 
 def test_simhash_blocks_give_the_same_classes(spark):
