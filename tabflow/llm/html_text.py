@@ -19,8 +19,11 @@ short paragraph) stays if it is not mostly links: text elements anywhere, other
 before a kept part; so does direct text with its inline elements.
 
 Parts that are not the article (navigation, page headers and footers, asides, forms,
-scripts, styles, adverts, notices, reader comments: by tag, ``role``, or a word of
-``class``/``id``) carry no characters. The text of a block has character references
+scripts, styles, adverts, notices, reader comments: by tag, ``role``, or a whole token of
+``class``/``id``, or its known prefix) carry no characters. A form that holds an ``article``
+or ``main`` is not dropped, nor is any part that holds one when none stands outside such
+parts. On a page without these elements a form stays when it holds most of the body's text outside
+links, and a part by role or layout token when it holds four fifths of it. The text of a block has character references
 decoded and white space runs as one space; blocks are joined by two newlines.
 
 Defined results: null or empty html, and a page without article text, give the empty
@@ -49,14 +52,24 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
     "td tfoot th thead tr ul".split())
 DROP = frozenset(
-    "head nav footer aside form script style noscript template iframe object embed svg canvas audio video button select "
+    "head script style noscript template iframe object embed svg canvas audio video button select "
     "textarea input label option menu dialog title xmp noembed noframes".split())
+DROP_PARTS = frozenset("nav footer aside form header".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+# Whole class or id tokens; a token of the second set is never around an article's text.
+DROP_LAYOUT = frozenset(
+    "banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead notice notices alert modal "
+    "overlay signup login share sharing social related recommended respond widget toolbar pagination pager skip "
+    "site-header site-footer page-footer main-nav main-menu site-nav nav-menu top-nav top-bar skip-link skip-to-content "
+    "related-posts related-articles related-links related-stories social-links social-media social-icons social-share "
+    "share-buttons share-links share-bar left-sidebar right-sidebar".split())
 DROP_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation "
-    "menu breadcrumb breadcrumbs sidebar side footer header masthead cookie cookies consent gdpr notice notices alert popup "
-    "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "commentlist reply replies disqus respond widget toolbar pagination pager skip".split())
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "popup newsletter subscribe subscription comment comments commentlist reply replies disqus ad-slot ad-banner ad-box "
+    "ad-container ad-unit ad-wrapper ad-block author-comments user-comments post-comments".split())
+_PREFIX = re.compile(
+    r"(?:ads|advert|advertisement|sponsor|sponsored|cookie|cookies|gdpr|newsletter|comment|comments|disqus|popup|promo)[-_]")
+_LAYOUT_PREFIX = re.compile(r"(?:sidebar|navbar|breadcrumb|breadcrumbs|pagination)[-_]")
 # Start tags that end an open element of the listed names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody", "thead"}}
@@ -67,39 +80,54 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*)|[^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORDS = re.compile(r"[a-z0-9]+")
+KEEP, LAYOUT, FORM, PART, GONE = 0, 1, 2, 3, 4  # what an element is by itself
 # Elements that are text by themselves, wherever they stand beside kept parts.
 TEXT = frozenset("blockquote dl figcaption figure h1 h2 h3 h4 h5 h6 hgroup ol p pre table ul".split())
 _BREAK = None
 
 
-def _unwanted(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in DROP or (tag == "header" and not in_article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+def _kind(tag: str, attrs: str, in_article: bool) -> int:
+    """``KEEP``, or why the element is not the article; ``GONE`` without regard to what it holds."""
+    if tag in DROP:
+        return GONE
+    if tag in DROP_PARTS and not (tag == "header" and in_article):
+        return FORM if tag == "form" else PART
+    if not attrs or tag in ("html", "body", "main"):
+        return KEEP
+    kind = KEEP
     for m in _NAMES.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if tag == "article":  # an article unless it is one reader's comment
+            if name == "class" and not {"comment", "comment-body"}.isdisjoint(value.split()):
+                return PART
+            continue
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return PART
         if name == "role" and value in DROP_ROLES:
-            return True
-        if name in ("class", "id") and not DROP_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
-    return False
+            kind = max(kind, FORM if value == "form" else LAYOUT)
+        if name in ("class", "id") and not (name == "id" and tag in TEXT):  # ids of headings are their words
+            for token in value.split():
+                if token in DROP_WORDS or _PREFIX.match(token):
+                    return PART
+                if token in DROP_LAYOUT or _LAYOUT_PREFIX.match(token):
+                    kind = max(kind, LAYOUT)
+    return kind
 
 
 class _Page:
     """Nodes in document order with their counts, and the events (text or block break) in page order."""
 
-    __slots__ = ("tag", "parent", "chars", "links", "n_links", "first", "last", "events", "body")
+    __slots__ = ("tag", "parent", "chars", "links", "n_links", "first", "last", "events", "body", "kind", "size")
 
     def __init__(self):
         self.tag, self.parent, self.chars, self.links, self.n_links = ["#root"], [-1], [0], [0], [0]
         self.first, self.last, self.events, self.body = [0], [0], [], 0
+        self.kind, self.size = [KEEP], [1]
 
-    def open(self, tag: str, parent: int) -> int:
+    def open(self, tag: str, parent: int, kind: int = KEEP) -> int:
         self.tag.append(tag)
+        self.kind.append(kind)
+        self.size.append(1)
         self.parent.append(parent)
         for c in (self.chars, self.links, self.n_links, self.last):
             c.append(0)
@@ -108,7 +136,7 @@ class _Page:
 
 
 def parse(src: str) -> _Page:
-    """One pass over the markup; dropped parts leave neither nodes nor text."""
+    """One pass over the markup, then over the nodes: dropped parts leave no characters and no text."""
     page = _Page()
     stack, names = [0], ["#root"]
     skip_from = 0  # stack height at which a dropped part began (0: none)
@@ -179,7 +207,8 @@ def parse(src: str) -> _Page:
         elif tag == "body" and "head" in names:
             while "head" in names:
                 pop()
-        dropped = bool(skip_from) or _unwanted(tag, attrs, articles > 0)
+        kind = GONE if skip_from else _kind(tag, attrs, articles > 0)
+        dropped = kind == GONE
         if tag in RAW and tag not in VOID:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(src, pos)
             if not dropped:
@@ -191,7 +220,7 @@ def parse(src: str) -> _Page:
             if not skip_from:
                 events.append(_BREAK if tag == "hr" else " " if tag == "br" else "")
                 if tag not in DROP and tag != "br":
-                    page.last[page.open(tag, stack[-1])] = len(events)
+                    page.last[page.open(tag, stack[-1], kind)] = len(events)
             continue
         if dropped:
             if not skip_from:
@@ -202,7 +231,7 @@ def parse(src: str) -> _Page:
             continue
         if tag in BLOCK:
             events.append(_BREAK)
-        node = page.open(tag, stack[-1])
+        node = page.open(tag, stack[-1], kind)
         if tag == "a":
             anchors += 1
             page.n_links[node] = 1
@@ -215,13 +244,50 @@ def parse(src: str) -> _Page:
     while stack:
         pop()
     page.last[0] = len(events)
+    _drop(page)
     return page
 
 
+def _drop(page: _Page) -> None:
+    """Empty the parts that are not the article; parts that hold it are taken back."""
+    n, parent, kind = len(page.tag), page.parent, page.kind
+    if not any(kind):
+        return
+    plain = [c - k for c, k in zip(page.chars, page.links)]  # characters outside links, and outside parts by tag
+    chars, holds = list(page.chars), [False] * n
+    for i in range(n - 1, 0, -1):
+        p = parent[i]
+        chars[p] += chars[i]
+        plain[p] += plain[i] if kind[i] != PART else 0
+        holds[i] = (holds[i] or page.tag[i] in ("article", "main")) and chars[i] > 0 and not (
+            kind[i] == PART and page.tag[i] == "article")
+        holds[p] = holds[p] or holds[i]
+    # an article outside all parts (a form around it is like a div) leaves what other parts hold as teasers
+    inside, free = [False] * n, False
+    for i in range(1, n):
+        inside[i] = inside[parent[i]] or kind[i] in (LAYOUT, PART)
+        free = free or page.tag[i] in ("article", "main") and holds[i] and not inside[i]
+    gone = [False] * n
+    for i in range(1, n):
+        if gone[parent[i]]:
+            gone[i] = True
+        elif kind[i]:
+            if holds[0]:
+                gone[i] = not holds[i] or free and kind[i] != FORM
+            else:
+                gone[i] = kind[i] == PART or plain[i] <= (0.5 if kind[i] == FORM else 0.8) * plain[page.body]
+            if gone[i]:
+                for e in range(page.first[i], page.last[i]):
+                    if page.events[e] is not _BREAK:
+                        page.events[e] = " "
+        if gone[i]:
+            page.chars[i] = page.links[i] = page.n_links[i] = page.size[i] = 0
+
+
 def select(page: _Page) -> list[tuple[int, int]]:
     """The ranges of events that are the main text, in page order."""
     n, parent = len(page.tag), page.parent
-    chars, links, n_links, tags = list(page.chars), list(page.links), list(page.n_links), [1] * n
+    chars, links, n_links, tags = list(page.chars), list(page.links), list(page.n_links), list(page.size)
     for i in range(n - 1, 0, -1):  # children follow their parents
         p = parent[i]
         chars[p] += chars[i]

@@ -143,6 +143,25 @@ def test_main_text_without_an_article_element_is_whole():
         "So it is here.", p, p, p, p]
 
 
+@pytest.mark.parametrize("src,want", [
+    ("<div id=page class='has-sidebar'><article><p>a b c</p></article></div>", "a b c"),
+    ("<div class=no-sidebar><p>a b c</p></div>", "a b c"),
+    ("<form action=x><input name=s><div><p>a b c</p><p>d e</p></div></form><div id=footer>f</div>", "a b c\n\nd e"),
+    ("<form><header>top</header><article><p>a b c</p></article></form>", "a b c"),
+    ("<div class=menu><div id=header>top</div><div class=header><main><p>a b c</p></main></div></div>", "a b c"),
+    ("<div class=header><p>a b c</p><p>d e</p></div>", "a b c\n\nd e"),
+    ("<article><div class=entry-header><h1>T</h1></div><section class=related-work><h2 id=related>R</h2>w</section>"
+     "<div class='side-by-side'>s</div><p class=notice-text>n</p></article>", "T\n\nR\n\nw\n\ns\n\nn"),
+    # what is no part of the article still goes
+    ("<article><p>a b c</p></article><form><p>mail me all of the news</p></form><aside><article>teaser of more</article></aside>", "a b c"),
+    ("<div class=post><p>a b c</p></div><div id=comments><article class=comment><p>me too, " + "yes " * 50 + "</article></div>", "a b c"),
+    ("<nav>one two</nav><footer>three four</footer>", ""),
+    ("<article>x<div class='sidebar-left'>s</div><div class='ad ad-top'>b</div></article>", "x"),
+])
+def test_main_text_survives_wrappers_with_layout_names(src, want):
+    assert html_text.main_text(f"<html><head><title>t</title></head><body>{src}</body></html>") == want
+
+
 # --- simhash
 
 def test_simhash_blocks_give_the_same_classes(spark):
