@@ -8,8 +8,10 @@ features are the mean and the maximum of its chunks' pooled responses; one logis
 combines them into a probability. No other column is an input.
 
 Training runs on a bounded sample of the labelled documents: at most ``max_rows`` rows (half of
-them per class) and ``max_bytes`` bytes, in the order of a hash of the id, weighted back to the
-class shares of all learnable labels. Gradients reach a filter through its arg-max positions.
+them per class) and ``max_bytes`` bytes (half per class, and what the other class leaves), in the
+order of a hash of the id, weighted back to the class shares of all learnable labels. A text that
+does not fit is passed over and later ones are taken; the shortest text seen of a class of which none
+fits is taken all the same. Gradients reach a filter through its arg-max positions.
 Scoring runs over every document in Spark tasks; the model is about 100 KB.
 
 Defined results: null or empty text is scored as one padded chunk; a label that is null or not
@@ -160,27 +162,51 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .where(F.col("y").isin(0, 1) & (fold(F.col("id")) != 0))
              .groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
     shares = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = []
-    for y in sorted(shares):  # at most max_rows / 2 ids of each class: a bounded top-n by hash
-        picked += known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_rows // 2).collect()
-    if not picked:
-        return train([], np.empty(0), np.empty(0), **options)
-    sample = docs.sparkSession.createDataFrame([(r["id"], r["y"]) for r in picked], known.schema)
-    rows = (docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
-            .join(F.broadcast(sample), "id")  # at most max_rows small rows
-            .groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.xxhash64(F.first("id")).alias("h")))
-    rows = rows.withColumn("n", F.octet_length("text"))
+    text_rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+
+    def of(sample: list[tuple]) -> DataFrame:
+        few = docs.sparkSession.createDataFrame(sample, known.schema)
+        rows = (text_rows.join(F.broadcast(few), "id")  # at most max_rows small rows
+                .groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.xxhash64(F.first("id")).alias("h")))
+        return rows.withColumn("n", F.octet_length("text"))
+
     # the byte bound is settled on lengths before any text is collected
-    total, ids = 0, []
-    for r in sorted(rows.select("id", "n", "h").collect(), key=lambda r: (r["h"], r["id"])):
-        total += r["n"]
-        if total > max_bytes:
+    half, room, after = max_rows // 2, {}, {}
+    taken, shortest = {y: [] for y in shares}, {}
+    todo = sorted(shares)
+    while todo:
+        picked = []
+        for y in todo:  # at most max_rows / 2 ids of each class: the next ones by hash, a bounded top-n
+            more = known.where(F.col("y") == y).withColumn("h", F.xxhash64("id"))
+            if y in after:
+                h, i = after[y]
+                more = more.where((F.col("h") > F.lit(h)) | (F.col("h") == F.lit(h)) & (F.col("id") > F.lit(i)))
+            new = more.orderBy("h", "id").limit(half - len(taken[y])).collect()
+            if new:
+                after[y] = new[-1]["h"], new[-1]["id"]
+            else:
+                after.pop(y, None)
+            picked += [(r["id"], y) for r in new]
+        if not picked:
             break
-        ids.append((r["id"],))
+        got = sorted(of(picked).select("id", "n", "h", "y").collect(), key=lambda r: (r["h"], r["id"]))
+        if not room:  # half of the bytes for each class, and what the other class leaves
+            need = {y: sum(r["n"] for r in got if r["y"] == y) for y in (0, 1)}
+            room = {y: max(max_bytes // 2, max_bytes - need[1 - y]) for y in (0, 1)}
+            full = {y: room[y] // 2 for y in room}
+        for r in got:  # a row that does not fit makes way for the next ones
+            y = r["y"]
+            if r["n"] <= room[y]:
+                room[y] -= r["n"]
+                taken[y].append(r["id"])
+            shortest[y] = min(shortest.get(y, (r["n"], r["id"])), (r["n"], r["id"]))
+        todo = [y for y in todo if y in after and len(taken[y]) < half and room[y] > full[y]]
+    for y in shortest:  # a class whose every row is beyond the bound is still learnt
+        taken[y] = taken[y] or [shortest[y][1]]
+    ids = [(i, y) for y in sorted(taken) for i in taken[y]]
     if not ids:
         return train([], np.empty(0), np.empty(0), **options)
-    chosen = docs.sparkSession.createDataFrame(ids, known.select("id").schema)
-    got = sorted(rows.join(F.broadcast(chosen), "id").select("id", "text", "y", "h").collect(), key=lambda r: (r["h"], r["id"]))
+    got = sorted(of(ids).select("id", "text", "y", "h").collect(), key=lambda r: (r["h"], r["id"]))
     y = np.array([r["y"] for r in got], dtype=np.float32)
     n_all = sum(shares.values())
     weight = {c: (shares[c] / n_all) / max((y == c).mean(), 1e-9) for c in shares}

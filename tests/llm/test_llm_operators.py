@@ -236,6 +236,20 @@ def test_quality_without_two_classes_and_extra_columns(spark):
     assert quality.keep_good(docs, m).columns == docs.columns
 
 
+@pytest.mark.parametrize("long_ids", ["first", "ones", "all ones"])
+def test_quality_sample_passes_over_texts_that_do_not_fit(spark, monkeypatch, long_ids):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    order = [r.doc_id for r in labels.where(quality.fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id")).collect()]
+    ones = [i for i in order if i % 2]
+    big = {"first": order[:3], "ones": ones[:25], "all ones": ones}[long_ids]
+    docs = docs_of(spark, [(i, "x" * (5000 + i) if i in big else "short text", None, None, 0) for i in range(400)])
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, y, w, **_: seen.append((texts, y)))
+    quality.fit(docs, labels, max_rows=40, max_bytes=4000)
+    texts, y = seen[0]
+    assert len(texts) == len(y) and ((y == 0).sum(), (y == 1).sum()) == (20, 1 if long_ids == "all ones" else 20)
+
+
 # --- decontamination
 
 def test_block_max_equals_exhaustive_scoring():
