@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, suffix_dedup, url_filter
+from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, suffix_dedup, token_align, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,10 @@ def op7_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketches.encode(F.col("sketch")).alias("fingerprint"), sketches.encode(F.col("edited_sketch")).alias("edited_fingerprint"),
         sketches.alike(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         sketches.alike(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+@query(11)
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of the two tokenizers' tokens on every document, and how usual its links are in the corpus."""
+    files = token_align.load()
+    return token_align.score(token_align.align(table(spark, sf_dir, "documents"), files), files)

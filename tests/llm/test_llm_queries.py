@@ -30,7 +30,7 @@ def docs():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in Q.QUERIES if q.startswith("op")) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in Q.QUERIES if q.startswith("op")) == list(range(1, 12))
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
@@ -198,19 +198,18 @@ def test_op9_rules(spark):
 
 
 def spans_brute(docs, run_=2, min_words=20):
-    """First occurrences by a dictionary; returns the removed sentences per document."""
+    """Every run of ``run_`` or more sentences and ``min_words`` or more words; returns the removed sentences per document."""
     def cut(t):
         return [s for s in re.split(r"(?<=[.!?])\s+|\s*\n\s*", t) if s.strip()]
     first, hits = {}, defaultdict(set)
     for d, t, *_ in docs:
         s = [" ".join(x.lower().split()) for x in cut(t)]
         for i in range(len(s)):
-            j = i + run_
-            while j <= len(s) and sum(len(x.split()) for x in s[i:j]) < min_words:
-                j += 1
-            if j > len(s):
-                break
-            if first.setdefault("\n".join(s[i:j]), (d, i)) != (d, i):
+            for j in range(i + run_, len(s) + 1):
+                if sum(len(x.split()) for x in s[i:j]) < min_words:
+                    continue
+                if first.setdefault(hashlib.md5("\n".join(s[i:j]).encode()).digest(), (d, i)) == (d, i):
+                    continue
                 hits[d].update(range(i, j))
     return hits
 
@@ -254,3 +253,58 @@ def test_odd_rows_have_the_documented_results(spark, tmp_path):
     assert (nine[2].host, nine[2].rule) == ("a.com", "com/")
     three = {r.page_id: r.text for r in run(spark, "op3", sf).collect() if r.page_id in (1, None, 6)}
     assert three == {1: "", None: "xy", 6: "t"}
+
+
+def align_brute(rows):
+    """Whole texts through both tokenizers; links counted in a dictionary."""
+    from tabflow.llm import token_align as T
+    p, n, out = T.Pair(*T.load()), Counter(), []
+    for d, t in rows:
+        t = t or ""
+        a, b = p.a.encode(" " + t, add_special_tokens=False).ids, p.b.encode(t)
+        whole = (" " + t).encode()
+        if not t or b"".join(p.a_bytes[i] for i in a) != whole or b"".join(p.b_bytes[i] for i in b) != whole:
+            out.append((d, 0, 0, [], ""))
+            continue
+        ends_b, end = {}, 0
+        for j, y in enumerate(b):
+            end += len(p.b_bytes[y])
+            ends_b[end] = j
+        links, groups, i0, j0, end = [], [], 0, 0, 0
+        for i, x in enumerate(a):
+            end += len(p.a_bytes[x])
+            if end in ends_b:
+                j = ends_b[end]
+                groups.append(",".join(map(str, a[i0:i + 1])) + "|" + ",".join(map(str, b[j0:j + 1])))
+                links.append((x, b[j]))
+                i0, j0 = i + 1, j + 1
+        n.update(links)
+        out.append((d, len(a), len(b), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    top = Counter()
+    for (_, y), c in n.items():
+        top[y] = max(top[y], c)
+    return sorted(((d, a, b, len(ln), len(ln), sum(n[x] == top[x[1]] for x in ln), sum(n[x] for x in ln), h) for d, a, b, ln, h in out), key=str)
+
+
+ODD_TEXTS = [(1, None), (2, ""), (3, " "), (4, "a <|endoftext|> b <s> <0x41> c"), (5, "  x  y\n\nz \x00 é ́a 　 b "), (6, "▁"),
+             (6, "one two"), (6, "one two"), (None, "null id, 's text"), (8, "a" * 30000), (9, "it's " * 9000)]
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 20, 1])
+def test_op11_equals_brute_force(spark, docs, hot):
+    from tabflow.llm import token_align as T
+    rows = [(d, t) for d, t, _ in docs] + ODD_TEXTS
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [tuple(r) for r in T.score(T.align(df), hot=hot).collect()]
+    assert sorted(got, key=str) == align_brute(rows)
+
+
+def test_op11_query_groups_and_whole_vocabularies(spark, docs):
+    from tabflow.llm import token_align as T
+    assert sorted((tuple(r) for r in run(spark, "op11").collect()), key=str) == align_brute([(d, t) for d, t, _ in docs])
+    p = T.Pair(*T.load())
+    known = [a for a in range(p.n_a) if p.identity[a] >= 0]
+    assert all(p.a_bytes[a] == p.b_bytes[p.identity[a]] for a in known) and len(known) > 10000
+    df = T.align(spark.createDataFrame([(1, "hello world")], "doc_id long, text string"), with_groups=True)
+    r = df.first()
+    assert hashlib.sha256(r.groups.encode()).hexdigest() == r.groups_sha256
