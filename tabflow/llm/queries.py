@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, simhash, sketches, suffix_dedup, token_align, url_filter
+from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, sharded_kmeans, simhash, sketches, suffix_dedup, token_align, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,31 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of the two tokenizers' tokens on every document, and how usual its links are in the corpus."""
     files = token_align.load()
     return token_align.score(token_align.align(table(spark, sf_dir, "documents"), files), files)
+
+
+def _kmeans_sql() -> str:
+    """The rounds unrolled; exact integers (floor division of negatives by hand)."""
+    km = sharded_kmeans
+    dist = f"list_sum(list_transform(range(1, {km.DIMS} + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i])))::BIGINT"
+    near = ("SELECT rid, vec_id, x, arg_min(k, {{'d': d, 'k': k}}) AS k, min(d) AS d FROM "
+            f"(SELECT p.rid, p.vec_id, p.x, c.k, {dist} AS d FROM p, {{0}} c) GROUP BY ALL")
+    ctes = [f"""p AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor({km.SCALE} * CAST(e AS DOUBLE))::BIGINT) AS x
+      FROM embeddings WHERE len(embedding) = {km.DIMS} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {km.DIMS})""",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id IS NULL, sha256('{km.SEED_TEXT}' || vec_id), x) - 1 AS k, x FROM p
+      ORDER BY k LIMIT {km.K})"""]
+    for r in range(km.ROUNDS + 1):
+        ctes.append(f"a{r} AS MATERIALIZED ({near.format(f'c{r}')})")
+        if r < km.ROUNDS:
+            ctes.append(f"""m{r} AS (SELECT k, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{r}, unnest(range(1, {km.DIMS} + 1)) AS t(i) GROUP BY k, i)""")
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(w.x, c.x) AS x FROM c{r} c LEFT JOIN
+      (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM m{r} GROUP BY k) w ON c.k = w.k)""")
+    r = km.ROUNDS
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT a.vec_id, a.k::INTEGER AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a{r} a JOIN c{r} c ON a.k = c.k"""
+
+
+@query(13, _kmeans_sql())
+def op13_sharded_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact squared distance of every usable vector after the Lloyd rounds."""
+    return sharded_kmeans.with_inertia(*sharded_kmeans.cluster(table(spark, sf_dir, "embeddings")))

@@ -233,13 +233,15 @@ def align(docs: DataFrame, files: tuple[str, bytes] | None = None, id_col: str =
             texts = pdf["text"].tolist()
             for i, j in _slices(texts, _CHARS):
                 got = align_texts(units, texts[i:j], with_groups)
-                out = {"doc_id": pdf["doc_id"].iloc[i:j].astype("Int64").to_numpy(), "n_a": [g[0] for g in got], "n_b": [g[1] for g in got],
+                out = {"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "no_id": pdf["no_id"].iloc[i:j].to_numpy(), "n_a": [g[0] for g in got], "n_b": [g[1] for g in got],
                        "n_groups": [g[2] for g in got], "groups_sha256": [g[3] for g in got],
                        "exact": [g[4].astype("<u4").tobytes() for g in got], "odd": [g[5].astype("<u4" if units.pair.n_a * units.pair.n_b < 1 << 32 else "<u8").tobytes() for g in got]}
                 yield pd.DataFrame(out | ({"groups": [g[6] for g in got]} if with_groups else {}))
 
-    schema = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, exact binary, odd binary" + ", groups string" * with_groups
-    rows = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(encode, schema)
+    schema = "doc_id long, no_id boolean, n_a long, n_b long, n_groups long, groups_sha256 string, exact binary, odd binary" + ", groups string" * with_groups
+    doc_id = col(id_col).cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), text_of(text_col).alias("text")).mapInPandas(encode, schema)
+    rows = rows.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "aligned")
 
 
@@ -309,16 +311,13 @@ def score(aligned: DataFrame, files: tuple[str, bytes] | None = None, hot: int =
                 n_best.append(int(vector_best[e].sum() + code_best[at].sum()))
                 sums.append(int(vector[e].sum() + counts[at].sum()))
                 cold.append(o[~known])
-            yield pd.DataFrame({"row": pdf["row"], "doc_id": pdf["doc_id"].astype("Int64"), "n_a": pdf["n_a"], "n_b": pdf["n_b"],
-                                "n_groups": pdf["n_groups"], "groups_sha256": pdf["groups_sha256"], "n_best": n_best,
-                                "count_sum": sums, "cold": cold})
+            yield pd.DataFrame({"at": pdf["row"], "n_best": n_best, "count_sum": sums, "cold": cold})
 
-    half = stored(aligned.select("row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "exact", "odd").mapInPandas(
-        look_up, "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, n_best long, count_sum long, cold array<long>"), "links")
+    half = stored(aligned.select("row", "exact", "odd").mapInPandas(look_up, "at long, n_best long, count_sum long, cold array<long>"), "links")
     tops = spark.createDataFrame([(i, int(n)) for i, n in enumerate(best.tolist()) if n], "b int, top long")
     rare = pairs.where(~is_hot).join(F.broadcast(tops), b_of == F.col("b")).select("code", "n", (F.col("n") == F.col("top")).cast("long").alias("is_best"))
-    cold = (half.select(F.col("row").alias("at"), F.explode("cold").alias("code")).join(rare, "code")
-            .groupBy("at").agg(F.sum("n").alias("cold_sum"), F.sum("is_best").alias("cold_best")))
-    return half.join(cold, F.col("row") == F.col("at"), "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), (F.col("n_best") + F.coalesce("cold_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("cold_sum", F.lit(0))).alias("count_sum"), "groups_sha256")
+    cold = half.select("at", F.explode("cold").alias("code")).join(rare, "code").select("at", F.col("is_best").alias("n_best"), F.col("n").alias("count_sum"))
+    sums = (half.select("at", "n_best", "count_sum").unionByName(cold).groupBy("at")
+            .agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")))
+    return aligned.join(sums, F.col("row") == F.col("at")).select(
+        "doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum", "groups_sha256")

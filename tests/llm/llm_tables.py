@@ -37,3 +37,13 @@ def rows_of(sf_dir, sql):
     for t in ("documents", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con.sql(sql).fetchall()
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def odd_vectors():
+    one = [((i * 37) % 19 - 9) / 7 for i in range(64)]
+    return [(1, None, 0), (2, [], 0), (3, one[:63], 0), (4, [None] + one[1:], 0), (5, [float("nan")] + one[1:], 0),
+            (6, one[:-1] + [float("-inf")], 0), (7, one, 0), (7, one, 0), (8, [-x for x in one], 1), (None, [0.0] * 64, 1),
+            (9, [1e30] * 64, 1), (10, [-1e30] + one[1:], 1)]

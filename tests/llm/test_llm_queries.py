@@ -30,7 +30,7 @@ def docs():
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in Q.QUERIES if q.startswith("op")) == list(range(1, 12))
+    assert sorted(int(q[2:].split("_")[0]) for q in Q.QUERIES if q.startswith("op")) == [*range(1, 12), 13]
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
@@ -308,3 +308,46 @@ def test_op11_query_groups_and_whole_vocabularies(spark, docs):
     df = T.align(spark.createDataFrame([(1, "hello world")], "doc_id long, text string"), with_groups=True)
     r = df.first()
     assert hashlib.sha256(r.groups.encode()).hexdigest() == r.groups_sha256
+
+
+def kmeans_brute(rows, k=8, rounds=10, limit=1 << 27):
+    """Plain Lloyd over Python integers."""
+    import math
+    pts = [(v, [max(-limit, min(limit, math.floor(1024 * x))) for x in e]) for v, e, *_ in rows
+           if e is not None and len(e) == 64 and all(x is not None and math.isfinite(x) for x in e)]
+    order = sorted(pts, key=lambda p: (p[0] is None, hashlib.sha256(f"3:{p[0]}".encode()).hexdigest() if p[0] is not None else "", p[1]))
+    cent = [x for _, x in order[:k]]
+
+    def near(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), i) for i, c in enumerate(cent))
+    for _ in range(rounds):
+        at = [near(x)[1] for _, x in pts]
+        for i in range(len(cent)):
+            mine = [x for (_, x), a in zip(pts, at) if a == i]
+            if mine:
+                cent[i] = [sum(c) // len(mine) for c in zip(*mine)]
+    got = [(v, *near(x)[::-1]) for v, x in pts]
+    per = Counter()
+    for _, c, d in got:
+        per[c] += d
+    return sorted(((v, c, d, per[c], sum(per.values()), hashlib.sha256(",".join(map(str, cent[c])).encode()).hexdigest()) for v, c, d in got), key=str)
+
+
+@pytest.mark.parametrize("width", [16, 5, 64])
+def test_op13_equals_brute_force(spark, width):
+    from llm_tables import VECTORS, odd_vectors
+    from tabflow.llm import sharded_kmeans as S
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()][:300] + odd_vectors()
+    rows = spark.createDataFrame(rows, VECTORS).collect()  # components as stored floats
+    df = spark.createDataFrame(rows, VECTORS).repartition(4)
+    got = S.with_inertia(*S.cluster(df, width=width)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == kmeans_brute([tuple(r) for r in rows])
+
+
+def test_op13_few_vectors(spark):
+    from llm_tables import VECTORS, odd_vectors
+    from tabflow.llm import sharded_kmeans as S
+    for rows in ([], odd_vectors()[:6], odd_vectors()[:8]):
+        df = spark.createDataFrame(rows, VECTORS)
+        got = S.with_inertia(*S.cluster(df)).collect()
+        assert sorted((tuple(r) for r in got), key=str) == kmeans_brute([tuple(r) for r in df.collect()])
