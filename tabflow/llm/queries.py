@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, mixing, quality, secret_scan, sentence_spans, sharded_kmeans, simhash, sketches, suffix_dedup, token_align, url_filter
+from . import decontam, html_text, jaccard_join, mixing, quality, secret_scan, sentence_spans, sharded_kmeans, simhash, sketches, suffix_dedup, token_align, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,29 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.score(token_align.align(table(spark, sf_dir, "documents"), files), files)
 
 
+OP12_SQL = f"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'),
+       '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS MATERIALIZED (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] ELSE list_transform(range(1, greatest(len(words) - {jaccard_join.SHINGLE - 1}, 1) + 1),
+       lambda i: array_to_string(words[i:i + {jaccard_join.SHINGLE - 1}], ' ')) END)) AS grams FROM w),
+reps AS MATERIALIZED (SELECT min(rid) AS rep, grams, len(grams) AS n FROM s WHERE len(grams) > 0 GROUP BY grams),
+tok AS MATERIALIZED (SELECT rep, n, unnest(grams) AS t FROM reps),
+common AS (SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS o FROM tok a JOIN tok b ON a.t = b.t AND a.rep < b.rep
+           AND 100 * least(a.n, b.n) >= {jaccard_join.PERCENT} * greatest(a.n, b.n) GROUP BY a.rep, b.rep),
+link AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * o >= {jaccard_join.PERCENT} * (na + nb - o) UNION SELECT b, a FROM common WHERE 100 * o >= {jaccard_join.PERCENT} * (na + nb - o)),
+reach(rep, node) AS (SELECT rep, rep FROM reps UNION SELECT r.rep, l.b FROM reach r JOIN link l ON r.node = l.a),
+low AS (SELECT r.grams, min(s.doc_id) AS low, any_value(r.rep) AS rep FROM reps r JOIN s ON s.grams = r.grams GROUP BY r.grams),
+comp AS (SELECT reach.rep, min(low.low) AS component_id FROM reach JOIN low ON low.rep = reach.node GROUP BY reach.rep)
+SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, CASE WHEN len(s.grams) = 0 THEN s.doc_id ELSE c.component_id END AS component_id
+FROM s LEFT JOIN low l ON l.grams = s.grams LEFT JOIN comp c ON c.rep = l.rep"""
+
+
+@query(12, OP12_SQL)
+def op12_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of shingles and Jaccard class of every document."""
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
 def _kmeans_sql() -> str:
     """The rounds unrolled; exact integers (floor division of negatives by hand)."""
     km = sharded_kmeans

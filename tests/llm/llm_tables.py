@@ -21,13 +21,23 @@ ODD_ITEMS = [(1, None), (2, ""), (4, SENT), (4, SENT), (None, "zz yy xx ww vv")]
 ODD_LABELS = [(1, None, None), (2, 0, None), (3, 1, 0), (9, 1, 1), (9, 0, 0), (None, 1, 1)]
 
 
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def odd_vectors():
+    one = [((i * 37) % 19 - 9) / 7 for i in range(64)]
+    return [(1, None, 0), (2, [], 0), (3, one[:63], 0), (4, [None] + one[1:], 0), (5, [float("nan")] + one[1:], 0),
+            (6, one[:-1] + [float("-inf")], 0), (7, one, 0), (7, one, 0), (8, [-x for x in one], 1), (None, [0.0] * 64, 1),
+            (9, [1e30] * 64, 1), (10, [-1e30] + one[1:], 1)]
+
+
 def docs_of(spark, rows, schema=DOCS):
     return spark.createDataFrame(rows, schema)
 
 
-def write_tables(spark, path, docs=(), pages=(), items=(), labels=()):
+def write_tables(spark, path, docs=(), pages=(), items=(), labels=(), vectors=()):
     for name, rows, schema in (("documents", docs, DOCS), ("pages", pages, PAGES), ("benchmark", items, ITEMS),
-                               ("labels", labels, LABELS)):
+                               ("labels", labels, LABELS), ("embeddings", vectors, VECTORS)):
         spark.createDataFrame(list(rows), schema).write.mode("overwrite").parquet(f"{path}/{name}.parquet")
     return str(path)
 
@@ -37,13 +47,3 @@ def rows_of(sf_dir, sql):
     for t in ("documents", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con.sql(sql).fetchall()
-
-
-VECTORS = "vec_id long, embedding array<float>, label int"
-
-
-def odd_vectors():
-    one = [((i * 37) % 19 - 9) / 7 for i in range(64)]
-    return [(1, None, 0), (2, [], 0), (3, one[:63], 0), (4, [None] + one[1:], 0), (5, [float("nan")] + one[1:], 0),
-            (6, one[:-1] + [float("-inf")], 0), (7, one, 0), (7, one, 0), (8, [-x for x in one], 1), (None, [0.0] * 64, 1),
-            (9, [1e30] * 64, 1), (10, [-1e30] + one[1:], 1)]
