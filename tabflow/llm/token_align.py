@@ -42,7 +42,7 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HOT = 1 << 20  # pairs in the broadcast table, at most
 UNITS = 1 << 18  # cached units of a task, at most
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_CHARS = 1 << 21  # characters handled at once
+_CHARS = 1 << 20  # characters handled at once
 _CODES = 1 << 21  # link codes counted at once
 _RUN = 1 << 16  # characters of new units encoded at once
 
