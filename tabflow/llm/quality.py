@@ -1,8 +1,10 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 A text is its UTF-8 bytes. ``n_filters`` learned filters of ``width`` bytes slide over
-overlapping chunks (``stride`` positions each, reading ``width - 1`` bytes into the next
-chunk) that cover the whole document. A filter's response is the sum of learned per-byte,
+overlapping chunks (``stride`` positions each, reading ``width - 1`` bytes into the same text's next
+chunk) that cover the whole document; behind its end a text has padding symbols of its own, and positions that
+start in padding do not compete. So a score is a function of the text and the model alone: equal texts have
+bit-equal scores in any batch, order or partitioning. A filter's response is the sum of learned per-byte,
 per-offset weights; each chunk keeps the largest response (max-pool, ReLU). A document's
 features are the mean and the maximum of its chunks' pooled responses; one logistic unit
 combines them into a probability. No other column is an input.
@@ -14,7 +16,7 @@ does not fit is passed over and later ones are taken; the shortest text seen of
 fits is taken all the same. Gradients reach a filter through its arg-max positions.
 Scoring runs over every document in Spark tasks; the model is about 100 KB.
 
-Defined results: null or empty text is scored as one padded chunk; a label that is null or not
+Defined results: null or empty text is scored as one chunk with one position, all padding; a label that is null or not
 0/1 is ignored, contradicting labels of an id count by their mean (a tie is 1); a null id is held
 out; repeated rows are scored each; with labels of fewer than two classes every text gets the
 same score (the label share; 0.5 without labels); empty tables give empty results; other columns
@@ -23,6 +25,7 @@ are not read (``keep_good`` returns them unchanged).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,38 +55,43 @@ class ByteCnn:
     def width(self) -> int:
         return self.table.shape[0]
 
-    def chunks(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts as one padded symbol array, a whole number of chunks each, and the chunk count of each text."""
-        s = self.stride
+    def chunks(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols of every chunk (one row each, padded), the chunk count of each text, and the positions that count in each chunk."""
+        s, over = self.stride, self.width - 1
         counts = np.array([max(1, -(-len(t) // s)) for t in texts])
-        flat = np.full(int(counts.sum()) * s + self.width, PAD, dtype=np.int16)
-        at = 0
-        for t, n in zip(texts, counts.tolist()):
+        flat = np.full(int(counts.sum()) * s + len(texts) * over, PAD, dtype=np.int16)  # every text is followed by padding of its own
+        starts = np.cumsum(counts * s + over) - (counts * s + over)
+        for t, at in zip(texts, starts.tolist()):
             flat[at:at + len(t)] = np.frombuffer(t, np.uint8)
-            at += n * s
-        return flat, counts
+        nth = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        first = np.repeat(starts, counts) + nth * s
+        symbols = np.lib.stride_tricks.sliding_window_view(flat, s + over)[first]
+        lengths = np.array([max(1, len(t)) for t in texts])
+        return symbols, counts, np.minimum(np.repeat(lengths, counts) - nth * s, s)
 
-    def responses(self, flat: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Filter responses at positions ``a..b`` (a text's last positions read the next text's first bytes or padding)."""
-        out = np.take(self.table[0], flat[a:b], axis=0)
+    def responses(self, symbols: np.ndarray) -> np.ndarray:
+        """Filter responses at every position of the given chunks."""
+        symbols, s = symbols.astype(np.intp), self.stride
+        out = np.take(self.table[0], symbols[:, :s], axis=0)
         buf = np.empty_like(out)
         for j in range(1, self.width):
-            np.take(self.table[j], flat[a + j:b + j], axis=0, out=buf, mode="clip")
+            np.take(self.table[j], symbols[:, j:j + s], axis=0, out=buf, mode="clip")
             out += buf
         return out
 
-    def pooled(self, flat: np.ndarray, where: bool = False, step: int = 512):
+    def pooled(self, symbols: np.ndarray, valid: np.ndarray, where: bool = False, step: int = 512):
         """Max response per chunk (and, with ``where``, its position), a bounded number of chunks at a time."""
-        n = (len(flat) - self.width) // self.stride
-        k = self.table.shape[2]
+        n, k, s = len(symbols), self.table.shape[2], self.stride
         best, pos = np.empty((n, k), np.float32), np.empty((n, k), np.int64) if where else None
         for c in range(0, n, step):
             d = min(n, c + step)
-            r = self.responses(flat, c * self.stride, d * self.stride).reshape(d - c, self.stride, k)
+            r = self.responses(symbols[c:d])
+            short = np.flatnonzero(valid[c:d] < s)  # text ends
+            if len(short):
+                r[short] = np.where((np.arange(s) < valid[c:d][short][:, None])[:, :, None], r[short], -np.inf)
             if where:
-                i = r.argmax(axis=1)
-                best[c:d] = np.take_along_axis(r, i[:, None, :], axis=1)[:, 0]
-                pos[c:d] = i + (np.arange(c, d) * self.stride)[:, None]
+                pos[c:d] = r.argmax(axis=1)
+                best[c:d] = np.take_along_axis(r, pos[c:d][:, None, :], axis=1)[:, 0]
             else:
                 r.max(axis=1, out=best[c:d])
         return (best, pos) if where else best
@@ -93,11 +101,15 @@ class ByteCnn:
             return np.full(len(texts), self.constant)
         if not texts:
             return np.empty(0)
-        flat, counts = self.chunks(texts)
-        h = np.maximum(self.pooled(flat) + self.bias, 0)
-        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        feats = np.hstack([np.add.reduceat(h, starts, axis=0) / counts[:, None], np.maximum.reduceat(h, starts, axis=0)])
-        return 1 / (1 + np.exp(-np.clip(feats @ self.out + self.intercept, -30, 30)))
+        symbols, counts, valid = self.chunks(texts)
+        h = np.maximum(self.pooled(symbols, valid) + self.bias, 0).astype(np.float64)
+        z, at = np.empty(len(texts)), 0
+        for i, n in enumerate(counts.tolist()):  # text by text: no sum depends on what else is in the batch
+            mine = np.ascontiguousarray(h[at:at + n].T)
+            feats = np.concatenate((mine.sum(axis=1) / n, mine.max(axis=1)))
+            z[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, float((feats * self.out).sum()) + self.intercept))))
+            at += n
+        return z
 
 
 def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, n_filters: int = 16, width: int = 6,
@@ -121,8 +133,8 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, n_filters
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
             ids = order[at:at + batch]
-            flat, counts = model.chunks([texts[i] for i in ids])
-            best, pos = model.pooled(flat, where=True)
+            symbols, counts, valid = model.chunks([texts[i] for i in ids])
+            best, pos = model.pooled(symbols, valid, where=True)
             pre = best + model.bias
             h = np.maximum(pre, 0)
             starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -138,7 +150,7 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, n_filters
             g_table = np.empty_like(model.table)
             cols = np.broadcast_to(np.arange(k), pos.shape)
             for j in range(width):
-                cell = flat[pos + j].astype(np.int64) * k + cols
+                cell = np.take_along_axis(symbols, pos + j, axis=1).astype(np.int64) * k + cols
                 g_table[j] = np.bincount(cell.ravel(), g.ravel(), (PAD + 1) * k).reshape(PAD + 1, k)
             turn += 1
             step = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))

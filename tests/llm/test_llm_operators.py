@@ -457,3 +457,22 @@ def test_pipeline_edge_tables(spark, tmp_path, kind):
     for name, stage in P.STAGES:
         docs = common.stored(stage(spark, docs, sf), name)
     assert (docs.count() == 0) == (kind == "empty")
+
+
+def test_quality_scores_do_not_depend_on_neighbours(spark):
+    import random
+    rnd = random.Random(5)
+    texts = ["", "", "a", "abc", "word " * 40, "x" * 128, "y" * 129, "é" * 700, "Some text. " * 300, "Some text. " * 300]
+    texts += ["".join(rnd.choice("abcdefgh .,") for _ in range(rnd.choice([3, 127, 128, 129, 640, 5000]))) for _ in range(60)]
+    y = np.array([i % 2 for i in range(len(texts))], dtype=np.float32)
+    m = quality.train([t.encode() for t in texts], y, np.ones(len(texts), dtype=np.float32), min_steps=20)
+    alone = [float(m.score([t.encode()])[0]) for t in texts]
+    assert alone[0] == alone[1] and alone[8] == alone[9]
+    for _ in range(3):
+        order = rnd.sample(range(len(texts)), len(texts))
+        got = m.score([texts[i].encode() for i in order]).tolist()
+        assert [alone[i] for i in order] == got
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 7):
+        rows = quality.classify(df.repartition(parts), m).collect()
+        assert {r.doc_id: r.score for r in rows} == dict(enumerate(alone))
