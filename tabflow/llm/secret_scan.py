@@ -49,7 +49,9 @@ RULES = (
          8, 2, True, r"(?i:passw|secret|token|api_?key)"),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 16, 0, True, r"AKIA"),
     Rule("hex", 1, r"[0-9a-f]{32,}", 32, 0, True),
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, False),
+    # with its body: to the END line, else over the base64 lines that follow (64 hold any usual key)
+    Rule("private_key", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\x20\x09-\x0D]*-----END [A-Z ]*PRIVATE KEY-----"
+         r"|(?:[\x20\x09-\x0D]*[A-Za-z0-9+/=]{8,}){0,64})", 1, 0, False, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1, 0, False),
 )
 
@@ -88,9 +90,10 @@ def blobs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 class Ledger:
     """The scanned (blob, kind, version) pairs and their findings, as Parquet under a shared folder.
 
-    Each scan appends one folder named after the scan, so a retried scan rewrites
-    only its own folder. ``path`` defaults to a new folder under the session's
-    checkpoint folder; pass a lasting one to scan incrementally across runs.
+    Each scan writes one folder named after the scan, so a retried scan (same ``scan_id``) rewrites only
+    its own folder. Two scans of the same blobs at once both write their pairs; findings count equal
+    entries once. ``path`` defaults to a new folder under the session's checkpoint folder; pass a lasting
+    one to scan incrementally across runs.
     """
 
     SCHEMA = "blob string, kind string, version int, spans array<struct<s:bigint,e:bigint>>"
@@ -101,13 +104,14 @@ class Ledger:
         self._empty = path is None
 
     def read(self) -> DataFrame:
-        """Every entry; the findings of a blob and rule version are one row."""
+        """Every entry written; a pair that two scans wrote is there twice."""
         if self._empty or not self._exists():
             return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        return self.spark.read.schema(self.SCHEMA + ", scan string").parquet(self.path).drop("scan")
 
-    def append(self, entries: DataFrame) -> None:
-        entries.select("blob", "kind", "version", "spans").write.mode("append").parquet(self.path)
+    def append(self, entries: DataFrame, scan_id: str | None = None) -> None:
+        """Write one scan's entries; writing a ``scan_id`` again replaces them."""
+        entries.select("blob", "kind", "version", "spans").write.mode("overwrite").parquet(f"{self.path}/scan={scan_id or uuid.uuid4().hex}")
         self._empty = False
 
     def _exists(self) -> bool:
@@ -117,8 +121,8 @@ class Ledger:
 
 
 def scan(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str = "text",
-         rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scan the unseen (blob, rule version) pairs of ``docs`` into ``ledger``; returns the scanned pairs' count frame.
+         rules: tuple[Rule, ...] = RULES, scan_id: str | None = None) -> DataFrame:
+    """Scan the unseen (blob, rule version) pairs of ``docs`` into ``ledger``; returns ``(doc_id, blob)`` of every row.
 
     The unseen blobs are found on addresses alone; only one row per unseen blob
     reaches the patterns.
@@ -141,7 +145,7 @@ def scan(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str
         for r in rules])
     entries = (work.select("blob", "kinds", F.explode(found).alias("f"))
                .where(F.array_contains("kinds", F.col("f.kind"))).select("blob", "f.kind", "f.version", "f.spans"))
-    ledger.append(entries)
+    ledger.append(entries, scan_id)
     return addressed
 
 
@@ -157,7 +161,8 @@ def findings(addressed: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RUL
                           for r in rules])
     per_blob = (ledger.read().join(F.broadcast(versions), ["kind", "version"])  # one row per rule
                 .where(F.size("spans") > 0)
-                .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(F.transform(
+                # a set: equal entries of two scans are one
+                .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set(F.transform(
                     "spans", lambda x: F.struct(x["s"].alias("s"), order[F.col("kind")].alias("ord"),
                                                 x["e"].alias("e"), F.col("kind").alias("kind")))))).alias("found")))
     none = F.array().cast("array<struct<s:bigint,ord:int,e:bigint,kind:string>>")
