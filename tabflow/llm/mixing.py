@@ -131,7 +131,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return run
 
     n_groups = targets.agg(F.max(F.ceil(F.col("n_rows") / bucket_rows))).first()[0] or 1
-    settled, level, current = [], 0, rows
+    # rows without a fraction (size 0, or whole copies) need no partner and stay out of the groups
+    open_ = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
+    settled, level, current = [rows.where(~open_)], 0, rows.where(open_)
     while True:
         last = n_groups <= 1
         done = cut(current.groupBy("sid", "grp").applyInPandas(step(level, last), schema))
@@ -162,9 +164,10 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     plan = (mix(keyed, key, text_col, source_col, **options).groupBy("doc_id")
             .agg(F.sum("copies").alias(n), F.sum("taken").alias(words)).where(F.col(n) > 0))
     # the key of a row never is null itself, its id may be
-    p = plan.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.h").alias("__h"), n, words)
-    same = (col(key)["h"] == F.col("__h")) & col(key)["id"].eqNullSafe(F.col("__id"))
+    hid, hh = fresh(keyed, "plan_id"), fresh(keyed, "plan_hash")
+    p = plan.select(F.col("doc_id.id").alias(hid), F.col("doc_id.h").alias(hh), n, words)
+    same = (col(key)["h"] == col(hh)) & col(key)["id"].eqNullSafe(col(hid))
     joined = keyed.join(p, same)
-    once = F.row_number().over(Window.partitionBy(F.col("__h"), F.col("__id")).orderBy(F.lit(1)))
+    once = F.row_number().over(Window.partitionBy(col(hh), col(hid)).orderBy(F.lit(1)))
     rn = fresh(joined, "rn")
     return joined.withColumn(rn, once).where(F.col(rn) == 1).select(*[col(c) for c in docs.columns], n, words)
