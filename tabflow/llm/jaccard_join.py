@@ -4,10 +4,13 @@ A document's set holds its distinct ``shingle``-word shingles (A-Z lower-cased,
 the whole sequence) as XXH64 hashes. Two sets link when ``100 * |x & y| >= percent * |x | y|``; classes are the
 connected components of the links.
 
-1. Sets are packed in blocks of some thousand documents. Documents with equal sets (by a 128-bit digest of the sorted
-   set) are one set from here on, whatever their number.
-2. Document frequencies are exact: every block asks for its distinct tokens (packed, dealt by hash range; a token
-   comes once per block, however many documents hold it) and learns which of them other sets hold, and how many.
+1. Sets are packed in blocks of some hundred documents, in a table bucketed by block. Documents with equal sets (by a
+   128-bit digest of the sorted set) are one set from here on, whatever their number.
+2. Every block asks for its distinct tokens (packed, dealt by hash range; a token comes once per block, however
+   many documents hold it) and learns which of them other sets hold, and how many. A token is asked for by its
+   range and its low 32 bits. The number of ranges follows the number of tokens, so at any size about one token in 2000
+   shares these with another and counts as more frequent than it is; the order below stays one and the same for all.
+   The answers meet the blocks in their buckets: the sets themselves are written once and never shuffled.
 3. Tokens are ordered by (frequency, hash), rarest first. Tokens that no other set holds come first and can match
    nothing, so a set whose prefix is made of them is out. The others emit their prefix tokens, with the position, the
    set's size and, for the suffix filter, how many of the tokens behind that position fall in each of 8 hash ranges.
@@ -30,6 +33,7 @@ one 64-bit hash count as one (about one pair in 10^19).
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +42,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import col, components, cut, stored, text_of
 
 SHINGLE, PERCENT = 4, 85  # fixed values of the contract
-BLOCK_TOKENS, BLOCK_DOCS = 1 << 19, 1 << 13
+BLOCK_TOKENS, BLOCK_DOCS = 1 << 17, 1 << 13
 PART_TOKENS = 1 << 21
 LEADERS, BLOCK = 2, 4096
 RANGES = 8
@@ -96,7 +101,10 @@ def pack(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
     rows = base.mapInPandas(blocks, "ids binary, none binary, sizes binary, keys binary, lens binary, tokens binary, n_tokens long")
     m = F.monotonically_increasing_id()
     # (partition, number in it) leaving _IDX low bits for the set's number in the block
-    return stored(rows.withColumn("block", F.shiftright(m, 33) * (1 << 20) + m.bitwiseAND(F.lit((1 << 33) - 1))), "sets")
+    rows = rows.withColumn("block", F.shiftright(m, 33) * (1 << 20) + m.bitwiseAND(F.lit((1 << 33) - 1)))
+    spark, name = docs.sparkSession, f"jaccard_sets_{uuid.uuid4().hex}"
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", scratch_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
 
 
 def members(blocks: DataFrame) -> DataFrame:
@@ -114,62 +122,76 @@ def members(blocks: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
+def _ranges(t: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash ranges that ascending tokens fall in, and where each begins."""
+    part = ((t >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    return part[cuts], cuts
+
+
 def shared_tokens(blocks: DataFrame, parts: int) -> DataFrame:
-    """``(block, tokens, df)``: per block and hash range, the block's tokens that several sets hold, with their number."""
+    """``(block, part, at, df)``: per block and hash range, which of the block's tokens there several sets hold, and how many do; written."""
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for block, raw in zip(pdf["block"], pdf["tokens"]):
-                t, n = np.unique(np.frombuffer(raw, "<u8"), return_counts=True)  # ascending, so by part
-                part = ((t >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                ends = np.append(cuts[1:], len(t))
-                yield pd.DataFrame({"part": part[cuts], "block": block, "tokens": [t[a:b].tobytes() for a, b in zip(cuts, ends)],
-                                    "n": [n[a:b].astype("<u4").tobytes() for a, b in zip(cuts, ends)]})
+                t, n = np.unique(np.frombuffer(raw, "<u8"), return_counts=True)
+                if not len(t):
+                    continue
+                part, cuts = _ranges(t, parts)
+                ends, low = np.append(cuts[1:], len(t)), t.astype("<u4")
+                # most tokens occur once in their block: only the others' numbers are sent
+                many = [np.flatnonzero(n[a:b] > 1) for a, b in zip(cuts, ends)]
+                yield pd.DataFrame({"part": part, "block": block, "tokens": [low[a:b].tobytes() for a, b in zip(cuts, ends)],
+                                    "at": [m.astype("<u4").tobytes() for m in many], "n": [n[a:b][m].astype("<u4").tobytes() for a, b, m in zip(cuts, ends, many)]})
 
     def reply(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["tokens"]])
-        n = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["n"]])
+        t = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["tokens"]])
+        sizes = np.array([len(x) // 4 for x in pdf["tokens"]])
+        first = np.cumsum(sizes) - sizes
+        n = np.ones(len(t), dtype=np.int64)
+        for f, at, m in zip(first.tolist(), pdf["at"], pdf["n"]):
+            n[f + np.frombuffer(at, "<u4").astype(np.int64)] = np.frombuffer(m, "<u4")
         order = np.argsort(t, kind="stable")
         cuts = np.flatnonzero(np.concatenate(([True], t[order][1:] != t[order][:-1])))
         df = np.empty(len(t), dtype=np.int64)
-        df[order] = np.repeat(np.add.reduceat(n[order].astype(np.int64), cuts), np.diff(np.append(cuts, len(t))))
-        out, at = [], 0
-        for block, raw in zip(pdf["block"], pdf["tokens"]):
-            mine, many = t[at:at + len(raw) // 8], df[at:at + len(raw) // 8]
-            at += len(mine)
-            hit = many > 1
-            if hit.any():
-                out.append((block, mine[hit].tobytes(), many[hit].astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["block", "tokens", "df"])
+        df[order] = np.repeat(np.add.reduceat(n[order], cuts), np.diff(np.append(cuts, len(t))))
+        out = []
+        for block, f, size in zip(pdf["block"], first.tolist(), sizes.tolist()):
+            hit = np.flatnonzero(df[f:f + size] > 1)
+            if len(hit):
+                out.append((block, int(pdf["part"].iloc[0]), hit.astype("<u4").tobytes(), df[f + hit].astype("<i8").tobytes()))
+        return pd.DataFrame(out, columns=["block", "part", "at", "df"])
 
-    asks = blocks.select("block", "tokens").mapInPandas(ask, "part long, block long, tokens binary, n binary")
-    return asks.groupBy("part").applyInPandas(reply, "block long, tokens binary, df binary")
+    asks = blocks.select("block", "tokens").mapInPandas(ask, "part long, block long, tokens binary, at binary, n binary")
+    return stored(asks.groupBy("part").applyInPandas(reply, "block long, part long, at binary, df binary"), "frequencies")
 
 
 def _ceil(a, b: int):
     return -(-a // b)
 
 
-def prefixes(blocks: DataFrame, shared: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def prefixes(blocks: DataFrame, shared: DataFrame, reps: DataFrame, percent: int, parts: int) -> DataFrame:
     """``(rid, n, own, tokens, at, pos, behind)`` of every first set with a shared token in its prefix; written.
 
     ``at``/``pos`` are the prefix tokens that other sets hold and their positions, ``behind`` the counts of
     later tokens per hash range, ``own`` the number of tokens no other set holds.
     """
     info = shared.withColumn("sets", F.lit(None).cast("array<int>")).unionByName(
-        reps.groupBy(F.shiftright("rep", _IDX).alias("block")).agg(F.collect_list(F.col("rep").bitwiseAND(F.lit((1 << _IDX) - 1)).cast("int")).alias("sets"))
-        .select("block", F.lit(None).cast("binary").alias("tokens"), F.lit(None).cast("binary").alias("df"), "sets"))
+        reps.groupBy(F.shiftright("rep", _IDX).alias("block")).agg(F.collect_list(F.col("rep").bitwiseAND(F.lit((1 << _IDX) - 1)).cast("int")).alias("sets")),
+        allowMissingColumns=True)
 
     def choose(key: tuple, mine: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         cols = ["rid", "n", "own", "tokens", "at", "pos", "behind"]
-        known = info[info["tokens"].notna()]
+        known = info[info["at"].notna()]
         sets = sorted(int(i) for s in info["sets"] if s is not None for i in s)
         if not len(known) or not len(mine):
             return pd.DataFrame(columns=cols)
-        t = np.concatenate([np.frombuffer(x, "<u8") for x in known["tokens"]])
+        every = np.unique(np.frombuffer(mine["tokens"].iloc[0], "<u8"))
+        begins = dict(zip(*(x.tolist() for x in _ranges(every, parts))))
+        at = np.concatenate([begins[int(p)] + np.frombuffer(a, "<u4").astype(np.int64) for p, a in zip(known["part"], known["at"])])
         df = np.concatenate([np.frombuffer(x, "<i8") for x in known["df"]])
-        order = np.argsort(t)
-        t, df = t[order], df[order]
+        order = np.argsort(at)
+        t, df = every[at[order]], df[order]
         flat = np.frombuffer(mine["tokens"].iloc[0], "<u8")
         ends = np.cumsum(np.frombuffer(mine["lens"].iloc[0], "<i4"), dtype=np.int64)
         out = []
@@ -354,8 +376,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     blocks = pack(docs, id_col, text_col, shingle)
     docs_of = stored(members(blocks), "members")
     sets = cut(docs_of.where("n > 0").groupBy("k1", "k2").agg(F.min(F.when(F.col("first"), F.col("rid"))).alias("rep"), F.min("doc_id").alias("low")))
-    total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    active = prefixes(blocks, shared_tokens(blocks, max(1, -(-total // PART_TOKENS))), sets.select("rep"), percent)
+    parts = max(1, -(-(blocks.agg(F.sum("n_tokens")).first()[0] or 0) // PART_TOKENS))
+    active = prefixes(blocks, shared_tokens(blocks, parts), sets.select("rep"), percent, parts)
     rows = entries(active)
     star = cut(star_pairs(rows, percent, leaders, block))
     near = cut(verified(star, active, percent))
