@@ -196,7 +196,7 @@ def attempts_log_roundtrip(spark, sf_dir):
         "campaign", F.col("ts").cast("timestamp").alias("timestamp"), "roc_auc", "approach_description",
         "agent_analysis", "error", F.lit(0.0).alias("cost_usd"),
         "duration_seconds", "status")
-    TB.append_log(log, path)
+    TB.append_log(log, path, TB.ATTEMPT_SCHEMA, "all")
     back = TB.read_log(spark, path, TB.ATTEMPT_SCHEMA)
     return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"),
                                       F.round(F.sum("duration_seconds"), 6).alias("duration_seconds"))
@@ -209,11 +209,33 @@ def usage_log_roundtrip(spark, sf_dir):
     from ..sources import tables as TB
     path = scratch_path(spark, f"logs/usage/{uuid.uuid4().hex}")
     u = fx.usage(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    TB.append_log(u, path)
+    TB.append_log(u, path, TB.USAGE_SCHEMA, "all")
     back = TB.read_log(spark, path, TB.USAGE_SCHEMA)
     return L.daily_usage(L.with_cost(back)).withColumn("spent_usd", F.round("spent_usd", 8))
 
 
+@register("usage_log_exactly_once", "S12 S11 A13", _ledger_sql(DAILY_SQL))
+def usage_log_exactly_once(spark, sf_dir):
+    """Four batches of calls, one written again, one by two writers, compacted in between: every call counts once."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.commits import CommitLog
+    from ..sources import tables as TB
+    u = fx.usage(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    path = scratch_path(spark, f"logs/usage/{uuid.uuid4().hex}")
+    log, other = (CommitLog(spark, path, TB.USAGE_SCHEMA) for _ in range(2))
+    part = [u.where(F.col("call_seq") % 4 == i) for i in range(4)]
+    log.append(part[0], "0")
+    log.append(part[1], "1")
+    log.append(part[1], "1")
+    log.compact()
+    other.append(part[2], "2")
+    log.append(part[2], "2")
+    other.append(part[0], "0")
+    log.append(part[3], "3")
+    return L.daily_usage(L.with_cost(log.read())).withColumn("spent_usd", F.round("spent_usd", 8))
+
+
 
 @register("run_meta_scan", "S13 U1", fx.with_views(
     "SELECT campaign || '_a' || CAST(agent_id AS VARCHAR) || '_r' || CAST(round AS VARCHAR) AS run_id, "
@@ -270,6 +292,14 @@ def daily_usage_stream_late(spark, sf_dir):
     return run_ledger_stream(spark, _newest_first(spark, sf_dir)).withColumn("spent_usd", F.round("spent_usd", 8))
 
 
+@register("daily_usage_windowed", "ST1 A13", _ledger_sql(DAILY_SQL))
+def daily_usage_windowed(spark, sf_dir):
+    """Newest days arrive first, so most calls are later than the watermark: corrections make up the totals."""
+    from ..streaming.windowed_ledger import current, run_windowed_ledger
+    sink, _ = run_windowed_ledger(spark, _newest_first(spark, sf_dir))
+    return current(sink.read()).withColumn("spent_usd", F.round("spent_usd", 8))
+
+
 @register("admission_stream_late", "W3 ST1 P12", _ledger_sql(
     "SELECT day, count(*) AS calls, round(CAST(max(spent) AS DOUBLE) / 1e6, 8) AS spent_usd FROM "
     "(SELECT day, sum(cost_micro) OVER (PARTITION BY day) AS spent FROM costed) t GROUP BY day"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import qcol
+from .commits import CommitLog, publish
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -86,9 +87,9 @@ def load_dataset(spark: SparkSession, train: str, val: str, test: str | None = N
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def write_splits(df: DataFrame, path: str) -> None:
-    """Write the split-tagged table once; an existing output is kept (mode ignore)."""
-    df.write.mode("ignore").partitionBy("split").parquet(path)
+def write_splits(df: DataFrame, path: str) -> bool:
+    """Write the split-tagged table once; a complete output is kept, one that was never finished is replaced."""
+    return publish(df, path, ("split",))
 
 
 def write_predictions(preds: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -142,13 +143,22 @@ RUN_META_SCHEMA = T.StructType([
 ])
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Append rows to an attempts or usage log (no read-modify-write, no lost updates)."""
+def append_log(df: DataFrame, path: str, schema: T.StructType | None = None, batch: str | None = None) -> bool:
+    """Append rows to an attempts or usage log (no read-modify-write, no lost updates).
+
+    With a ``batch`` id the log is a ``CommitLog``: a batch that is there already (a job run again, a second
+    writer) changes nothing. Without one, rows go to a plain folder and every call adds them.
+    """
+    if batch is not None:
+        return CommitLog(df.sparkSession, path, schema or df.schema).append(df, batch)
     df.write.mode("append").parquet(path)
+    return True
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """S11/S12 scan: every committed batch once (or all rows of a plain folder)."""
+    log = CommitLog(spark, path, schema)
+    return log.read() if log.batches() else spark.read.schema(schema).parquet(path)
 
 
 def write_run_meta(runs: DataFrame, runs_dir: str) -> None:

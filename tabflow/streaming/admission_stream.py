@@ -1,13 +1,14 @@
 """W3 as a stream: admit calls batch by batch against the day's spend so far.
 
-The day totals live in a small table, one row per (batch, day) the batch touched. A
+The day totals live in a commit log, one row per (batch, day) the batch touched; every ``compact_every``
+batches the earlier ones are folded to one row per day, so a batch opens a bounded number of folders. A
 micro-batch reads the totals of earlier batches, adds the running spend of its own calls (the
 bucketed prefix of ``ranking.running``: a day holding a third of all calls is many tasks), and
 admits a call while the spend before it is under the limit. Calls are taken in arrival
 order: batch by batch, by sequence inside a batch.
 
-Both outputs of a batch go to folders named by its id, so a replayed batch reads the same
-earlier totals and rewrites the same rows. Late calls are admitted against their own day's
+A batch's calls go to a folder named by its id and its totals are committed last, once: a replayed batch leaves its
+own totals out, so it reads the same earlier totals and rewrites the same rows. Late calls are admitted against their own day's
 total; no call is dropped.
 """
 
@@ -22,6 +23,7 @@ from ..functions.scalar import day_string
 from ..operators.ledger import DEFAULT_DAILY_LIMIT, with_cost
 from ..operators.ranking import running
 from ..session import scratch_path
+from ..sources.commits import CommitLog
 from ..sources.fixtures import usage_from_events
 from .ledger_stream import events_stream, finish
 
@@ -39,23 +41,26 @@ def admit_batch(batch: DataFrame, totals: DataFrame, limit: float) -> DataFrame:
 
 
 def run_admission_stream(spark: SparkSession, path: str, max_files: int = 1, limit: float = DEFAULT_DAILY_LIMIT,
-                         timeout_s: float | None = None) -> DataFrame:
+                         timeout_s: float | None = None, compact_every: int = 16) -> DataFrame:
     """Run over the files present (available-now); return one row per call."""
     run = uuid.uuid4().hex
     out_path = scratch_path(spark, f"admission_stream/{run}/calls")
-    totals_path = scratch_path(spark, f"admission_stream/{run}/totals")
+    totals = CommitLog(spark, scratch_path(spark, f"admission_stream/{run}/totals"), f"day string, spent {MONEY}")
     ckpt = scratch_path(spark, f"admission_stream/{run}/checkpoint")
     costed = with_cost(usage_from_events(events_stream(spark, path, max_files))).select(
         "call_seq", day_string(F.col("ts")).alias("day"), F.col("cost_micro").cast(MONEY).alias("cost"))
 
+    def per_day(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("day").agg(F.sum("spent").cast(MONEY).alias("spent"))
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        none = s.createDataFrame([], f"day string, spent {MONEY}, batch_id long")
-        seen = s.read.schema(none.schema).parquet(f"{totals_path}/batch=*").where(F.col("batch_id") < batch_id) if batch_id else none
+        if batch_id and batch_id % compact_every == 0:
+            totals.compact(per_day, keep=(str(batch_id),))
+            totals.vacuum()
+        seen = totals.read(without=(str(batch_id),))
         admit_batch(batch, seen, limit).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
         # totals come last: a batch that fails before here is replayed whole
-        (batch.groupBy("day").agg(F.sum("cost").cast(MONEY).alias("spent"))
-         .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{totals_path}/batch={batch_id}"))
+        totals.append(per_day(batch.withColumnRenamed("cost", "spent")), str(batch_id))
 
     finish(costed.writeStream.outputMode("append").foreachBatch(write_batch).option("checkpointLocation", ckpt)
            .trigger(availableNow=True).start(), timeout_s, "admission stream")
