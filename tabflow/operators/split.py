@@ -74,8 +74,12 @@ def stratified_split(
     test_size: float = 0.2,
     seed: int = 42,
     out: str = "split",
+    quota: dict | None = None,
 ) -> DataFrame:
-    """``df`` plus a ``split`` column (``train``/``val``). Without a target the split is unstratified."""
+    """``df`` plus a ``split`` column (``train``/``val``). Without a target the split is unstratified.
+
+    ``quota`` gives the validation rows of every class (default: the exact share of ``test_size``).
+    """
     key = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
     cls = F.col(target) if target else F.lit(0)
@@ -89,7 +93,7 @@ def stratified_split(
     counts = {r["__cls"]: r["n"] for r in bt.groupBy("__cls").agg(F.sum("__bc").alias("n")).collect()}
     if None in counts:
         raise ValueError("target has null labels")
-    q = quotas(counts, test_size)
+    q = quotas(counts, test_size) if quota is None else quota
     cls_type = staged.schema["__cls"].dataType
     qdf = literal_table(spark, [(c, int(v)) for c, v in q.items()], ["__cls", "__q"]).select(
         F.col("__cls").cast(cls_type).alias("__cls"), F.col("__q").cast("long").alias("__q"))

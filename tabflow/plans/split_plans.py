@@ -128,3 +128,43 @@ def feature_frame(spark, sf_dir):
     sel, missing = FE.select_features(df, wanted)  # P2: the missing list is returned
     out = FE.as_float(sel, ["total_price", "acct_bal", "nation_key", "stock_num"])  # P4
     return out.withColumn("missing", F.lit(",".join(missing)))
+
+
+# ---------------------------------------------------------------- sticky split over two increments
+
+_FIRST = "key % 3 <> 0"
+STICKY_CTES = f"""
+c1 AS (SELECT target, count(*) AS n_c FROM labelled WHERE {_FIRST} GROUP BY target),
+c2 AS (SELECT target, count(*) AS n_c FROM labelled GROUP BY target),
+g1 AS (SELECT target, n_c, sum(n_c) OVER () AS n, CAST(ceil(sum(n_c) OVER () * {TEST_SIZE}) AS BIGINT) AS n_val FROM c1),
+g2 AS (SELECT target, n_c, sum(n_c) OVER () AS n, CAST(ceil(sum(n_c) OVER () * {TEST_SIZE}) AS BIGINT) AS n_val FROM c2),
+f1 AS (SELECT *, (n_c * (n - n_val)) // n AS fl, (n_c * (n - n_val)) % n AS rem FROM g1),
+f2 AS (SELECT *, (n_c * (n - n_val)) // n AS fl, (n_c * (n - n_val)) % n AS rem FROM g2),
+r1 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, target) AS rr, (n - n_val) - sum(fl) OVER () AS left_over FROM f1),
+r2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, target) AS rr, (n - n_val) - sum(fl) OVER () AS left_over FROM f2),
+v1 AS (SELECT target, n_c - (fl + CASE WHEN rr <= left_over THEN 1 ELSE 0 END) AS val_c FROM r1),
+v2 AS (SELECT r2.target, greatest(r2.n_c - (r2.fl + CASE WHEN r2.rr <= r2.left_over THEN 1 ELSE 0 END) - coalesce(v1.val_c, 0), 0) AS val_c
+       FROM r2 LEFT JOIN v1 ON r2.target = v1.target),
+ranked AS (SELECT l.key, l.target, CASE WHEN l.{_FIRST} THEN 1 ELSE 2 END AS increment, row_number() OVER (PARTITION BY l.target, l.{_FIRST}
+           ORDER BY md5(concat('{SEED}', ':', CAST(l.key AS VARCHAR))), l.key) AS rn FROM labelled l),
+assigned AS (SELECT r.key, r.target, r.increment, CASE WHEN r.rn <= CASE WHEN r.increment = 1 THEN v1.val_c ELSE v2.val_c END THEN 'val' ELSE 'train' END AS split
+             FROM ranked r LEFT JOIN v1 ON r.target = v1.target LEFT JOIN v2 ON r.target = v2.target)
+"""
+
+
+@register("sticky_split_keys", "M1 J8 U2", fx.with_views("", "labelled").rstrip() + "," + STICKY_CTES
+          + "SELECT key, target, split, split AS split_before FROM assigned WHERE increment = 1 "
+            "UNION ALL SELECT key, target, split, NULL FROM assigned WHERE increment = 2")
+def sticky_split_keys(spark, sf_dir):
+    """Two increments, the second holding all rows of the first again: old keys keep their side, quotas stay exact."""
+    import uuid
+    from ..operators import sticky_split as K
+    from ..session import scratch_path
+    df = fx.labelled(spark, sf_dir)
+    log = K.assignment_log(spark, scratch_path(spark, f"sticky/{uuid.uuid4().hex}"), df, ["key"], "target")
+    K.assign(log, df.where(_FIRST), ["key"], "first")
+    before = log.read().select(F.col("key").alias("__key"), F.col("split").alias("split_before"))
+    K.assign(log, df, ["key"], "second")
+    K.assign(log, df, ["key"], "second")  # run again
+    now = K.with_split(df.select("key", "target"), log, ["key"])
+    return now.join(before, F.col("key") == F.col("__key"), "left").drop("__key")
