@@ -235,3 +235,36 @@ def full_profile(spark, sf_dir):
     path = scratch_path(spark, f"profiles/{uuid.uuid4().hex}")
     P.write_profile(P.full_profile(fx.labelled(spark, sf_dir)), path)
     return P.read_profile(spark, path, P.FULL_SCHEMA)
+
+
+# ---------------------------------------------------------------- a profile that grows by increments
+
+def _increments(spark, sf_dir):
+    """Three increments of the table, one profiled twice, the first two folded into one state."""
+    import uuid
+    from ..operators import profile_state as PS
+    from ..session import scratch_path
+    df = fx.labelled(spark, sf_dir)
+    log = PS.state_log(spark, scratch_path(spark, f"profile_states/{uuid.uuid4().hex}"))
+    for i in range(3):
+        PS.add_increment(log, df.where(F.col("key") % 3 == i), f"day{i}")
+        if i == 1:
+            PS.add_increment(log, df.where(F.col("key") % 3 == 1), "day1")
+            log.compact(PS.merged)
+    return log.read()
+
+
+@register("profile_increments", "A1 A2 A3 A4 A23 A24 S7", _with_profile(
+    f'SELECT "column", position, role, dtype, CASE WHEN n_unique <= {P.ID_LIKE_MIN_DISTINCT * 5 // 4} THEN n_unique END AS n_unique, mean, std, min, max, '
+    "null_pct, zeros_pct FROM prof"))
+def profile_increments(spark, sf_dir):
+    """From stored states, without a scan of earlier increments; distinct counts where they are exact."""
+    from ..operators import profile_state as PS
+    prof = PS.profile_of(_increments(spark, sf_dir))
+    return P.profile_table(prof.withColumn("n_unique", F.when(F.col("n_unique_exact"), F.col("n_unique"))))
+
+
+@register("top_values_increments", "A5 O2 S7", _top_values_sql(["priority", "segment"]))
+def top_values_increments(spark, sf_dir):
+    from ..operators import profile_state as PS
+    return PS.top_values_of(_increments(spark, sf_dir))
