@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import encode as E
+from ..session import scratch_path
 from .registry import register
 from .split_plans import SPLIT_CTES, labelled_split
 from ..sources import fixtures as fx
@@ -121,3 +124,37 @@ def split_accessors(spark, sf_dir):
     parts = [S.part(out, w).agg(F.lit(w).alias("part"), F.count(F.lit(1)).alias("rows"), F.sum("priority_code").cast("bigint").alias("code_sum"),
                                 F.sum("target").cast("bigint").alias("positives")) for w in ("train", "val")]
     return parts[0].unionByName(parts[1])
+
+
+@register("named_chain", "M7 M2 M4 M5 W4", fx.with_views("", "labelled").rstrip() + "," + SPLIT_CTES + """,
+md AS (SELECT median(total_price) AS m FROM assigned WHERE split = 'train'),
+filled AS (SELECT a.*, coalesce(total_price, (SELECT m FROM md)) AS filled FROM assigned a),
+st AS (SELECT avg(filled) AS mu, stddev_samp(filled) AS sd FROM filled WHERE split = 'train'),
+fr AS (SELECT stock_code AS v, CAST(count(*) AS DOUBLE) / (SELECT count(stock_code) FROM assigned WHERE split = 'train') AS f FROM assigned WHERE split = 'train' GROUP BY 1)
+SELECT key, split, round((filled - mu) / sd, 6) AS price_scaled, round(coalesce(f, 0), 9) AS code_freq,
+       'impute,scale' AS fitted_first, 'code' AS fitted_second, '' AS fitted_third, 'scale,code' AS fitted_fourth
+FROM filled CROSS JOIN st LEFT JOIN fr ON stock_code = v""")
+def named_chain(spark, sf_dir):
+    """A stage is added to a fitted chain, the chain is fitted again unchanged, and a middle stage is replaced:
+    each time only the changed stage and those behind it are fitted, and the values equal a plain computation."""
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from ..operators import chain as C
+    sp = labelled_split(spark, sf_dir)
+    train = sp.where(F.col("split") == "train").drop("split")
+    path = scratch_path(spark, f"chains/{uuid.uuid4().hex}")
+    steps = C.NamedChain(path)
+    steps.add("impute", E.MedianImputer(inputCols=["total_price"], outputCols=["filled"]))
+    steps.add("assemble", VectorAssembler(inputCols=["filled"], outputCol="x"))
+    steps.add("scale", StandardScaler(inputCol="x", outputCol="scaled", withMean=False, withStd=True))
+    first = steps.fit(train)
+    second = steps.add("code", E.FrequencyEncoder(inputCols=["stock_code"], outputCols=["code_freq"])).fit(train)
+    again = C.NamedChain(path)  # another session: the fitted stages come from the folder
+    for name, stage in steps.stages:
+        again.add(name, stage)
+    third = again.fit(train)
+    last = again.replace("scale", StandardScaler(inputCol="x", outputCol="scaled", withMean=True, withStd=True)).fit(train)
+    out = last.transform(sp).withColumn("z", vector_to_array("scaled")[0])
+    names = {"fitted_first": first, "fitted_second": second, "fitted_third": third, "fitted_fourth": last}
+    return out.select("key", "split", F.round("z", 6).alias("price_scaled"), F.round("code_freq", 9).alias("code_freq"),
+                      *[F.lit(",".join(m.fitted)).alias(n) for n, m in names.items()])

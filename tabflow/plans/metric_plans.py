@@ -8,6 +8,7 @@ from ..operators import metrics as M
 from ..operators import ranking as R
 from ..sources import fixtures as fx
 from .registry import register
+from .split_plans import SPLIT_CTES, labelled_split
 
 _AUC_CTES = """,
 j AS (SELECT p.model_id, p.p1, l.target FROM predictions p JOIN labelled l ON p.key = l.key),
@@ -115,6 +116,24 @@ def rank_transform(spark, sf_dir):
     return r.select("key", F.round("total_price_rank", 12).alias("total_price_rank"))
 
 
+_FITTED_RANK = ", ".join(f"""g_{c} AS (SELECT v, sum(c) AS c FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) AS c FROM assigned WHERE split = 'train' AND {c} IS NOT NULL GROUP BY 1
+  UNION ALL SELECT DISTINCT CAST({c} AS DOUBLE), 0 FROM assigned WHERE {c} IS NOT NULL) u GROUP BY v),
+r_{c} AS (SELECT v, (coalesce(sum(c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2.0) / sum(c) OVER () AS r FROM g_{c})"""
+                         for c in ("total_price", "nation_key"))
+
+
+@register("rank_transform_fitted", "W4", fx.with_views("", "labelled").rstrip() + "," + SPLIT_CTES + "," + _FITTED_RANK
+          + "\nSELECT a.key, a.split, round(p.r, 9) AS total_price_rank, round(n.r, 9) AS nation_key_rank FROM assigned a "
+            "LEFT JOIN r_total_price p ON a.total_price = p.v LEFT JOIN r_nation_key n ON CAST(a.nation_key AS DOUBLE) = n.v")
+def rank_transform_fitted(spark, sf_dir):
+    """Ranks among the training rows for every row, ties and values that training does not hold included."""
+    from ..operators.ranks import RankTransform
+    cols = ["total_price", "nation_key"]
+    sp = labelled_split(spark, sf_dir).select("key", "split", *cols)
+    model = RankTransform(inputCols=cols, outputCols=[f"{c}_rank" for c in cols]).fit(sp.where(F.col("split") == "train"))
+    return model.transform(sp).select("key", "split", *[F.round(f"{c}_rank", 9).alias(f"{c}_rank") for c in cols])
+
+
 @register("roc_auc_big", "A18", fx.with_views(
     "SELECT model_id, round((rpos - np * (np + 1) / 2) / (np * nn), 10) AS auc FROM ("
     "SELECT model_id, sum(CASE WHEN target = 1 THEN ar ELSE 0 END) AS rpos, "
