@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .suffix_dedup import keyed
 
 RUN, MIN_WORDS = 2, 20
@@ -88,7 +89,8 @@ def repeats(rows: DataFrame) -> DataFrame:
     """``(doc, marks)``: the spans of each document that also occur earlier."""
     first = (rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark")).alias("f"))
              .where("n > 1").select("h1", "h2", F.col("f.doc").alias("f_doc"), F.col("f.mark").alias("f_mark")))
-    later = rows.join(first, ["h1", "h2"]).where("doc <> f_doc or mark <> f_mark")
+    # written first: a join side that is an aggregate on the join's own key would keep Spark from splitting a hot span
+    later = rows.join(stored(first, "first-spans"), ["h1", "h2"]).where("doc <> f_doc or mark <> f_mark")
     return later.groupBy("doc").agg(F.collect_set("mark").alias("marks"))
 
 
