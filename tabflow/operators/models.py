@@ -114,7 +114,7 @@ def train_run(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key:
     model = fit(split_df, roles, kind, key, target, split_col, params)
     val = split_df.where(F.col(split_col) == "val")
     preds = score(model, val, key, model_id)
-    ev = evaluate(preds, val.select(*key, target), key=key[0] if len(key) == 1 else key, target=target)
+    ev = evaluate(preds, val.select(*key, target), key=key, target=target)
     n_train = split_df.where(F.col(split_col) == "train").select(F.count(F.lit(1))).scalar()
     return model, ev.select("model_id", "auc", "valid", "reason", F.col("n_labels").alias("n_val")).withColumn(
         "n_train", n_train)
@@ -124,7 +124,7 @@ def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str
                target: str = "target", parallelism: int = 2, params: dict[str, dict] | None = None) -> DataFrame:
     """Several candidate pipelines fitted concurrently on one persisted training set; best flagged.
 
-    ``params`` holds the settings per kind.
+    ``params`` holds the settings per kind. Of equal metrics the first in ``kinds`` is the best (A15).
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -133,16 +133,23 @@ def candidates(split_df: DataFrame, roles: dict[str, list[str]], kinds: list[str
     split_df = split_df.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(kind):
-        return train_run(split_df, roles, kind, key, target, params=(params or {}).get(kind))[1]
+        # one row per candidate, settled while the split is still held
+        return train_run(split_df, roles, kind, key, target, params=(params or {}).get(kind))[1].checkpoint()
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         metrics = list(pool.map(inheritable_thread_target(run), kinds))
-    split_df.unpersist()  # the scored groups are checkpointed; what is left is small
+    split_df.unpersist()
     rows = metrics[0]
     for m in metrics[1:]:
         rows = rows.unionByName(m)
-    best = rows.where(F.col("auc").isNotNull()).agg(F.max_by("model_id", "auc").alias("b"))
-    return rows.withColumn("is_best", F.col("model_id") == best.select("b").scalar())
+    return flag_best(rows, kinds)
+
+
+def flag_best(rows: DataFrame, kinds: list[str]) -> DataFrame:
+    """``is_best`` on the model with the highest metric; of equal ones the first in ``kinds``."""
+    place = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("model_id"))
+    best = rows.where(F.col("auc").isNotNull()).agg(F.max_by("model_id", F.struct("auc", -place)).alias("b"))
+    return rows.withColumn("is_best", F.coalesce(F.col("model_id") == best.select("b").scalar(), F.lit(False)))
 
 
 def featurized(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
@@ -202,7 +209,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
     meta = Pipeline(stages=[VectorAssembler(inputCols=bases, outputCol="meta_x"),
                             LogisticRegression(featuresCol="meta_x", labelCol=target)]).fit(meta_train)
     preds = with_p1(meta.transform(val_scores)).select(*key, F.lit("stacked").alias("model_id"), "p1")
-    res = evaluate(preds, val.select(*key, target), key=key[0], target=target)
+    res = evaluate(preds, val.select(*key, target), key=key, target=target)
     feats.unpersist()
     return res
 
@@ -232,7 +239,7 @@ def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], kin
     best = max(range(len(points)), key=lambda i: (model.avgMetrics[i], -i))
     val = feats.where(F.col("split") == "val")
     preds = with_p1(model.bestModel.transform(val)).select(*key, F.lit(f"cv_{kind}").alias("model_id"), "p1")
-    res = evaluate(preds, val.select(*key, target), key=key[0], target=target)
+    res = evaluate(preds, val.select(*key, target), key=key, target=target)
     feats.unpersist()
     return res.withColumn("best_params", F.lit(json.dumps(points[best], sort_keys=True))).withColumn("n_trials", F.lit(len(points)))
 

@@ -28,9 +28,6 @@ from .split_plans import SPLIT_CTES, labelled_split
 KEY = ["key"]
 SINGLE = ["total_price", "acct_bal", "nation_key"]
 TOLERANCE, LOWEST = 0.02, -1e300
-# settings of the registered queries (the defaults train longer)
-PARAMS = {"lr": {"maxIter": 100}, "rf": {"numTrees": 50, "maxDepth": 8, "seed": MD.SEED},
-          "gbt": {"maxIter": 40, "stepSize": 0.1, "maxDepth": 5, "seed": MD.SEED, "validationTol": 0.01}}
 
 
 def _prepared(spark, sf_dir):
@@ -83,7 +80,7 @@ def _assigned_sql(select: str) -> str:
 def _run(kind):
     def q(spark, sf_dir):
         sp, roles = _prepared(spark, sf_dir)
-        model = MD.fit(sp, roles, kind, KEY, params=PARAMS[kind])
+        model = MD.fit(sp, roles, kind, KEY)
         val = sp.where(F.col("split") == "val")
         return _checked(M.evaluate(MD.score(model, val, KEY, kind), val.select("key", "target")), sp)
     return q
@@ -99,7 +96,7 @@ register("fit_gbt", "M12 M18", _model_sql(["gbt"]))(_run("gbt"))
     "(SELECT best FROM sb) AS best_single_auc, TRUE AS keeps_up", "n_train, TRUE AS valid"))
 def model_candidates(spark, sf_dir):
     sp, roles = _prepared(spark, sf_dir)
-    c = MD.candidates(sp, roles, ["lr", "rf"], KEY, params=PARAMS)
+    c = MD.candidates(sp, roles, ["lr", "rf"], KEY)
     n_best = c.select(F.count_if("is_best")).scalar()
     top = c.select(F.max("auc")).scalar()
     return c.select("model_id", "n_train", "valid", (n_best == 1).alias("one_best"),
@@ -109,13 +106,13 @@ def model_candidates(spark, sf_dir):
 @register("stacked_model", "M14", _model_sql(["stacked"]))
 def stacked_model(spark, sf_dir):
     sp, roles = _prepared(spark, sf_dir)
-    return _checked(MD.stacked(sp, roles, ["lr", "rf"], KEY, params=PARAMS), sp)
+    return _checked(MD.stacked(sp, roles, ["lr", "rf"], KEY), sp)
 
 
 @register("cv_lr", "M15", _model_sql(["cv_lr"], ", 3 AS n_trials, TRUE AS in_grid"))
 def cv_lr(spark, sf_dir):
     sp, roles = _prepared(spark, sf_dir)
-    res = MD.search(sp, roles, KEY, "lr", {"regParam": [0.0, 0.01, 0.1]}, params=PARAMS["lr"])
+    res = MD.search(sp, roles, KEY, "lr", {"regParam": [0.0, 0.01, 0.1]})
     found = F.get_json_object("best_params", "$.regParam").cast("double").isin(0.0, 0.01, 0.1)
     return _checked(res, sp, "n_trials", found.alias("in_grid"))
 
@@ -123,7 +120,7 @@ def cv_lr(spark, sf_dir):
 @register("random_search_rf", "M15", _model_sql(["cv_rf"], ", 2 AS n_trials, TRUE AS in_grid"))
 def random_search_rf(spark, sf_dir):
     sp, roles = _prepared(spark, sf_dir)
-    res = MD.search(sp, roles, KEY, "rf", {"numTrees": [10, 20], "maxDepth": [5, 8]}, folds=2, max_trials=2, params=PARAMS["rf"])
+    res = MD.search(sp, roles, KEY, "rf", {"numTrees": [10, 20], "maxDepth": [5, 8]}, folds=2, max_trials=2)
     found = F.get_json_object("best_params", "$.maxDepth").cast("int").isin(5, 8)
     return _checked(res, sp, "n_trials", found.alias("in_grid"))
 
@@ -152,7 +149,7 @@ def pca_components(spark, sf_dir):
 def batch_score(spark, sf_dir):
     """Every row of the table scored by a saved and reloaded model, through the prediction sink."""
     sp, roles = _prepared(spark, sf_dir)
-    model = MD.fit(sp, roles, "lr", KEY, params=PARAMS["lr"])
+    model = MD.fit(sp, roles, "lr", KEY)
     base = scratch_path(spark, f"models/{uuid.uuid4().hex}")
     MD.save(model, f"{base}/model")
     TB.write_predictions(MD.score(MD.load(f"{base}/model"), sp, KEY, "lr"), f"{base}/predictions")
@@ -174,7 +171,7 @@ def train_and_submit(spark, sf_dir):
     sp.drop("split").withColumn("target", F.lit(None).cast("int")).write.option("header", True).csv(f"{base}/test")
     ds = TB.load_dataset(spark, f"{base}/train", f"{base}/val", f"{base}/test", "csv", schema)
     roles = P.roles(P.profile(ds.where(F.col("split") == "train").drop("split")))
-    model = MD.fit(ds, roles, "lr", KEY, params=PARAMS["lr"])
+    model = MD.fit(ds, roles, "lr", KEY)
     MD.save(model, f"{base}/model")
     test = ds.where(F.col("split") == "test")
     TB.write_predictions(MD.score(MD.load(f"{base}/model"), test, KEY, "lr"), f"{base}/predictions")
@@ -220,7 +217,48 @@ def fit_lr_balanced(spark, sf_dir):
     weights = E.class_weights(sp.where(F.col("split") == "train"))  # one row per class
     weighted = E.with_class_weights(sp, weights)
     stages, _ = MD.feature_stages(roles, exclude=("key", "target", "weight"))
-    model = Pipeline(stages=stages + [MD.classifier("lr", weight_col="weight", params=PARAMS["lr"])]).fit(
+    model = Pipeline(stages=stages + [MD.classifier("lr", weight_col="weight")]).fit(
         weighted.where(F.col("split") == "train"))
     val = weighted.where(F.col("split") == "val")
     return _checked(M.evaluate(MD.score(model, val, KEY, "lr_balanced"), val.select("key", "target")), sp)
+
+
+# ---------------------------------------------------------------- a target that no single column ranks
+
+_XOR = "(coalesce(total_price, 0) > 150000) <> (acct_bal > 4500)"
+_XOR_FLIP = f"CASE WHEN ({_XOR}) <> (key % 12 = 0) THEN 1 ELSE 0 END"
+XOR_GAIN = 0.15
+
+
+def _xor_sql(ids: list[str], more: str = "") -> str:
+    return _model_sql(ids, more).replace("labelled AS (", "plain AS (", 1).replace(
+        ",\ncls AS (", f",\nlabelled AS (SELECT * EXCLUDE (target), {_XOR_FLIP} AS target FROM plain),\ncls AS (", 1).replace("keeps_up", "beats_single")
+
+
+def _xor_prepared(spark, sf_dir):
+    from ..operators.split import stratified_split
+    df = fx.labelled(spark, sf_dir).withColumn("target", F.expr(_XOR_FLIP))
+    path = scratch_path(spark, f"splits/{uuid.uuid4().hex}")
+    TB.write_splits(stratified_split(df, "key", "target", 0.2, 42), path)
+    sp = spark.read.parquet(path)
+    return sp, P.roles(P.profile(sp.where(F.col("split") == "train").drop("split")))
+
+
+def _xor_checked(ev, sp, *more):
+    """The model has learnt what no column shows alone: its AUC is ``XOR_GAIN`` above the best single column's."""
+    best = _best_single(sp)
+    return _checked(ev, sp, (F.col("auc") >= F.lit(best + XOR_GAIN)).alias("beats_single"), *more).drop("keeps_up")
+
+
+@register("fit_rf_interaction", "M11 M18", _xor_sql(["rf"]))
+def fit_rf_interaction(spark, sf_dir):
+    sp, roles = _xor_prepared(spark, sf_dir)
+    val = sp.where(F.col("split") == "val")
+    return _xor_checked(M.evaluate(MD.score(MD.fit(sp, roles, "rf", KEY), val, KEY, "rf"), val.select("key", "target")), sp)
+
+
+@register("fit_gbt_interaction", "M12 M18", _xor_sql(["gbt"]))
+def fit_gbt_interaction(spark, sf_dir):
+    sp, roles = _xor_prepared(spark, sf_dir)
+    val = sp.where(F.col("split") == "val")
+    return _xor_checked(M.evaluate(MD.score(MD.fit(sp, roles, "gbt", KEY), val, KEY, "gbt"), val.select("key", "target")), sp)

@@ -62,3 +62,23 @@ def test_clusters_and_components(prepared):
     # components of standardised train data: mean ~0 on train
     m = pcs.where("split = 'train'").agg(F.avg("pc1"), F.avg("pc2")).first()
     assert abs(m[0]) < 1e-6 and abs(m[1]) < 1e-6
+
+
+def test_composite_keys_in_stacking_and_search(spark):
+    from tabflow.operators.split import stratified_split
+    from tabflow.sources import fixtures as fx
+    df = fx.labelled(spark, SF_MID).withColumn("part", F.col("key") % 5).withColumn("key", F.floor(F.col("key") / 5))
+    key = ["key", "part"]  # neither column is unique
+    sp = stratified_split(df.where("key < 400"), key).persist()
+    roles = {"numeric": ["total_price", "acct_bal"]}
+    quick = {"lr": {"maxIter": 5}, "rf": {"numTrees": 5, "maxDepth": 3, "seed": 1}}
+    st = MD.stacked(sp, roles, ["lr", "rf"], key, folds=2, params=quick).first()
+    cv = MD.search(sp, roles, key, "lr", {"regParam": [0.0, 0.1]}, folds=2, params=quick["lr"]).first()
+    for r in (st, cv):
+        assert r["valid"] and r["reason"] is None and r["auc"] > 0.7, r
+
+
+def test_first_of_equal_candidates_is_the_best(spark):
+    rows = spark.createDataFrame([("b", 0.8), ("a", 0.8), ("c", None), ("d", 0.7)], "model_id string, auc double")
+    assert {r.model_id for r in MD.flag_best(rows, ["d", "a", "b", "c"]).where("is_best").collect()} == {"a"}
+    assert MD.flag_best(rows.where("auc is null"), ["c"]).where("is_best").count() == 0
