@@ -264,8 +264,8 @@ def test_block_max_equals_exhaustive_scoring():
     for d, t in enumerate(texts):
         ws = decontam.words(t)
         for b in range(-(-len(ws) // 64)):
-            terms = sorted({ix.vocab[w] for w in ws[b * 64:(b + 2) * 64] if w in ix.vocab})
-            score = ix.impact[terms].sum(axis=0)
+            terms = sorted({ix["vocab"][w] for w in ws[b * 64:(b + 2) * 64] if w in ix["vocab"]})
+            score = np.array([x[np.isin(t, terms)].sum() for t, x in zip(ix["terms"], ix["impacts"])])
             want |= {(d, int(i), round(float(score[i]), 4)) for i in np.flatnonzero(score >= 0.3 - 1e-6)}
     assert {(d, i) for d, i, _ in got} == {(d, i) for d, i, _ in want} and len(got) >= 30
 
@@ -514,3 +514,55 @@ def test_mixture_takes_clashing_names_and_sources_of_empty_texts(spark):
     mixed = mixing.mix(docs)
     assert mixed.count() == 300 and {r.taken for r in mixed.where("source = 'empty'").collect()} == {0}
     assert "empty" not in {r.source for r in out.collect()}
+
+
+def edited(rnd, text, share):
+    return " ".join(f"x{rnd.randrange(9999)}" if rnd.random() < share else w for w in text.split())
+
+
+def test_matches_do_not_depend_on_how_items_are_dealt(spark):
+    rnd = random.Random(11)
+    common = [f"c{i}" for i in range(40)]
+    items = [(i, " ".join(rnd.choice(common) if rnd.random() < 0.4 else f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([20, 40, 90, 200]))))
+             for i in range(60)]
+    docs = [(d, " ".join([*(f"d{rnd.randrange(5000)}" for _ in range(rnd.randrange(200))), edited(rnd, items[d % 60][1], rnd.choice([0, 0.1, 0.2, 0.4]))]))
+            for d in range(150)]
+    d = docs_of(spark, docs, "doc_id long, text string").repartition(3)
+    b = docs_of(spark, items, "item_id long, text string")
+    got = [sorted(tuple(r) for r in decontam.matches(d, b, pass_items=n).collect()) for n in (3, 20, 8192)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 75
+    kept = {r.doc_id for r in decontam.clean(d, b, pass_items=20).collect()}
+    assert kept == set(range(150)) - {r[0] for r in got[0]}
+
+
+def test_items_in_scripts_with_combining_marks_are_found_at_any_offset(spark):
+    letters = "कखगघचछजझटठडढणतथदधनपफबभमयरलवशसह"
+    rnd = random.Random(2)
+    item = " ".join("".join(rnd.choice(letters) + rnd.choice(["ि", "ी", "ु", "े", "ो", "्"]) for _ in range(3)) for _ in range(64))
+    docs = [(at, " ".join([*(f"w{rnd.randrange(999)}" for _ in range(at)), item, "end of it"])) for at in range(0, 301, 20)]
+    got = decontam.matches(docs_of(spark, docs, "doc_id long, text string"), docs_of(spark, [(1, item)], "item_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == set(range(0, 301, 20))
+
+
+def test_decontamination_needs_no_package_on_the_workers(tmp_path):
+    """Workers start in another folder without the package on their path."""
+    import subprocess
+    import textwrap
+    code = textwrap.dedent(f"""
+        import os, sys
+        sys.path.insert(0, {str(__import__('conftest').ROOT)!r})
+        from tabflow.session import local_session
+        from tabflow.llm import decontam, jaccard_join, sharded_kmeans, token_align
+        spark = local_session("2", shuffle_partitions=2)
+        d = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, "nothing of it")], "doc_id long, text string")
+        b = spark.createDataFrame([(7, "one two three four five six seven eight")], "item_id long, text string")
+        assert decontam.matches(d, b).count() == 1 and decontam.clean(d, b).count() == 1
+        assert jaccard_join.classes(d).count() == 2
+        assert token_align.score(token_align.align(d)).count() == 2
+        v = spark.createDataFrame([(1, [0.5] * 64), (2, [1.5] * 64)], "vec_id long, embedding array<float>")
+        assert sharded_kmeans.cluster(v)[0].count() == 2
+        print("done")
+    """)
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
