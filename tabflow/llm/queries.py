@@ -102,18 +102,29 @@ def op4_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FITS = " ".join(
     f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN {{'name': '{r.name}', 'verdict': '{r.verdict}'}}"
     for r in sorted(url_filter.RULES, key=lambda r: -len(r.name)))
+def _levels_sql() -> str:
+    """The tree's levels, one by one: ``o`` open paths, ``k`` branches under each node, ``f`` how a node's rare branches split."""
+    u, out = url_filter, []
+    out.append("o0 AS MATERIALIZED (SELECT host, segments, count(*) AS n, count(r.verdict) AS l, count(*) FILTER (WHERE r.verdict = 'block') AS r, '' AS node FROM base GROUP BY host, segments)")
+    for d in range(u.MAX_DEPTH):
+        out.append(f"k{d} AS MATERIALIZED (SELECT host, node, segments[{d + 1}] AS s, sum(n) AS n, sum(l) AS l FROM o{d} WHERE len(segments) > {d} GROUP BY ALL)")
+        out.append(f"f{d} AS (SELECT host, node, bool_and(NOT (n >= 2 AND n < {u.MIN_SUPPORT} AND l > 0 AND l < n)) AND bool_or(n >= 2 AND n < {u.MIN_SUPPORT} AND l = n) "
+                   f"AND bool_or(n >= 2 AND n < {u.MIN_SUPPORT} AND l = 0) AS apart FROM k{d} GROUP BY host, node)")
+        out.append(f"o{d + 1} AS MATERIALIZED (SELECT o.host, o.segments, o.n, o.l, o.r, o.node || '/' || CASE WHEN k.n >= {u.MIN_SUPPORT} THEN k.s WHEN f.apart AND k.l = 0 THEN '*~' ELSE '*' END AS node "
+                   f"FROM o{d} o JOIN k{d} k ON o.host = k.host AND o.node = k.node AND o.segments[{d + 1}] = k.s JOIN f{d} f ON o.host = f.host AND o.node = f.node WHERE len(o.segments) > {d})")
+    last = " UNION ALL ".join([*(f"SELECT host, segments, node FROM o{d} WHERE len(segments) = {d}" for d in range(u.MAX_DEPTH)),
+                               f"SELECT host, segments, node || repeat('/*', (len(segments) - {u.MAX_DEPTH})::INTEGER) FROM o{u.MAX_DEPTH}"])
+    return ",\n".join([*out, f"t AS (SELECT host, segments, CASE WHEN node = '' THEN '/' ELSE node END AS template FROM ({last}) x)",
+                        "placed AS (SELECT b.*, t.template FROM base b JOIN t ON b.host = t.host AND b.segments = t.segments)"])
+
+
 OP9_SQL = f"""
 WITH u AS (SELECT page_id, coalesce(strpos(url, '://'), 0) AS mark, url FROM pages),
 p AS (SELECT page_id,
              CASE WHEN mark > 0 THEN translate(regexp_extract(substr(url, mark + 3), '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') ELSE '' END AS host,
              CASE WHEN mark > 0 THEN regexp_extract(substr(url, mark + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM u),
 base AS (SELECT *, CASE {_FITS} END AS r, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments FROM p),
-seg AS (SELECT host, i - 1 AS depth, segments[i] AS s, count(*) AS n FROM base, unnest(range(1, len(segments) + 1)) AS t(i) GROUP BY ALL),
-tot AS (SELECT host, depth, sum(n) AS a FROM seg GROUP BY host, depth),
-keep AS (SELECT host, list(CAST(depth AS VARCHAR) || ':' || s) AS keep FROM seg JOIN tot USING (host, depth)
-         WHERE n >= {url_filter.MIN_SUPPORT} AND n >= CAST({url_filter.MIN_SHARE} AS DOUBLE) * a GROUP BY host),
-placed AS (SELECT b.*, '/' || array_to_string(list_transform(segments, lambda x, i: CASE WHEN list_contains(coalesce(keep, []),
-                  CAST(i - 1 AS VARCHAR) || ':' || x) THEN x ELSE '*' END), '/') AS template FROM base b LEFT JOIN keep k ON b.host = k.host),
+{_levels_sql()},
 counts AS (SELECT host, template, count(r.verdict) AS labelled, count(*) FILTER (WHERE r.verdict = 'block') AS rejected FROM placed GROUP BY host, template),
 point AS (SELECT *, array_to_string(list_transform(names, lambda x, k: CASE WHEN k = i THEN '<>' ELSE x END), '/') AS parent FROM
           (SELECT *, string_split(template, '/')[2:] AS names FROM counts WHERE labelled > 0) c, unnest(range(1, len(names) + 1)) AS t(i) WHERE names[i] <> '*'),

@@ -3,10 +3,12 @@
 1. ``parts``: host (after the first ``://``, A-Z lowered) and path of a url.
 2. ``rule_for``: the longest rule whose host is the url's host or a parent domain of it
    and whose path starts the url's path.
-3. Template tree: per host and depth, a path segment that holds at least ``min_share`` of
-   the pages at that depth (and ``min_support`` pages) is a constant branch; every other
-   segment is generalised to ``*``. At most ``1 / min_share`` constants exist per host
-   and depth, so the tree of a host is small however many pages it has.
+3. Template tree: per host, grown level by level. Under a node (the template so far), a segment with at least
+   ``min_support`` pages *under that node* is a branch of its own, however many such siblings it has and however
+   large the host; rarer segments are variable and generalise to ``*``. Where labels follow the segments (of the rare
+   segments with two or more pages none is labelled in part, and some are labelled and some are not), those without labels
+   go to a branch ``*~`` of their own instead, so they take no verdict from labels that are not about them. A
+   node with fewer than ``min_support`` pages has no branches below, nor has one ``max_depth`` segments down.
 4. Branches of a host that differ in one constant segment are merged when their labelled
    reject rates are statistically alike (each within ``z`` standard errors of the pooled
    rate); branches without labels stay on their own.
@@ -15,8 +17,9 @@
    are not enough, and a template without labels scores one half. A page without a rule
    takes its template's verdict.
 
-Everything is map-side combined counts and one equi-join on the host; a hot host only has
-more rows to count and its join partition can be split.
+Work goes by distinct paths, not pages: pages are counted once per (host, path), the levels regroup those counts (a few
+small aggregations and equi-joins on written tables, which Spark can split for a hot host), and one join brings a path's
+template and verdict back to its pages.
 
 Defined results: a null url, or one without ``://``, has empty host and path and is allowed;
 repeated rows count and are judged each; an empty table gives an empty result; other columns
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, stored
+from .common import col, cut, stored, union_all
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,7 +53,7 @@ class UrlRule:
 RULES = (UrlRule("com", "/", "allow"), UrlRule("example.com", "/en/", "block"), UrlRule("www.example.com", "/en/", "allow"),
          UrlRule("net", "/es/", "block"), UrlRule("net", "/fr/", "block"))
 
-MIN_SHARE, MIN_SUPPORT, Z, STRENGTH, PURITY = 0.05, 3, 2.0, 2.0, 0.9
+MIN_SUPPORT, Z, STRENGTH, PURITY, MAX_DEPTH = 3, 2.0, 2.0, 0.9, 12
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -72,23 +75,39 @@ def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) ->
     return chosen
 
 
-def constants(paged: DataFrame, min_share: float = MIN_SHARE, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """``(host, keep)``: the constant segments of each host as ``depth:segment`` strings."""
-    seg = (paged.groupBy("host", "segments").agg(F.count(F.lit(1)).alias("n"))
-           .select("host", "n", F.posexplode("segments").alias("depth", "segment"))
-           .groupBy("host", "depth", "segment").agg(F.sum("n").alias("n")))
-    total = seg.groupBy("host", "depth").agg(F.sum("n").alias("all"))
-    return (seg.join(total, ["host", "depth"])
-            .where((F.col("n") >= min_support) & (F.col("n") >= F.lit(min_share) * F.col("all")))
-            .groupBy("host").agg(F.collect_list(F.concat_ws(":", F.col("depth").cast("string"), "segment")).alias("keep")))
-
-
-def template(segments: Column, keep: Column) -> Column:
-    """A path's template: constant segments by name, the others as ``*``; null ``keep``: all ``*``."""
-    known = F.coalesce(keep, F.array().cast("array<string>"))
-    named = F.transform(segments, lambda s, i: F.when(
-        F.array_contains(known, F.concat_ws(":", i.cast("string"), s)), s).otherwise(F.lit("*")))
-    return F.concat(F.lit("/"), F.array_join(named, "/"))
+def templates(paths: DataFrame, min_support: int = MIN_SUPPORT, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """``paths(host, segments, n, labelled, rejected)`` with each path's ``template``."""
+    counts = ["n", "labelled", "rejected"]
+    open_ = paths.select("host", "segments", *counts, F.lit("").alias("node"))
+    done, depth = [], 0
+    while True:
+        more = F.size("segments") > depth
+        done.append(open_.where(~more))
+        open_ = open_.where(more)
+        if depth == max_depth:
+            rest = F.repeat(F.lit("/*"), F.size("segments") - depth)
+            done.append(open_.withColumn("node", F.concat("node", rest)))
+            break
+        kids = stored(open_.groupBy("host", "node", F.element_at("segments", depth + 1).alias("s")).agg(*[F.sum(c).alias(c) for c in counts]), "url-branches")
+        pair = (F.col("n") >= 2) & (F.col("n") < min_support)
+        whole, none = F.col("labelled") == F.col("n"), F.col("labelled") == 0
+        nodes = kids.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count_if(pair & whole).alias("w"), F.count_if(pair & none).alias("u"),
+                                                 F.count_if(pair & ~whole & ~none).alias("m"))
+        apart = (F.col("m") == 0) & (F.col("w") > 0) & (F.col("u") > 0)
+        name = F.when(F.col("n") >= min_support, F.col("s")).when(apart & none, "*~").otherwise("*")
+        named = stored(kids.join(nodes, ["host", "node"]).select("host", "node", "s", name.alias("name"), "all"), "url-names")
+        step = open_.withColumn("s", F.element_at("segments", depth + 1)).join(named, ["host", "node", "s"])
+        depth += 1
+        small = F.col("all") < min_support  # no branch can follow: the rest is variable
+        step = step.withColumn("node", F.concat("node", F.lit("/"), "name", F.when(small, F.repeat(F.lit("/*"), F.size("segments") - depth)).otherwise(F.lit(""))))
+        step = stored(step.select("host", "segments", *counts, "node", small.alias("small")), "url-level")
+        done.append(step.where("small").drop("small"))
+        open_ = step.where("not small").drop("small")
+        if not open_.where(F.size("segments") > depth).take(1):
+            done.append(open_)
+            break
+    template = F.when(F.col("node") == "", "/").otherwise(F.col("node"))
+    return union_all(done).select("host", "segments", *counts, template.alias("template"))
 
 
 def template_verdicts(counts: DataFrame, z: float = Z, strength: float = STRENGTH, purity: float = PURITY) -> DataFrame:
@@ -134,13 +153,14 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         "segments", F.filter(F.split("path", "/"), lambda s: s != F.lit("")))
     if not label_col:
         base = base.withColumn("label", F.col("r.verdict"))
-    # host and template tables are written, so that Spark knows their size and broadcasts them or not
-    keep = stored(constants(base), "url-constants")
-    placed = base.join(keep, "host", "left").withColumn("template", template(F.col("segments"), F.col("keep"))).drop("keep")
-    counts = placed.groupBy("host", "template").agg(
-        F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("rejected"))
-    verdicts = stored(template_verdicts(counts).select("host", "template", "score", "reject"), "url-templates")
-    out = placed.join(verdicts, ["host", "template"], "left")
+    paths = stored(base.groupBy("host", "segments").agg(
+        F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("rejected")), "url-paths")
+    placed = stored(templates(paths), "url-templates")
+    counts = placed.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "rejected")])
+    verdicts = stored(template_verdicts(counts).select("host", "template", "score", "reject"), "url-verdicts")
+    # one row per distinct path, written, so that Spark knows its size and can split a hot path's pages
+    found = stored(placed.select("host", "segments", "template").join(verdicts, ["host", "template"]), "url-judged")
+    out = base.join(found, ["host", "segments"], "left")
     by_tree = F.when(F.coalesce("reject", F.lit(False)), "block").otherwise("allow")
     return out.select("page_id", "url", "host", "path", F.col("r.name").alias("rule"),
                       F.coalesce(F.col("r.verdict"), by_tree).alias("verdict"), "template", "score")

@@ -566,3 +566,70 @@ def test_decontamination_needs_no_package_on_the_workers(tmp_path):
     env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
+
+
+def tree_brute(pages, min_support=3, max_depth=12):
+    """The template of every (host, segments): a recursive tree over page lists of (segments, label)."""
+    out = {}
+
+    def grow(host, node, rows, depth):
+        for segs in [s for s, _ in rows if len(s) == depth]:
+            out[host, segs] = node or "/"
+        rows = [(s, x) for s, x in rows if len(s) > depth]
+        if depth == max_depth:
+            for s, _ in rows:
+                out[host, s] = node + "/*" * (len(s) - depth)
+            return
+        kids = {}
+        for s, x in rows:
+            kids.setdefault(s[depth], []).append((s, x))
+        pairs = [sum(x is not None for _, x in k) / len(k) for k in kids.values() if 2 <= len(k) < min_support]
+        apart = 1.0 in pairs and 0.0 in pairs and all(p in (0.0, 1.0) for p in pairs)
+        groups = {}
+        for s, k in kids.items():
+            name = s if len(k) >= min_support else "*~" if apart and all(x is None for _, x in k) else "*"
+            groups.setdefault(name, []).extend(k)
+        for name, k in groups.items():
+            grow(host, f"{node}/{name}", k, depth + 1)
+
+    for host in {h for h, _, _ in pages}:
+        grow(host, "", [(s, x) for h, s, x in pages if h == host], 0)
+    return out
+
+
+def test_url_templates_equal_a_brute_force_tree(spark):
+    rnd = random.Random(6)
+    pages = []
+    for i in range(1500):
+        host = rnd.choice(["a.org", "b.org", "b.org", "c.org"])
+        segs = [rnd.choice(["en", "es", "blog", "u"]), *(rnd.choice(["x", "y", f"i{rnd.randrange(60)}", f"j{rnd.randrange(900)}"]) for _ in range(rnd.randrange(4)))]
+        if i % 100 == 0:
+            segs += ["deep"] * rnd.choice([3, 12, 20])
+        label = None if rnd.random() < 0.6 or segs[-1] < "j3" else "block" if segs[0] == "es" else "allow"
+        pages.append((i, f"http://{host}/{'/'.join(segs)}", label))
+    df = spark.createDataFrame(pages, "page_id long, url string, label string").repartition(5)
+    got = {r.page_id: r.template for r in url_filter.judge(df, rules=(), label_col="label").collect()}
+    want = tree_brute([(u.split("/")[2], tuple(u.split("/")[3:]), x) for _, u, x in pages])
+    assert got == {i: want[u.split("/")[2], tuple(u.split("/")[3:])] for i, u, _ in pages}
+    assert any("*~" in t for t in got.values()) or any("*" in t for t in got.values())
+
+
+def test_clean_sections_of_a_host_are_not_blocked(spark):
+    rows = [(i, f"http://x.net/{lang}/p{i}", None) for i, lang in enumerate(
+        [x for x, n in (("en", 840), ("es", 40), ("fr", 40), ("de", 40), ("it", 40)) for _ in range(n)])]
+    df = spark.createDataFrame(rows, "page_id long, url string, label string").drop("label")
+    by = {}
+    for r in url_filter.judge(df).collect():
+        by.setdefault(r.path.split("/")[1], set()).add(r.verdict)
+    assert by == {"en": {"allow"}, "es": {"block"}, "fr": {"block"}, "de": {"allow"}, "it": {"allow"}}
+
+
+def test_a_hot_host_keeps_every_section_with_support(spark):
+    rows = [(i * 10 + j, f"http://hot.org/s{i}/p{j}", "block" if i % 2 else None) for i in range(200) for j in range(3 + i % 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label string")
+    got = url_filter.judge(df, rules=(), label_col="label")
+    assert {r.template for r in got.collect()} == {f"/s{i}/*" for i in range(200)}
+    assert all(r.verdict == "allow" for r in got.where("template in ('/s0/*', '/s100/*')").collect())
+    rare = spark.createDataFrame([(i, f"http://h.org/{'b' if i % 2 else 'c'}{i // 4}/p", "block" if i % 2 else None) for i in range(200)], "page_id long, url string, label string")
+    by = {r.page_id % 2: (r.template, r.verdict) for r in url_filter.judge(rare, rules=(), label_col="label").collect()}
+    assert by == {1: ("/*/p", "block"), 0: ("/*~/p", "allow")}
