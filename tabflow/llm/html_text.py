@@ -11,16 +11,18 @@ tags in its subtree. The link-adjusted density is
 (zero denominators count as 1). The density sum of a node adds its children's
 densities, its own direct text being one more child. The node with the largest sum
 is the core. The lowest density on the path from the body to the core is the
-threshold. A core inside an ``article`` or ``main`` selects that, and climbs to a
-parent while all its other text-bearing children reach the threshold. Otherwise, from
-the body down, every child that reaches the threshold keeps the subtree of its largest
-density sum. Beside a kept part, a block below the threshold (heading, date, caption,
-short paragraph) stays if it is not mostly links: text elements anywhere, other blocks
-before a kept part; so does direct text with its inline elements.
+threshold. From the body down, every child that reaches the threshold keeps the subtree of
+its largest density sum. Beside a kept part, a block below the threshold (heading, date,
+caption, short paragraph) stays if it is not mostly links: text elements anywhere, other blocks
+before a kept part; so does direct text with its inline elements. A core inside a ``main`` or
+``article`` starts the same walk there instead of at the body (an ``article`` inside ``main`` when
+it holds most of its text, so that teasers beside it go), and blocks behind the last kept part stay, too.
+Inside what is kept, blocks below the threshold whose text is mostly links go.
 
 Parts that are not the article (navigation, page headers and footers, asides, forms,
 scripts, styles, adverts, notices, reader comments: by tag, ``role``, or a whole token of
-``class``/``id``, or its known prefix) carry no characters. A form that holds an ``article``
+``class``/``id``, or its known prefix, last part or consent word) carry no characters. Labels and buttons
+outside forms are words of the sentence they stand in. A form that holds an ``article``
 or ``main`` is not dropped, nor is any part that holds one when none stands outside such
 parts. On a page without these elements a form stays when it holds most of the body's text outside
 links, and a part by role or layout token when it holds four fifths of it. The text of a block has character references
@@ -52,8 +54,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
     "td tfoot th thead tr ul".split())
 DROP = frozenset(
-    "head script style noscript template iframe object embed svg canvas audio video button select "
-    "textarea input label option menu dialog title xmp noembed noframes".split())
+    "head script style noscript template iframe object embed svg canvas audio video select "
+    "textarea input option menu dialog title xmp noembed noframes".split())
 DROP_PARTS = frozenset("nav footer aside form header".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 # Whole class or id tokens; a token of the second set is never around an article's text.
@@ -62,7 +64,7 @@ DROP_LAYOUT = frozenset(
     "overlay signup login share sharing social related recommended respond widget toolbar pagination pager skip "
     "site-header site-footer page-footer main-nav main-menu site-nav nav-menu top-nav top-bar skip-link skip-to-content "
     "related-posts related-articles related-links related-stories social-links social-media social-icons social-share "
-    "share-buttons share-links share-bar left-sidebar right-sidebar".split())
+    "share-buttons share-links share-bar left-sidebar right-sidebar discussion discussions".split())
 DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
     "popup newsletter subscribe subscription comment comments commentlist reply replies disqus ad-slot ad-banner ad-box "
@@ -70,6 +72,9 @@ DROP_WORDS = frozenset(
 _PREFIX = re.compile(
     r"(?:ads|advert|advertisement|sponsor|sponsored|cookie|cookies|gdpr|newsletter|comment|comments|disqus|popup|promo)[-_]")
 _LAYOUT_PREFIX = re.compile(r"(?:sidebar|navbar|breadcrumb|breadcrumbs|pagination)[-_]")
+_CONSENT = re.compile(r"(?:^|[-_])(?:consent|cookie|cookies|gdpr)(?:[-_]|$)")
+# a token's last part names what it is, unless the token says what a wrapper has or lacks
+_LAST = re.compile(r"(?!(?:has|no|with|without)[-_]).+[-_](?:comments|discussion|notice|notices|ad|ads|advert|adverts|sidebar|popup|newsletter)$")
 # Start tags that end an open element of the listed names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody", "thead"}}
@@ -107,9 +112,9 @@ def _kind(tag: str, attrs: str, in_article: bool) -> int:
             kind = max(kind, FORM if value == "form" else LAYOUT)
         if name in ("class", "id") and not (name == "id" and tag in TEXT):  # ids of headings are their words
             for token in value.split():
-                if token in DROP_WORDS or _PREFIX.match(token):
+                if token in DROP_WORDS or _PREFIX.match(token) or _CONSENT.search(token):
                     return PART
-                if token in DROP_LAYOUT or _LAYOUT_PREFIX.match(token):
+                if token in DROP_LAYOUT or _LAYOUT_PREFIX.match(token) or _LAST.match(token):
                     kind = max(kind, LAYOUT)
     return kind
 
@@ -251,6 +256,11 @@ def parse(src: str) -> _Page:
 def _drop(page: _Page) -> None:
     """Empty the parts that are not the article; parts that hold it are taken back."""
     n, parent, kind = len(page.tag), page.parent, page.kind
+    in_form = [False] * n
+    for i in range(1, n):
+        in_form[i] = in_form[parent[i]] or page.tag[i] == "form"
+        if page.tag[i] in ("label", "button") and (in_form[i] or not page.chars[parent[i]]):
+            kind[i] = GONE  # a control of its own, not a word of a sentence
     if not any(kind):
         return
     plain = [c - k for c, k in zip(page.chars, page.links)]  # characters outside links, and outside parts by tag
@@ -272,7 +282,9 @@ def _drop(page: _Page) -> None:
         if gone[parent[i]]:
             gone[i] = True
         elif kind[i]:
-            if holds[0]:
+            if kind[i] == GONE:
+                gone[i] = True
+            elif holds[0]:
                 gone[i] = not holds[i] or free and kind[i] != FORM
             else:
                 gone[i] = kind[i] == PART or plain[i] <= (0.5 if kind[i] == FORM else 0.8) * plain[page.body]
@@ -316,17 +328,11 @@ def select(page: _Page) -> list[tuple[int, int]]:
     children: dict[int, list[int]] = {}
     for i in range(1, n):
         children.setdefault(parent[i], []).append(i)
-    articles = [k for k, i in enumerate(path) if page.tag[i] in ("article", "main")]
-    if articles:
-        top = articles[-1]
-        while top + 1 < len(path):
-            up, here = path[top + 1], path[top]
-            if any(chars[c] and d[c] < threshold for c in children.get(up, ()) if c != here):
-                break
-            if up == body and any(chars[c] for c in children.get(up, ()) if c != here):
-                break  # the body itself is the selection only when nothing else carries text
-            top += 1
-        return [(page.first[path[top]], page.last[path[top]])]
+    marked = [k for k, i in enumerate(path) if page.tag[i] in ("article", "main")]
+    if marked:  # the walk starts at the outermost, or at an article that holds most of what that holds
+        top = next((k for k in marked if page.tag[path[k]] == "article" and 2 * chars[path[k]] > chars[path[marked[-1]]]), marked[-1])
+        path = path[:top + 1]
+        threshold = min(d[i] for i in path)
 
     # the node of the largest sum in every subtree, and the subtrees that are kept
     largest = list(range(n))
@@ -343,11 +349,27 @@ def select(page: _Page) -> list[tuple[int, int]]:
     for i in range(n - 1, 0, -1):
         if kept[i] or holds[i]:
             holds[parent[i]] = True
+
+    def whole(i: int) -> list[tuple[int, int]]:
+        """A kept subtree without its blocks of links below the threshold."""
+        cut, look = [], [i]
+        while look:
+            for c in children.get(look.pop(), ()):
+                if page.tag[c] in BLOCK and d[c] < threshold and 2 * links[c] > chars[c]:
+                    cut.append((page.first[c], page.last[c]))
+                else:
+                    look.append(c)
+        at, ranges = page.first[i], []
+        for a, b in sorted(cut):
+            ranges.append((at, a))
+            at = b
+        return [*ranges, (at, page.last[i])]
+
     out, todo = [], [(root, 0, 0)]  # (node, 0, 0), or (-1, first, last) for a range
     while todo:
         i, a, b = todo.pop()
         if i < 0 or kept[i]:
-            out.append((a, b) if i < 0 else (page.first[i], page.last[i]))
+            out += [(a, b)] if i < 0 else whole(i)
             continue
         below = children.get(i, [])
         parts = [c for c in below if kept[c] or holds[c]]
@@ -364,7 +386,7 @@ def select(page: _Page) -> list[tuple[int, int]]:
             elif page.tag[c] not in BLOCK:
                 if line_stays:
                     steps.append((-1, page.first[c], at))
-            elif 2 * links[c] <= chars[c] and (page.tag[c] in TEXT or c < parts[-1]):
+            elif 2 * links[c] <= chars[c] and (marked or page.tag[c] in TEXT or c < parts[-1]):
                 steps.append((-1, page.first[c], at))
         if line_stays:
             steps.append((-1, at, page.last[i]))

@@ -633,3 +633,37 @@ def test_a_hot_host_keeps_every_section_with_support(spark):
     rare = spark.createDataFrame([(i, f"http://h.org/{'b' if i % 2 else 'c'}{i // 4}/p", "block" if i % 2 else None) for i in range(200)], "page_id long, url string, label string")
     by = {r.page_id % 2: (r.template, r.verdict) for r in url_filter.judge(rare, rules=(), label_col="label").collect()}
     assert by == {1: ("/*/p", "block"), 0: ("/*~/p", "allow")}
+
+
+PROSE = "<p>" + "The river ran past the old mill and the people of the town watched it go by. " * 6 + "</p>"
+PROSE_TEXT = ("The river ran past the old mill and the people of the town watched it go by. " * 6).strip()
+LINKS = "".join(f"<li><a href=/{i}>Another story number {i}</a></li>" for i in range(8))
+
+
+@pytest.mark.parametrize("src,want", [
+    # density and link share decide inside articles, too
+    (f"<article><h1>Title</h1>{PROSE}<div><ul>{LINKS}</ul></div>{PROSE}<div>End note.</div></article>", ["Title", PROSE_TEXT, PROSE_TEXT, "End note."]),
+    (f"<main><article><h1>Title</h1>{PROSE}{PROSE}</article><article><h2>Other</h2><p>A teaser of it.</p></article></main>", ["Title", PROSE_TEXT, PROSE_TEXT]),
+    (f"<main><article><h2>One</h2>{PROSE}</article><article><h2>Two</h2>{PROSE}</article></main>", ["One", PROSE_TEXT, "Two", PROSE_TEXT]),
+    # comments, notices, adverts and consent boxes by what their names end in
+    (f"<article>{PROSE}<section class=reader-comments><p>I like this a lot, really.</p></section></article>", [PROSE_TEXT]),
+    (f"<article>{PROSE}<div class=discussion><p>I like this a lot, really.</p></div></article>", [PROSE_TEXT]),
+    (f"<article><div class=site-notice>We moved.</div>{PROSE}<div class=banner-ad>Buy it.</div><div class=article-sidebar>More of it.</div></article>", [PROSE_TEXT]),
+    ("<div id=onetrust-consent-sdk><p>" + "We value your privacy and use small files on this site. " * 20 + "</p></div><div class=post><h1>T</h1><p>Short story here.</p></div>",
+     ["T", "Short story here."]),
+    (f"<div class='has-sidebar no-ads'>{PROSE}</div>", [PROSE_TEXT]),
+    # words of a sentence stay, controls go
+    (f"<article>{PROSE}<p>Press <button>start</button> and <label>wait</label> now.</p><button>Share</button></article>", [PROSE_TEXT, "Press start and wait now."]),
+    (f"<article>{PROSE}<form><p>Your <label>name</label> here</p></form></article>", [PROSE_TEXT]),
+])
+def test_main_text_by_density_on_pages_with_articles(src, want):
+    page = f"<html><head><title>t</title></head><body><nav><ul>{LINKS}</ul></nav>{src}<footer>f</footer></body></html>"
+    assert html_text.main_text(page).split("\n\n") == want
+
+
+def test_main_text_comes_from_the_density(monkeypatch):
+    long_links = "".join(f"<a href=/{i}>{'Another long story of the town and its river that you may like to read ' * 4}</a>" for i in range(2))
+    page = f"<html><body><nav><ul>{LINKS}</ul></nav><article><h1>Title</h1>{PROSE}<div>{long_links}</div>{PROSE}</article></body></html>"
+    assert html_text.main_text(page).split("\n\n") == ["Title", PROSE_TEXT, PROSE_TEXT]
+    monkeypatch.setattr(html_text.math, "log", lambda *_: 1.0)
+    assert "Another long story" in html_text.main_text(page)
