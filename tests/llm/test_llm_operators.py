@@ -662,7 +662,7 @@ def test_main_text_by_density_on_pages_with_articles(src, want):
 
 
 def test_main_text_comes_from_the_density(monkeypatch):
-    long_links = "".join(f"<a href=/{i}>{'Another long story of the town and its river that you may like to read ' * 4}</a>" for i in range(2))
+    long_links = "".join(f"<a href=/{i}>{'Another long story of the town and its river that you may like to read ' * 8}</a>" for i in range(2))
     page = f"<html><body><nav><ul>{LINKS}</ul></nav><article><h1>Title</h1>{PROSE}<div>{long_links}</div>{PROSE}</article></body></html>"
     assert html_text.main_text(page).split("\n\n") == ["Title", PROSE_TEXT, PROSE_TEXT]
     monkeypatch.setattr(html_text.math, "log", lambda *_: 1.0)
