@@ -116,6 +116,35 @@ def rank_transform(spark, sf_dir):
     return r.select("key", F.round("total_price_rank", 12).alias("total_price_rank"))
 
 
+_STEPS = 4
+_BLEND_SQL = fx.with_views("", "labelled", "predictions").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+wide AS (SELECT l.target, CASE WHEN l.key % 2 = 0 THEN a.p1 ELSE 0.03 END AS s1, b.p1 AS s2, CASE WHEN l.key % 2 = 1 THEN a.p1 ELSE 0.03 END AS s3
+         FROM labelled l JOIN predictions a ON a.key = l.key AND a.model_id = 'm1' JOIN predictions b ON b.key = l.key AND b.model_id = 'm2'),
+w AS (SELECT a.i AS w1, b.i AS w2, c.i AS w3 FROM range({_STEPS + 1}) a(i), range({_STEPS + 1}) b(i), range({_STEPS + 1}) c(i) WHERE a.i + b.i + c.i BETWEEN 1 AND {_STEPS}),
+cand AS (SELECT w1, w2, w3, target, CAST(w1 AS DOUBLE) * s1 + CAST(w2 AS DOUBLE) * s2 + CAST(w3 AS DOUBLE) * s3 AS p FROM wide, w),
+rk AS (SELECT w1, w2, w3, target, rank() OVER (PARTITION BY w1, w2, w3 ORDER BY p) + (count(*) OVER (PARTITION BY w1, w2, w3, p) - 1) / 2.0 AS ar FROM cand),
+auc AS MATERIALIZED (SELECT w1, w2, w3, (sum(CASE WHEN target = 1 THEN ar ELSE 0 END) - np * (np + 1) / 2) / (np * nn) AS auc FROM rk,
+        (SELECT CAST(count_if(target = 1) AS DOUBLE) AS np, CAST(count_if(target = 0) AS DOUBLE) AS nn FROM wide) n GROUP BY w1, w2, w3, np, nn),
+walk(w1, w2, w3, auc) AS (SELECT 0, 0, 0, CAST(-1 AS DOUBLE) UNION ALL
+  SELECT n.w1, n.w2, n.w3, n.auc FROM (SELECT a.*, row_number() OVER (ORDER BY a.auc DESC, a.w1 DESC, a.w2 DESC) AS rn, k.auc AS before FROM walk k JOIN auc a
+    ON a.w1 + a.w2 + a.w3 = k.w1 + k.w2 + k.w3 + 1 AND a.w1 >= k.w1 AND a.w2 >= k.w2 AND a.w3 >= k.w3) n WHERE n.rn = 1 AND n.auc > n.before),
+best AS (SELECT * FROM walk ORDER BY auc DESC LIMIT 1)
+SELECT model_id, weight, round(auc, 9) AS blend_auc FROM (SELECT 'even' AS model_id, CAST(w1 AS BIGINT) AS weight, auc FROM best UNION ALL SELECT 'm2', w2, auc FROM best
+  UNION ALL SELECT 'odd', w3, auc FROM best) b WHERE weight > 0"""
+
+
+@register("blend_weights", "M13 A18", _BLEND_SQL)
+def blend_weights(spark, sf_dir):
+    """Learnt weights of three models, two of which know one half of the rows each, and the AUC their blend reaches."""
+    from ..operators import blend as B
+    lab, p = fx.labelled(spark, sf_dir), fx.predictions(spark, sf_dir)
+    half = [p.where("model_id = 'm1'").withColumn("p1", F.when(F.col("key") % 2 == i, F.col("p1")).otherwise(0.03)).withColumn("model_id", F.lit(m))
+            for i, m in enumerate(("even", "odd"))]
+    three = p.where("model_id = 'm2'").unionByName(half[0]).unionByName(half[1])
+    weights, steps = B.greedy_weights(three, lab.select("key", "target"), ["key"], max_steps=_STEPS)
+    return B.weight_table(spark, weights).select("model_id", F.col("weight").cast("bigint").alias("weight"), F.round(F.lit(steps[-1][1]), 9).alias("blend_auc"))
+
+
 _FITTED_RANK = ", ".join(f"""g_{c} AS (SELECT v, sum(c) AS c FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) AS c FROM assigned WHERE split = 'train' AND {c} IS NOT NULL GROUP BY 1
   UNION ALL SELECT DISTINCT CAST({c} AS DOUBLE), 0 FROM assigned WHERE {c} IS NOT NULL) u GROUP BY v),
 r_{c} AS (SELECT v, (coalesce(sum(c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2.0) / sum(c) OVER () AS r FROM g_{c})"""

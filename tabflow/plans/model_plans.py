@@ -262,3 +262,31 @@ def fit_gbt_interaction(spark, sf_dir):
     sp, roles = _xor_prepared(spark, sf_dir)
     val = sp.where(F.col("split") == "val")
     return _xor_checked(M.evaluate(MD.score(MD.fit(sp, roles, "gbt", KEY), val, KEY, "gbt"), val.select("key", "target")), sp)
+
+
+# ---------------------------------------------------------------- successive halving over 15 trials
+
+_TRIALS = [{"regParam": r, "elasticNetParam": e, "maxIter": 50} for r in (0.0, 0.001, 0.01, 0.1, 1.0) for e in (0.0, 0.5, 1.0)]
+_PLACE = "CAST('0x' || substr(md5(concat('{}', ':', CAST(key AS VARCHAR))), 1, 5) AS BIGINT)"
+_HALVING_SQL = _assigned_sql(
+    "SELECT rung, n_trials, n_kept, (SELECT count(*) FROM assigned WHERE split = 'train' AND " + _PLACE.format(1043) + f" >= {int(0.2 * (1 << 20))} AND "
+    + _PLACE.format(1042) + f" < {1 << 20} // divisor) AS n_train, (SELECT count(*) FROM assigned WHERE split = 'train' AND " + _PLACE.format(1043)
+    + f" < {int(0.2 * (1 << 20))}) AS n_inner, TRUE AS best_kept, TRUE AS nested, TRUE AS winner_keeps_up "
+      "FROM (VALUES (0, 15, 5, 9), (1, 5, 2, 3), (2, 2, 1, 1)) AS r(rung, n_trials, n_kept, divisor)")
+
+
+@register("halving_search", "M15 A15", _HALVING_SQL)
+def halving_search(spark, sf_dir):
+    """Fifteen trials over three rungs: sizes of the rungs, the best of each goes on, the winner ranks val well."""
+    from ..operators import halving as HV
+    sp, roles = _prepared(spark, sf_dir)
+    trials, res = HV.search(sp, roles, KEY, _TRIALS, "lr")
+    best = _best_single(sp)
+    won = res.select((F.col("valid") & (F.col("auc") >= F.lit(best - TOLERANCE))).alias("ok")).first()["ok"]
+    top = trials.groupBy("rung").agg(F.count(F.lit(1)).alias("n_trials"), F.count_if("kept").alias("n_kept"), F.first("n_train").alias("n_train"),
+                                     F.first("n_inner").alias("n_inner"), F.max("auc").alias("top"), F.max(F.when(F.col("kept"), F.col("auc"))).alias("top_kept"),
+                                     F.collect_set("trial").alias("ran"), F.collect_set(F.when(F.col("kept"), F.col("trial"))).alias("went_on"))
+    later = top.select((F.col("rung") - 1).alias("before"), F.col("ran").alias("next"))
+    return top.join(later, F.col("rung") == F.col("before"), "left").select(
+        "rung", "n_trials", "n_kept", "n_train", "n_inner", (F.col("top") == F.col("top_kept")).alias("best_kept"),
+        F.coalesce(F.array_sort("next") == F.array_sort("went_on"), F.lit(True)).alias("nested"), F.lit(won).alias("winner_keeps_up"))
