@@ -269,7 +269,7 @@ def fit_gbt_interaction(spark, sf_dir):
 _TRIALS = [{"regParam": r, "elasticNetParam": e, "maxIter": 50} for r in (0.0, 0.001, 0.01, 0.1, 1.0) for e in (0.0, 0.5, 1.0)]
 _PLACE = "CAST('0x' || substr(md5(concat('{}', ':', CAST(key AS VARCHAR))), 1, 5) AS BIGINT)"
 _HALVING_SQL = _assigned_sql(
-    "SELECT rung, n_trials, n_kept, (SELECT count(*) FROM assigned WHERE split = 'train' AND " + _PLACE.format(1043) + f" >= {int(0.2 * (1 << 20))} AND "
+    "SELECT rung, CAST(n_trials AS BIGINT) AS n_trials, CAST(n_kept AS BIGINT) AS n_kept, (SELECT count(*) FROM assigned WHERE split = 'train' AND " + _PLACE.format(1043) + f" >= {int(0.2 * (1 << 20))} AND "
     + _PLACE.format(1042) + f" < {1 << 20} // divisor) AS n_train, (SELECT count(*) FROM assigned WHERE split = 'train' AND " + _PLACE.format(1043)
     + f" < {int(0.2 * (1 << 20))}) AS n_inner, TRUE AS best_kept, TRUE AS nested, TRUE AS winner_keeps_up "
       "FROM (VALUES (0, 15, 5, 9), (1, 5, 2, 3), (2, 2, 1, 1)) AS r(rung, n_trials, n_kept, divisor)")
