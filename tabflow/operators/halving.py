@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .metrics import auc_by_group, evaluate
-from .models import _early_stop_flag, classifier, featurized, with_p1
+from .models import BOOSTED, _early_stop_flag, classifier, featurized, with_p1
 from .split import split_hash
 
 SPACE = 1 << 20
@@ -50,7 +50,7 @@ def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], tri
     spark = split_df.sparkSession
     feats = featurized(split_df, roles, key, target)
     train = feats.where(F.col("split") == "train").withColumn("__place", place(feats, key, seed)).withColumn("__inner", place(feats, key, seed + 1))
-    if kind == "gbt":
+    if kind in BOOSTED:
         train = _early_stop_flag(train, key)
     fold = F.col("__inner") < int(inner * SPACE)
     held, rest = train.where(fold), train.where(~fold)
@@ -73,7 +73,7 @@ def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], tri
         stay = {t for _, t in ranked[:1 if last else -(-n // eta)]}
         rows += [(rung, t, json.dumps(trials[t], sort_keys=True), n_train, n_inner, a, t in stay) for a, t in zip(aucs, alive)]
         alive = [t for t in alive if t in stay]
-    final = train if kind == "gbt" else train.drop("__place", "__inner")
+    final = train if kind in BOOSTED else train.drop("__place", "__inner")
     winner = classifier(kind, target, params={**(params or {}), **trials[alive[0]]}).fit(final)
     val = feats.where(F.col("split") == "val")
     preds = with_p1(winner.transform(val)).select(*key, F.lit(f"halving_{kind}").alias("model_id"), "p1")

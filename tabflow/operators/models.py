@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encode import NAN_TOKEN, FrequencyEncoder, MedianImputer
+from .leafwise import LeafwiseClassifier
 from .metrics import evaluate
 
 SEED = 42
@@ -63,8 +64,10 @@ DEFAULT_PARAMS = {
     "lr": {"maxIter": 1000},
     "rf": {"numTrees": 100, "maxDepth": 8, "seed": SEED},
     "gbt": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 5, "validationTol": 0.001, "seed": SEED},
+    "leafwise": {"maxIter": 500, "stepSize": 0.05, "numLeaves": 63, "patience": 50},
 }
-ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
+ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier, "leafwise": LeafwiseClassifier}
+BOOSTED = ("gbt", "leafwise")  # stop early on an inner fold of train
 
 
 def classifier(kind: str, target: str = "target", weight_col: str | None = None, params: dict | None = None) -> Estimator:
@@ -72,7 +75,7 @@ def classifier(kind: str, target: str = "target", weight_col: str | None = None,
     if kind not in ESTIMATORS:
         raise ValueError(f"unknown classifier {kind}")
     settings = {"featuresCol": "features", "labelCol": target, **DEFAULT_PARAMS[kind], **(params or {})}
-    if kind == "gbt":
+    if kind in BOOSTED:
         # early stopping on an inner fold of train (never on the scored split)
         settings.setdefault("validationIndicatorCol", "__es")
     if weight_col:
@@ -97,7 +100,7 @@ def build(roles: dict[str, list[str]], kind: str, key: list[str], target: str =
 def fit(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target",
         split_col: str = "split", params: dict | None = None) -> PipelineModel:
     train = split_df.where(F.col(split_col) == "train")
-    if kind == "gbt":
+    if kind in BOOSTED:
         train = _early_stop_flag(train, key)
     return build(roles, kind, key, target, params).fit(train)
 
@@ -186,7 +189,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
     def fit_one(job):
         b, f = job
         fit_part = train if f is None else train.where(F.col("__fold") != f)
-        if b == "gbt":
+        if b in BOOSTED:
             fit_part = _early_stop_flag(fit_part, key)
         m = classifier(b, target, params=(params or {}).get(b)).fit(fit_part)
         scored = val if f is None else train.where(F.col("__fold") == f)
@@ -228,7 +231,7 @@ def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], kin
     """Search over any learner's parameters with k-fold CV on train (exact AUC: ``numBins=0``); the best
     setting is refitted on train and scored on val. ``params`` are settings all trials share; ``best_params`` is JSON."""
     feats = featurized(split_df, roles, key, target)
-    if kind == "gbt":
+    if kind in BOOSTED:
         feats = _early_stop_flag(feats, key)
     est = classifier(kind, target, params=params)
     points = grid_points(grid or {"regParam": [0.0, 0.01, 0.1]}, max_trials)

@@ -290,3 +290,13 @@ def halving_search(spark, sf_dir):
     return top.join(later, F.col("rung") == F.col("before"), "left").select(
         "rung", "n_trials", "n_kept", "n_train", "n_inner", (F.col("top") == F.col("top_kept")).alias("best_kept"),
         F.coalesce(F.array_sort("next") == F.array_sort("went_on"), F.lit(True)).alias("nested"), F.lit(won).alias("winner_keeps_up"))
+
+
+@register("fit_leafwise", "M12 M18", _xor_sql(["leafwise"], ", TRUE AS stopped_early"))
+def fit_leafwise(spark, sf_dir):
+    """Leaf-wise boosting stops by patience on an inner fold and learns the interaction (larger steps than the defaults)."""
+    sp, roles = _xor_prepared(spark, sf_dir)
+    model = MD.fit(sp, roles, "leafwise", KEY, params={"stepSize": 0.3, "numLeaves": 15, "patience": 10, "leavesPerStep": 7})
+    val = sp.where(F.col("split") == "val")
+    early = F.lit(model.stages[-1].tried < MD.DEFAULT_PARAMS["leafwise"]["maxIter"])
+    return _xor_checked(M.evaluate(MD.score(model, val, KEY, "leafwise"), val.select("key", "target")), sp, early.alias("stopped_early"))

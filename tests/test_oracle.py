@@ -14,7 +14,7 @@ ORACLE = {k: v for k, v in E.oracle_sql().items() if k in PLANS}
 
 # what these say about a fitted model needs enough training rows to hold
 LEARNT = {"fit_lr", "fit_rf", "fit_gbt", "fit_lr_balanced", "hook_model", "stacked_model", "cv_lr", "random_search_rf",
-          "fit_rf_interaction", "fit_gbt_interaction", "halving_search"}
+          "fit_rf_interaction", "fit_gbt_interaction", "halving_search", "fit_leafwise"}
 
 
 @pytest.fixture(scope="module")
