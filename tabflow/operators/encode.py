@@ -1,9 +1,9 @@
 """Encoders fitted on training rows and applied to every split.
 
 Fitted state is a table of one row per category, per column or per class.
-Lookups are left joins. Only tables of one row per column or class are hinted
-as broadcast; a vocabulary is broadcast or shuffled by Spark from its size in
-bytes, and AQE splits a hot value's partition.
+Lookups are left joins. Tables of one row per column or class are hinted as broadcast, and so is a
+vocabulary that the fit counted at ``BROADCAST_ROWS`` rows or fewer; a larger one is joined as Spark
+picks from its size in bytes, and AQE splits a hot value's partition.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from ..functions.scalar import fresh, qcol
 from .stats import exact_medians
 
 NAN_TOKEN = "__nan__"
+BROADCAST_ROWS = 100_000  # vocabulary rows up to which a lookup is broadcast (counted at fit)
 
 
 # ---------------------------------------------------------------- label codes
@@ -46,6 +47,7 @@ def apply_label_codes(model: PipelineModel, df: DataFrame, cols: list[str]) -> D
 class _FreqParams(HasInputCols, HasOutputCols):
     denominator = Param(Params._dummy(), "denominator", "'non_null' (A8) or 'all' rows (A9)",
                         typeConverter=TypeConverters.toString)
+    sizes = Param(Params._dummy(), "sizes", "fitted: vocabulary rows per column", typeConverter=TypeConverters.toListInt)
 
 
 class FrequencyEncoder(Estimator, _FreqParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -70,8 +72,9 @@ class FrequencyEncoder(Estimator, _FreqParams, DefaultParamsReadable, DefaultPar
                  .select("column", "value", (F.col("cnt") / F.col("den")).alias("freq")))
         # the vocabulary is fitted state: write it once to the shared checkpoint folder
         vocab = vocab.checkpoint()
+        n = {r["column"]: r["n"] for r in vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
         m = FrequencyEncoderModel(vocab)
-        m._set(inputCols=cols, outputCols=self.getOutputCols())
+        m._set(inputCols=cols, outputCols=self.getOutputCols(), sizes=[n.get(c, 0) for c in cols])
         return m
 
 
@@ -113,7 +116,14 @@ class FrequencyEncoderModel(Model, _FreqParams, MLWritable, MLReadable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
-        for c, o in zip(self.getInputCols(), self.getOutputCols()):
+        sizes = self.getOrDefault("sizes") if self.isSet("sizes") else [BROADCAST_ROWS + 1] * len(self.getInputCols())
+        for c, o, n in zip(self.getInputCols(), self.getOutputCols(), sizes):
+            if n <= BROADCAST_ROWS:  # a vocabulary of known, small size: a lookup in each task, no shuffle of the rows
+                k, fr = fresh(out, "vocab_value"), fresh(out, "vocab_freq")
+                v = self.vocab.where(F.col("column") == c).select(F.col("value").alias(k), F.col("freq").alias(fr))
+                joined = out.join(F.broadcast(v), qcol(c).cast("string") == F.col(k), "left")
+                out = joined.withColumn(o, F.coalesce(F.col(fr), F.lit(0.0))).drop(k, fr)
+                continue
             # an equi-join whose strategy Spark picks by the vocabulary's size in bytes. A null value gets a
             # non-zero flag that matches nothing, hashed from the row: deterministic, and spread over partitions
             k, nk = fresh(out, "vocab_value"), fresh(out, "vocab_null")

@@ -86,3 +86,14 @@ def code_issues(code: Column) -> Column:
         F.when(code.contains(PROBA_CALL) & one_column, F.lit("predict_proba_shape")),
     ]
     return F.filter(F.array(*flags), lambda x: x.isNotNull())
+
+
+# Calls that end the whole run (not methods of that name), and the name a submission must use to start it.
+EXIT_CALL = r"(^|[^\w.])(exit|quit)\s*\("
+RUNNER_NAME = "AGENT_RUNNER_PATH"
+
+
+def run_issues(code: Column) -> Column:
+    """T3, as a run would meet them: calls that would end the runner, and no call of the runner at all."""
+    flags = [F.when(code.rlike(EXIT_CALL), F.lit("direct_exit")), F.when(~code.contains(RUNNER_NAME), F.lit("missing_runner"))]
+    return F.filter(F.array(*flags), lambda x: x.isNotNull())

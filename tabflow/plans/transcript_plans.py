@@ -77,3 +77,22 @@ def _pip_sql() -> str:
     "LEFT JOIN pip p ON h.module = p.module GROUP BY 1", "attempts", extra={"pip": _pip_sql()}))
 def missing_packages(spark, sf_dir):
     return T.missing_packages(fx.attempts(spark, sf_dir), "error")
+
+
+# an ending by conversation: a plain exit, a method of that name, none; every second one starts the runner
+_ENDS = ["\nexit(1)", "\nsys.exit(0)\nobj.quit()", "", "\n    quit ()"]
+_RUNNER_END = "\nexec(open(os.environ[\'AGENT_RUNNER_PATH\']).read())"
+
+
+@register("code_run_issues", "T3", _sql(
+    ", c AS (SELECT conv_id, turn, concat(" + _MAIN_SQL + ", CASE (conv_id + turn) % 4 "
+    + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_ENDS)) + " END, CASE WHEN conv_id % 2 = 0 THEN '" + _RUNNER_END.replace("'", "''")
+    + "' ELSE '' END) AS code FROM b1 WHERE len(blocks) > 0)\n"
+    "SELECT conv_id, turn, concat_ws(',', CASE WHEN regexp_matches(code, '" + T.EXIT_CALL + "') THEN 'direct_exit' END, "
+    "CASE WHEN NOT contains(code, '" + T.RUNNER_NAME + "') THEN 'missing_runner' END) AS issues FROM c"))
+def code_run_issues(spark, sf_dir):
+    r = fx.responses(spark, sf_dir)
+    end = F.element_at(F.array(*[F.lit(t) for t in _ENDS]), ((F.col("conv_id") + F.col("turn")) % 4 + 1).cast("int"))
+    code = F.concat(T.main_block(T.code_blocks(F.col("text"))), end, F.when(F.col("conv_id") % 2 == 0, F.lit(_RUNNER_END)).otherwise(""))
+    rows = r.select("conv_id", "turn", code.alias("code")).where(F.col("code").isNotNull())
+    return rows.select("conv_id", "turn", F.array_join(T.run_issues(F.col("code")), ",").alias("issues"))
