@@ -134,7 +134,9 @@ def _links(keys: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray,
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = 4096) -> DataFrame:
     """``(a, b)``: verified links between distinct fingerprints, enough to connect every linked pair."""
-    index = variants(fps, max_bits)
+    # few tasks read the fingerprints back; dealt anew, so that many make the 64 variants of each
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = variants(fps.repartition(tasks, "fp"), max_bits)
     # a bucket beyond ``block`` is cut in parts; each unordered pair of parts is one task's bucket
     large = (index.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
              .select("bit", "rest", F.ceil(F.col("n") / block).cast("int").alias("parts")))
