@@ -68,10 +68,10 @@ def test_one_tree_equals_a_plain_best_first_tree(spark, leaves):
 
 
 def test_patience_stops_and_the_best_round_is_kept(spark, tmp_path):
-    df = table(spark, 1500, 3)
-    est = LW.LeafwiseClassifier(maxIter=200, stepSize=0.5, numLeaves=12, patience=10, minRows=5, validationIndicatorCol="fold", rewriteEvery=2)
+    df = table(spark, 900, 3).persist()
+    est = LW.LeafwiseClassifier(maxIter=200, stepSize=0.8, numLeaves=6, patience=6, minRows=5, validationIndicatorCol="fold", rewriteEvery=3, leavesPerStep=5)
     m = est.fit(df)
-    assert m.trees + 10 <= m.tried < 200
+    assert m.trees + 6 <= m.tried < 200
     assert est.fit(df).getOrDefault("model") == m.getOrDefault("model")  # a refit gives the same trees
     m.write().save(str(tmp_path / "m"))
     again = LW.LeafwiseModel.load(str(tmp_path / "m"))
@@ -90,7 +90,7 @@ def test_no_split_and_one_class(spark):
 def test_auc_is_not_below_level_wise_boosting_at_equal_rounds(spark):
     sp = labelled_split(spark, SF_MID).persist()
     roles = P.roles(P.profile(sp.where("split = 'train'").drop("split")))
-    rounds = {"maxIter": 15, "stepSize": 0.3}
+    rounds = {"maxIter": 8, "stepSize": 0.5}
     auc = {}
     for kind, more in (("gbt", {"maxDepth": 4, "validationTol": 0.0}), ("leafwise", {"numLeaves": 16, "patience": 15})):
         auc[kind] = MD.train_run(sp, roles, kind, ["key"], params={**rounds, **more})[1].first()["auc"]

@@ -7,7 +7,8 @@ from conftest import SF_SMALL
 from tabflow.plans import QUERIES as PLANS
 
 HEAVY = {"stacked_model", "cv_lr", "fit_rf", "fit_gbt", "model_candidates", "kmeans_clusters", "pca_components",
-         "batch_score", "hook_model", "fit_lr", "daily_usage_stream", "budget_admission_stream"}
+         "batch_score", "hook_model", "fit_lr", "daily_usage_stream", "budget_admission_stream", "fit_leafwise",
+         "fit_rf_interaction", "fit_gbt_interaction", "halving_search", "daily_usage_windowed"}
 NAMES = sorted(n for n in PLANS if n not in HEAVY)
 
 
