@@ -667,3 +667,19 @@ def test_main_text_comes_from_the_density(monkeypatch):
     assert html_text.main_text(page).split("\n\n") == ["Title", PROSE_TEXT, PROSE_TEXT]
     monkeypatch.setattr(html_text.math, "log", lambda *_: 1.0)
     assert "Another long story" in html_text.main_text(page)
+
+
+def test_new_operators_ignore_extra_columns_with_clashing_names(spark):
+    from tabflow.llm import jaccard_join, sharded_kmeans, token_align
+    texts = [(i, f"some words of text number {i % 3} that repeat here") for i in range(8)] + [(None, None), (9, "")]
+    plain = spark.createDataFrame(texts, "doc_id long, text string")
+    odd = plain.selectExpr("*", *[f"1 AS {c}" for c in ("row", "rid", "block", "t", "at", "n", "no_id", "code", "exact", "odd", "tokens", "part", "root", "a", "b", "k1")])
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+    assert rows(jaccard_join.classes(odd)) == rows(jaccard_join.classes(plain))
+    assert rows(token_align.score(token_align.align(odd))) == rows(token_align.score(token_align.align(plain)))
+    vecs = spark.createDataFrame([(i, [float(i * j % 5) for j in range(64)]) for i in range(12)], "vec_id long, embedding array<float>")
+    more = vecs.selectExpr("*", *[f"1 AS {c}" for c in ("x", "v", "shard", "chunk", "n", "block", "no_id", "cluster", "distance", "at")])
+    a, b = (sharded_kmeans.with_inertia(*sharded_kmeans.cluster(x)) for x in (vecs, more))
+    assert rows(a) == rows(b) and len(rows(a)) == 12
