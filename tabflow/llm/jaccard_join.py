@@ -68,8 +68,8 @@ def tokens_of(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[a:b]) for a, b in zip(starts, stops)), dtype=np.uint64, count=n))
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """One row per block: ids, set sizes, set digests and the tokens of the block's distinct sets, all packed; written."""
+def pack(docs: DataFrame, id_col: str, text_col: str, shingle: int, name: str) -> DataFrame:
+    """One row per block: ids, set sizes, set digests and the tokens of the block's distinct sets, all packed; written as table ``name``."""
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, sizes, keys, lens, flat, seen, held = [], [], [], [], [], set(), 0
 
@@ -102,7 +102,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
     m = F.monotonically_increasing_id()
     # (partition, number in it) leaving _IDX low bits for the set's number in the block
     rows = rows.withColumn("block", F.shiftright(m, 33) * (1 << 20) + m.bitwiseAND(F.lit((1 << 33) - 1)))
-    spark, name = docs.sparkSession, f"jaccard_sets_{uuid.uuid4().hex}"
+    spark = docs.sparkSession
     rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", scratch_path(spark, name)).saveAsTable(name)
     return spark.table(name)
 
@@ -373,11 +373,13 @@ def verified(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
             leaders: int = LEADERS, block: int = BLOCK) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row."""
-    blocks = pack(docs, id_col, text_col, shingle)
+    name = f"jaccard_sets_{uuid.uuid4().hex}"
+    blocks = pack(docs, id_col, text_col, shingle, name)
     docs_of = stored(members(blocks), "members")
     sets = cut(docs_of.where("n > 0").groupBy("k1", "k2").agg(F.min(F.when(F.col("first"), F.col("rid"))).alias("rep"), F.min("doc_id").alias("low")))
     parts = max(1, -(-(blocks.agg(F.sum("n_tokens")).first()[0] or 0) // PART_TOKENS))
     active = prefixes(blocks, shared_tokens(blocks, parts), sets.select("rep"), percent, parts)
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # all that reads it is written; its files stay in the shared folder until that is cleared
     rows = entries(active)
     star = cut(star_pairs(rows, percent, leaders, block))
     near = cut(verified(star, active, percent))
