@@ -3,8 +3,8 @@
 The shard's symbols are bytes, so both inductions run bucket by bucket: everything a
 bucket induces goes to its target buckets in one stable counting step. Runs inside a bucket are
 followed wave by wave. The leftmost-smaller (LMS) substrings are sorted by the same induction
-and named; the string of names is sorted by naming pairs of names, then pairs of those, until the
-names are unique or span ``depth`` symbols. With ``depth`` given, suffixes that agree in at
+and named; the string of names is sorted by the same method, recursively, until the names are unique
+or span ``depth`` symbols (its alphabet is large, so there the induction follows all runs at once). With ``depth`` given, suffixes that agree in at
 least that many symbols may come in any order among themselves; that is all a search for
 repeats of a fixed length needs.
 """
@@ -99,18 +99,70 @@ def _same_lms(t: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -
     return same
 
 
-def _rank_names(names: np.ndarray, depth: int | None) -> np.ndarray:
-    """Ranks of the suffixes of a string of names (the last one the unique smallest), by pairs of names."""
-    rank, n, step = names.astype(np.int64), len(names), 1
-    while rank.max() < n - 1 and (depth is None or step < depth):
-        second = np.zeros(n, dtype=np.int64)
-        second[:n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
+def _refine(val: np.ndarray, live: np.ndarray, nxt: np.ndarray, stop: np.ndarray) -> None:
+    """Order the positions ``live`` inside their classes ``val`` by what follows them, up to the next ``stop``.
+
+    ``val`` counts the smaller positions, so a class that splits keeps its first number. Only ties go on, and their
+    reach doubles in every round; a tie that has seen its stop is final.
+    """
+    while len(live):
+        key = val[live] * len(val) + val[nxt[live]]
         order = np.argsort(key)
-        k = key[order]
-        rank[order] = np.concatenate(([0], np.cumsum(k[1:] != k[:-1])))
-        step *= 2
-    return rank
+        live, key = live[order], key[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        old = val[live]
+        group = np.concatenate(([True], old[1:] != old[:-1]))
+        i = np.arange(len(live))
+        val[live] = old + np.maximum.accumulate(np.where(new, i, 0)) - np.maximum.accumulate(np.where(group, i, 0))
+        tied = ~new | ~np.append(new[1:], True)
+        live = live[tied & ~stop[nxt[live]]]
+        nxt[live] = nxt[nxt[live]]
+
+
+def _tied(val: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Those of the positions ``of`` whose class has other members."""
+    return of[np.bincount(val[of], minlength=len(val))[val[of]] > 1]
+
+
+def _induce_names(t: np.ndarray, stype: np.ndarray, lms: np.ndarray, rank: np.ndarray | None) -> np.ndarray:
+    """Number of smaller suffixes of every suffix of a string of names, induced from the ``rank`` of its LMS suffixes.
+
+    The alphabet is as large as the string, so no bucket is visited by itself: larger suffixes are ordered by their run
+    down to the next LMS suffix, smaller ones by their run up to the next larger suffix. Without ``rank``
+    the LMS suffixes count by their symbol only, which orders the LMS substrings (equal ones tie).
+    """
+    n = len(t)
+    kind = 2 * t.astype(np.int64) + stype  # of one symbol, larger suffixes come before smaller ones
+    sizes = np.bincount(kind)
+    first = (np.cumsum(sizes) - sizes)[kind]
+    following = np.minimum(np.arange(n) + 1, n - 1)
+    is_lms = np.zeros(n, dtype=bool)
+    is_lms[lms] = True
+    val = first.copy()
+    if rank is not None:
+        order = lms[np.lexsort((rank, first[lms]))]
+        r = np.zeros(n, dtype=np.int64)
+        r[lms] = rank
+        i = np.arange(len(order))
+        group = np.concatenate(([True], first[order][1:] != first[order][:-1]))
+        new = group | np.concatenate(([True], r[order][1:] != r[order][:-1]))
+        val[order] += np.maximum.accumulate(np.where(new, i, 0)) - np.maximum.accumulate(np.where(group, i, 0))
+    _refine(val, _tied(val, np.flatnonzero(~stype)), following.copy(), is_lms)
+    val[stype] = first[stype]
+    _refine(val, _tied(val, np.flatnonzero(stype)), following, ~stype)
+    return val
+
+
+def _rank_names(names: np.ndarray, depth: int | None) -> np.ndarray:
+    """Ranks of the suffixes of a string of names (the last one the unique smallest), by the same method again:
+    its LMS substrings are sorted and named, the string of their names is ranked in turn, and all else is induced.
+    """
+    if names.max() == len(names) - 1 or (depth is not None and depth <= 1):
+        return names
+    stype = classify(names)
+    lms = np.flatnonzero(stype[1:] & ~stype[:-1]) + 1
+    again = np.unique(_induce_names(names, stype, lms, None)[lms], return_inverse=True)[1].reshape(-1)
+    return _induce_names(names, stype, lms, _rank_names(again, None if depth is None else (depth + 1) // 2 + 1))
 
 
 def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:

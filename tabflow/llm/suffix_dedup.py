@@ -9,7 +9,8 @@ depends on the window's bytes alone, so equal windows have equal owners. Consecu
 the same owner form a *stretch* of on average about 40 windows (140 bytes); a stretch is the unit that
 moves. Three steps thin the stretches out exactly:
 
-* an owner hash that only one stretch has cannot hold a repeat: dropped by a count and a join;
+* an owner hash that only one stretch has cannot hold a repeat: dropped by a count and a join (hot owners are dealt
+  by content there, so a line that a third of all documents hold is no single task);
 * byte-identical stretches are one group: the first stays, every other one is covered whole;
 * of the rest, only firsts whose owner has several different stretches go to a shard.
 
@@ -42,6 +43,7 @@ from .common import col, dense_index, stored, text_of
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 16
+HOT, DEAL = 4096, 64  # an owner of more than 1/HOT of the stretches is dealt to DEAL parts
 SEGMENT = 1 << 17  # bytes hashed at a time: the working arrays stay in cache
 _POS = np.uint64(21)  # low bits of a window key that hold the position in a segment
 _NO_ID = -(1 << 63)
@@ -187,16 +189,24 @@ def thin(base: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Rows with ``r`` > 1 are covered whole; the very same place seen twice (repeated rows) has ``r`` 0.
     """
-    rows = stretch_rows(base, length)
-    owners = owner_counts(base, length).where("k > 1").select("h")
-    shared = rows.join(owners, "h")
+    owners = stored(owner_counts(base, length).where("k > 1"), "owners")
+    # an owner with more than 1/HOT of these stretches is hot (there are fewer than HOT of them); its rows are dealt
+    # by content, and it meets them once for every part of the deal
+    total = owners.agg(F.sum("k")).first()[0] or 0
+    hot = owners.where(F.col("k") > total / HOT).select("h", F.lit(True).alias("hot"))
+    dealt = owners.select("h", F.explode(F.when(F.col("k") > total / HOT, F.sequence(F.lit(0), F.lit(DEAL - 1)))
+                                         .otherwise(F.array(F.lit(0)))).alias("deal"))
     # each batch leaves one row of a content that is not ``later``, so a hot content is few rows here;
     # the ``later`` ones are settled and only need to be spread
     salt = F.when(F.col("later"), F.pmod(F.xxhash64("doc", "at"), F.lit(1 << 30)) + 1).otherwise(F.lit(0))
-    w = Window.partitionBy("h", "c", "salt").orderBy("doc", "at")
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("c", "salt"), F.lit(DEAL)).cast("int")).otherwise(F.lit(0))
+    rows = (stretch_rows(base, length).withColumn("salt", salt).join(F.broadcast(hot), "h", "left")
+            .withColumn("deal", part).drop("hot"))
+    shared = rows.join(dealt, ["h", "deal"])
+    w = Window.partitionBy("h", "deal", "c", "salt").orderBy("doc", "at")
     first = (F.first("doc").over(w) == F.col("doc")) & (F.first("at").over(w) == F.col("at"))
     r = F.when(F.col("later"), 2).when(F.row_number().over(w) == 1, 1).when(first, 0).otherwise(2)
-    return stored(shared.withColumn("salt", salt).select(r.alias("r"), "h", "doc", "at", "n"), "stretches")
+    return stored(shared.select(r.alias("r"), "h", "doc", "at", "n"), "stretches")
 
 
 def shard_repeats(groups: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: list[bytes], length: int = LENGTH,
@@ -311,7 +321,8 @@ def removed(base: DataFrame, length: int = LENGTH, block: int = 32768, shard_byt
     """``(doc, spans array<long>)``: the byte ranges to remove (start and length packed), possibly overlapping."""
     kept = thin(base, length)
     firsts = kept.where("r = 1")
-    many = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # written first: a join side that is an aggregate on the join's own key would keep Spark from splitting a hot owner
+    many = stored(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "owners-of-several")
     found = stored(sharded(base, firsts.join(many, "h"), length, block, shard_bytes), "shards")
     # owners dealt over several shards: the first windows of each shard meet by content
     dealt = found.where("w1 is not null")

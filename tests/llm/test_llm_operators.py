@@ -36,6 +36,32 @@ def test_suffix_array_and_prefixes_equal_brute_force(symbols):
             assert plcp[b] == n
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, 5, 8, 13])
+def test_suffix_array_to_a_depth_orders_the_first_symbols(depth):
+    rng = np.random.default_rng(depth)
+    for k in range(100):
+        t = rng.integers(1, 4, int(rng.integers(0, 150)))
+        if k % 2:  # long periods: LMS substrings of names repeat on several levels
+            t = np.resize(rng.integers(1, 4, int(rng.integers(1, 12))), 150)
+        t = np.append(t, 0).astype(np.uint8)
+        s = t.tobytes()
+        assert SA.suffix_array(t).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+        sa = SA.suffix_array(t, depth).tolist()
+        heads = [s[i:i + depth] for i in sa]
+        assert heads == sorted(heads) and sorted(sa) == list(range(len(s)))
+
+
+def test_names_are_ranked_by_recursion(monkeypatch):
+    """The string of names goes through the LMS steps itself, level by level, each level at most half as long."""
+    levels, whole = [], SA._rank_names
+    monkeypatch.setattr(SA, "_rank_names", lambda names, depth: (levels.append(len(names)), whole(names, depth))[1])
+    word = np.random.default_rng(3).integers(1, 5, 500)
+    t = np.append(np.tile(word, 4), 0).astype(np.uint8)
+    s = t.tobytes()
+    assert SA.suffix_array(t).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+    assert len(levels) >= 3 and all(b <= a // 2 + 1 for a, b in zip(levels, levels[1:]))
+
+
 def _quoted(n=60):
     """One passage in every document at different places, other text around it."""
     rng = random.Random(5)
@@ -57,6 +83,17 @@ def test_suffix_dedup_with_dealt_owners(spark, block, shard_bytes):
     assert got == suffix_brute(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 50, 1 << 20])
+def test_suffix_dedup_hot_owners_are_dealt(spark, monkeypatch, hot):
+    """No owner, some, and every repeated owner dealt by content: the same bytes go."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows = _quoted(40)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.sha) for r in suffix_dedup.deduplicate(
+        df).withColumn("sha", F.sha2("kept", 256)).collect()}
+    assert got == suffix_brute(rows)
+
+
 def test_suffix_dedup_long_text_over_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 1 << 10)
     rows = _quoted(12)
