@@ -7,11 +7,11 @@ made null as in the batch scan) -> broadcast price lookup (stream-static join) -
 Every call counts, however late it arrives: there is no dropping watermark. The state is one
 row per calendar day, so it does not need one.
 
-The sink is a parquet table in the shared checkpoint folder written by
-``foreachBatch`` in update mode: every micro-batch writes the days it changed into a
-folder of its own batch id. A replayed batch (after a lost executor or driver restart)
-overwrites that folder with the same rows; readers take, per day, the row of the highest
-batch id.
+The sink is a ``CommitLog`` in the shared checkpoint folder written by ``foreachBatch`` in update
+mode: every micro-batch appends the days it changed under its own batch id. A replayed batch (after a
+lost executor or driver restart) is there already and changes nothing; readers take, per day, the
+row of the highest batch id. Every ``compact_every`` batches the rows before are folded to one per day,
+so a stream of any age has a bounded number of folders.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalar import day_string
 from ..operators.ledger import with_cost
 from ..session import scratch_path
+from ..sources.commits import CommitLog
 from ..sources.fixtures import usage_from_events
 from ..sources.tables import nan_to_null
 
@@ -52,12 +53,21 @@ def daily_totals_stream(costed: DataFrame, ts: str = "ts") -> DataFrame:
         F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"))
 
 
-def start(totals: DataFrame, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def latest_rows(rows: DataFrame) -> DataFrame:
+    """Per day, the row written by the latest micro-batch."""
+    value = F.struct("spent_micro", "calls", "input_tokens", "output_tokens", "batch_id")
+    return rows.groupBy("day").agg(F.max_by(value, "batch_id").alias("r")).select("day", "r.*")
+
+
+def start(totals: DataFrame, sink: CommitLog, checkpoint: str, compact_every: int = 16, available_now: bool = True) -> StreamingQuery:
+    """Write ``totals`` into ``sink``; earlier batches are folded every ``compact_every`` batches."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        if batch_id and batch_id % compact_every == 0:
+            sink.compact(latest_rows, keep=(str(batch_id),))
+            sink.vacuum()
+        sink.append(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), str(batch_id))
 
-    w = (totals.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
+    w = totals.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
@@ -75,21 +85,22 @@ def finish(q: StreamingQuery, timeout_s: float | None, what: str) -> None:
         raise q.exception()
 
 
-def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
-    """The current daily totals: per day, the row written by the latest micro-batch."""
-    t = spark.read.schema(TOTALS_SCHEMA).parquet(f"{out_path}/batch=*")
-    latest = t.groupBy("day").agg(F.max_by(F.struct("spent_micro", "calls", "input_tokens", "output_tokens"),
-                                           F.col("batch_id")).alias("r"))
-    return latest.select("day", (F.col("r.spent_micro").cast("double") / F.lit(1e6)).alias("spent_usd"),
-                         F.col("r.calls").alias("calls"), F.col("r.input_tokens").alias("input_tokens"),
-                         F.col("r.output_tokens").alias("output_tokens"))
+def read_latest(sink: CommitLog) -> DataFrame:
+    """The current daily totals."""
+    return latest_rows(sink.read()).select("day", (F.col("spent_micro").cast("double") / F.lit(1e6)).alias("spent_usd"),
+                                           "calls", "input_tokens", "output_tokens")
+
+
+def run_ledger(spark: SparkSession, path: str, max_files: int = 1, timeout_s: float | None = None,
+               compact_every: int = 16) -> CommitLog:
+    """Run the ledger stream over the files present (available-now); the sink."""
+    base = scratch_path(spark, f"ledger_stream/{uuid.uuid4().hex}")
+    sink = CommitLog(spark, f"{base}/sink", TOTALS_SCHEMA)
+    costed = with_cost(usage_from_events(events_stream(spark, path, max_files)))
+    finish(start(daily_totals_stream(costed), sink, f"{base}/checkpoint", compact_every), timeout_s, "ledger stream")
+    return sink
 
 
 def run_ledger_stream(spark: SparkSession, path: str, max_files: int = 1, timeout_s: float | None = None) -> DataFrame:
     """Run the ledger stream over the files present (available-now) and return its daily totals."""
-    run = uuid.uuid4().hex
-    out_path = scratch_path(spark, f"ledger_stream/{run}/table")
-    ckpt = scratch_path(spark, f"ledger_stream/{run}/checkpoint")
-    costed = with_cost(usage_from_events(events_stream(spark, path, max_files)))
-    finish(start(daily_totals_stream(costed), out_path, ckpt), timeout_s, "ledger stream")
-    return read_latest(spark, out_path)
+    return read_latest(run_ledger(spark, path, max_files, timeout_s))

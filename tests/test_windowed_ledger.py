@@ -9,6 +9,7 @@ import pandas as pd
 
 from tabflow.operators import ledger as L
 from tabflow.sources import fixtures as fx
+from tabflow.streaming import ledger_stream as S
 from tabflow.streaming import windowed_ledger as W
 
 T0 = dt.datetime(2024, 1, 1)
@@ -82,6 +83,25 @@ def test_stream_equals_batch_with_late_calls(spark, tmp_path):
     assert got == want
 
 
+def test_plain_ledger_keeps_few_folders_and_every_call(spark, tmp_path):
+    rnd = random.Random(4)
+    for f in range(14):
+        rows = [(f * 9 + i, None if i == 8 and f % 5 == 0 else T0 + dt.timedelta(days=max(0, f - rnd.choice([0, 0, 1, 9])), seconds=i),
+                 i, "x", rnd.random() * 100, f"p{i}") for i in range(9)]
+        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                              ).coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+    sink = S.run_ledger(spark, str(tmp_path / "events"), compact_every=4)
+    assert len(sink.batches()) >= 14 and sink.folders() <= 5
+    again = sink.read().where("batch_id = 13")
+    assert not sink.append(again, "13") and not sink.append(again, "2")  # replays, also of a folded batch
+    sink.compact(S.latest_rows)
+    assert sink.folders() == 1 and sink.read().groupBy("day").count().where("count > 1").isEmpty()
+    got = {r.day: (round(r.spent_usd, 9), r.calls, r.input_tokens, r.output_tokens) for r in S.read_latest(sink).collect()}
+    usage = fx.usage_from_events(spark.read.parquet(str(tmp_path / "events")))
+    want = {r.day: (round(r.spent_usd, 9), r.calls, r.input_tokens, r.output_tokens) for r in L.daily_usage(L.with_cost(usage)).collect()}
+    assert got == want and None in got
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     sink = W.CommitLog(spark, str(tmp_path / "sink"), W.SINK)
     rows = spark.createDataFrame([("2024-01-01", "total", Decimal("1.5"), 1, 2, 3, 0), ("2024-01-01", "correction", Decimal("0.5"), 1, 1, 1, 1)], W.SINK)
