@@ -18,11 +18,15 @@ single class.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import running
 
+ROWS_A_TASK = 1 << 20  # predictions and labels that a task of the alignment sorts and groups, about
+
 
 def _score_groups(joined: DataFrame, group: str, score: str, target: str) -> DataFrame:
     return joined.groupBy(group, score).agg(
@@ -44,6 +48,18 @@ def auc_by_group(scored: DataFrame, group: str = "model_id", score: str = "p1",
     return auc_from_groups(_score_groups(scored, group, score, target), group, score, n_buckets)
 
 
+def _dealt_by_rows(left: DataFrame, lab: DataFrame, n_labels: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the alignment dealt by key over tasks of about ``ROWS_A_TASK`` rows.
+
+    Spark sizes tasks by compressed bytes, and 64 MB of these narrow rows are gigabytes once sorted and grouped.
+    """
+    tasks = math.ceil((n_labels + left.count()) / ROWS_A_TASK)
+    if tasks <= 1:
+        return left, lab
+    tasks = max(tasks, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return left.repartition(tasks, *keys), lab.repartition(tasks, *keys)
+
+
 def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key", target: str = "target",
              group: str = "model_id", score: str = "p1", n_buckets: int | None = None) -> DataFrame:
     """Per model: counts, guard verdict and AUC (null unless valid).
@@ -56,9 +72,10 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
     p = F.col("p")
     bad = p.isNull() | F.isnan(p) | (F.abs(p) == F.lit(float("inf")))
     lab = labels.select(*keys, F.col(target).cast("int").alias(target), F.lit(1).alias("__known"))  # 0/1, boolean accepted
-    n_labels = lab.select(F.count(F.lit(1))).scalar()
+    n_labels, left = lab.count(), preds.select(group, *keys, F.col(score).alias("p"))
+    left, lab = _dealt_by_rows(left, lab, n_labels, keys)
     # one pass: the left join keeps unmatched predictions; rows of a (key, model) are already together for the count
-    joined = preds.select(group, *keys, F.col(score).alias("p")).join(lab, keys, "left")
+    joined = left.join(lab, keys, "left")
     per_key = joined.groupBy(*keys, group).agg(
         F.count(F.lit(1)).alias("rows"), F.min("p").alias("p"), F.max(target).alias(target), F.max("__known").alias("known"),
         F.count_if(p.isNull() | F.isnan(p)).alias("nan"), F.count_if(F.abs(p) == F.lit(float("inf"))).alias("inf"))
@@ -84,7 +101,7 @@ def evaluate(preds: DataFrame, labels: DataFrame, key: str | list[str] = "key",
     # a constant model id would otherwise turn it into a nested loop)
     merged = stats.unionByName(aucs, allowMissingColumns=True).groupBy(group).agg(*[F.max(c).alias(c) for c in (
         "n_preds", "n_nan", "n_inf", "n_matched", "n_duplicate", "n_pos", "n_neg", "auc")])
-    res = merged.withColumn("n_labels", n_labels)
+    res = merged.withColumn("n_labels", F.lit(n_labels).cast("long"))
     reason = (F.when(F.col("n_preds") != F.col("n_labels"), "size_mismatch")
               .when(F.col("n_duplicate") > 0, "duplicate_key")
               .when(F.col("n_matched") != F.col("n_labels"), "size_mismatch")
