@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import encode as E
 from ..session import scratch_path
 from .registry import register
-from .split_plans import SPLIT_CTES, labelled_split
+from .split_plans import SPLIT_CTES, labelled_split, stored_split
 from ..sources import fixtures as fx
 
 
@@ -70,7 +70,7 @@ def unseen_categories(spark, sf_dir):
     "SELECT key, split, round(coalesce(total_price, (SELECT median(total_price) FROM assigned WHERE split = 'train')), 6) "
     "AS total_price_filled FROM assigned"))
 def median_impute(spark, sf_dir):
-    sp = labelled_split(spark, sf_dir)
+    sp = stored_split(spark, sf_dir)
     med = E.fit_medians(sp.where(F.col("split") == "train"), ["total_price"])
     return E.impute(sp, med, "_filled").select("key", "split", F.round("total_price_filled", 6).alias("total_price_filled"))
 
@@ -140,7 +140,7 @@ def named_chain(spark, sf_dir):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
     from ..operators import chain as C
-    sp = labelled_split(spark, sf_dir)
+    sp = stored_split(spark, sf_dir)
     train = sp.where(F.col("split") == "train").drop("split")
     path = scratch_path(spark, f"chains/{uuid.uuid4().hex}")
     steps = C.NamedChain(path)

@@ -23,7 +23,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import tables as TB
 from .registry import register
-from .split_plans import SPLIT_CTES, labelled_split
+from .split_plans import SPLIT_CTES, stored_split
 
 KEY = ["key"]
 SINGLE = ["total_price", "acct_bal", "nation_key"]
@@ -32,9 +32,7 @@ TOLERANCE, LOWEST = 0.02, -1e300
 
 def _prepared(spark, sf_dir):
     # the split table feeds every stage fit, the model and scoring: written once, read by all of them
-    path = scratch_path(spark, f"splits/{uuid.uuid4().hex}")
-    TB.write_splits(labelled_split(spark, sf_dir), path)
-    sp = spark.read.parquet(path)
+    sp = stored_split(spark, sf_dir)
     roles = P.roles(P.profile(sp.where(F.col("split") == "train").drop("split")))
     return sp, roles
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import split as S
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import tables as TB
 from .registry import register
 
 SEED, TEST_SIZE = 42, 0.2
@@ -15,6 +19,15 @@ def labelled_split(spark, sf_dir):
     return S.stratified_split(fx.labelled(spark, sf_dir), "key", "target", TEST_SIZE, SEED)
 
 
+def stored_split(spark, sf_dir):
+    """The split table written once, for queries that read it several times: each pass over
+    ``labelled_split`` joins and shuffles the source tables again."""
+    sp = labelled_split(spark, sf_dir)
+    path = scratch_path(spark, f"splits/{uuid.uuid4().hex}")
+    TB.write_splits(sp, path)
+    return spark.read.schema(sp.schema).parquet(path)
+
+
 # SQL twin: a plain row_number in hash order against integer quotas.
 SPLIT_CTES = f"""
 cls AS (SELECT target, count(*) AS n_c FROM labelled GROUP BY target),
