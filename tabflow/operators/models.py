@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import random
 from collections.abc import Callable
 
@@ -62,12 +63,16 @@ def feature_stages(roles: dict[str, list[str]], exclude: tuple[str, ...] = ()) -
 # The learners' settings unless a caller passes others (any Spark ML parameter of the estimator).
 DEFAULT_PARAMS = {
     "lr": {"maxIter": 1000},
-    "rf": {"numTrees": 100, "maxDepth": 8, "seed": SEED},
+    # cached node ids: a row is not walked down from the root of every tree at every level; the forest is the same
+    "rf": {"numTrees": 100, "maxDepth": 8, "seed": SEED, "cacheNodeIds": True},
     "gbt": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 5, "validationTol": 0.001, "seed": SEED},
     "leafwise": {"maxIter": 500, "stepSize": 0.05, "numLeaves": 63, "patience": 50},
 }
 ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier, "leafwise": LeafwiseClassifier}
 BOOSTED = ("gbt", "leafwise")  # stop early on an inner fold of train
+DEALT = ("rf", "gbt")  # every pass costs far more a row than reading it: their rows are dealt over all cores
+ROWS_A_TASK = 500_000  # training rows of a task, at most, once all cores have one
+ROWS_AT_ONCE = 4_000_000  # training rows of fits that run side by side; a larger fit has the cluster for itself
 
 
 def classifier(kind: str, target: str = "target", weight_col: str | None = None, params: dict | None = None) -> Estimator:
@@ -92,9 +97,15 @@ def _early_stop_flag(df: DataFrame, key: list[str], share: int = 10) -> DataFram
     return df.withColumn("__es", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(share)) == 0)
 
 
-def build(roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target", params: dict | None = None) -> Pipeline:
-    stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
-    return Pipeline(stages=stages + [classifier(kind, target, params=params)])
+def dealt(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` in equal parts for all cores, ordered by key inside a part.
+
+    The files of a table are cut by bytes, and a few of them hold millions of narrow rows: a learner that works for
+    microseconds on a row would run on as many tasks as there are files.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    turns = max(1, math.ceil(rows.count() / (cores * ROWS_A_TASK)))
+    return rows.repartition(cores * turns).sortWithinPartitions(*key)
 
 
 def fit(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key: list[str], target: str = "target",
@@ -102,7 +113,13 @@ def fit(split_df: DataFrame, roles: dict[str, list[str]], kind: str, key: list[s
     train = split_df.where(F.col(split_col) == "train")
     if kind in BOOSTED:
         train = _early_stop_flag(train, key)
-    return build(roles, kind, key, target, params).fit(train)
+    stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
+    learner = classifier(kind, target, params=params)
+    if kind not in DEALT:
+        return Pipeline(stages=stages + [learner]).fit(train)
+    prep = Pipeline(stages=stages).fit(train)
+    rows = prep.transform(train).select(*key, target, "features", *(["__es"] if kind in BOOSTED else []))
+    return PipelineModel(prep.stages + [learner.fit(dealt(rows, key))])
 
 
 def score(model: PipelineModel, df: DataFrame, key: list[str], model_id: str) -> DataFrame:
@@ -156,18 +173,20 @@ def flag_best(rows: DataFrame, kinds: list[str]) -> DataFrame:
 
 
 def featurized(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], target: str = "target",
-               folds: int | None = None) -> DataFrame:
+               folds: int | None = None, deal: bool = False) -> DataFrame:
     """Fit the feature chain once on train and assemble ``features`` for every row (persisted).
 
     The chain is target-free (codes, frequencies, medians), so fitting it once
     on all training rows leaks no label into out-of-fold scores; the learners
-    that follow are refitted per fold.
+    that follow are refitted per fold. With ``deal`` the rows are ``dealt`` over all cores.
     """
     stages, _ = feature_stages(roles, exclude=tuple(key) + (target,))
     prep = Pipeline(stages=stages).fit(split_df.where(F.col("split") == "train"))
     out = prep.transform(split_df).select(*key, "split", target, "features")
     if folds:
         out = out.withColumn("__fold", F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(folds)))
+    if deal:
+        out = dealt(out, key)
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -182,7 +201,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
 
     from pyspark import inheritable_thread_target
 
-    feats = featurized(split_df, roles, key, target, folds)
+    feats = featurized(split_df, roles, key, target, folds, deal=any(b in DEALT for b in bases))
     train = feats.where(F.col("split") == "train")
     val = feats.where(F.col("split") == "val")
 
@@ -196,7 +215,9 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
         return b, f, with_p1(m.transform(scored)).select(*key, F.col("p1").alias(b))
 
     jobs = [(b, f) for b in bases for f in [*range(folds), None]]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    # a fit holds its rows (bootstrap counts, nodes) in memory: only as many run at once as fit there
+    side_by_side = min(parallelism, ROWS_AT_ONCE // max(1, train.count()))
+    with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
         results = list(pool.map(inheritable_thread_target(fit_one), jobs))
 
     oof, val_scores = None, None
@@ -208,9 +229,11 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
         v = next(p for bb, f, p in results if bb == b and f is None)
         oof = parts if oof is None else oof.join(parts, key)
         val_scores = v if val_scores is None else val_scores.join(v, key)
-    meta_train = oof.join(train.select(*key, target), key)
+    # read by every step of the meta-model: scored and joined once
+    meta_train = oof.join(train.select(*key, target), key).persist(StorageLevel.MEMORY_AND_DISK)
     meta = Pipeline(stages=[VectorAssembler(inputCols=bases, outputCol="meta_x"),
                             LogisticRegression(featuresCol="meta_x", labelCol=target)]).fit(meta_train)
+    meta_train.unpersist()
     preds = with_p1(meta.transform(val_scores)).select(*key, F.lit("stacked").alias("model_id"), "p1")
     res = evaluate(preds, val.select(*key, target), key=key, target=target)
     feats.unpersist()
@@ -230,7 +253,7 @@ def search(split_df: DataFrame, roles: dict[str, list[str]], key: list[str], kin
            params: dict | None = None) -> DataFrame:
     """Search over any learner's parameters with k-fold CV on train (exact AUC: ``numBins=0``); the best
     setting is refitted on train and scored on val. ``params`` are settings all trials share; ``best_params`` is JSON."""
-    feats = featurized(split_df, roles, key, target)
+    feats = featurized(split_df, roles, key, target, deal=kind in DEALT)
     if kind in BOOSTED:
         feats = _early_stop_flag(feats, key)
     est = classifier(kind, target, params=params)
