@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encode import NAN_TOKEN, FrequencyEncoder, MedianImputer
+from .forest import fit_forest
 from .leafwise import LeafwiseClassifier
 from .metrics import evaluate
 
@@ -195,7 +196,7 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
     """Out-of-fold base scores on train (hash folds), a logistic meta-model, scored on val.
 
     The (base, fold) fits are independent Spark jobs and run from a small thread
-    pool, as ``CrossValidator`` does with ``parallelism``.
+    pool, as ``CrossValidator`` does with ``parallelism``. Forests grow on packed blocks (``forest``).
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -210,7 +211,8 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
         fit_part = train if f is None else train.where(F.col("__fold") != f)
         if b in BOOSTED:
             fit_part = _early_stop_flag(fit_part, key)
-        m = classifier(b, target, params=(params or {}).get(b)).fit(fit_part)
+        learner = classifier(b, target, params=(params or {}).get(b))
+        m = fit_forest(learner, fit_part) if isinstance(learner, RandomForestClassifier) else learner.fit(fit_part)
         scored = val if f is None else train.where(F.col("__fold") == f)
         return b, f, with_p1(m.transform(scored)).select(*key, F.col("p1").alias(b))
 
