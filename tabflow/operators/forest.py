@@ -17,6 +17,7 @@ Settings it does not know (weights, other impurities or sampling rates, more cla
 from __future__ import annotations
 
 import math
+import threading
 from collections.abc import Iterator
 
 import numpy as np
@@ -176,8 +177,25 @@ def _per_node(strategy: str, trees: int, p: int) -> int | None:
     return {"all": p, "sqrt": math.ceil(math.sqrt(p)), "log2": max(1, math.ceil(math.log2(p))), "onethird": math.ceil(p / 3)}.get(strategy)
 
 
-def fit_forest(learner: RandomForestClassifier, rows: DataFrame) -> RandomForestClassificationModel:
-    """``learner`` fitted on ``rows`` (``dealt`` in even parts) through packed blocks, or by Spark where its settings are not known here."""
+class Stub:
+    """A model of a learner's settings whose nodes are to be replaced; the forests of one stack share it."""
+
+    def __init__(self):
+        self._lock, self._model = threading.Lock(), None
+
+    def of(self, learner: RandomForestClassifier, spark, p: int) -> RandomForestClassificationModel:
+        with self._lock:
+            if self._model is None:
+                x = Vectors.dense([0.0] * p)
+                rows = spark.createDataFrame([(x, float(i % 2)) for i in range(64)], ["x", "y"]).coalesce(1)
+                self._model = learner.fit(rows.select(F.col("x").alias(learner.getOrDefault("featuresCol")), F.col("y").alias(learner.getOrDefault("labelCol"))))
+            return self._model
+
+
+def fit_forest(learner: RandomForestClassifier, rows: DataFrame, stub: Stub | None = None) -> RandomForestClassificationModel:
+    """``learner`` fitted on ``rows`` (``dealt`` in even parts) through packed blocks, or by Spark where its settings are not known here.
+
+    Fits of the same settings and features may share a ``stub``."""
     get = learner.getOrDefault
     features, label, trees, max_depth = get("featuresCol"), get("labelCol"), get("numTrees"), get("maxDepth")
     plain = (get("impurity") == "gini" and get("minWeightFractionPerNode") == 0.0 and not learner.isSet("weightCol")
@@ -233,7 +251,8 @@ def fit_forest(learner: RandomForestClassifier, rows: DataFrame) -> RandomForest
             grown[r.tree].grow(np.frombuffer(r.gain), chosen[r.tree][np.arange(k), slot], np.frombuffer(r.goes, bool).reshape(k, n_bins),
                                np.frombuffer(r.left).reshape(k, 2), np.frombuffer(r.total).reshape(k, 2), depth, max_depth)
     blocks.unpersist()
-    return _model(learner, rows.sparkSession, p, [row for t, g in enumerate(grown) for row in g.rows(t, edges, arity)])
+    spark = rows.sparkSession
+    return _model((stub or Stub()).of(learner, spark, p), spark, [row for t, g in enumerate(grown) for row in g.rows(t, edges, arity)])
 
 
 def _level(blocks: DataFrame, plan: list, drawn: tuple[int, bool], arity: dict[int, int], n_bins: int, min_rows: int, min_gain: float) -> list:
@@ -290,16 +309,10 @@ def _level(blocks: DataFrame, plan: list, drawn: tuple[int, bool], arity: dict[i
     return parts.groupBy("tree").applyInPandas(pick, "tree int, gain binary, slot binary, goes binary, left binary, total binary").collect()
 
 
-def _model(learner: RandomForestClassifier, spark, p: int, nodes: list[tuple]) -> RandomForestClassificationModel:
-    """Spark's model with these nodes: a stub of the same settings is saved, its node table replaced, and loaded."""
-    path = scratch_path(spark, f"forests/{learner.uid}-{np.random.default_rng().integers(1 << 62):x}")
-    learner.fit(_stub_rows(spark, learner, p)).write().save(path)
+def _model(stub: RandomForestClassificationModel, spark, nodes: list[tuple]) -> RandomForestClassificationModel:
+    """Spark's model with these nodes: the stub is saved, its node table replaced, and loaded."""
+    path = scratch_path(spark, f"forests/{stub.uid}-{np.random.default_rng().integers(1 << 62):x}")
+    stub.write().save(path)
     schema = spark.read.parquet(f"{path}/data").schema
-    spark.createDataFrame(nodes, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/data")
+    spark.createDataFrame(nodes, schema, verifySchema=False).coalesce(1).write.mode("overwrite").parquet(f"{path}/data")
     return RandomForestClassificationModel.load(path)
-
-
-def _stub_rows(spark, learner: RandomForestClassifier, p: int) -> DataFrame:
-    x = Vectors.dense([0.0] * p)
-    rows = spark.createDataFrame([(x, float(i % 2)) for i in range(64)], ["x", "y"]).coalesce(1)
-    return rows.select(F.col("x").alias(learner.getOrDefault("featuresCol")), F.col("y").alias(learner.getOrDefault("labelCol")))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encode import NAN_TOKEN, FrequencyEncoder, MedianImputer
-from .forest import fit_forest
+from .forest import Stub, fit_forest
 from .leafwise import LeafwiseClassifier
 from .metrics import evaluate
 
@@ -206,13 +206,15 @@ def stacked(split_df: DataFrame, roles: dict[str, list[str]], bases: list[str],
     train = feats.where(F.col("split") == "train")
     val = feats.where(F.col("split") == "val")
 
+    stub = Stub()
+
     def fit_one(job):
         b, f = job
         fit_part = train if f is None else train.where(F.col("__fold") != f)
         if b in BOOSTED:
             fit_part = _early_stop_flag(fit_part, key)
         learner = classifier(b, target, params=(params or {}).get(b))
-        m = fit_forest(learner, fit_part) if isinstance(learner, RandomForestClassifier) else learner.fit(fit_part)
+        m = fit_forest(learner, fit_part, stub) if isinstance(learner, RandomForestClassifier) else learner.fit(fit_part)
         scored = val if f is None else train.where(F.col("__fold") == f)
         return b, f, with_p1(m.transform(scored)).select(*key, F.col("p1").alias(b))
 
